@@ -1,0 +1,53 @@
+"""Closed-form bronze log over all fixture pulls at once (no disk).
+
+Equal, row for row, to running the refresh job once per pull (tested); used by the
+registered queries so they need no storage. ``first pull`` and the keep-first survivor of
+each id come from one skew-safe aggregate (``min`` over an order struct whose first field
+is the pull), joined back to the distinct rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chronolake import schemas as S
+from chronolake.operators.dedupe import flag_first_distinct
+from chronolake.operators.layers import KEY
+from chronolake.sources import fixture
+
+LOG_ORDER = ["pull", "timestamp", "station_id"]
+LOG_NULLS_LAST = ("station_id",)
+
+
+def log_from_pulls(bronze_rows: DataFrame) -> DataFrame:
+    """Bronze rows with an int ``pull`` -> log rows with ``seq``, ``is_first``, ``copies``.
+
+    A row is logged in the pull where its id first appears; from the second pull on only
+    the keep-first survivor is kept (first-snapshot duplicates stay, with ``copies``).
+    """
+    flagged = flag_first_distinct(
+        bronze_rows, KEY, LOG_ORDER, LOG_NULLS_LAST, first_of_key="_first_pull"
+    )
+    keep = (F.col("pull") == F.col("_first_pull")) & ((F.col("pull") == 1) | F.col("is_first"))
+    return (
+        flagged.where(keep)
+        .select(
+            *S.BRONZE_COLUMNS,
+            F.col("pull").alias("seq"),
+            "is_first",
+            F.when(F.col("pull") == 1, F.col("copies")).otherwise(F.lit(1)).alias("copies"),
+        )
+    )
+
+
+def fixture_log(events: DataFrame) -> DataFrame:
+    return log_from_pulls(fixture.bronze_pulls(events))
+
+
+def snapshot_count() -> int:
+    return len(fixture.PULL_AS_OF)
+
+
+def as_of_text(seq: int) -> str:
+    return fixture.PULL_AS_OF[seq]
