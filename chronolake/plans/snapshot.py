@@ -53,16 +53,22 @@ def build_snapshot(
     source_name: str = S.DEFAULT_SOURCE_NAME,
     station_ids: list[str] | None = None,
     batch_id: int | None = None,
+    landed_path: str | None = None,
 ) -> dict:
-    """SNP1: publish the next snapshot from one pull; returns its catalog entry."""
+    """SNP1: publish the next snapshot from one pull; returns its catalog entry.
+
+    ``landed_path``: the pull is already in the raw landing folder (stream ingestion),
+    so it is read from there instead of being landed again.
+    """
     started = time.perf_counter()
     store = LayerStore(spark, root)
     catalog = CAT.read_catalog(spark, root)
     previous = CAT.latest_entry(catalog)
     prev_seq = previous["seq"] if previous else 0
     seq = prev_seq + 1
-    raw_path = store.write_raw(raw, source_name, as_of)
-    batch = L.to_bronze(spark.read.parquet(raw_path), source_name, as_of)
+    raw_path = landed_path or store.write_raw(raw, source_name, as_of)
+    landed = raw if landed_path else spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
+    batch = L.to_bronze(landed, source_name, as_of)
 
     if prev_seq == 0:
         log_rows = flag_first_distinct(batch, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST)
