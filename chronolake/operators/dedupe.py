@@ -56,6 +56,9 @@ def flag_first_distinct(
     row_order = F.struct(order_key(order, nulls_last).alias("o"), F.struct(*order, *rest).alias("r"))
     firsts = distinct_rows.groupBy(key).agg(F.min(row_order).alias("_first"))
     extra = [F.col("_first.r")[order[0]].alias(first_of_key)] if first_of_key else []
-    return distinct_rows.join(firsts, key, "left").select(
-        *df.columns, row_order.eqNullSafe(F.col("_first")).alias(flag), copies, *extra
+    # ``_first`` is the minimum of the key's rows, so "row <= _first" means "row is it".
+    # Written as an inequality on purpose: a filter on the flag pushed into the join
+    # would otherwise become a whole-row equi-join key.
+    return distinct_rows.join(firsts, key, "inner").select(
+        *df.columns, (row_order <= F.col("_first")).alias(flag), copies, *extra
     )

@@ -29,7 +29,8 @@ def log_from_pulls(bronze_rows: DataFrame) -> DataFrame:
     flagged = flag_first_distinct(
         bronze_rows, KEY, LOG_ORDER, LOG_NULLS_LAST, first_of_key="_first_pull"
     )
-    keep = (F.col("pull") == F.col("_first_pull")) & ((F.col("pull") == 1) | F.col("is_first"))
+    # pull >= first pull always, so "<=" is "==" (kept an inequality, see flag_first_distinct)
+    keep = (F.col("pull") <= F.col("_first_pull")) & ((F.col("pull") == 1) | F.col("is_first"))
     return (
         flagged.where(keep)
         .select(
