@@ -35,6 +35,7 @@ def refresh_snapshot(
     source_name: str = S.DEFAULT_SOURCE_NAME,
     station_ids: list[str] | None = None,
     batch_id: int | None = None,
+    stable_dates: bool = False,
 ) -> dict:
     """SNP7: publish ``raw`` as the next snapshot unless it is empty or fully known."""
     latest = CAT.latest_entry(CAT.read_catalog(spark, root))
@@ -44,7 +45,9 @@ def refresh_snapshot(
         history = LayerStore(spark, root).history_ids(latest["seq"])
         if L.all_known(raw, history):
             return {"status": "NO_CHANGE", "snapshot": latest, "message": "No new source records"}
-    entry = build_snapshot(spark, raw, root, as_of, source_name, station_ids, batch_id)
+    entry = build_snapshot(
+        spark, raw, root, as_of, source_name, station_ids, batch_id, stable_dates=stable_dates
+    )
     return {"status": "CREATED", "snapshot": entry, "message": "Snapshot created"}
 
 

@@ -170,7 +170,13 @@ def incremental_t3(spark, sf_dir):
 
 
 def no_change_check(spark, sf_dir):
-    """JOIN4: each pull checked against each published snapshot from the one before it."""
+    """JOIN4: each pull checked against each published snapshot from the one before it.
+
+    A pull's id is unknown to snapshot ``s`` iff the id was first published after ``s``.
+    Ids are counted per (pull, first snapshot) -- an aggregate of a few rows -- and each
+    count is spread over the snapshots it is checked against with ``explode``, so no
+    join pairs rows with snapshots.
+    """
     events = _events(spark, sf_dir)
     log = fixture_log(events)
     first_seq = log.groupBy("source_record_id").agg(F.min("seq").alias("first_seq"))
@@ -180,15 +186,13 @@ def no_change_check(spark, sf_dir):
         .groupBy("pull", "first_seq")
         .agg(F.count(F.lit(1)).alias("ids"))
     )
-    seqs = log.select(F.col("seq").alias("against_seq")).distinct()
-    # Both sides are aggregates: (pulls x snapshots) and snapshots -- a few rows each.
-    pairs = per_first.join(
-        seqs, (F.col("against_seq") >= F.col("pull") - 1) & (F.col("against_seq") >= 1)
-    )
+    last = len(FX.PULL_AS_OF)
+    against = F.explode(F.sequence(F.greatest(F.col("pull") - 1, F.lit(1)), F.lit(last)))
+    spread = per_first.select("pull", "first_seq", "ids", against.alias("against_seq"))
     unknown = F.when(
         F.col("first_seq").isNull() | (F.col("first_seq") > F.col("against_seq")), F.col("ids")
     ).otherwise(F.lit(0))
-    out = pairs.groupBy("pull", "against_seq").agg(F.sum(unknown).cast("long").alias("unknown_ids"))
+    out = spread.groupBy("pull", "against_seq").agg(F.sum(unknown).cast("long").alias("unknown_ids"))
     return out.withColumn(
         "status", F.when(F.col("unknown_ids") == 0, F.lit("NO_CHANGE")).otherwise(F.lit("CREATED"))
     )

@@ -54,11 +54,13 @@ def build_snapshot(
     station_ids: list[str] | None = None,
     batch_id: int | None = None,
     landed_path: str | None = None,
+    stable_dates: bool = False,
 ) -> dict:
     """SNP1: publish the next snapshot from one pull; returns its catalog entry.
 
     ``landed_path``: the pull is already in the raw landing folder (stream ingestion),
-    so it is read from there instead of being landed again.
+    so it is read from there instead of being landed again. ``stable_dates``: ids never
+    change their observation time, so history before the pull's first day is skipped.
     """
     started = time.perf_counter()
     store = LayerStore(spark, root)
@@ -73,7 +75,10 @@ def build_snapshot(
     if prev_seq == 0:
         log_rows = flag_first_distinct(batch, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST)
     else:
-        new = L.unseen(batch, store.history_ids(prev_seq))
+        from_date = None
+        if stable_dates:
+            from_date = batch.agg(F.min("partition_date")).first()[0]  # one scalar
+        new = L.unseen(batch, store.history_ids(prev_seq, from_date))
         log_rows = keep_first(new, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST).select(
             "*", F.lit(True).alias("is_first"), F.lit(1).alias("copies")
         )

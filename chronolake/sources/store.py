@@ -85,9 +85,17 @@ class LayerStore:
     def gold_store(self) -> DataFrame:
         return self._read("gold", GOLD_STORE_SCHEMA)
 
-    def history_ids(self, seq: int) -> DataFrame:
-        """Ids of ``bronze(T_seq)``: partition-pruned, one column read."""
-        return self.log().where(F.col("seq") <= seq).select("source_record_id")
+    def history_ids(self, seq: int, from_date: str | None = None) -> DataFrame:
+        """Ids of ``bronze(T_seq)``: partition-pruned, one column read.
+
+        ``from_date`` also skips history days before it (row groups are clustered by
+        ``partition_date``, so Parquet min/max statistics drop them unread). Only valid
+        when an id always carries the same observation time.
+        """
+        log = self.log().where(F.col("seq") <= seq)
+        if from_date is not None:
+            log = log.where(F.col("partition_date") >= F.lit(from_date))
+        return log.select("source_record_id")
 
     def bronze(self, seq: int) -> DataFrame:
         from chronolake.plans.timetravel import bronze_as_of

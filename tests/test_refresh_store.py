@@ -90,3 +90,16 @@ def test_explorer_queries_match_registered(spark, workdir):
     _same(df, R.QUERIES["compare_gold"](spark, SF))
     assert ex.new_records("bronze", "T3", "T3").count() == 0
     assert ex.new_records("silver", "T1", "T1").count() == 0
+
+
+def test_stable_dates_pruning_gives_same_log(spark, workdir):
+    events = FX.read_events(spark, SF)
+    for pull, as_of in FX.PULL_AS_OF.items():
+        refresh_snapshot(spark, workdir, FX.pull_frame(events, pull), as_of, stable_dates=True)
+    log = fixture_log(events)
+    ex = Explorer(spark, workdir)
+    for n in (2, 3):
+        _same(ex.as_of("bronze", f"T{n}"), R.layer_as_of(log, "bronze", n).drop("source_name"
+              ).withColumn("source_name", F.lit(S.DEFAULT_SOURCE_NAME)))
+    plan = LayerStore(spark, workdir).history_ids(3, "2024-01-18")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(seq" in plan and "partition_date" in plan
