@@ -358,4 +358,7 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "snapshot_list": snapshot_list(),
         "default_pair": default_pair(),
         "refresh_due": refresh_due(),
+        "refresh_replay_gold_t3": with_base(gold(3)),
+        "refresh_replay_metrics": snapshot_metrics(),
+        "stream_replay_bronze_t3": with_base(bronze(3)),
     }

@@ -273,6 +273,51 @@ def refresh_due(spark, sf_dir):
     return CV.due_after_each(_catalog(spark, sf_dir))
 
 
+# --- production path: the refresh job and the stream, on disk ---------------------------
+
+def _replayed_store(spark: SparkSession, sf_dir: str) -> str:
+    """Publish every fixture pull with the refresh job into a fresh shared folder."""
+    from chronolake.plans.refresh import refresh_snapshot
+    from chronolake.session import shared_dir
+
+    root = shared_dir(spark, "refresh-replay")
+    events = _events(spark, sf_dir)
+    for pull, as_of in FX.PULL_AS_OF.items():
+        refresh_snapshot(spark, root, FX.pull_frame(events, pull), as_of, FX.FIXTURE_SOURCE_NAME)
+    return root
+
+
+def refresh_replay_gold_t3(spark, sf_dir):
+    """SNP1 + SNP4: gold T3 as published by three refresh runs (incremental gold state)."""
+    from chronolake.plans.explorer import Explorer
+
+    return Explorer(spark, _replayed_store(spark, sf_dir)).as_of("gold", "T3")
+
+
+def refresh_replay_metrics(spark, sf_dir):
+    """SNP8 as recorded in the on-disk catalog by the refresh runs."""
+    from chronolake.plans.explorer import Explorer
+
+    catalog = Explorer(spark, _replayed_store(spark, sf_dir)).catalog()
+    return CV.metrics_table(catalog).drop("processing_time_ms")
+
+
+def stream_replay_bronze_t3(spark, sf_dir):
+    """STR1: pulls landed in two rounds, ingested by the file stream; bronze as of T3."""
+    from chronolake.plans.explorer import Explorer
+    from chronolake.session import shared_dir
+    from chronolake.streaming import ingest
+
+    root = shared_dir(spark, "stream-replay")
+    events = _events(spark, sf_dir)
+    src = FX.FIXTURE_SOURCE_NAME
+    for rounds in ((1, 2), (3,)):
+        for pull in rounds:
+            ingest.land_pull(spark, root, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], src)
+        ingest.start_ingest(spark, root, src).awaitTermination()
+    return Explorer(spark, root).as_of("bronze", "T3")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "obs_required_fields": obs_required_fields,
     "latest_n_per_station": latest_n_per_station,
@@ -305,4 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_list": snapshot_list,
     "default_pair": default_pair,
     "refresh_due": refresh_due,
+    "refresh_replay_gold_t3": refresh_replay_gold_t3,
+    "refresh_replay_metrics": refresh_replay_metrics,
+    "stream_replay_bronze_t3": stream_replay_bronze_t3,
 }
