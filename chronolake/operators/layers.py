@@ -122,17 +122,24 @@ def gold_from_state(
     (one row per day and station); AQE turns it into a broadcast join at runtime when the
     measured size allows. ``keep_state`` also returns the additive state columns.
     """
+    joined = state.join(new_counts, ["partition_date", "station_id"], "left").withColumn(
+        "new_records", F.coalesce(F.col("new_records"), F.lit(0).cast("long"))
+    )
+    return finish_gold(joined, updated_at, keep_state)
+
+
+def finish_gold(state: DataFrame, updated_at: str, keep_state: bool = False) -> DataFrame:
+    """Gold columns from additive state carrying ``new_records`` (averages, stamp)."""
     def avg(name: str):
         return F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}")).alias(f"avg_{name}")
 
     state_cols = [c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(("sum_", "n_"))]
-    joined = state.join(new_counts, ["partition_date", "station_id"], "left")
-    return joined.select(
+    return state.select(
         "partition_date",
         "station_id",
         "station_name",
         "rows_processed",
-        F.coalesce(F.col("new_records"), F.lit(0).cast("long")).alias("new_records"),
+        "new_records",
         "anomaly_count",
         avg("temperature_c"),
         avg("wind_speed_kmh"),

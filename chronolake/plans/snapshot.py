@@ -4,7 +4,8 @@ A refresh costs O(increment + gold size) plus one id-only scan of history:
 
 1. land the pull (SNK1) and read it back (lineage cut at a shared, durable table)
 2. bronze-enrich; drop ids already in history (JOIN3); keep-first per id (DED1)
-3. append ``bronze_log/seq=n`` then ``silver_log/seq=n`` (flags of the new rows only)
+3. append ``bronze_log/seq=n`` (row counts observed on that write; nothing new ->
+   NO_CHANGE, nothing committed), then ``silver_log/seq=n`` (flags of the new rows only)
 4. gold state of the new silver rows merged with the previous snapshot's state (GRP1),
    new-record counts joined on (date, station) (GRP2 + JOIN1) -> ``gold/seq=n``
 5. metrics from the increment and the small gold table, then the catalog row (commit)
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
@@ -35,16 +36,6 @@ def _time_saved_pct(incremental: Column, full: Column) -> Column:
     return F.when(full > 0, F.round(pct, 2)).otherwise(F.lit(0.0))
 
 
-def _increment_stats(log_rows: DataFrame) -> dict:
-    """One pass over the new log rows: rows (with copies), kept rows, distinct days."""
-    row = log_rows.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("rows"),
-        F.count_if(F.col("is_first")).alias("kept"),
-        F.count_distinct("partition_date").alias("dates"),
-    ).collect()[0]
-    return row.asDict()
-
-
 def build_snapshot(
     spark: SparkSession,
     raw: DataFrame,
@@ -55,17 +46,24 @@ def build_snapshot(
     batch_id: int | None = None,
     landed_path: str | None = None,
     stable_dates: bool = False,
-) -> dict:
+    previous: dict | None = None,
+    previous_known: bool = False,
+) -> dict | None:
     """SNP1: publish the next snapshot from one pull; returns its catalog entry.
 
+    Returns None (nothing committed) when a previous snapshot exists and the pull brings
+    no new id (NO_CHANGE): the anti-join to history runs once and its emptiness is read
+    from the write's own metrics, so history is scanned once per refresh.
+
     ``landed_path``: the pull is already in the raw landing folder (stream ingestion),
     so it is read from there instead of being landed again. ``stable_dates``: ids never
     change their observation time, so history before the pull's first day is skipped.
+    ``previous`` / ``previous_known``: the caller already read the latest catalog entry.
     """
     started = time.perf_counter()
     store = LayerStore(spark, root)
-    catalog = CAT.read_catalog(spark, root)
-    previous = CAT.latest_entry(catalog)
+    if not previous_known:
+        previous = CAT.latest_entry(CAT.read_catalog(spark, root))
     prev_seq = previous["seq"] if previous else 0
     seq = prev_seq + 1
     raw_path = landed_path or store.write_raw(raw, source_name, as_of)
@@ -82,34 +80,47 @@ def build_snapshot(
         log_rows = keep_first(new, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST).select(
             "*", F.lit(True).alias("is_first"), F.lit(1).alias("copies")
         )
+    # Row counts ride along with the write (one pass over the increment).
+    written = Observation(f"increment-{seq}")
+    log_rows = log_rows.observe(
+        written,
+        F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("rows"),
+        F.count_if(F.col("is_first")).alias("kept"),
+    )
     paths = {"bronze": store.write_log(seq, log_rows)}
+    inc = written.get
+    if prev_seq > 0 and inc["rows"] == 0:
+        return None  # NO_CHANGE: the seq folder stays uncatalogued (invisible)
     increment = store.log().where(F.col("seq") == seq)
 
     paths["silver"] = store.write_silver(seq, L.to_silver(increment.where(F.col("is_first"))))
-    new_silver = store.silver_log().where(F.col("seq") == seq)
-    state = L.gold_state(new_silver)
+    state = L.gold_state(store.silver_log().where(F.col("seq") == seq))
     if prev_seq > 0:
         state = L.merge_gold_state(store.gold_state(prev_seq), state)
-    state = state.cache()  # small (one row per day x station x name); used twice
-    new_counts = L.new_record_counts(expand_copies(increment).select(*S.BRONZE_COLUMNS))
-    gold = L.gold_from_state(state, new_counts, as_of, keep_state=True)
-    paths["gold"] = store.write_gold(seq, gold)
-
-    inc = _increment_stats(increment)
+    # Per (day, station) counts of the increment, null stations included: small, and
+    # it also gives the increment's distinct days without another pass.
+    fresh = (
+        expand_copies(increment)
+        .groupBy(C.date_key("timestamp").alias("partition_date"), "station_id")
+        .agg(F.count(F.lit(1)).alias("new_records"))
+        .cache()
+    )
+    new_counts = fresh.where(F.col("station_id").isNotNull())
+    paths["gold"] = store.write_gold(seq, L.gold_from_state(state, new_counts, as_of, keep_state=True))
+    inc_dates = fresh.select("partition_date").distinct().count()
+    fresh.unpersist()
     gold_row = store.gold(seq).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("partition_date").alias("dates")
-    ).collect()[0]
-    state.unpersist()
+    ).first()
 
     if prev_seq == 0:
-        full_rows, full_dates = inc["rows"], inc["dates"]
+        full_rows, full_dates = inc["rows"], inc_dates
         silver_rows = inc["kept"]
         incremental_rows, incremental_dates = full_rows, full_dates
     else:
         silver_rows = previous["row_counts"]["silver"] + inc["kept"]
         full_rows, full_dates = silver_rows, gold_row["dates"]
-        incremental_rows = inc["rows"]
-        incremental_dates = inc["dates"] if inc["rows"] else full_dates
+        incremental_rows, incremental_dates = inc["rows"], inc_dates
     saved = max(0.0, (1 - incremental_rows / full_rows) * 100) if full_rows else 0.0
 
     entry = {
@@ -142,35 +153,36 @@ def catalog_from_log(log: DataFrame, source_name: str, station_ids: list[str]) -
     Used for the closed-form fixture (no disk). Cumulative counts come from per-``seq``
     aggregates (a handful of rows) with running-sum windows over ``seq``.
     """
-    per_seq = log.groupBy("seq").agg(
+    # One pass over the log into a small aggregate (seq x day x station x name); the rest
+    # is a single linear pipeline over it: windows find the seq where each day / each gold
+    # group first has a kept row, one aggregate per seq, running sums over seq.
+    base = log.groupBy("seq", "partition_date", "station_id", "station_name").agg(
         F.sum("copies").cast("long").alias("rows_all"),
         F.count_if(F.col("is_first")).alias("rows_first"),
-        F.count_distinct("partition_date").alias("inc_dates"),
         F.max("ingest_ts").alias("created_at"),
     )
-    kept = log.where(F.col("is_first"))
-    first_date = (
-        kept.groupBy("partition_date")
-        .agg(F.min("seq").alias("seq"))
-        .groupBy("seq")
-        .agg(F.count(F.lit(1)).alias("new_dates"))
+    kept_seq = F.when(F.col("rows_first") > 0, F.col("seq"))
+    day_first = F.min(kept_seq).over(Window.partitionBy("partition_date"))
+    group_first = F.min(kept_seq).over(Window.partitionBy("partition_date", "station_id", "station_name"))
+    marked = base.select(
+        "*",
+        ((F.col("seq") == day_first) & (F.col("rows_first") > 0)).alias("_day_new"),
+        ((F.col("seq") == group_first) & (F.col("rows_first") > 0)).alias("_group_new"),
     )
-    first_group = (
-        kept.groupBy("partition_date", "station_id", "station_name")
-        .agg(F.min("seq").alias("seq"))
-        .groupBy("seq")
-        .agg(F.count(F.lit(1)).alias("new_groups"))
+    per_seq = marked.groupBy("seq").agg(
+        F.sum("rows_all").alias("rows_all"),
+        F.sum("rows_first").alias("rows_first"),
+        F.count_distinct("partition_date").alias("inc_dates"),
+        F.max("created_at").alias("created_at"),
+        F.count_distinct(F.when(F.col("_day_new"), F.col("partition_date"))).alias("new_dates"),
+        F.count_if(F.col("_group_new")).alias("new_groups"),
     )
     running = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = (
-        per_seq.join(first_date, "seq", "left")
-        .join(first_group, "seq", "left")
-        .select(
-            "*",
-            F.sum("rows_first").over(running).alias("silver_rows"),
-            F.sum(F.coalesce("new_dates", F.lit(0))).over(running).alias("kept_dates"),
-            F.sum(F.coalesce("new_groups", F.lit(0))).over(running).alias("gold_rows"),
-        )
+    t = per_seq.select(
+        "*",
+        F.sum("rows_first").over(running).alias("silver_rows"),
+        F.sum("new_dates").over(running).alias("kept_dates"),
+        F.sum("new_groups").over(running).alias("gold_rows"),
     )
     first = F.col("seq") == 1
     full_rows = F.when(first, F.col("rows_all")).otherwise(F.col("silver_rows"))

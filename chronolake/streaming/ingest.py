@@ -51,17 +51,17 @@ def publish_batch(
         if path in published:
             continue  # replayed batch: this pull is already a snapshot
         rows = batch.where(F.col(PULL_COLUMN) == stamp).drop(PULL_COLUMN)
-        entries.append(
-            build_snapshot(
-                spark,
-                rows,
-                root,
-                as_of_from_stamp(stamp),
-                source_name=source_name,
-                batch_id=batch_id,
-                landed_path=path,
-            )
+        entry = build_snapshot(
+            spark,
+            rows,
+            root,
+            as_of_from_stamp(stamp),
+            source_name=source_name,
+            batch_id=batch_id,
+            landed_path=path,
         )
+        if entry is not None:  # None: the pull brought no new id (NO_CHANGE)
+            entries.append(entry)
     return entries
 
 
