@@ -85,7 +85,11 @@ def parse_features(
         C.lenient_double(F.get(coords, 0)).alias("longitude"),
         p["rawMessage"].alias("raw_message"),
         p["icon"].alias("icon"),
-        F.coalesce(F.size(p["presentWeather"]), F.lit(0)).cast("int").alias("present_weather_count"),
+        # explicit null test: size(null) is -1, not null, when ANSI mode is off
+        F.when(p["presentWeather"].isNull(), F.lit(0))
+        .otherwise(F.size(p["presentWeather"]))
+        .cast("int")
+        .alias("present_weather_count"),
         fetched.alias("fetched_at"),
         url.alias("source_url"),
         F.col(feature_col).alias("raw_payload_json"),

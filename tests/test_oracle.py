@@ -55,3 +55,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["partition_date", "station_id", "current_rows", "previous_rows", "delta_rows"]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "name", ["feed_parse", "obs_required_fields", "silver_t3", "gold_t1", "snapshot_list", "refresh_due"]
+)
+def test_session_settings_do_not_change_results(spark, duck, name, ansi):
+    """The driver brings its own session: results must not depend on its zone or ANSI mode."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    other.conf.set("spark.sql.ansi.enabled", ansi)
+    got = E.queries()[name](other, SF).toPandas()
+    want = duck.execute(E.oracle_sql()[name]).fetchdf()
+    assert _rows(got) == _rows(want)
