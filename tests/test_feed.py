@@ -97,3 +97,16 @@ def test_refresh_if_due_outcomes(spark, workdir):
     more = refresh_if_due(spark, root, landing, now="2024-02-02T00:00:00+00:00", limit=100)
     assert more["status"] == "CREATED" and more["snapshot"]["snapshot_id"] == "T2"
     assert more["snapshot"]["metrics"]["rows_processed"] == 3 * (100 - S.DEFAULT_LIVE_LIMIT)
+
+
+def test_refresh_cli(spark, workdir):
+    from chronolake.plans.refresh import main
+
+    obs = FX.observations(FX.read_events(spark, SF)).where(F.col("station_id").isNotNull())
+    obs = obs.withColumn(FD.STATION_PARTITION, F.col("station_id"))
+    feats = FD.render_features(obs.withColumn("_page", F.floor(F.col("event_id") / 72)), extra=("_page",))
+    landing = FD.write_landing(FD.render_documents(feats, F.col("_page")), f"{workdir}/landing")
+    args = ["--root", f"{workdir}/store", "--landing", landing, "--now", "2024-02-01T00:00:00+00:00"]
+    assert main(args)["status"] == "CREATED"
+    assert main(args)["status"] == "SKIPPED_NOT_DUE"
+    assert main(args + ["--force"])["status"] == "NO_CHANGE"
