@@ -92,7 +92,9 @@ class LayerStore:
         ``partition_date``, so Parquet min/max statistics drop them unread). Only valid
         when an id always carries the same observation time.
         """
-        log = self.log().where(F.col("seq") <= seq)
+        # Every id has exactly one ``is_first`` row, so this reads each id once (first-
+        # snapshot copies of a hot id do not reach the join).
+        log = self.log().where((F.col("seq") <= seq) & F.col("is_first"))
         if from_date is not None:
             log = log.where(F.col("partition_date") >= F.lit(from_date))
         return log.select("source_record_id")
