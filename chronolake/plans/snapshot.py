@@ -26,7 +26,6 @@ from chronolake import schemas as S
 from chronolake.functions import columns as C
 from chronolake.operators import layers as L
 from chronolake.operators.dedupe import flag_first_distinct, keep_first
-from chronolake.plans.timetravel import expand_copies
 from chronolake.sources import catalog as CAT
 from chronolake.sources.store import LayerStore
 
@@ -100,9 +99,8 @@ def build_snapshot(
     # Per (day, station) counts of the increment, null stations included: small, and
     # it also gives the increment's distinct days without another pass.
     fresh = (
-        expand_copies(increment)
-        .groupBy(C.date_key("timestamp").alias("partition_date"), "station_id")
-        .agg(F.count(F.lit(1)).alias("new_records"))
+        increment.groupBy(C.date_key("timestamp").alias("partition_date"), "station_id")
+        .agg(F.sum("copies").cast("long").alias("new_records"))
         .cache()
     )
     new_counts = fresh.where(F.col("station_id").isNotNull())

@@ -22,9 +22,31 @@ from chronolake.functions import columns as C
 from chronolake.operators import layers as L
 
 
-def expand_copies(log: DataFrame) -> DataFrame:
-    """Repeat each log row ``copies`` times (identical rows of the first snapshot)."""
-    return log.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_copy")
+COPY_CHUNK = 100_000  # most copies one task expands for one log row
+
+
+def expand_copies(log: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Repeat each log row ``copies`` times (identical rows of the first snapshot).
+
+    Rows with up to ``chunk`` copies expand in place. A row with more (one record
+    repeated a third of the data, say) is first cut into chunks of ``chunk`` copies, the
+    chunk rows -- few -- are spread over tasks by a shuffle, and each task expands its
+    chunks: no single task emits the whole group. ``copies`` is a data column, so the
+    second branch's filter skips every row group without such rows unread.
+    """
+    cols = log.columns
+    small = log.where(F.col("copies") <= chunk).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))
+    )
+    parts = log.where(F.col("copies") > chunk).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk).cast("int")))
+    )
+    big = (
+        parts.withColumn("_n", F.least(F.lit(chunk), F.col("copies") - F.col("_part") * chunk))
+        .repartition("source_record_id", "_part")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    )
+    return small.select(*cols).unionByName(big.select(*cols))
 
 
 def bronze_as_of(log: DataFrame, n: int) -> DataFrame:

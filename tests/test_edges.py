@@ -154,3 +154,15 @@ def test_canned_limit_is_deterministic(spark):
     a = QP.CMP.top_rows(df, QP.CMP.full_order(df, ["partition_key desc"]), 200).collect()
     b = QP.CMP.top_rows(df.repartition(13), QP.CMP.full_order(df, ["partition_key desc"]), 200).collect()
     assert a == b and len(a) == 200
+
+
+def test_expand_copies_spreads_a_huge_group(spark):
+    from chronolake.plans.timetravel import expand_copies
+
+    log = spark.createDataFrame(
+        [("a", 1), ("b", 3), ("hot", 35)], "source_record_id string, copies int"
+    )
+    out = expand_copies(log, chunk=10)
+    counts = {r[0]: r[1] for r in out.groupBy("source_record_id").count().collect()}
+    assert counts == {"a": 1, "b": 3, "hot": 35}
+    assert "Exchange hashpartitioning(source_record_id" in out._jdf.queryExecution().executedPlan().toString()
