@@ -291,7 +291,7 @@ def _except(a: str, b: str, columns: str = "*") -> str:
     return f"SELECT {columns} FROM ({a}) a EXCEPT SELECT {columns} FROM ({b}) b"
 
 
-def _compare_gold_sql() -> str:
+def _compare_gold_sql(previous: int = 2) -> str:
     # USING merges the key columns of a full outer join; NULL keys never match, so a
     # null-station row appears once for each side.
     return f"""SELECT partition_date, station_id,
@@ -299,7 +299,7 @@ def _compare_gold_sql() -> str:
   CAST(ifnull(prev.rows_processed, 0) AS BIGINT) AS previous_rows,
   CAST(ifnull(cur.rows_processed, 0) - ifnull(prev.rows_processed, 0) AS BIGINT) AS delta_rows
 FROM (SELECT partition_date, station_id, rows_processed FROM ({gold(3)}) g3) cur
-FULL OUTER JOIN (SELECT partition_date, station_id, rows_processed FROM ({gold(2)}) g2) prev
+FULL OUTER JOIN (SELECT partition_date, station_id, rows_processed FROM ({gold(previous)}) g2) prev
 USING (partition_date, station_id)"""
 
 
@@ -329,7 +329,11 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "new_records_silver": with_base(_except(silver(3), silver(2))),
         "new_records_gold": with_base(_except(gold(3), gold(2))),
         "new_records_gold_ignore_updated_at": with_base(_except(gold(3), gold(2), no_updated)),
+        "new_records_bronze_t1_t3": with_base(_except(bronze(3), bronze(1))),
+        "new_records_bronze_t1_t3_except": with_base(_except(bronze(3), bronze(1))),
+        "new_records_silver_t1_t3": with_base(_except(silver(3), silver(1))),
         "compare_gold": with_base(_compare_gold_sql()),
+        "compare_gold_t1_t3": with_base(_compare_gold_sql(1)),
         "compare_silver": with_base(
             f"SELECT station_id, observation_date AS partition_key, count(*) AS current_rows "
             f"FROM ({silver(3)}) s GROUP BY 1, 2"

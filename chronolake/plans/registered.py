@@ -58,9 +58,11 @@ def layer_as_of(log: DataFrame, layer: str, n: int) -> DataFrame:
     return TT.bronze_as_of(log, n)
 
 
-def _pair(spark: SparkSession, sf_dir: str, layer: str) -> tuple[DataFrame, DataFrame]:
+def _pair(
+    spark: SparkSession, sf_dir: str, layer: str, previous: int = PREVIOUS
+) -> tuple[DataFrame, DataFrame]:
     log = _log(spark, sf_dir)
-    return layer_as_of(log, layer, CURRENT), layer_as_of(log, layer, PREVIOUS)
+    return layer_as_of(log, layer, CURRENT), layer_as_of(log, layer, previous)
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,22 +202,22 @@ def no_change_check(spark, sf_dir):
 
 # --- comparison panel ----------------------------------------------------------------------
 
-def _new_records(layer: str, ignore: tuple[str, ...] = (), use_log: bool = True):
+def _new_records(layer: str, ignore: tuple[str, ...] = (), use_log: bool = True, previous: int = PREVIOUS):
     def run(spark, sf_dir):
         if use_log and layer in ("bronze", "silver"):
             log = _log(spark, sf_dir)
-            rows = TT.new_rows_from_log(log, PREVIOUS, CURRENT, S.BRONZE_COLUMNS)
+            rows = TT.new_rows_from_log(log, previous, CURRENT, S.BRONZE_COLUMNS)
             return rows if layer == "bronze" else L.to_silver(rows)
-        current, previous = _pair(spark, sf_dir, layer)
-        return QP.show_new_records(current, previous, limit=None, ignore=ignore)
+        cur, prev = _pair(spark, sf_dir, layer, previous)
+        return QP.show_new_records(cur, prev, limit=None, ignore=ignore)
 
     return run
 
 
-def _compare(layer: str):
+def _compare(layer: str, previous: int = PREVIOUS):
     def run(spark, sf_dir):
-        current, previous = _pair(spark, sf_dir, layer)
-        return QP.compare_changes(current, previous, layer, limit=None)
+        cur, prev = _pair(spark, sf_dir, layer, previous)
+        return QP.compare_changes(cur, prev, layer, limit=None)
 
     return run
 
@@ -335,7 +337,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_records_silver": _new_records("silver"),
     "new_records_gold": _new_records("gold"),
     "new_records_gold_ignore_updated_at": _new_records("gold", ignore=("updated_at",)),
+    "new_records_bronze_t1_t3": _new_records("bronze", previous=1),
+    "new_records_bronze_t1_t3_except": _new_records("bronze", use_log=False, previous=1),
+    "new_records_silver_t1_t3": _new_records("silver", previous=1),
     "compare_gold": _compare("gold"),
+    "compare_gold_t1_t3": _compare("gold", previous=1),
     "compare_silver": _compare("silver"),
     "compare_bronze": _compare("bronze"),
     "compare_gold_top200": compare_gold_top200,
