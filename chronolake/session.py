@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -15,11 +14,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rebalance hot partitions of the keep-first aggregate / join at runtime.
+    # Target size of AQE-coalesced and skew-split shuffle partitions.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -57,8 +55,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="chronolake-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    # Nothing is created here: Spark's writers create the folder on the shared file system.
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
