@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
+from chronolake.operators import compare as CMP
 from chronolake.plans import catalog_views as CV
 from chronolake.plans import query_panel as QP
 from chronolake.plans.timetravel import empty_layer, new_rows_from_log
@@ -84,9 +85,29 @@ class Explorer:
             return QP.run_snapshot_query(self.spark, layer, empty, empty, chosen_query, custom_sql, limit)
         previous_id = previous_id or pair[0]
         current_id = pair[1]
+        rewritten = self._counts_from_gold(layer, chosen_query, current_id, limit)
+        if rewritten is not None:
+            return chosen_query, rewritten
         previous, current = self.as_of(layer, previous_id), self.as_of(layer, current_id)
         return QP.run_snapshot_query(self.spark, layer, previous, current, chosen_query, custom_sql, limit)
 
+    def _counts_from_gold(self, layer: str, chosen_query: str, current_id: str, limit):
+        """Q3/Q4 on silver (and bronze after T1) from the current gold: same rows, and a
+        scan of days x stations instead of every observation."""
+        if chosen_query not in S.QUERY_OPTIONS[1:] or layer == "gold":
+            return None
+        seq = self.seq_of(current_id)
+        if seq is None or (layer != "silver" and seq < 2):
+            return None  # bronze(T1) keeps in-pull duplicates: scan it
+        gold = self.store.gold(seq)
+        if chosen_query == S.QUERY_OPTIONS[1]:
+            rows = CMP.counts_from_gold(gold, by_station=True)
+            order = ["partition_key desc", "station_id"]
+        else:
+            rows = CMP.counts_from_gold(gold, by_station=False)
+            order = ["partition_key desc"]
+        return CMP.top_rows(rows, CMP.full_order(rows, order), limit)
+
     def preview(self, layer: str, previous_id: str, current_id: str, rows: int = S.PREVIEW_ROWS) -> DataFrame:
         order = S.GOLD_KEYS if layer == "gold" else ["timestamp", "station_id", "source_record_id"]
         return QP.preview(self.as_of(layer, previous_id), self.as_of(layer, current_id), order, rows)

@@ -312,7 +312,7 @@ def _preview_side(name: str, n: int) -> str:
 def all_sql(custom_sql_text: str) -> dict[str, str]:
     no_updated = cols([c for c in S.GOLD_COLUMNS if c != "updated_at"])
     new_bronze = with_base(_except(bronze(3), bronze(2)))
-    return {
+    out = {
         "obs_required_fields": obs_required_fields(),
         "latest_n_per_station": latest_n_per_station(),
         "station_dim": station_dim(),
@@ -368,3 +368,6 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "refresh_replay_metrics": snapshot_metrics(),
         "stream_replay_bronze_t3": with_base(bronze(3)),
     }
+    out["compare_silver_via_gold"] = out["compare_silver"]
+    out["aggregate_bronze_via_gold"] = out["aggregate_bronze"]
+    return out

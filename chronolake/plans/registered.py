@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
+from chronolake.operators import compare as CMP
 from chronolake.operators import layers as L
 from chronolake.operators.dedupe import keep_first
 from chronolake.operators.topk import latest_per_station
@@ -230,6 +231,15 @@ def _aggregate(layer: str):
     return run
 
 
+def _counts_via_gold(by_station: bool):
+    """Q3 / Q4 on silver and bronze (T3) answered from gold instead of a row scan."""
+    def run(spark, sf_dir):
+        gold = layer_as_of(_log(spark, sf_dir), "gold", CURRENT)
+        return CMP.counts_from_gold(gold, by_station)
+
+    return run
+
+
 def compare_gold_top200(spark, sf_dir):
     """TOP1: the panel's capped report (200 rows, deterministic order)."""
     current, previous = _pair(spark, sf_dir, "gold")
@@ -344,10 +354,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_gold_t1_t3": _compare("gold", previous=1),
     "compare_silver": _compare("silver"),
     "compare_bronze": _compare("bronze"),
+    "compare_silver_via_gold": _counts_via_gold(by_station=True),
     "compare_gold_top200": compare_gold_top200,
     "aggregate_gold": _aggregate("gold"),
     "aggregate_silver": _aggregate("silver"),
     "aggregate_bronze": _aggregate("bronze"),
+    "aggregate_bronze_via_gold": _counts_via_gold(by_station=False),
     "preview": preview,
     "custom_sql": custom_sql,
     "snapshot_metrics": snapshot_metrics,

@@ -103,3 +103,19 @@ def test_stable_dates_pruning_gives_same_log(spark, workdir):
               ).withColumn("source_name", F.lit(S.DEFAULT_SOURCE_NAME)))
     plan = LayerStore(spark, workdir).history_ids(3, "2024-01-18")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(seq" in plan and "partition_date" in plan
+
+
+def test_counts_answered_from_gold_equal_the_scans(spark, workdir):
+    _run_pulls(spark, workdir)
+    ex = Explorer(spark, workdir)
+    from chronolake.plans import query_panel as QP
+
+    for layer in ("silver", "bronze"):
+        for q in S.QUERY_OPTIONS[1:]:
+            _, fast = ex.query(layer, q, limit=None)
+            cur = ex.as_of(layer, "T3")
+            slow = (QP.compare_changes(cur, cur, layer, limit=None) if q == S.QUERY_OPTIONS[1]
+                    else QP.aggregate_by_partition(cur, layer, limit=None))
+            _same(fast, slow)
+            plan = fast._jdf.queryExecution().executedPlan().toString()
+            assert "/gold" in plan and "silver_log" not in plan and "bronze_log" not in plan
