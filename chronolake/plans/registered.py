@@ -225,7 +225,7 @@ def _compare(layer: str, previous: int = PREVIOUS):
 
 def _aggregate(layer: str):
     def run(spark, sf_dir):
-        current, _ = _pair(spark, sf_dir, layer)
+        current = layer_as_of(_log(spark, sf_dir), layer, CURRENT)
         return QP.aggregate_by_partition(current, layer, limit=None)
 
     return run
