@@ -166,3 +166,21 @@ def test_expand_copies_spreads_a_huge_group(spark):
     counts = {r[0]: r[1] for r in out.groupBy("source_record_id").count().collect()}
     assert counts == {"a": 1, "b": 3, "hot": 35}
     assert "Exchange hashpartitioning(source_record_id" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_due_check_view(spark):
+    from chronolake.plans import catalog_views as CV
+
+    empty = spark.createDataFrame([], S.CATALOG_SCHEMA)
+    assert CV.due_check(empty, "2024-01-02T00:00:00+00:00").first().due is True
+    cat = spark.createDataFrame(
+        [{"seq": 1, "snapshot_id": "T1", "created_at": "2024-01-01T00:00:00+00:00"}], S.CATALOG_SCHEMA
+    )
+    row = CV.due_check(cat, "2024-01-01T23:59:00+00:00").first()
+    assert row.due is False and row.age_seconds == 86340
+    assert CV.due_check(cat, "2024-01-02T00:00:00+00:00").first().due is True
+    assert CV.due_check(cat, "2024-01-01T00:00:01+00:00", max_age_minutes=0).first().due is True
+    # an offset clock reading is compared as the same instant
+    assert CV.due_check(cat, "2024-01-01T19:00:00-05:00").first().due is True
+    pair = CV.default_pair(cat).first()
+    assert (pair.previous_snapshot_id, pair.current_snapshot_id) == ("T1", "T1")
