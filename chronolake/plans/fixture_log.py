@@ -45,10 +45,3 @@ def log_from_pulls(bronze_rows: DataFrame) -> DataFrame:
 def fixture_log(events: DataFrame) -> DataFrame:
     return log_from_pulls(fixture.bronze_pulls(events))
 
-
-def snapshot_count() -> int:
-    return len(fixture.PULL_AS_OF)
-
-
-def as_of_text(seq: int) -> str:
-    return fixture.PULL_AS_OF[seq]
