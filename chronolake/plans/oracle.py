@@ -157,9 +157,17 @@ def with_base(body: str, **ctes: str) -> str:
 # --- per-query SQL ----------------------------------------------------------------------
 
 def obs_required_fields() -> str:
-    return f"""WITH {OBS}
-SELECT source_record_id, "timestamp"
-FROM obs WHERE event_id % 89 <> 0 AND event_id % 61 <> 0"""
+    # The feed text carries no id on every 89th event and an unparseable time on every
+    # 61st (other offsets parse back to the same instant); rows missing either required
+    # field are dropped.
+    return f"""WITH {OBS},
+feed AS (
+  SELECT CASE WHEN event_id % 89 = 0 THEN NULL ELSE source_record_id END AS feed_id,
+         CASE WHEN event_id % 61 = 0 THEN NULL ELSE "timestamp" END AS parsed_ts
+  FROM obs
+)
+SELECT feed_id AS source_record_id, parsed_ts AS "timestamp"
+FROM feed WHERE feed_id IS NOT NULL AND parsed_ts IS NOT NULL"""
 
 
 def latest_n_per_station(limit: int = S.DEFAULT_LIVE_LIMIT) -> str:
