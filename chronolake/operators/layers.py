@@ -157,16 +157,26 @@ def to_gold(silver: DataFrame, increment: DataFrame, updated_at: str) -> DataFra
     return gold_from_state(gold_state(silver), new_record_counts(increment), updated_at)
 
 
-def unseen(incoming: DataFrame, history_ids: DataFrame) -> DataFrame:
+BROADCAST_ID_LIMIT = 2_000_000  # incoming ids broadcast only up to this many rows
+
+
+def unseen(
+    incoming: DataFrame, history_ids: DataFrame, broadcast_limit_rows: int = BROADCAST_ID_LIMIT
+) -> DataFrame:
     """JOIN3: incoming rows whose id is not in history.
 
-    History is the big side and only its id column is read. ``history SEMI incoming``
-    lets AQE broadcast the (small) incoming ids and stream history without shuffling it;
-    the final anti-join is then between the increment and its known subset only.
+    History is the big side and only its id column is read. The increment's ids are
+    counted first (a bounded ``limit(n + 1)`` count); when that proves them small they are
+    broadcast, so history is streamed once through a hash probe and never shuffled
+    (``history SEMI incoming``), and the known ids -- at most as many -- are broadcast to
+    the final anti-join. Otherwise both joins are ordinary shuffle joins (AQE may still
+    demote them at runtime).
     """
     incoming_ids = incoming.select(KEY)
-    known = history_ids.select(KEY).join(incoming_ids, KEY, "left_semi")
-    return incoming.join(known, KEY, "left_anti")
+    small = incoming_ids.limit(broadcast_limit_rows + 1).count() <= broadcast_limit_rows
+    probe = F.broadcast(incoming_ids) if small else incoming_ids
+    known = history_ids.select(KEY).join(probe, KEY, "left_semi")
+    return incoming.join(F.broadcast(known) if small else known, KEY, "left_anti")
 
 
 def all_known(incoming: DataFrame, history_ids: DataFrame) -> bool:

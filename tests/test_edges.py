@@ -107,6 +107,19 @@ def test_keep_first_hot_key_is_partially_aggregated(spark):
     assert out.count() == 1001
 
 
+def test_unseen_broadcasts_only_a_counted_small_increment(spark):
+    inc = L.to_bronze(raw_rows(spark, [obs(1), obs(2), obs(3)]), "s", "t")
+    hist = spark.range(5000).selectExpr("concat('id', id) AS source_record_id")
+    small = L.unseen(inc, hist)
+    plan = small._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    assert small.count() == 0
+    big = L.unseen(inc, hist, broadcast_limit_rows=1)  # "increment too large": no hints
+    plan = big._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert big.count() == 0
+
+
 def test_unseen_and_all_known(spark):
     inc = L.to_bronze(raw_rows(spark, [obs(1), obs(2), obs(3)]), "s", "t")
     hist = spark.createDataFrame([("id1",), ("id2",)], "source_record_id string")
