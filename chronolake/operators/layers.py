@@ -43,13 +43,15 @@ def to_bronze(
     )
 
 
-def to_silver(bronze: DataFrame, **thresholds: float) -> DataFrame:
+def to_silver(bronze: DataFrame, keep: tuple[str, ...] = (), **thresholds: float) -> DataFrame:
     """PRJ3-7: date/hour keys, quality and anomaly flags, ``date|station`` key.
 
-    Expects rows already deduplicated (the keep-first rows of the log).
+    Expects rows already deduplicated (the keep-first rows of the log). ``keep`` passes
+    further columns through.
     """
     date = C.date_key("timestamp")
     return bronze.select(
+        *keep,
         *S.BRONZE_COLUMNS,
         date.alias("observation_date"),
         C.hour_floor("timestamp").alias("observation_hour"),
@@ -128,13 +130,19 @@ def gold_from_state(
     return finish_gold(joined, updated_at, keep_state)
 
 
-def finish_gold(state: DataFrame, updated_at: str, keep_state: bool = False) -> DataFrame:
-    """Gold columns from additive state carrying ``new_records`` (averages, stamp)."""
+def finish_gold(
+    state: DataFrame, updated_at: str | Column, keep_state: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Gold columns from additive state carrying ``new_records`` (averages, stamp).
+
+    ``keep`` passes further columns through, in front.
+    """
     def avg(name: str):
         return F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}")).alias(f"avg_{name}")
 
     state_cols = [c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(("sum_", "n_"))]
     return state.select(
+        *keep,
         "partition_date",
         "station_id",
         "station_name",
@@ -147,7 +155,7 @@ def finish_gold(state: DataFrame, updated_at: str, keep_state: bool = False) ->
         avg("pressure_pa"),
         "first_seen",
         "last_seen",
-        F.lit(updated_at).alias("updated_at"),
+        (updated_at if isinstance(updated_at, Column) else F.lit(updated_at)).alias("updated_at"),
         *(state_cols if keep_state else []),
     )
 

@@ -376,6 +376,9 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "refresh_replay_metrics": snapshot_metrics(),
         "stream_replay_bronze_t3": with_base(bronze(3)),
     }
+    out["gold_all_snapshots"] = with_base(
+        " UNION ALL ".join(f"SELECT CAST({n} AS INTEGER) AS seq, * FROM ({gold(n)}) g{n}" for n in FX.PULL_AS_OF)
+    )
     out["compare_silver_via_gold"] = out["compare_silver"]
     out["aggregate_bronze_via_gold"] = out["aggregate_bronze"]
     return out

@@ -162,6 +162,13 @@ def gold_t3(spark, sf_dir):
     return layer_as_of(_log(spark, sf_dir), "gold", 3)
 
 
+def gold_all_snapshots(spark, sf_dir):
+    """Gold of T1, T2 and T3 in one pass (running sums per gold group over ``seq``)."""
+    from chronolake.plans.rebuild import gold_history
+
+    return gold_history(_log(spark, sf_dir), len(FX.PULL_AS_OF))
+
+
 def incremental_t3(spark, sf_dir):
     """JOIN3 + DED1 the way a refresh does it: pull 3 anti-joined to bronze(T2) ids."""
     events = _events(spark, sf_dir)
@@ -342,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_t3": silver_t3,
     "gold_t1": gold_t1,
     "gold_t3": gold_t3,
+    "gold_all_snapshots": gold_all_snapshots,
     "new_records_bronze": _new_records("bronze"),
     "new_records_bronze_except": _new_records("bronze", use_log=False),
     "new_records_silver": _new_records("silver"),

@@ -6,6 +6,7 @@ from chronolake import schemas as S
 from chronolake.plans import registered as R
 from chronolake.plans.explorer import Explorer
 from chronolake.plans.fixture_log import fixture_log
+from chronolake.plans import timetravel as TT
 from chronolake.plans.refresh import refresh_snapshot
 from chronolake.plans.snapshot import catalog_from_log
 from chronolake.sources import catalog as CAT
@@ -119,3 +120,22 @@ def test_counts_answered_from_gold_equal_the_scans(spark, workdir):
             _same(fast, slow)
             plan = fast._jdf.queryExecution().executedPlan().toString()
             assert "/gold" in plan and "silver_log" not in plan and "bronze_log" not in plan
+
+
+def test_rebuild_is_idempotent_and_applies_new_thresholds(spark, workdir):
+    from chronolake.operators import layers as L
+    from chronolake.plans.rebuild import rebuild
+
+    events, _ = _run_pulls(spark, workdir)
+    ex = Explorer(spark, workdir)
+    before = {(layer, n): ex.as_of(layer, f"T{n}").collect() for layer in ("silver", "gold") for n in (1, 2, 3)}
+    assert rebuild(spark, workdir) == 3
+    for (layer, n), rows in before.items():
+        _same(ex.as_of(layer, f"T{n}"), spark.createDataFrame(rows, ex.as_of(layer, f"T{n}").schema))
+    rebuild(spark, workdir, gust_limit=30.0)
+    log = fixture_log(events)
+    for n in (1, 3):
+        want_silver = L.to_silver(TT.kept_rows(log, n), gust_limit=30.0)
+        _same(ex.as_of("silver", f"T{n}"), want_silver.withColumn("source_name", F.lit(FX.FIXTURE_SOURCE_NAME)))
+        got = ex.as_of("gold", f"T{n}").agg(F.sum("anomaly_count")).first()[0]
+        assert got == want_silver.where("anomaly_flag").count() > 0
