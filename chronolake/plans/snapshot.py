@@ -65,6 +65,9 @@ def build_snapshot(
         previous = CAT.latest_entry(CAT.read_catalog(spark, root))
     prev_seq = previous["seq"] if previous else 0
     seq = prev_seq + 1
+    if prev_seq and previous["row_counts"]["bronze"] and store.history_ids(prev_seq).isEmpty():
+        # Published snapshots exist but their log is gone: refuse to start history afresh.
+        raise RuntimeError(f"bronze log of {previous['snapshot_id']} is missing under {root}")
     raw_path = landed_path or store.write_raw(raw, source_name, as_of)
     landed = raw if landed_path else spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
     batch = L.to_bronze(landed, source_name, as_of)

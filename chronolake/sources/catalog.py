@@ -47,7 +47,14 @@ def entry_for_batch(catalog: DataFrame, batch_id: int) -> dict | None:
 
 
 def append_entry(spark: SparkSession, root: str, entry: dict) -> None:
-    """SNK3: publish one entry. Written after every layer, so it is the commit marker."""
+    """SNK3: publish one entry. Written after every layer, so it is the commit marker.
+
+    Refuses to overwrite a published ``seq`` (a second writer got there first). The check
+    narrows, but cannot close, the race window: plain Parquet has no compare-and-swap, so
+    one writer per store is still assumed.
+    """
+    if not read_catalog(spark, root).where(F.col("seq") == entry["seq"]).isEmpty():
+        raise RuntimeError(f"snapshot seq {entry['seq']} is already published under {root}")
     row = {f.name: entry.get(f.name) for f in S.CATALOG_SCHEMA.fields}
     df = spark.createDataFrame([row], S.CATALOG_SCHEMA).coalesce(1)
     df.drop("seq").write.mode("overwrite").json(f"{catalog_path(root)}/seq={entry['seq']}")

@@ -139,3 +139,16 @@ def test_rebuild_is_idempotent_and_applies_new_thresholds(spark, workdir):
         _same(ex.as_of("silver", f"T{n}"), want_silver.withColumn("source_name", F.lit(FX.FIXTURE_SOURCE_NAME)))
         got = ex.as_of("gold", f"T{n}").agg(F.sum("anomaly_count")).first()[0]
         assert got == want_silver.where("anomaly_flag").count() > 0
+
+
+def test_lost_history_is_an_error(spark, workdir):
+    import pytest
+
+    events = FX.read_events(spark, SF)
+    refresh_snapshot(spark, workdir, FX.pull_frame(events, 1), FX.PULL_AS_OF[1])
+    # the catalog says T1 exists, but its log disappears (a different, empty store root
+    # holding only the catalog)
+    other = f"{workdir}-catalog-only"
+    CAT.append_entry(spark, other, CAT.latest_entry(CAT.read_catalog(spark, workdir)))
+    with pytest.raises(RuntimeError, match="missing"):
+        refresh_snapshot(spark, other, FX.pull_frame(events, 2), FX.PULL_AS_OF[2])
