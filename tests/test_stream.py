@@ -41,3 +41,26 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, workdir):
     batch = spark.read.schema(ingest.LANDING_SCHEMA).parquet(ingest.landing_dir(workdir, src))
     assert ingest.publish_batch(spark, workdir, src, batch, batch_id=99) == []
     assert ex.latest()["seq"] == 3
+
+
+def test_continuous_trigger_picks_up_pulls_as_they_land(spark, workdir):
+    import time
+
+    events = FX.read_events(spark, SF)
+    src = FX.FIXTURE_SOURCE_NAME
+    ingest.land_pull(spark, workdir, FX.pull_frame(events, 1), FX.PULL_AS_OF[1], src)
+    q = ingest.start_ingest(spark, workdir, src, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        for pull in (2, 3):
+            ingest.land_pull(spark, workdir, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], src)
+            q.processAllAvailable()
+        deadline = time.time() + 120
+        ex = Explorer(spark, workdir)
+        while (ex.latest() or {}).get("seq", 0) < 3 and time.time() < deadline:
+            time.sleep(1)
+    finally:
+        q.stop()
+    log = fixture_log(events)
+    for layer in S.LAYERS:
+        _same(ex.as_of(layer, "T3"), R.layer_as_of(log, layer, 3))
