@@ -33,6 +33,26 @@ PATTERNS = {
 }
 
 
+NOTES = """Where the shuffles come from (registered queries derive everything from `events`):
+
+* **Fixture log** (every snapshot query): 3 shuffles -- distinct rows with their copy
+  count (grouped by all columns, partial aggregation first, so a group of identical rows
+  collapses map-side), the first row per id (partial `min` over an order struct), and the
+  join of the distinct rows back to their id's first row (AQE splits a hot id). Keeping
+  partial aggregation in front of every exchange is why this is 3 and not 1 shuffle:
+  `repartition(id)` first would save two exchanges but send a hot id to one task.
+* **Gold**: +1 aggregate (partial + final) and +1 small window (new counts summed over
+  names). Pair queries (T2 vs T3) reuse the log's exchanges (`reused` column).
+* **Catalog views**: +1 aggregate of the log into a (seq x day x station x name) table,
+  then windows and running sums over a few rows (`single-partition` exchanges of a
+  handful of rows).
+* **Log rewrites** (`new_records_bronze`, `new_records_silver`): the log alone, no
+  anti-join; compare with the `*_except` variants, which anti-join two snapshots.
+* **On-disk paths** (`refresh_replay_*`, `stream_replay_*`): the query itself is a
+  partition-pruned scan of the written store (the refreshes ran as separate jobs).
+"""
+
+
 def final_plan(df) -> str:
     # Execute the frame's own query execution (small SF: collecting is fine here) so the
     # adaptive plan is final -- stage reuse and runtime re-planning only show there.
@@ -57,6 +77,7 @@ def main() -> None:
     print("operator occurrences. `partial-agg` counts map-side partial aggregate functions")
     print("(combine before the shuffle); `python` must stay 0 (no Python in any plan).")
     print("Generated by `tools/plan_report.py`.\n")
+    print(NOTES)
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
     for name, fn in E.queries().items():
