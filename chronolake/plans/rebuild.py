@@ -5,10 +5,10 @@ for every published snapshot from the bronze log (e.g. after changing an anomaly
 threshold), one job per layer:
 
 * silver: the flags of every kept log row, written partitioned by ``seq``
-* gold: one aggregate of the log by (seq, day, station, name); every gold group is
-  densified to each snapshot from its first kept row on (``explode(sequence(first,
-  last))``), running sums over ``seq`` per group (a window whose partition is one gold
-  group: one row per snapshot), then the two-key new-record count of each (seq, day,
+* gold: one aggregate of the log by (seq, day, station, name); running sums over ``seq``
+  per gold group (a window whose partition is one gold group: at most one row per
+  snapshot); each row then stands for every snapshot up to the group's next row
+  (``explode(sequence(seq, next - 1))``); the two-key new-record count of each (seq, day,
   station) is joined on.
 """
 
@@ -68,17 +68,11 @@ def gold_history(
     if stamps is None:
         stamps = per_seq.groupBy("seq").agg(F.max("_stamp").alias("updated_at"))
     group = S.GOLD_KEYS
-    starts = per_seq.where(F.col("rows_processed") > 0).groupBy(*group).agg(F.min("seq").alias("_from"))
-    dense = starts.select(*group, F.explode(F.sequence(F.col("_from"), F.lit(last_seq))).alias("seq"))
-    # null keys are a group of their own, so the densified rows match them null-safely
-    right = per_seq.select(*[F.col(c).alias(f"_r_{c}") for c in per_seq.columns])
-    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in group] + [F.col("seq") == F.col("_r_seq")]
-    values = [c for c in per_seq.columns if c not in (*group, "seq")]
-    filled = dense.join(right, cond, "left").select(
-        "seq", *group, *[F.col(f"_r_{c}").alias(c) for c in values]
-    )
-    upto = Window.partitionBy(*group).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = filled.select(
+    # Running state per gold group over its own snapshots (one window spec: one shuffle),
+    # then each row stands for every snapshot until the group's next row.
+    ordered = Window.partitionBy(*group).orderBy("seq")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = per_seq.select(
         "seq",
         *group,
         *[(F.coalesce(F.sum(c).over(upto), F.lit(0)) if c in _COUNTS else F.sum(c).over(upto)).alias(c)
@@ -86,7 +80,10 @@ def gold_history(
         F.max("max_wind_gust_kmh").over(upto).alias("max_wind_gust_kmh"),
         F.min("first_seen").over(upto).alias("first_seen"),
         F.max("last_seen").over(upto).alias("last_seen"),
-    )
+        F.lead("seq").over(ordered).alias("_next"),
+    ).where(F.col("rows_processed") > 0)  # before its first kept row a group is not in gold
+    until = F.coalesce(F.col("_next") - 1, F.lit(last_seq))
+    running = running.withColumn("seq", F.explode(F.sequence(F.col("seq"), until))).drop("_next")
     fresh = (
         per_seq.where(F.col("station_id").isNotNull())
         .groupBy("seq", "partition_date", "station_id")
