@@ -88,6 +88,9 @@ class Explorer:
         rewritten = self._counts_from_gold(layer, chosen_query, current_id, limit)
         if rewritten is not None:
             return chosen_query, rewritten
+        if chosen_query == S.QUERY_OPTIONS[0] and layer in ("bronze", "silver"):
+            rows = self.new_records(layer, previous_id, current_id)  # a log scan
+            return chosen_query, CMP.top_rows(rows, CMP.full_order(rows, [rows.columns[0]]), limit)
         previous, current = self.as_of(layer, previous_id), self.as_of(layer, current_id)
         return QP.run_snapshot_query(self.spark, layer, previous, current, chosen_query, custom_sql, limit)
 

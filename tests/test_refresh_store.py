@@ -89,6 +89,11 @@ def test_explorer_queries_match_registered(spark, workdir):
         )
     _, df = ex.query("gold", S.QUERY_OPTIONS[1], limit=None)
     _same(df, R.QUERIES["compare_gold"](spark, SF))
+    for layer in ("bronze", "silver"):
+        _, panel = ex.query(layer, S.QUERY_OPTIONS[0], limit=None)
+        _same(panel, R.QUERIES[f"new_records_{layer}"](spark, SF))
+        _, capped = ex.query(layer, S.QUERY_OPTIONS[0])
+        assert capped.count() == S.RESULT_LIMIT
     assert ex.new_records("bronze", "T3", "T3").count() == 0
     assert ex.new_records("silver", "T1", "T1").count() == 0
 
