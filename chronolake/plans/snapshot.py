@@ -18,6 +18,7 @@ and gold is additive).
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -83,7 +84,7 @@ def build_snapshot(
             "*", F.lit(True).alias("is_first"), F.lit(1).alias("copies")
         )
     # Row counts ride along with the write (one pass over the increment).
-    written = Observation(f"increment-{seq}")
+    written = Observation(f"increment-{seq}-{uuid.uuid4().hex[:8]}")  # unique per call
     log_rows = log_rows.observe(
         written,
         F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("rows"),
