@@ -77,36 +77,31 @@ def observations(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _membership(ts: Column, eid: Column) -> Column:
-    """Array of (pull, shifted) entries an event belongs to."""
+    """Codes of the pulls an event belongs to: ``pull`` (+10 for the shifted copy)."""
     late = eid % 101 == 0
     in1 = (ts < _ntz(PULL1_END)) & ~late
     in2 = (ts >= _ntz(PULL2_START)) & (ts < _ntz(PULL2_END)) & ~late
     in3 = (ts >= _ntz(PULL3_START)) | late
-    entries = [
-        (1, False, in1),
-        (1, True, in1 & (eid % 29 == 0)),  # in-pull duplicate, one second later
-        (2, False, in2),
-        (3, False, in3),
+    codes = [
+        F.when(in1, F.lit(1)),
+        F.when(in1 & (eid % 29 == 0), F.lit(11)),  # in-pull duplicate, one second later
+        F.when(in2, F.lit(2)),
+        F.when(in3, F.lit(3)),
     ]
-    arr = F.array(
-        *[
-            F.struct(F.lit(p).alias("pull"), F.lit(shift).alias("shifted"), cond.alias("member"))
-            for p, shift, cond in entries
-        ]
-    )
-    return F.filter(arr, lambda m: m["member"])
+    return F.array_compact(F.array(*codes))
 
 
 def pulls(events: DataFrame) -> DataFrame:
     """All pulls as raw rows plus an int ``pull`` column (one scan of ``events``)."""
     obs = observations(events)
-    expanded = obs.select("*", F.inline(_membership(F.col("timestamp"), F.col("event_id"))))
-    as_of = F.get(F.array(*[F.lit(PULL_AS_OF[p]) for p in sorted(PULL_AS_OF)]), F.col("pull") - 1)
+    expanded = obs.select("*", F.explode(_membership(F.col("timestamp"), F.col("event_id"))).alias("_code"))
+    pull = F.col("_code") % 10
+    as_of = F.get(F.array(*[F.lit(PULL_AS_OF[p]) for p in sorted(PULL_AS_OF)]), pull - 1)
     shifted_ts = F.when(
-        F.col("shifted"), F.col("timestamp") + F.expr("INTERVAL 1 SECOND")
+        F.col("_code") > 10, F.col("timestamp") + F.expr("INTERVAL 1 SECOND")
     ).otherwise(F.col("timestamp"))
     return expanded.withColumns({"timestamp": shifted_ts, "fetched_at": as_of}).select(
-        F.col("pull").cast("int").alias("pull"), *S.RAW_COLUMNS
+        pull.cast("int").alias("pull"), *S.RAW_COLUMNS
     )
 
 
