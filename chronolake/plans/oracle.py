@@ -361,6 +361,9 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "aggregate_silver": with_base(
             f"SELECT observation_date AS partition_key, count(*) AS row_count FROM ({silver(3)}) s GROUP BY 1"
         ),
+        "aggregate_bronze_t1": with_base(
+            f"SELECT partition_date AS partition_key, count(*) AS row_count FROM ({bronze(1)}) b GROUP BY 1"
+        ),
         "aggregate_bronze": with_base(
             f"SELECT partition_date AS partition_key, count(*) AS row_count FROM ({bronze(3)}) b GROUP BY 1"
         ),

@@ -230,9 +230,9 @@ def _compare(layer: str, previous: int = PREVIOUS):
     return run
 
 
-def _aggregate(layer: str):
+def _aggregate(layer: str, current_seq: int = CURRENT):
     def run(spark, sf_dir):
-        current = layer_as_of(_log(spark, sf_dir), layer, CURRENT)
+        current = layer_as_of(_log(spark, sf_dir), layer, current_seq)
         return QP.aggregate_by_partition(current, layer, limit=None)
 
     return run
@@ -367,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "aggregate_gold": _aggregate("gold"),
     "aggregate_silver": _aggregate("silver"),
     "aggregate_bronze": _aggregate("bronze"),
+    "aggregate_bronze_t1": _aggregate("bronze", current_seq=1),
     "aggregate_bronze_via_gold": _counts_via_gold(by_station=False),
     "preview": preview,
     "custom_sql": custom_sql,
