@@ -42,6 +42,18 @@ class Explorer:
     def snapshots(self) -> DataFrame:
         return CV.snapshot_list(self.catalog())
 
+    def metrics(self) -> DataFrame:
+        """SNP8: the recorded refresh metrics of every snapshot."""
+        return CV.metrics_table(self.catalog())
+
+    def scan_comparison(self) -> DataFrame:
+        """SNP9: full vs incremental scan rows per snapshot."""
+        return CV.scan_comparison(self.catalog())
+
+    def layer_counts(self) -> DataFrame:
+        """SNP10: rows per layer per snapshot."""
+        return CV.layer_counts(self.catalog())
+
     def default_pair(self) -> tuple[str, str] | None:
         rows = CV.default_pair(self.catalog()).collect()  # one row
         return (rows[0]["previous_snapshot_id"], rows[0]["current_snapshot_id"]) if rows else None

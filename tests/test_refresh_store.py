@@ -80,6 +80,10 @@ def test_explorer_queries_match_registered(spark, workdir):
     events, _ = _run_pulls(spark, workdir)
     ex = Explorer(spark, workdir)
     assert ex.default_pair() == ("T2", "T3")
+    counts = {(r.snapshot_id, r.layer): r.row_count for r in ex.layer_counts().collect()}
+    assert counts[("T3", "bronze")] == ex.as_of("bronze", "T3").count()
+    assert counts[("T1", "gold")] == ex.as_of("gold", "T1").count()
+    assert ex.scan_comparison().count() == 6 and ex.metrics().count() == 3
     for layer in ("bronze", "silver"):
         _same(ex.new_records(layer, "T2", "T3"), R.QUERIES[f"new_records_{layer}"](spark, SF))
         # the generic EXCEPT path agrees with the log scan
