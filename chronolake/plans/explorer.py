@@ -18,7 +18,7 @@ from chronolake import schemas as S
 from chronolake.operators import compare as CMP
 from chronolake.plans import catalog_views as CV
 from chronolake.plans import query_panel as QP
-from chronolake.plans.timetravel import empty_layer, new_rows_from_log
+from chronolake.plans.timetravel import empty_layer, increment_of, new_rows_from_log
 from chronolake.sources import catalog as CAT
 from chronolake.sources.store import LayerStore
 
@@ -65,6 +65,14 @@ class Explorer:
             return empty_layer(self.spark, layer)
         return self.store.layer(layer, seq)
 
+    def increment(self, snapshot_id: str) -> DataFrame:
+        """Rows the refresh of ``snapshot_id`` added to bronze (its in-pull duplicates too,
+        for the first snapshot) -- what the refresh metrics count."""
+        seq = self.seq_of(snapshot_id)
+        if seq is None:
+            return empty_layer(self.spark, "bronze")
+        return increment_of(self.store.log().where(F.col("seq") == seq), seq)
+
     def new_records(
         self, layer: str, previous_id: str, current_id: str, ignore: tuple[str, ...] = ()
     ) -> DataFrame:

@@ -41,11 +41,6 @@ def find_entry(catalog: DataFrame, snapshot_id: str) -> dict | None:
     return rows[0].asDict(recursive=True) if rows else None
 
 
-def entry_for_batch(catalog: DataFrame, batch_id: int) -> dict | None:
-    rows = catalog.where(F.col("batch_id") == batch_id).limit(1).collect()
-    return rows[0].asDict(recursive=True) if rows else None
-
-
 def append_entry(spark: SparkSession, root: str, entry: dict) -> None:
     """SNK3: publish one entry. Written after every layer, so it is the commit marker.
 

@@ -84,6 +84,8 @@ def test_explorer_queries_match_registered(spark, workdir):
     assert counts[("T3", "bronze")] == ex.as_of("bronze", "T3").count()
     assert counts[("T1", "gold")] == ex.as_of("gold", "T1").count()
     assert ex.scan_comparison().count() == 6 and ex.metrics().count() == 3
+    metrics = {r.snapshot_id: r.rows_processed for r in ex.metrics().collect()}
+    assert {s: ex.increment(s).count() for s in ("T1", "T2", "T3")} == metrics
     for layer in ("bronze", "silver"):
         _same(ex.new_records(layer, "T2", "T3"), R.QUERIES[f"new_records_{layer}"](spark, SF))
         # the generic EXCEPT path agrees with the log scan
