@@ -34,6 +34,7 @@ def refresh_snapshot(
     station_ids: list[str] | None = None,
     batch_id: int | None = None,
     stable_dates: bool = False,
+    id_buckets: int | None = None,
 ) -> dict:
     """SNP7: publish ``raw`` as the next snapshot unless it is empty or fully known."""
     latest = CAT.latest_entry(CAT.read_catalog(spark, root))
@@ -41,7 +42,7 @@ def refresh_snapshot(
         return {"status": "SKIPPED", "snapshot": latest, "message": "No data returned from source"}
     entry = build_snapshot(
         spark, raw, root, as_of, source_name, station_ids, batch_id,
-        stable_dates=stable_dates, previous=latest, previous_known=True,
+        stable_dates=stable_dates, previous=latest, previous_known=True, id_buckets=id_buckets,
     )
     if entry is None:  # JOIN4: every incoming id was already published
         return {"status": "NO_CHANGE", "snapshot": latest, "message": "No new source records"}

@@ -48,6 +48,7 @@ def build_snapshot(
     stable_dates: bool = False,
     previous: dict | None = None,
     previous_known: bool = False,
+    id_buckets: int | None = None,
 ) -> dict | None:
     """SNP1: publish the next snapshot from one pull; returns its catalog entry.
 
@@ -59,9 +60,11 @@ def build_snapshot(
     so it is read from there instead of being landed again. ``stable_dates``: ids never
     change their observation time, so history before the pull's first day is skipped.
     ``previous`` / ``previous_known``: the caller already read the latest catalog entry.
+    ``id_buckets``: keep a bucketed id index so large increments anti-join history
+    without shuffling it (kept up once it exists).
     """
     started = time.perf_counter()
-    store = LayerStore(spark, root)
+    store = LayerStore(spark, root, id_buckets)
     if not previous_known:
         previous = CAT.latest_entry(CAT.read_catalog(spark, root))
     prev_seq = previous["seq"] if previous else 0
@@ -95,6 +98,7 @@ def build_snapshot(
     if prev_seq > 0 and inc["rows"] == 0:
         return None  # NO_CHANGE: the seq folder stays uncatalogued (invisible)
     increment = store.log().where(F.col("seq") == seq)
+    store.write_id_index(seq, increment.where(F.col("is_first")))
 
     paths["silver"] = store.write_silver(seq, L.to_silver(increment.where(F.col("is_first"))))
     state = L.gold_state(store.silver_log().where(F.col("seq") == seq))

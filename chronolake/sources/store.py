@@ -15,6 +15,8 @@ Single writer assumed: plain Parquet has no compare-and-swap.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +38,17 @@ def pull_stamp(as_of: str) -> str:
 
 
 class LayerStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, id_buckets: int | None = None):
+        """``id_buckets``: also keep a bucketed id index (see :meth:`write_id_index`).
+
+        An index already present under ``root`` is always maintained, whatever is passed.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
+        self.id_table = None
+        buckets = id_buckets or self._existing_index_buckets()
+        if buckets:
+            self._register_id_index(buckets)
 
     # -- paths ---------------------------------------------------------------------
     def path(self, table: str, seq: int | None = None) -> str:
@@ -85,6 +95,54 @@ class LayerStore:
     def gold_store(self) -> DataFrame:
         return self._read("gold", GOLD_STORE_SCHEMA)
 
+    # -- bucketed id index -----------------------------------------------------------
+    # ``id_index/seq=n`` holds the ids first published in snapshot n, bucketed by id
+    # (Spark's own bucketing, declared through a session catalog table over the folder).
+    # A join of history ids with an increment then shuffles only the increment: the
+    # bucketed scan already has history partitioned by id.
+    def _index_path(self) -> str:
+        return f"{self.root}/id_index"
+
+    def _existing_index_buckets(self) -> int | None:
+        try:
+            marker = self.spark.read.text(f"{self._index_path()}/_buckets").first()
+        except AnalysisException:
+            return None
+        return int(marker[0]) if marker else None
+
+    def _register_id_index(self, buckets: int) -> None:
+        name = "chronolake_ids_" + hashlib.sha1(self.root.encode()).hexdigest()[:16]
+        if self._existing_index_buckets() is None:  # first use: the marker creates the folder
+            self.spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode(
+                "overwrite"
+            ).text(f"{self._index_path()}/_buckets")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (source_record_id STRING, seq INT) USING parquet "
+            f"PARTITIONED BY (seq) CLUSTERED BY (source_record_id) INTO {buckets} BUCKETS "
+            f"LOCATION '{self._index_path()}'"
+        )
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        self.id_table, self.id_buckets = name, buckets
+
+    def write_id_index(self, seq: int, ids: DataFrame) -> None:
+        """Replace ``seq``'s partition of the id index (idempotent on retry): one file per
+        bucket, since the ids are hash-partitioned into exactly the bucket count first."""
+        if self.id_table is None:
+            return
+        view = f"chronolake_ids_in_{uuid.uuid4().hex[:12]}"
+        ids.select("source_record_id").repartition(self.id_buckets, "source_record_id").createOrReplaceTempView(view)
+        try:
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.id_table} PARTITION (seq={int(seq)}) "
+                f"SELECT source_record_id FROM {view}"
+            )
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def _index_covers(self, seq: int) -> bool:
+        parts = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.id_table}").collect()}
+        return all(f"seq={n}" in parts for n in range(1, seq + 1))
+
     def history_ids(self, seq: int, from_date: str | None = None) -> DataFrame:
         """Ids of ``bronze(T_seq)``: partition-pruned, one column read.
 
@@ -92,6 +150,8 @@ class LayerStore:
         ``partition_date``, so Parquet min/max statistics drop them unread). Only valid
         when an id always carries the same observation time.
         """
+        if self.id_table is not None and from_date is None and self._index_covers(seq):
+            return self.spark.table(self.id_table).where(F.col("seq") <= seq).select("source_record_id")
         # Every id has exactly one ``is_first`` row, so this reads each id once (first-
         # snapshot copies of a hot id do not reach the join).
         log = self.log().where((F.col("seq") <= seq) & F.col("is_first"))

@@ -43,7 +43,7 @@ def _pulls(rows):
     return recs
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(ROW, min_size=3, max_size=25).filter(lambda r: {p for p, *_ in r} == {1, 2, 3}))
 def test_refresh_job_equals_recurrence(spark, rows):
     recs = _pulls(rows)

@@ -163,3 +163,38 @@ def test_lost_history_is_an_error(spark, workdir):
     CAT.append_entry(spark, other, CAT.latest_entry(CAT.read_catalog(spark, workdir)))
     with pytest.raises(RuntimeError, match="missing"):
         refresh_snapshot(spark, other, FX.pull_frame(events, 2), FX.PULL_AS_OF[2])
+
+
+def test_bucketed_id_index(spark, workdir):
+    from chronolake.operators import layers as L
+
+    events = FX.read_events(spark, SF)
+    for pull, as_of in FX.PULL_AS_OF.items():
+        refresh_snapshot(spark, workdir, FX.pull_frame(events, pull), as_of, FX.FIXTURE_SOURCE_NAME, id_buckets=8)
+    log = fixture_log(events)
+    ex = Explorer(spark, workdir)
+    for n in (1, 2, 3):
+        for layer in S.LAYERS:
+            _same(ex.as_of(layer, f"T{n}"), R.layer_as_of(log, layer, n))
+    store = LayerStore(spark, workdir)  # an existing index is picked up without asking
+    assert store.id_table is not None
+    hist = store.history_ids(3)
+    assert store.id_table in hist._jdf.queryExecution().executedPlan().toString()
+    _same(hist, log.where("is_first").select("source_record_id"))
+    # an increment too large to broadcast: only the increment is shuffled
+    inc = L.to_bronze(FX.pull_frame(events, 3), "x", "t")
+    new = L.unseen(inc, store.history_ids(2), broadcast_limit_rows=0)
+    plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    semi = plan[plan.index("LeftSemi"):]
+    assert semi.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in semi
+    expected = inc.join(log.where("seq <= 2").select("source_record_id"), "source_record_id", "left_anti")
+    assert new.count() == expected.count()
+
+
+def test_index_not_covering_history_falls_back_to_log(spark, workdir):
+    events = FX.read_events(spark, SF)
+    refresh_snapshot(spark, workdir, FX.pull_frame(events, 1), FX.PULL_AS_OF[1])  # no index
+    store = LayerStore(spark, workdir, id_buckets=4)  # index created now, covers nothing
+    hist = store.history_ids(1)
+    assert store.id_table not in hist._jdf.queryExecution().executedPlan().toString()
+    assert hist.count() == LayerStore(spark, workdir).log().where("is_first").count()
