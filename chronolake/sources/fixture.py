@@ -1,7 +1,7 @@
 """Observation pulls derived from the ``events`` table (see FIXTURES.md).
 
 One observation per event, then three overlapping pulls built from a single scan: each
-event row is expanded (``inline`` of a filtered array) into the pulls it belongs to, so
+event row is expanded (``explode`` of its pull codes) into the pulls it belongs to, so
 ``events`` is read once however many pulls there are.
 """
 
