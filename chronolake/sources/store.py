@@ -65,9 +65,11 @@ class LayerStore:
     def _write_seq(self, table: str, seq: int, df: DataFrame, schema: T.StructType) -> str:
         cols = [f.name for f in schema.fields if f.name != "seq"]
         path = self.path(table, seq)
-        # Rows of one snapshot clustered by day: row-group min/max stats then skip
-        # whole groups for date predicates, without a second partition level.
-        df.select(*cols).sortWithinPartitions("partition_date").write.mode("overwrite").parquet(path)
+        # Rows of one snapshot clustered by day (then time, where there is one): row-group
+        # min/max stats then skip whole groups for date / time predicates, without a
+        # second partition level and without a global sort.
+        order = [c for c in ("partition_date", "timestamp") if c in cols]
+        df.select(*cols).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
         return path
 
     def write_log(self, seq: int, rows: DataFrame) -> str:
