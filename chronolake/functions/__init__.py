@@ -1,0 +1 @@
+"""Column expressions (JVM built-ins only): parsing, keys, flags, labels, order keys."""

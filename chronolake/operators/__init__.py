@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: layers, keep-first dedupe, comparisons, top-k."""
