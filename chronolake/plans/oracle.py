@@ -326,11 +326,15 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "station_dim": station_dim(),
         "feed_parse": feed_parse(),
         "bronze_t1": with_base(bronze(1)),
+        "bronze_t2": with_base(bronze(2)),
         "bronze_t3": with_base(bronze(3)),
         "incremental_t3": with_base(increment(3)),
         "no_change_check": no_change_check(),
+        "silver_t1": with_base(silver(1)),
+        "silver_t2": with_base(silver(2)),
         "silver_t3": with_base(silver(3)),
         "gold_t1": with_base(gold(1)),
+        "gold_t2": with_base(gold(2)),
         "gold_t3": with_base(gold(3)),
         "new_records_bronze": new_bronze,
         "new_records_bronze_except": new_bronze,

@@ -142,6 +142,14 @@ def feed_parse(spark, sf_dir):
 
 # --- layers ------------------------------------------------------------------------------
 
+def _layer_query(layer: str, n: int):
+    def run(spark, sf_dir):
+        return layer_as_of(_log(spark, sf_dir), layer, n)
+
+    run.__doc__ = f"{layer} as of T{n}"
+    return run
+
+
 def bronze_t1(spark, sf_dir):
     return layer_as_of(_log(spark, sf_dir), "bronze", 1)
 
@@ -343,11 +351,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_dim": station_dim,
     "feed_parse": feed_parse,
     "bronze_t1": bronze_t1,
+    "bronze_t2": _layer_query("bronze", 2),
     "bronze_t3": bronze_t3,
     "incremental_t3": incremental_t3,
     "no_change_check": no_change_check,
+    "silver_t1": _layer_query("silver", 1),
+    "silver_t2": _layer_query("silver", 2),
     "silver_t3": silver_t3,
     "gold_t1": gold_t1,
+    "gold_t2": _layer_query("gold", 2),
     "gold_t3": gold_t3,
     "gold_all_snapshots": gold_all_snapshots,
     "new_records_bronze": _new_records("bronze"),
