@@ -93,3 +93,23 @@ def land_pull(spark: SparkSession, root: str, raw: DataFrame, as_of: str, source
     from chronolake.sources.store import LayerStore
 
     return LayerStore(spark, root).write_raw(raw, source_name, as_of)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m chronolake.streaming.ingest --root <store> [--every '1 hour']``."""
+    import argparse
+
+    from chronolake.session import get_session
+
+    parser = argparse.ArgumentParser(description="Publish landed pulls as snapshots, as a stream.")
+    parser.add_argument("--root", required=True, help="store root (shared file system path)")
+    parser.add_argument("--source", default=S.DEFAULT_SOURCE_NAME, help="source name of the landed pulls")
+    parser.add_argument("--every", default=None, help="processing-time trigger; default: drain what has landed and stop")
+    args = parser.parse_args(argv)
+    spark = get_session("chronolake-ingest")
+    query = start_ingest(spark, args.root, args.source, available_now=args.every is None, processing_time=args.every)
+    query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

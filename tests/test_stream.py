@@ -64,3 +64,10 @@ def test_continuous_trigger_picks_up_pulls_as_they_land(spark, workdir):
     log = fixture_log(events)
     for layer in S.LAYERS:
         _same(ex.as_of(layer, "T3"), R.layer_as_of(log, layer, 3))
+
+
+def test_ingest_cli_drains_landed_pulls(spark, workdir):
+    events = FX.read_events(spark, SF)
+    ingest.land_pull(spark, workdir, FX.pull_frame(events, 1), FX.PULL_AS_OF[1], "cli_source")
+    ingest.main(["--root", workdir, "--source", "cli_source"])
+    assert Explorer(spark, workdir).latest()["snapshot_id"] == "T1"
