@@ -197,3 +197,17 @@ def test_due_check_view(spark):
     assert CV.due_check(cat, "2024-01-01T19:00:00-05:00").first().due is True
     pair = CV.default_pair(cat).first()
     assert (pair.previous_snapshot_id, pair.current_snapshot_id) == ("T1", "T1")
+
+
+def test_snapshot_list_single_and_empty_catalog(spark):
+    from chronolake.plans import catalog_views as CV
+
+    one = spark.createDataFrame(
+        [{"seq": 1, "snapshot_id": "T1", "created_at": "2024-01-11T00:00:00+00:00"}], S.CATALOG_SCHEMA
+    )
+    row = CV.snapshot_list(one).first()
+    assert (row.label, row.is_latest, row.next_snapshot_id) == ("T1 (2024-01-11 00:00)", True, "T2")
+    empty = spark.createDataFrame([], S.CATALOG_SCHEMA)
+    assert CV.snapshot_list(empty).count() == 0
+    assert CV.default_pair(empty).count() == 0
+    assert CV.layer_counts(empty).count() == 0 and CV.scan_comparison(empty).count() == 0
