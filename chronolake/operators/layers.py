@@ -177,14 +177,16 @@ def unseen(
     counted first (a bounded ``limit(n + 1)`` count); when that proves them small they are
     broadcast, so history is streamed once through a hash probe and never shuffled
     (``history SEMI incoming``), and the known ids -- at most as many -- are broadcast to
-    the final anti-join. Otherwise both joins are ordinary shuffle joins (AQE may still
-    demote them at runtime).
+    the final anti-join. Otherwise it is a single shuffle anti-join.
     """
     incoming_ids = incoming.select(KEY)
-    small = incoming_ids.limit(broadcast_limit_rows + 1).count() <= broadcast_limit_rows
-    probe = F.broadcast(incoming_ids) if small else incoming_ids
-    known = history_ids.select(KEY).join(probe, KEY, "left_semi")
-    return incoming.join(F.broadcast(known) if small else known, KEY, "left_anti")
+    if incoming_ids.limit(broadcast_limit_rows + 1).count() <= broadcast_limit_rows:
+        known = history_ids.select(KEY).join(F.broadcast(incoming_ids), KEY, "left_semi")
+        return incoming.join(F.broadcast(known), KEY, "left_anti")
+    # Large increment: one shuffle join (history ids are unique, so a hot id can only be
+    # on the increment side, which AQE splits); with a bucketed id index history is
+    # already partitioned and only the increment moves.
+    return incoming.join(history_ids.select(KEY), KEY, "left_anti")
 
 
 def all_known(incoming: DataFrame, history_ids: DataFrame) -> bool:

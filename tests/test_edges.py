@@ -116,7 +116,7 @@ def test_unseen_broadcasts_only_a_counted_small_increment(spark):
     assert small.count() == 0
     big = L.unseen(inc, hist, broadcast_limit_rows=1)  # "increment too large": no hints
     plan = big._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
-    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" not in plan and "LeftAnti" in plan and "LeftSemi" not in plan
     assert big.count() == 0
 
 
