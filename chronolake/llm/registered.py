@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing
+from chronolake.session import shared_dir
+
+from . import chat, exact_dedup, mixing, packing, quality_rules, warc
 from .common import table
 
 
+def op1_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    rows = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rows.select("doc_id", *counts, "base_failed", "kept")
+
+
+def op3_swap_search_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_schema_fingerprint_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that says control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -27,6 +41,11 @@ def op8_efraimidis_spirakis_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op9_two_level_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to archives and read back through the index."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), shared_dir(spark, "archives"))
+
+
 def op10_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fate of every document among those of equal text."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -34,6 +53,57 @@ def op10_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+OP1_SQL = r"""
+WITH t AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), g AS (
+  SELECT doc_id, text, unnest(range(1, len(w) - 1)) AS i, w FROM (SELECT DISTINCT doc_id, text, w FROM t)
+), g3 AS (
+  SELECT doc_id, text, i, count(*) OVER (PARTITION BY doc_id, text, w[i], w[i + 1], w[i + 2]) AS n FROM g
+), rep AS (
+  SELECT doc_id, text, count(DISTINCT i + o) AS n_repeat_words FROM g3, (SELECT unnest([0, 1, 2]) AS o) WHERE n > 1 GROUP BY doc_id, text
+), m AS (
+  SELECT t.doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t.text) - length(translate(t.text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, len(l) AS n_lines,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    len(regexp_extract_all(t.text, '\p{Lu}')) AS n_capitals, length(t.text) - length(replace(t.text, '!', '')) AS n_shouts
+  FROM t LEFT JOIN rep ON t.doc_id = rep.doc_id AND t.text = rep.text
+), v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    [CASE WHEN word_chars > 0 THEN least(100 * n_symbols // word_chars, 100) ELSE 0 END,
+     CASE WHEN n_lines > 0 THEN least(100 * n_dup_lines // n_lines, 100) ELSE 0 END,
+     CASE WHEN n_words > 0 THEN least(100 * n_repeat_words // n_words, 100) ELSE 0 END,
+     CASE WHEN word_chars > 0 THEN least(100 * n_capitals // word_chars, 100) ELSE 0 END,
+     CASE WHEN n_words > 0 THEN least(100 * n_shouts // n_words, 100) ELSE 0 END] AS levels
+  FROM m
+), held AS (
+  SELECT lang, levels, q FROM v JOIN (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id)
+  WHERE NOT base_failed
+), lv AS (
+  SELECT lang, r, levels[r] AS level, q FROM held, (SELECT unnest([1, 2, 3, 4, 5]) AS r)
+), tried AS (
+  SELECT lang, r, c, sum((q = 1)::INT) AS n, sum((q <> 1)::INT) AS n_bad,
+    sum((q = 1 AND level > c)::INT) AS k, sum((q <> 1 AND level > c)::INT) AS b
+  FROM lv, (SELECT unnest(range(0, 101)) AS c) GROUP BY lang, r, c
+), tests AS (
+  SELECT count(*) AS m FROM (SELECT DISTINCT lang, r FROM lv)
+), proven AS (
+  SELECT lang, r, c, b * n - 20 * k * n_bad AS gain FROM tried, tests
+  WHERE n > 0 AND k < n * 0.01 AND list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda i:
+    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / m
+), cuts AS (
+  SELECT lang, r, max_by(c, gain * 1000 + c) AS c FROM proven GROUP BY lang, r
+), bad AS (
+  SELECT v.doc_id, v.lang, v.levels, bool_or(levels[r] > c) AS over
+  FROM v JOIN cuts ON v.lang IS NOT DISTINCT FROM cuts.lang GROUP BY ALL
+)
+SELECT v.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(over, false) AS kept
+FROM v LEFT JOIN bad ON v.doc_id = bad.doc_id AND v.lang IS NOT DISTINCT FROM bad.lang AND v.levels = bad.levels
+"""
+
 OP6_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -92,6 +162,18 @@ SELECT doc_id, source, size, source_size, target,
 FROM p
 """
 
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
 OP10_SQL = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
@@ -102,13 +184,18 @@ FROM n WINDOW same AS (PARTITION BY t)
 """
 
 QUERIES = {
+    "op1_risk_controlled_rules": op1_risk_controlled_rules,
+    "op3_swap_search_packing": op3_swap_search_packing,
     "op6_schema_fingerprint_chat": op6_schema_fingerprint_chat,
     "op8_efraimidis_spirakis_mix": op8_efraimidis_spirakis_mix,
+    "op9_two_level_warc_index": op9_two_level_warc_index,
     "op10_cuckoo_exact_dedup": op10_cuckoo_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_risk_controlled_rules": OP1_SQL,
     "op6_schema_fingerprint_chat": OP6_SQL,
     "op8_efraimidis_spirakis_mix": OP8_SQL,
+    "op9_two_level_warc_index": OP9_SQL,
     "op10_cuckoo_exact_dedup": OP10_SQL,
 }
