@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronolake.session import shared_dir
 
-from . import chat, exact_dedup, mixing, packing, quality_rules, warc
+from . import chat, classifier, exact_dedup, mixing, near_dedup, packing, quality_rules, warc
 from .common import table
 
 
@@ -23,6 +23,16 @@ def op3_swap_search_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_order_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
+def op5_fourier_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_schema_fingerprint_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that says control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -186,6 +196,8 @@ FROM n WINDOW same AS (PARTITION BY t)
 QUERIES = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
     "op3_swap_search_packing": op3_swap_search_packing,
+    "op4_order_minhash_near_dedup": op4_order_minhash_near_dedup,
+    "op5_fourier_quality_classifier": op5_fourier_quality_classifier,
     "op6_schema_fingerprint_chat": op6_schema_fingerprint_chat,
     "op8_efraimidis_spirakis_mix": op8_efraimidis_spirakis_mix,
     "op9_two_level_warc_index": op9_two_level_warc_index,
