@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from chronolake.session import shared_dir
 
-from . import chat, classifier, exact_dedup, mixing, near_dedup, packing, quality_rules, warc
+from . import chat, classifier, exact_dedup, mixing, near_dedup, packing, pii, quality_rules, sharding, warc
 from .common import table
 
 
+#: The registered query's key; in use, the caller passes a secret one.
+PII_KEY = "registered-query"
+
+
 def op1_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     rows = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -18,6 +22,11 @@ def op1_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op2_balanced_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).drop("text_sha256")
+
+
 def op3_swap_search_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -45,6 +54,17 @@ def op6_schema_fingerprint_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(own)))
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced by pseudonyms, and the values counted by kind."""
+    done = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    counts = [F.size(F.filter("pii", one_of(k))).cast("long").alias(f"n_{k}") for k in dict.fromkeys(k for k, _, _ in pii.KINDS)]
+    return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_values"), *counts)
+
+
+def one_of(kind: str):
+    return lambda x: x["kind"] == kind
+
+
 def op8_efraimidis_spirakis_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: words that each gives."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -195,10 +215,12 @@ FROM n WINDOW same AS (PARTITION BY t)
 
 QUERIES = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
+    "op2_balanced_label_propagation": op2_balanced_label_propagation,
     "op3_swap_search_packing": op3_swap_search_packing,
     "op4_order_minhash_near_dedup": op4_order_minhash_near_dedup,
     "op5_fourier_quality_classifier": op5_fourier_quality_classifier,
     "op6_schema_fingerprint_chat": op6_schema_fingerprint_chat,
+    "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op8_efraimidis_spirakis_mix": op8_efraimidis_spirakis_mix,
     "op9_two_level_warc_index": op9_two_level_warc_index,
     "op10_cuckoo_exact_dedup": op10_cuckoo_exact_dedup,
