@@ -8,21 +8,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronolake.llm import exact_dedup, mixing
+from chronolake.llm import exact_dedup, mixing, near_dedup, packing, quality_rules
 from chronolake.session import shared_dir
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the risk-controlled rules keep."""
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document of the largest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near duplicates, the document of the least doc_id."""
+    return near_dedup.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: a row for each time."""
     return mixing.take(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality rules", keep_good),
     ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 #: Near-duplicate detection and packing have no SQL form; tests hold the stages against brute force.
