@@ -42,23 +42,22 @@ def flag_first_distinct(
     nulls_last: tuple[str, ...] = (),
     flag: str = "is_first",
     copies: str = "copies",
-    first_of_key: str | None = None,
 ) -> DataFrame:
     """Distinct rows with their multiplicity and a flag on the first row of each ``key``.
 
     Keeps every row (as ``copies``), for a layer that must still show duplicates while
-    later reads take only the flagged row. Exact copies collapse first, so exactly one
-    row per key is flagged. ``first_of_key`` names an extra output column holding, for
-    every row, the value of ``order[0]`` on its key's first row.
+    later reads take only the flagged row. Rows meet by a 128-bit digest of all their
+    columns, never by the key: the distinct rows of a hot key spread over all tasks, exact
+    copies collapse map-side, and the full row is shuffled once. The first row of a key is
+    found over (order, digest) alone, one narrow row for each key and map task, and marked
+    by an equi-join on the digest, by which the distinct rows are already partitioned.
     """
-    distinct_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias(copies))
-    rest = [c for c in df.columns if c != key and c not in order]
-    row_order = F.struct(order_key(order, nulls_last).alias("o"), F.struct(*order, *rest).alias("r"))
-    firsts = distinct_rows.groupBy(key).agg(F.min(row_order).alias("_first"))
-    extra = [F.col("_first.r")[order[0]].alias(first_of_key)] if first_of_key else []
-    # ``_first`` is the minimum of the key's rows, so "row <= _first" means "row is it".
-    # Written as an inequality on purpose: a filter on the flag pushed into the join
-    # would otherwise become a whole-row equi-join key.
-    return distinct_rows.join(firsts, key, "inner").select(
-        *df.columns, (row_order <= F.col("_first")).alias(flag), copies, *extra
+    rows = df.withColumn("_digest", F.unhex(F.md5(F.to_json(F.struct(*df.columns)))))
+    distinct_rows = rows.groupBy("_digest").agg(
+        F.count(F.lit(1)).alias(copies), *[F.any_value(c).alias(c) for c in df.columns]
+    )
+    ranked = F.struct(order_key(order, nulls_last).alias("o"), "_digest")
+    winners = rows.groupBy(key).agg(F.min(ranked)["_digest"].alias("_digest")).select("_digest", F.lit(True).alias("_won"))
+    return distinct_rows.join(winners, "_digest", "left").select(
+        *df.columns, F.coalesce("_won", F.lit(False)).alias(flag), copies
     )

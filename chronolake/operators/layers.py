@@ -105,15 +105,6 @@ def merge_gold_state(previous: DataFrame, increment: DataFrame) -> DataFrame:
     )
 
 
-def new_record_counts(increment: DataFrame) -> DataFrame:
-    """GRP2: new rows per (date, station); rows without a station are not counted."""
-    return (
-        increment.where(F.col("station_id").isNotNull())
-        .groupBy(C.date_key("timestamp").alias("partition_date"), "station_id")
-        .agg(F.count(KEY).alias("new_records"))
-    )
-
-
 def gold_from_state(
     state: DataFrame, new_counts: DataFrame, updated_at: str, keep_state: bool = False
 ) -> DataFrame:
@@ -160,35 +151,27 @@ def finish_gold(
     )
 
 
-def to_gold(silver: DataFrame, increment: DataFrame, updated_at: str) -> DataFrame:
-    """Gold of a snapshot straight from its silver rows and its increment."""
-    return gold_from_state(gold_state(silver), new_record_counts(increment), updated_at)
-
-
 BROADCAST_ID_LIMIT = 2_000_000  # incoming ids broadcast only up to this many rows
 
 
 def unseen(
-    incoming: DataFrame, history_ids: DataFrame, broadcast_limit_rows: int = BROADCAST_ID_LIMIT
+    incoming: DataFrame,
+    history_ids: DataFrame,
+    rows: int | None = None,
+    broadcast_limit_rows: int = BROADCAST_ID_LIMIT,
 ) -> DataFrame:
     """JOIN3: incoming rows whose id is not in history.
 
-    History is the big side and only its id column is read. The increment's ids are
-    counted first (a bounded ``limit(n + 1)`` count); when that proves them small they are
-    broadcast, so history is streamed once through a hash probe and never shuffled
-    (``history SEMI incoming``), and the known ids -- at most as many -- are broadcast to
-    the final anti-join. Otherwise it is a single shuffle anti-join.
+    History is the big side and only its id column is read. ``rows`` bounds the incoming
+    rows (the refresh knows it from landing them; else they are counted, an aggregate of
+    every task). When that proves their ids small they are broadcast, so history is
+    streamed once through a hash probe and never shuffled (``history SEMI incoming``), and
+    the known ids -- at most as many -- are broadcast to the final anti-join. Otherwise it
+    is a single shuffle anti-join; callers pass one row for each id (keep-first runs
+    before), so neither side has a hot key.
     """
     incoming_ids = incoming.select(KEY)
-    if incoming_ids.limit(broadcast_limit_rows + 1).count() <= broadcast_limit_rows:
+    if (incoming_ids.count() if rows is None else rows) <= broadcast_limit_rows:
         known = history_ids.select(KEY).join(F.broadcast(incoming_ids), KEY, "left_semi")
         return incoming.join(F.broadcast(known), KEY, "left_anti")
-    # Large increment: one shuffle join (history ids are unique, so a hot id can only be
-    # on the increment side, which AQE splits); with a bucketed id index history is
-    # already partitioned and only the increment moves.
     return incoming.join(history_ids.select(KEY), KEY, "left_anti")
-
-
-def all_known(incoming: DataFrame, history_ids: DataFrame) -> bool:
-    """JOIN4: True when every incoming id is already in history (NO_CHANGE)."""
-    return unseen(incoming.select(KEY), history_ids).isEmpty()

@@ -37,23 +37,6 @@ def default_pair(catalog: DataFrame) -> DataFrame:
     ).where(F.col("current_snapshot_id").isNotNull())
 
 
-def due_check(catalog: DataFrame, checked_at: str, max_age_minutes: int = S.AUTO_REFRESH_MINUTES) -> DataFrame:
-    """SNP6 for one clock reading: age of the newest snapshot and whether a refresh is due.
-
-    An empty catalog is due; ``max_age_minutes=0`` forces.
-    """
-    newest = catalog.agg(F.max_by("created_at", "seq").alias("created_at"))
-    age = F.unix_timestamp(C.utc_wall_clock(F.lit(checked_at))) - F.unix_timestamp(
-        C.utc_wall_clock(F.col("created_at"))
-    )
-    return newest.select(
-        F.lit(checked_at).alias("checked_at"),
-        F.col("created_at").alias("latest_created_at"),
-        age.alias("age_seconds"),
-        F.coalesce(age >= F.lit(max_age_minutes * 60), F.lit(True)).alias("due"),
-    )
-
-
 def due_after_each(catalog: DataFrame, max_age_minutes: int = S.AUTO_REFRESH_MINUTES) -> DataFrame:
     """SNP6 replayed: for each snapshot, is a refresh due when the next one was taken?"""
     nxt = F.lead("created_at").over(Window.orderBy("seq"))

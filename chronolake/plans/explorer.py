@@ -96,7 +96,7 @@ class Explorer:
         chosen_query: str,
         previous_id: str | None = None,
         custom_sql: str = "",
-        limit: int | None = S.RESULT_LIMIT,
+        limit: int | None = None,
     ) -> tuple[str, DataFrame]:
         """The comparison panel: previous defaults to the second newest, current = latest."""
         pair = self.default_pair()
@@ -107,10 +107,10 @@ class Explorer:
         current_id = pair[1]
         rewritten = self._counts_from_gold(layer, chosen_query, current_id, limit)
         if rewritten is not None:
-            return chosen_query, rewritten
+            return QP.sql_text(layer, chosen_query, limit), rewritten
         if chosen_query == S.QUERY_OPTIONS[0] and layer in ("bronze", "silver"):
             rows = self.new_records(layer, previous_id, current_id)  # a log scan
-            return chosen_query, CMP.top_rows(rows, CMP.full_order(rows, [rows.columns[0]]), limit)
+            return QP.sql_text(layer, chosen_query, limit), CMP.top_rows(rows, CMP.full_order(rows, [rows.columns[0]]), limit)
         previous, current = self.as_of(layer, previous_id), self.as_of(layer, current_id)
         return QP.run_snapshot_query(self.spark, layer, previous, current, chosen_query, custom_sql, limit)
 

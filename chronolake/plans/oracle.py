@@ -106,19 +106,19 @@ def increment(n: int) -> str:
     return f"SELECT {cols(BRONZE)} FROM bronze_log WHERE seq = {n}"
 
 
-def silver(n: int) -> str:
+def silver(n: int, gust: int = 70) -> str:
     return f"""SELECT {cols(BRONZE)},
     strftime("timestamp", '%Y-%m-%d') AS observation_date,
     date_trunc('hour', "timestamp") AS observation_hour,
     CASE WHEN temperature_c IS NOT NULL AND pressure_pa IS NOT NULL AND humidity_pct IS NOT NULL
          THEN 'PASS' ELSE 'REVIEW' END AS quality_flag,
-    (coalesce(wind_gust_kmh, 0) > 70 OR coalesce(pressure_pa, 101325) < 98000
+    (coalesce(wind_gust_kmh, 0) > {gust} OR coalesce(pressure_pa, 101325) < 98000
      OR coalesce(temperature_c, 0) > 38 OR coalesce(temperature_c, 0) < -25) AS anomaly_flag,
     strftime("timestamp", '%Y-%m-%d') || '|' || station_id AS incremental_partition
   FROM bronze_log WHERE seq <= {n} AND keep_rank = 1"""
 
 
-def gold(n: int) -> str:
+def gold(n: int, gust: int = 70) -> str:
     return f"""SELECT g.partition_date, g.station_id, g.station_name, g.rows_processed,
     coalesce(c.new_records, 0) AS new_records, g.anomaly_count, g.avg_temperature_c,
     g.avg_wind_speed_kmh, g.max_wind_gust_kmh, g.avg_pressure_pa, g.first_seen, g.last_seen,
@@ -133,7 +133,7 @@ def gold(n: int) -> str:
       avg(pressure_pa) AS avg_pressure_pa,
       min("timestamp") AS first_seen,
       max("timestamp") AS last_seen
-    FROM ({silver(n)}) s
+    FROM ({silver(n, gust)}) s
     GROUP BY observation_date, station_id, station_name
   ) g
   LEFT JOIN (
@@ -202,6 +202,45 @@ SELECT {cols([c for c in keep if c != "source_record_id"])}, source_record_id,
 FROM obs"""
 
 
+def feed_lenient() -> str:
+    # Numbers that are no numbers and coordinates that are not there read as null; the
+    # payload is kept as it came, unknown fields included.
+    return """SELECT 'f-' || event_id AS source_record_id,
+  CASE WHEN event_id % 19 = 0 OR event_id % 23 = 0 THEN NULL ELSE CAST(event_id || '.5' AS DOUBLE) END AS temperature_c,
+  CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN NULL ELSE 40.25::DOUBLE END AS latitude,
+  CASE WHEN event_id % 5 <> 0 AND event_id % 7 = 0 THEN NULL ELSE -70::DOUBLE END AS longitude,
+  CAST(event_id % 4 AS INTEGER) AS present_weather_count,
+  '{"geometry":' || CASE WHEN event_id % 5 = 0 THEN '{"coordinates":[-70]}' WHEN event_id % 7 = 0 THEN 'null'
+    ELSE '{"coordinates":[-70,40.25,3]}' END || ',"extra":' || event_id || ',"properties":{"@id":"f-' || event_id
+    || '","timestamp":"2024-01-01T00:00:00Z","temperature":{"value":' || CASE WHEN event_id % 19 = 0 THEN '"n/a"'
+    WHEN event_id % 23 = 0 THEN 'null' ELSE '"' || event_id || '.5"' END || '},"presentWeather":['
+    || array_to_string(list_resize(CAST([] AS VARCHAR[]), event_id % 4, '"rain"'), ',') || ']}}' AS raw_payload_json
+FROM events"""
+
+
+def station_dim_join() -> str:
+    return f"""WITH {OBS}
+SELECT source_record_id, coalesce(CASE WHEN event_id % 7 = 0 THEN NULL ELSE station_name END,
+  CASE WHEN {_STATION_CASE} = '{FX.STATION_CODES[-1]}' THEN '{FX.STATION_CODES[-1]}' ELSE 'Dim ' || {_STATION_CASE} END) AS station_name
+FROM obs"""
+
+
+def landing_refresh() -> str:
+    return f"""WITH {OBS}
+SELECT source_record_id, coalesce(station_id, {_STATION_CASE}) AS station_id, station_name, "timestamp", temperature_c,
+  CASE WHEN event_id % 2 = 0 THEN '{FX.PULL_AS_OF[1]}' ELSE '{FX.PULL_AS_OF[2]}' END AS ingest_ts
+FROM obs"""
+
+
+def refresh_outcomes() -> str:
+    one, two = (f"(SELECT count(*) FROM ({bronze(n)}) b)" for n in (1, 2))
+    steps = (
+        ("empty", "SKIPPED", "0"), ("first", "CREATED", one), ("same again", "NO_CHANGE", one),
+        ("too early", "SKIPPED_NOT_DUE", one), ("nothing landed", "SKIPPED", one), ("second", "CREATED", two),
+    )
+    return with_base(" UNION ALL ".join(f"SELECT '{s}' AS step, '{st}' AS status, CAST({n} AS BIGINT) AS bronze_rows" for s, st, n in steps))
+
+
 def no_change_check() -> str:
     return with_base("""SELECT p.pull, s.seq AS against_seq,
   CAST(count(DISTINCT CASE WHEN k.first_seq IS NULL OR k.first_seq > s.seq
@@ -300,15 +339,23 @@ def _except(a: str, b: str, columns: str = "*") -> str:
 
 
 def _compare_gold_sql(previous: int = 2) -> str:
-    # USING merges the key columns of a full outer join; NULL keys never match, so a
-    # null-station row appears once for each side.
-    return f"""SELECT partition_date, station_id,
-  CAST(ifnull(cur.rows_processed, 0) AS BIGINT) AS current_rows,
-  CAST(ifnull(prev.rows_processed, 0) AS BIGINT) AS previous_rows,
-  CAST(ifnull(cur.rows_processed, 0) - ifnull(prev.rows_processed, 0) AS BIGINT) AS delta_rows
-FROM (SELECT partition_date, station_id, rows_processed FROM ({gold(3)}) g3) cur
-FULL OUTER JOIN (SELECT partition_date, station_id, rows_processed FROM ({gold(previous)}) g2) prev
-USING (partition_date, station_id)"""
+    """Matched pairs of gold rows, then the rows of either snapshot that nothing matches."""
+    def unmatched(side: str, other: str, counts: str) -> str:
+        return f"""SELECT {side}.partition_date, {side}.station_id, {counts}
+  FROM {side} WHERE NOT EXISTS (SELECT 1 FROM {other} o WHERE o.partition_date = {side}.partition_date AND o.station_id = {side}.station_id)"""
+
+    return f"""WITH later AS (SELECT partition_date, station_id, rows_processed AS n FROM ({gold(3)}) g3),
+earlier AS (SELECT partition_date, station_id, rows_processed AS n FROM ({gold(previous)}) g2),
+matched AS (
+  SELECT later.partition_date, later.station_id, later.n AS current_rows, earlier.n AS previous_rows
+  FROM later, earlier WHERE later.partition_date = earlier.partition_date AND later.station_id = earlier.station_id
+),
+appeared AS ({unmatched("later", "earlier", "later.n AS current_rows, 0 AS previous_rows")}),
+vanished AS ({unmatched("earlier", "later", "0 AS current_rows, earlier.n AS previous_rows")}),
+pairs AS (SELECT * FROM matched UNION ALL SELECT * FROM appeared UNION ALL SELECT * FROM vanished)
+SELECT partition_date, station_id, CAST(current_rows AS BIGINT) AS current_rows,
+  CAST(previous_rows AS BIGINT) AS previous_rows, CAST(current_rows - previous_rows AS BIGINT) AS delta_rows
+FROM pairs"""
 
 
 def _preview_side(name: str, n: int) -> str:
@@ -328,7 +375,14 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "bronze_t1": with_base(bronze(1)),
         "bronze_t2": with_base(bronze(2)),
         "bronze_t3": with_base(bronze(3)),
+        "feed_lenient": feed_lenient(),
+        "station_dim_join": station_dim_join(),
+        "landing_refresh": landing_refresh(),
+        "refresh_outcomes": refresh_outcomes(),
+        "rebuild_then_refresh": with_base(gold(3, 30)),
         "incremental_t3": with_base(increment(3)),
+        "incremental_t3_shuffled": with_base(increment(3)),
+        "incremental_t3_id_index": with_base(increment(3)),
         "no_change_check": no_change_check(),
         "silver_t1": with_base(silver(1)),
         "silver_t2": with_base(silver(2)),
@@ -344,8 +398,8 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "new_records_bronze_t1_t3": with_base(_except(bronze(3), bronze(1))),
         "new_records_bronze_t1_t3_except": with_base(_except(bronze(3), bronze(1))),
         "new_records_silver_t1_t3": with_base(_except(silver(3), silver(1))),
-        "compare_gold": with_base(_compare_gold_sql()),
-        "compare_gold_t1_t3": with_base(_compare_gold_sql(1)),
+        "compare_gold": with_base(f"SELECT * FROM ({_compare_gold_sql()}) x"),
+        "compare_gold_t1_t3": with_base(f"SELECT * FROM ({_compare_gold_sql(1)}) x"),
         "compare_silver": with_base(
             f"SELECT station_id, observation_date AS partition_key, count(*) AS current_rows "
             f"FROM ({silver(3)}) s GROUP BY 1, 2"
@@ -386,6 +440,9 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
     out["gold_all_snapshots"] = with_base(
         " UNION ALL ".join(f"SELECT CAST({n} AS INTEGER) AS seq, * FROM ({gold(n)}) g{n}" for n in FX.PULL_AS_OF)
     )
+    out["compare_gold_sql_text"] = out["compare_gold"]
+    out["compare_silver_sql_text"] = out["compare_silver"]
+    out["aggregate_silver_sql_text"] = out["aggregate_silver"]
     out["compare_silver_via_gold"] = out["compare_silver"]
     out["aggregate_bronze_via_gold"] = out["aggregate_bronze"]
     return out

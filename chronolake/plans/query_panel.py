@@ -1,6 +1,6 @@
 """Comparison panel: canned queries (Q1-Q4), custom SQL (SQL1) and preview (TOP2).
 
-``limit`` is the panel's result cap (200 by default); ``None`` returns the whole result.
+``limit`` is the panel's result cap (``S.RESULT_LIMIT`` in its report); without one, the whole result is returned.
 Every canned order ends with all remaining columns, so the rows kept at the cut are the
 same on every run.
 """
@@ -15,14 +15,14 @@ from chronolake.operators import compare as CMP
 
 
 def show_new_records(
-    current: DataFrame, previous: DataFrame, limit: int | None = S.RESULT_LIMIT, ignore: tuple[str, ...] = ()
+    current: DataFrame, previous: DataFrame, limit: int | None = None, ignore: tuple[str, ...] = ()
 ) -> DataFrame:
     rows = CMP.new_records(current, previous, ignore)
     return CMP.top_rows(rows, CMP.full_order(rows, [rows.columns[0]]), limit)
 
 
 def compare_changes(
-    current: DataFrame, previous: DataFrame, layer: str, limit: int | None = S.RESULT_LIMIT
+    current: DataFrame, previous: DataFrame, layer: str, limit: int | None = None
 ) -> DataFrame:
     if layer == "gold":
         rows = CMP.compare_gold(current, previous)
@@ -34,11 +34,38 @@ def compare_changes(
     return CMP.top_rows(rows, CMP.full_order(rows, lead), limit)
 
 
-def aggregate_by_partition(current: DataFrame, layer: str, limit: int | None = S.RESULT_LIMIT) -> DataFrame:
+def aggregate_by_partition(current: DataFrame, layer: str, limit: int | None = None) -> DataFrame:
     rows = CMP.aggregate_by_partition(current, layer)
     return CMP.top_rows(rows, CMP.full_order(rows, ["partition_key desc"]), limit)
 
 
+def sql_text(layer: str, chosen_query: str, limit: int | None = None) -> str:
+    """A canned query as SQL over ``current_data`` / ``previous_data``, as SQL1 would run it."""
+    day = {"silver": "observation_date"}.get(layer, "partition_date")
+    columns = S.layer_schema(layer).fieldNames()
+    if chosen_query == S.QUERY_OPTIONS[0]:
+        rows, lead = "SELECT * FROM current_data EXCEPT SELECT * FROM previous_data", [columns[0]]
+    elif chosen_query == S.QUERY_OPTIONS[1] and layer == "gold":
+        rows = (
+            "SELECT nvl(c.partition_date, p.partition_date) AS partition_date, nvl(c.station_id, p.station_id) AS station_id, "
+            "nvl(c.rows_processed, 0) AS current_rows, nvl(p.rows_processed, 0) AS previous_rows, "
+            "nvl(c.rows_processed, 0) - nvl(p.rows_processed, 0) AS delta_rows FROM current_data AS c "
+            "FULL JOIN previous_data AS p ON (c.partition_date, c.station_id) = (p.partition_date, p.station_id)"
+        )
+        columns, lead = ["partition_date", "station_id", "current_rows", "previous_rows", "delta_rows"], ["partition_date desc", "station_id"]
+    elif chosen_query == S.QUERY_OPTIONS[1]:
+        rows = f"SELECT station_id, {day} AS partition_key, count(*) AS current_rows FROM current_data GROUP BY station_id, {day}"
+        columns, lead = ["station_id", "partition_key", "current_rows"], ["partition_key desc", "station_id"]
+    else:
+        number = "sum(rows_processed)" if layer == "gold" else "count(*)"
+        rows = f"SELECT {day} AS partition_key, {number} AS row_count FROM current_data GROUP BY {day}"
+        columns, lead = ["partition_key", "row_count"], ["partition_key desc"]
+    if limit is None:
+        return rows
+    order = lead + [c for c in columns if c not in {x.split()[0] for x in lead}]
+    return f"SELECT * FROM ({rows}) ORDER BY {', '.join(f'{x} NULLS LAST' for x in order)} LIMIT {limit}"
+
+
 def run_snapshot_query(
     spark: SparkSession,
     layer: str,
@@ -46,15 +73,15 @@ def run_snapshot_query(
     current: DataFrame,
     chosen_query: str,
     custom_sql: str = "",
-    limit: int | None = S.RESULT_LIMIT,
+    limit: int | None = None,
 ) -> tuple[str, DataFrame]:
-    """Dispatch by query name; any other name runs ``custom_sql`` (blank -> default)."""
+    """The SQL and rows of a query by name; any other name runs ``custom_sql`` (blank -> default)."""
     if chosen_query == S.QUERY_OPTIONS[0]:
-        return chosen_query, show_new_records(current, previous, limit)
+        return sql_text(layer, chosen_query, limit), show_new_records(current, previous, limit)
     if chosen_query == S.QUERY_OPTIONS[1]:
-        return chosen_query, compare_changes(current, previous, layer, limit)
+        return sql_text(layer, chosen_query, limit), compare_changes(current, previous, layer, limit)
     if chosen_query == S.QUERY_OPTIONS[2]:
-        return chosen_query, aggregate_by_partition(current, layer, limit)
+        return sql_text(layer, chosen_query, limit), aggregate_by_partition(current, layer, limit)
     text = custom_sql.strip() or S.DEFAULT_CUSTOM_SQL
     return text, CMP.custom_sql(spark, current, previous, text)
 

@@ -9,7 +9,7 @@ threshold), one job per layer:
   per gold group (a window whose partition is one gold group: at most one row per
   snapshot); each row then stands for every snapshot up to the group's next row
   (``explode(sequence(seq, next - 1))``); the two-key new-record count of each (seq, day,
-  station) is joined on.
+  station) is a window sum over the names of that station and day.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ _ADDITIVE = [
     "rows_processed", "anomaly_count", "sum_temperature_c", "n_temperature_c",
     "sum_wind_speed_kmh", "n_wind_speed_kmh", "sum_pressure_pa", "n_pressure_pa",
 ]
+#: Snapshots up to which their times are broadcast.
+BROADCAST_SNAPSHOTS = 100_000
 _COUNTS = ("rows_processed", "anomaly_count", "n_temperature_c", "n_wind_speed_kmh", "n_pressure_pa")
 
 
@@ -65,43 +67,48 @@ def gold_history(
         F.sum(F.col("copies")).alias("_fresh"),
         F.max("ingest_ts").alias("_stamp"),
     )
-    if stamps is None:
-        stamps = per_seq.groupBy("seq").agg(F.max("_stamp").alias("updated_at"))
     group = S.GOLD_KEYS
-    # Running state per gold group over its own snapshots (one window spec: one shuffle),
-    # then each row stands for every snapshot until the group's next row.
+    # Running state per gold group over its own snapshots, then each row stands for every
+    # snapshot until the group's next row. What the group's row adds in its own snapshot
+    # (``_fresh``) is 0 in the later ones it stands for.
     ordered = Window.partitionBy(*group).orderBy("seq")
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = per_seq.select(
-        "seq",
+        F.col("seq").alias("_own"),
         *group,
         *[(F.coalesce(F.sum(c).over(upto), F.lit(0)) if c in _COUNTS else F.sum(c).over(upto)).alias(c)
           for c in _ADDITIVE],
         F.max("max_wind_gust_kmh").over(upto).alias("max_wind_gust_kmh"),
         F.min("first_seen").over(upto).alias("first_seen"),
         F.max("last_seen").over(upto).alias("last_seen"),
+        "_fresh",
+        F.max("_stamp").over(upto).alias("_stamp"),
         F.lead("seq").over(ordered).alias("_next"),
-    ).where(F.col("rows_processed") > 0)  # before its first kept row a group is not in gold
-    until = F.coalesce(F.col("_next") - 1, F.lit(last_seq))
-    running = running.withColumn("seq", F.explode(F.sequence(F.col("seq"), until))).drop("_next")
-    fresh = (
-        per_seq.where(F.col("station_id").isNotNull())
-        .groupBy("seq", "partition_date", "station_id")
-        .agg(F.sum("_fresh").cast("long").alias("new_records"))
     )
-    state = (
-        running.join(fresh, ["seq", "partition_date", "station_id"], "left")
-        .withColumn("new_records", F.coalesce("new_records", F.lit(0).cast("long")))
-        .join(stamps.select("seq", "updated_at"), "seq", "left")
+    until = F.coalesce(F.col("_next") - 1, F.lit(last_seq))
+    every = running.withColumn("seq", F.explode(F.sequence(F.col("_own"), until)))
+    fresh = F.when((F.col("seq") == F.col("_own")) & F.col("station_id").isNotNull(), F.col("_fresh")).otherwise(0)
+    of_day = Window.partitionBy("seq", "partition_date", "station_id")
+    state = every.withColumn("new_records", F.sum(fresh).over(of_day).cast("long")).where(
+        F.col("rows_processed") > 0  # before its first kept row a group is not in gold
     )
+    if stamps is None:
+        by_seq = per_seq.groupBy("seq").agg(F.max("_stamp").alias("updated_at"))
+    else:
+        by_seq = stamps.select("seq", "updated_at")
+    # One row for each snapshot: broadcast up to a counted bound, shuffled beyond it.
+    if by_seq.count() <= BROADCAST_SNAPSHOTS:
+        by_seq = F.broadcast(by_seq)
+    state = state.join(by_seq, "seq", "left")
     return L.finish_gold(state, F.col("updated_at"), keep_state, keep=("seq",))
 
 
 def rebuild(spark: SparkSession, root: str, **thresholds: float) -> int:
     """Recompute silver and gold of every published snapshot from the bronze log.
 
-    Returns the number of snapshots rebuilt. The bronze log and the catalog are not
-    touched; the derived folders are rewritten in place, so readers should pause.
+    Returns the number of snapshots rebuilt. The new layers go to the folders of the next
+    version; its row in ``_rules`` is written last and switches readers and later refreshes
+    to them, thresholds included. A rebuild that dies before that changes nothing.
     """
     store = LayerStore(spark, root)
     catalog = CAT.read_catalog(spark, root)
@@ -113,8 +120,10 @@ def rebuild(spark: SparkSession, root: str, **thresholds: float) -> int:
     silver = L.to_silver(log.where(F.col("is_first")), keep=("seq",), **thresholds)
     stamps = catalog.select("seq", F.col("created_at").alias("updated_at"))
     gold = gold_history(log, last, stamps, keep_state=True, **thresholds)
+    store.version += 1
     for table, df in (("silver_log", silver), ("gold", gold)):
-        df.sortWithinPartitions("seq", "partition_date").write.mode("overwrite").partitionBy(
-            "seq"
-        ).parquet(store.path(table))
+        # A snapshot's rows of one day meet in one task, so files stay few and days clustered.
+        spread = df.repartition("seq", "partition_date")
+        spread.sortWithinPartitions("seq", "partition_date").write.mode("overwrite").partitionBy("seq").parquet(store.path(table))
+    CAT.publish_rules(spark, root, store.version, thresholds)
     return last

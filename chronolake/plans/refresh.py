@@ -1,52 +1,54 @@
-"""Refresh job: due test and outcomes (SNP6, SNP7, JOIN4).
-
-Outcomes: ``SKIPPED_NOT_DUE`` (newest snapshot younger than ``max_age_minutes``),
-``SKIPPED`` (the pull is empty), ``NO_CHANGE`` (every incoming id is already published),
-``CREATED`` (a new snapshot was committed).
-"""
+"""The refresh job: is a snapshot due, and what came of taking one (SNP6, SNP7, JOIN4)."""
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import argparse
+from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from chronolake import schemas as S
 from chronolake.plans.snapshot import build_snapshot
 from chronolake.sources import catalog as CAT
-from chronolake.sources.feed import read_landing
+from chronolake.sources import feed as FD
+
+
+@dataclass(frozen=True)
+class Refresh:
+    """``status``: SKIPPED_NOT_DUE, SKIPPED (empty pull), NO_CHANGE (all ids known) or CREATED.
+
+    ``entry``: the newest catalog entry afterwards. ``dropped``: landed rows that a limit or
+    station list asked for by the caller kept out.
+    """
+
+    status: str
+    entry: dict | None
+    dropped: int = 0
+
+    def __str__(self) -> str:
+        newest = f", newest {self.entry['snapshot_id']} of {self.entry['created_at']}" if self.entry else ""
+        return f"{self.status}{newest}" + (f", {self.dropped} landed rows left out on request" if self.dropped else "")
 
 
 def is_due(latest: dict | None, now: str, max_age_minutes: int) -> bool:
-    """SNP6: empty catalog is due; otherwise ``now - created_at >= max_age``."""
+    """SNP6: with no snapshot yet always, else from ``max_age_minutes`` after the newest on."""
     if latest is None:
         return True
     age = datetime.fromisoformat(now) - datetime.fromisoformat(latest["created_at"])
     return age >= timedelta(minutes=max_age_minutes)
 
 
-def refresh_snapshot(
-    spark: SparkSession,
-    root: str,
-    raw: DataFrame,
-    as_of: str,
-    source_name: str = S.DEFAULT_SOURCE_NAME,
-    station_ids: list[str] | None = None,
-    batch_id: int | None = None,
-    stable_dates: bool = False,
-    id_buckets: int | None = None,
-) -> dict:
-    """SNP7: publish ``raw`` as the next snapshot unless it is empty or fully known."""
+def refresh_snapshot(spark: SparkSession, root: str, raw: DataFrame, as_of: str, source_name: str = S.DEFAULT_SOURCE_NAME, station_ids: list[str] | None = None, dropped: int = 0, **how) -> Refresh:
+    """SNP7: publish ``raw`` as the next snapshot unless it is empty or fully known.
+
+    ``how`` goes to :func:`build_snapshot` (``batch_id``, ``stable_dates``, ``id_buckets``, ``files``).
+    """
     latest = CAT.latest_entry(CAT.read_catalog(spark, root))
-    if raw.isEmpty():
-        return {"status": "SKIPPED", "snapshot": latest, "message": "No data returned from source"}
-    entry = build_snapshot(
-        spark, raw, root, as_of, source_name, station_ids, batch_id,
-        stable_dates=stable_dates, previous=latest, previous_known=True, id_buckets=id_buckets,
+    status, entry = build_snapshot(
+        spark, raw, root, as_of, source_name, station_ids, previous=latest, previous_known=True, **how
     )
-    if entry is None:  # JOIN4: every incoming id was already published
-        return {"status": "NO_CHANGE", "snapshot": latest, "message": "No new source records"}
-    return {"status": "CREATED", "snapshot": entry, "message": "Snapshot created"}
+    return Refresh(status, entry or latest, dropped)
 
 
 def refresh_if_due(
@@ -55,49 +57,50 @@ def refresh_if_due(
     landing_path: str,
     now: str,
     station_ids: list[str] | None = None,
-    limit: int = S.DEFAULT_LIVE_LIMIT,
+    limit: int | None = None,
     max_age_minutes: int = S.AUTO_REFRESH_MINUTES,
     force: bool = False,
     source_name: str = S.DEFAULT_SOURCE_NAME,
-) -> dict:
-    """Scheduled entry point: refresh from the landing folder when the newest is stale."""
-    stations = list(station_ids or S.DEFAULT_SAMPLE_STATIONS)
+) -> Refresh:
+    """One scheduled run: all documents landed since the last snapshot become the next one.
+
+    Only files that no published snapshot was made from are read. Everything they hold is
+    published, unless the caller asks for some stations or for the newest ``limit``
+    observations of each; what that leaves out is counted.
+    """
     latest = CAT.latest_entry(CAT.read_catalog(spark, root))
     if not is_due(latest, now, 0 if force else max_age_minutes):
-        return {
-            "status": "SKIPPED_NOT_DUE",
-            "snapshot": latest,
-            "message": f"Latest snapshot is less than {max_age_minutes} minutes old",
-        }
-    raw = read_landing(spark, landing_path, fetched_at=now, limit=limit, station_ids=stations)
-    return refresh_snapshot(spark, root, raw, now, source_name, stations)
-
-
-def main(argv: list[str] | None = None) -> dict:
-    """Scheduled writer job: ``python -m chronolake.plans.refresh --root ... --landing ...``."""
-    import argparse
-    from datetime import timezone
-
+        return Refresh("SKIPPED_NOT_DUE", latest)
+    files = FD.landed_files(spark, landing_path).join(CAT.ingested_files(spark, root), "file", "left_anti")
+    paths = [r.file for r in files.collect()]  # the documents of one pull
+    if not paths:
+        return Refresh("SKIPPED", latest)
+    taken = spark.createDataFrame([(p,) for p in paths], "file string")
+    everything = FD.read_landing(spark, landing_path, fetched_at=now, files=paths)
+    raw, dropped = everything, 0
+    if station_ids or limit is not None:
+        raw = FD.read_landing(spark, landing_path, fetched_at=now, limit=limit, station_ids=station_ids, files=paths)
+        dropped = everything.count() - raw.count()
+    return refresh_snapshot(spark, root, raw, now, source_name, station_ids, dropped, files=taken)
+
+
+def main(argv: list[str] | None = None) -> Refresh:
     from chronolake.session import get_session
 
-    parser = argparse.ArgumentParser(description="Publish a telemetry snapshot when one is due.")
-    parser.add_argument("--root", required=True, help="store root (shared file system path)")
-    parser.add_argument("--landing", required=True, help="landing folder with station=<id>/ documents")
-    parser.add_argument("--stations", nargs="+", default=S.DEFAULT_SAMPLE_STATIONS)
-    parser.add_argument("--limit", type=int, default=S.DEFAULT_LIVE_LIMIT)
-    parser.add_argument("--max-age-minutes", type=int, default=S.AUTO_REFRESH_MINUTES)
-    parser.add_argument("--force", action="store_true")
-    parser.add_argument("--now", default=None, help="ISO time of this run (default: current UTC time)")
-    args = parser.parse_args(argv)
-    now = args.now or datetime.now(timezone.utc).replace(microsecond=0).isoformat()
-    spark = get_session("chronolake-refresh")
-    result = refresh_if_due(
-        spark, args.root, args.landing, now, args.stations, args.limit, args.max_age_minutes, args.force
+    cli = argparse.ArgumentParser(prog="chronolake-refresh", description="Publish what has landed as a snapshot.")
+    cli.add_argument("root", help="store folder")
+    cli.add_argument("landing", help="folder of landed station=<id>/ documents")
+    cli.add_argument("--only-stations", metavar="ID", nargs="+", help="publish these stations only (default: all)")
+    cli.add_argument("--newest", metavar="N", type=int, help="publish the newest N observations of each station only (default: all)")
+    cli.add_argument("--older-than", metavar="MINUTES", type=int, default=S.AUTO_REFRESH_MINUTES, help="run if the newest snapshot is that old; 0: always")
+    cli.add_argument("--at", metavar="ISO", help="time of this run (default: the clock)")
+    given = cli.parse_args(argv)
+    at = given.at or datetime.now(timezone.utc).isoformat(timespec="seconds")
+    done = refresh_if_due(
+        get_session("chronolake-refresh"), given.root, given.landing, at, given.only_stations, given.newest, given.older_than
     )
-    print(f"{result['status']}: {result['message']}")
-    if result.get("snapshot"):
-        print(f"Latest snapshot: {result['snapshot']['snapshot_id']}")
-    return result
+    print(done)
+    return done
 
 
 if __name__ == "__main__":

@@ -1,10 +1,10 @@
 """Registered queries: one per operator group of the inventory, each ``(spark, sf_dir)``.
 
-Every query reads the whole ``events`` table of ``sf_dir`` and derives the observation
-pulls from it (FIXTURES.md), so its work grows with the table. Snapshot queries use the
-closed-form log (no disk); the default comparison pair is previous = T2, current = T3.
-Canned comparison queries are registered uncapped (``limit=None``, whole result); the
-200-row cap itself is registered once, as the top-k report it is.
+Every query reads the whole ``events`` table of ``sf_dir`` or the store that the refresh job
+publishes from it (FIXTURES.md: three overlapping pulls), so its work grows with the table.
+The store is published once for each session and ``sf_dir``, by ``refresh_snapshot``, and read
+through :class:`Explorer` as a user would; the default pair is previous = T2, current = T3.
+Results are whole; the 200-row cap is registered once, as the top-k report it is.
 """
 
 from __future__ import annotations
@@ -15,20 +15,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
-from chronolake.operators import compare as CMP
 from chronolake.operators import layers as L
 from chronolake.operators.dedupe import keep_first
 from chronolake.operators.topk import latest_per_station
 from chronolake.plans import catalog_views as CV
 from chronolake.plans import query_panel as QP
-from chronolake.plans import timetravel as TT
-from chronolake.plans.fixture_log import fixture_log
-from chronolake.plans.snapshot import catalog_from_log
+from chronolake.plans.explorer import Explorer
+from chronolake.plans.rebuild import gold_history, rebuild
+from chronolake.plans.refresh import refresh_if_due, refresh_snapshot
+from chronolake.session import shared_dir
 from chronolake.sources import feed as FD
 from chronolake.sources import fixture as FX
+from chronolake.sources.store import LayerStore
+from chronolake.streaming import ingest
 
 PREVIOUS, CURRENT = 2, 3
-PAGE_SIZE = S.DEFAULT_LIVE_LIMIT  # event ids per rendered feed document (bounded group)
+PAGE_SIZE = 72  # event ids per rendered feed document (bounded group)
 CUSTOM_SQL = """
 SELECT c.station_id,
        CAST(SUM(c.rows_processed) AS BIGINT) AS current_rows,
@@ -47,27 +49,25 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.read_events(spark, sf_dir)
 
 
-def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture_log(_events(spark, sf_dir))
-
-
-def layer_as_of(log: DataFrame, layer: str, n: int) -> DataFrame:
-    if layer == "gold":
-        return TT.gold_from_log(log, n, FX.PULL_AS_OF[n])
-    if layer == "silver":
-        return TT.silver_from_log(log, n)
-    return TT.bronze_as_of(log, n)
+def publish(spark: SparkSession, sf_dir: str, root: str, pulls=tuple(FX.PULL_AS_OF), **how) -> str:
+    """Runs the refresh job once for each of ``pulls`` into ``root``."""
+    events = _events(spark, sf_dir)
+    for pull in pulls:
+        refresh_snapshot(
+            spark, root, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], FX.FIXTURE_SOURCE_NAME, FX.STATION_CODES, **how
+        )
+    return root
 
 
-def _pair(
-    spark: SparkSession, sf_dir: str, layer: str, previous: int = PREVIOUS
-) -> tuple[DataFrame, DataFrame]:
-    log = _log(spark, sf_dir)
-    return layer_as_of(log, layer, CURRENT), layer_as_of(log, layer, previous)
+_STORES: dict[tuple, str] = {}
 
 
-def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog_from_log(_log(spark, sf_dir), FX.FIXTURE_SOURCE_NAME, FX.STATION_CODES)
+def published(spark: SparkSession, sf_dir: str, id_buckets: int | None = None) -> Explorer:
+    """The store of all three pulls, published at its first use in a session and shared by the queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, id_buckets)
+    if key not in _STORES:
+        _STORES[key] = publish(spark, sf_dir, shared_dir(spark, "published"), id_buckets=id_buckets)
+    return Explorer(spark, _STORES[key])
 
 
 def _requested_station() -> Column:
@@ -140,51 +140,65 @@ def feed_parse(spark, sf_dir):
     return parsed.drop("raw_payload_json")
 
 
-# --- layers ------------------------------------------------------------------------------
-
-def _layer_query(layer: str, n: int):
-    def run(spark, sf_dir):
-        return layer_as_of(_log(spark, sf_dir), layer, n)
-
-    run.__doc__ = f"{layer} as of T{n}"
-    return run
-
-
-def bronze_t1(spark, sf_dir):
-    return layer_as_of(_log(spark, sf_dir), "bronze", 1)
-
-
-def bronze_t3(spark, sf_dir):
-    return layer_as_of(_log(spark, sf_dir), "bronze", 3)
+def feed_lenient(spark, sf_dir):
+    """SRC3-4, SRC6-7: bad numbers, short or missing coordinates, weather lists, kept payload."""
+    eid = F.col("event_id").cast("string")
+    n = F.col("event_id")
+    value = F.when(n % 19 == 0, F.lit('"n/a"')).when(n % 23 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), eid, F.lit('.5"')))
+    geometry = (
+        F.when(n % 5 == 0, F.lit('{"coordinates":[-70]}')).when(n % 7 == 0, F.lit("null")).otherwise(F.lit('{"coordinates":[-70,40.25,3]}'))
+    )
+    weather = F.array_join(F.array_repeat(F.lit('"rain"'), (n % 4).cast("int")), ",")
+    feature = F.concat(
+        F.lit('{"geometry":'), geometry, F.lit(',"extra":'), eid, F.lit(',"properties":{"@id":"f-'), eid,
+        F.lit('","timestamp":"2024-01-01T00:00:00Z","temperature":{"value":'), value,
+        F.lit('},"presentWeather":['), weather, F.lit("]}}"),
+    )
+    rows = _events(spark, sf_dir).select(F.lit(FX.STATION_CODES[0]).alias(FD.STATION_PARTITION), feature.alias("feature"))
+    return FD.parse_features(rows).select(
+        "source_record_id", "temperature_c", "latitude", "longitude", "present_weather_count", "raw_payload_json"
+    )
 
 
-def silver_t3(spark, sf_dir):
-    return layer_as_of(_log(spark, sf_dir), "silver", 3)
+def station_dim_join(spark, sf_dir):
+    """JOIN5: the station name from a dimension frame, joined; one code is missing from it."""
+    events = _events(spark, sf_dir)
+    stations = (
+        FX.observations(events, keep=("user_id",))
+        .select(_requested_station().alias("station_id"))
+        .where(F.col("station_id") != FX.STATION_CODES[-1])
+        .distinct()
+        .withColumn("station_name", F.concat(F.lit("Dim "), F.col("station_id")))
+    )
+    rows = FX.observations(events, keep=("user_id",)).select(
+        "source_record_id", _requested_station().alias("_requested"), F.when(F.col("event_id") % 7 != 0, F.col("station_name")).alias("_feed_name")
+    )
+    return FD.resolve_station(rows, stations)
 
 
-def gold_t1(spark, sf_dir):
-    return layer_as_of(_log(spark, sf_dir), "gold", 1)
+# --- layers ------------------------------------------------------------------------------
 
+def _layer_query(layer: str, n: int):
+    def run(spark, sf_dir):
+        return published(spark, sf_dir).as_of(layer, f"T{n}")
 
-def gold_t3(spark, sf_dir):
-    return layer_as_of(_log(spark, sf_dir), "gold", 3)
+    run.__doc__ = f"SNP4: {layer} as of T{n}, from the published store"
+    return run
 
 
 def gold_all_snapshots(spark, sf_dir):
-    """Gold of T1, T2 and T3 in one pass (running sums per gold group over ``seq``)."""
-    from chronolake.plans.rebuild import gold_history
+    """Gold of T1, T2 and T3 in one pass over the log (running sums per gold group over ``seq``)."""
+    return gold_history(published(spark, sf_dir).store.log(), len(FX.PULL_AS_OF))
 
-    return gold_history(_log(spark, sf_dir), len(FX.PULL_AS_OF))
 
+def _incremental(rows: int | None = None, id_buckets: int | None = None):
+    """DED1 + JOIN3 the way a refresh does it: pull 3 anti-joined to the ids of T2."""
+    def run(spark, sf_dir):
+        store = published(spark, sf_dir, id_buckets).store
+        pull3 = FX.bronze_pulls(_events(spark, sf_dir)).where(F.col("pull") == 3).drop("pull")
+        return L.unseen(keep_first(pull3, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST), store.history_ids(2), rows)
 
-def incremental_t3(spark, sf_dir):
-    """JOIN3 + DED1 the way a refresh does it: pull 3 anti-joined to bronze(T2) ids."""
-    events = _events(spark, sf_dir)
-    log = fixture_log(events)
-    pull3 = FX.bronze_pulls(events).where(F.col("pull") == 3).drop("pull")
-    history = TT.bronze_as_of(log, 2).select(L.KEY)
-    new = L.unseen(pull3, history)
-    return keep_first(new, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST)
+    return run
 
 
 def no_change_check(spark, sf_dir):
@@ -196,8 +210,8 @@ def no_change_check(spark, sf_dir):
     join pairs rows with snapshots.
     """
     events = _events(spark, sf_dir)
-    log = fixture_log(events)
-    first_seq = log.groupBy("source_record_id").agg(F.min("seq").alias("first_seq"))
+    log = published(spark, sf_dir).store.log()
+    first_seq = log.where("is_first").select("source_record_id", F.col("seq").alias("first_seq"))
     pull_ids = FX.pulls(events).select("pull", "source_record_id").distinct()
     per_first = (
         pull_ids.join(first_seq, "source_record_id", "left")
@@ -218,130 +232,143 @@ def no_change_check(spark, sf_dir):
 
 # --- comparison panel ----------------------------------------------------------------------
 
-def _new_records(layer: str, ignore: tuple[str, ...] = (), use_log: bool = True, previous: int = PREVIOUS):
+def _pair(spark: SparkSession, sf_dir: str, layer: str, previous: int = PREVIOUS) -> tuple[DataFrame, DataFrame]:
+    ex = published(spark, sf_dir)
+    return ex.as_of(layer, f"T{CURRENT}"), ex.as_of(layer, f"T{previous}")
+
+
+def _panel(layer: str, option: int, previous: int = PREVIOUS, limit: int | None = None):
+    """A canned query (Q1, Q2/Q3, Q4) through ``Explorer.query``, with its rewrites."""
     def run(spark, sf_dir):
-        if use_log and layer in ("bronze", "silver"):
-            log = _log(spark, sf_dir)
-            rows = TT.new_rows_from_log(log, previous, CURRENT, S.BRONZE_COLUMNS)
-            return rows if layer == "bronze" else L.to_silver(rows)
-        cur, prev = _pair(spark, sf_dir, layer, previous)
-        return QP.show_new_records(cur, prev, limit=None, ignore=ignore)
+        return published(spark, sf_dir).query(layer, S.QUERY_OPTIONS[option], f"T{previous}", limit=limit)[1]
 
     return run
 
 
-def _compare(layer: str, previous: int = PREVIOUS):
+def _panel_sql(layer: str, option: int):
+    """The same from the SQL text that the panel shows."""
     def run(spark, sf_dir):
-        cur, prev = _pair(spark, sf_dir, layer, previous)
-        return QP.compare_changes(cur, prev, layer, limit=None)
+        text = published(spark, sf_dir).query(layer, S.QUERY_OPTIONS[option])[0]
+        return published(spark, sf_dir).query(layer, "custom", custom_sql=text)[1]
 
     return run
 
 
-def _aggregate(layer: str, current_seq: int = CURRENT):
+def _except(layer: str, ignore: tuple[str, ...] = (), previous: int = PREVIOUS):
     def run(spark, sf_dir):
-        current = layer_as_of(_log(spark, sf_dir), layer, current_seq)
-        return QP.aggregate_by_partition(current, layer, limit=None)
+        cur, prev = _pair(spark, sf_dir, layer, previous)
+        return QP.show_new_records(cur, prev, ignore=ignore)
 
     return run
 
 
-def _counts_via_gold(by_station: bool):
-    """Q3 / Q4 on silver and bronze (T3) answered from gold instead of a row scan."""
+def _compare_scan(layer: str):
     def run(spark, sf_dir):
-        gold = layer_as_of(_log(spark, sf_dir), "gold", CURRENT)
-        return CMP.counts_from_gold(gold, by_station)
+        return QP.compare_changes(*_pair(spark, sf_dir, layer), layer)
 
     return run
 
 
-def compare_gold_top200(spark, sf_dir):
-    """TOP1: the panel's capped report (200 rows, deterministic order)."""
-    current, previous = _pair(spark, sf_dir, "gold")
-    return QP.compare_changes(current, previous, "gold", limit=S.RESULT_LIMIT)
+def _aggregate_scan(layer: str, n: int = CURRENT):
+    def run(spark, sf_dir):
+        return QP.aggregate_by_partition(published(spark, sf_dir).as_of(layer, f"T{n}"), layer)
+
+    return run
 
 
 def preview(spark, sf_dir):
     """TOP2: first 25 gold rows of each side."""
-    current, previous = _pair(spark, sf_dir, "gold")
-    return QP.preview(previous, current, S.GOLD_KEYS)
+    return published(spark, sf_dir).preview("gold", f"T{PREVIOUS}", f"T{CURRENT}")
 
 
 def custom_sql(spark, sf_dir):
     """SQL1: free SQL over ``current_data`` / ``previous_data`` (gold T3 vs T2)."""
-    current, previous = _pair(spark, sf_dir, "gold")
-    _, df = QP.run_snapshot_query(spark, "gold", previous, current, "custom", CUSTOM_SQL)
-    return df
+    return published(spark, sf_dir).query("gold", "custom", custom_sql=CUSTOM_SQL)[1]
 
 
 # --- catalog ---------------------------------------------------------------------------------
 
 def snapshot_metrics(spark, sf_dir):
-    return CV.metrics_table(_catalog(spark, sf_dir)).drop("processing_time_ms")
+    """SNP8 as recorded by the refresh runs."""
+    return published(spark, sf_dir).metrics().drop("processing_time_ms")
 
 
 def scan_comparison(spark, sf_dir):
-    return CV.scan_comparison(_catalog(spark, sf_dir))
+    return published(spark, sf_dir).scan_comparison()
 
 
 def layer_counts(spark, sf_dir):
-    return CV.layer_counts(_catalog(spark, sf_dir))
+    return published(spark, sf_dir).layer_counts()
 
 
 def snapshot_list(spark, sf_dir):
-    return CV.snapshot_list(_catalog(spark, sf_dir))
+    return published(spark, sf_dir).snapshots()
 
 
 def default_pair(spark, sf_dir):
-    return CV.default_pair(_catalog(spark, sf_dir))
+    return CV.default_pair(published(spark, sf_dir).catalog())
 
 
 def refresh_due(spark, sf_dir):
-    return CV.due_after_each(_catalog(spark, sf_dir))
-
-
-# --- production path: the refresh job and the stream, on disk ---------------------------
-
-def _replayed_store(spark: SparkSession, sf_dir: str) -> str:
-    """Publish every fixture pull with the refresh job into a fresh shared folder."""
-    from chronolake.plans.refresh import refresh_snapshot
-    from chronolake.session import shared_dir
-
-    root = shared_dir(spark, "refresh-replay")
-    events = _events(spark, sf_dir)
-    for pull, as_of in FX.PULL_AS_OF.items():
-        refresh_snapshot(spark, root, FX.pull_frame(events, pull), as_of, FX.FIXTURE_SOURCE_NAME)
-    return root
-
-
-def refresh_replay_gold_t3(spark, sf_dir):
-    """SNP1 + SNP4: gold T3 as published by three refresh runs (incremental gold state)."""
-    from chronolake.plans.explorer import Explorer
-
-    return Explorer(spark, _replayed_store(spark, sf_dir)).as_of("gold", "T3")
-
+    return CV.due_after_each(published(spark, sf_dir).catalog())
+
+
+# --- the refresh job and the stream --------------------------------------------------------
+
+def _land(spark: SparkSession, sf_dir: str, path: str, where: Column) -> None:
+    """Observations rendered as feed documents, landed as files under ``path``."""
+    obs = FX.observations(_events(spark, sf_dir), keep=("user_id",)).where(where)
+    obs = obs.withColumns({FD.STATION_PARTITION: _requested_station(), "_page": F.floor(F.col("event_id") / 2000)})
+    FD.write_landing(FD.render_documents(FD.render_features(obs, extra=("_page",)), F.col("_page")), path)
+
+
+def landing_refresh(spark, sf_dir):
+    """SRC1, SRC9, SNP7: documents land twice; each scheduled run publishes all that is new, and no more."""
+    root = shared_dir(spark, "landing-refresh")
+    early = F.col("event_id") % 2 == 0
+    for at, where in ((FX.PULL_AS_OF[1], early), (FX.PULL_AS_OF[2], ~early)):
+        _land(spark, sf_dir, f"{root}/landing", where)
+        refresh_if_due(spark, root, f"{root}/landing", at)
+    rows = Explorer(spark, root).as_of("bronze", "T2")
+    return rows.select("source_record_id", "station_id", "station_name", "timestamp", "temperature_c", "ingest_ts")
+
+
+def refresh_outcomes(spark, sf_dir):
+    """SNP6-7: every outcome of the job, and the rows published after each."""
+    root, events = shared_dir(spark, "outcomes"), _events(spark, sf_dir)
+    pull1, pull2 = (FX.pull_frame(events, n) for n in (1, 2))
+    first, second = (FX.PULL_AS_OF[n] for n in (1, 2))
+    steps = (
+        ("empty", lambda: refresh_snapshot(spark, root, pull1.where(F.lit(False)), first)),
+        ("first", lambda: refresh_snapshot(spark, root, pull1, first)),
+        ("same again", lambda: refresh_snapshot(spark, root, pull1, second)),
+        ("too early", lambda: refresh_if_due(spark, root, f"{root}/landing", first)),
+        ("nothing landed", lambda: refresh_if_due(spark, root, f"{root}/landing", second)),
+        ("second", lambda: refresh_snapshot(spark, root, pull2, second)),
+    )
+    out = []
+    for name, run in steps:
+        done = run()
+        out.append((name, done.status, done.entry["row_counts"]["bronze"] if done.entry else 0))
+    return spark.createDataFrame(out, "step string, status string, bronze_rows long")
 
-def refresh_replay_metrics(spark, sf_dir):
-    """SNP8 as recorded in the on-disk catalog by the refresh runs."""
-    from chronolake.plans.explorer import Explorer
 
-    catalog = Explorer(spark, _replayed_store(spark, sf_dir)).catalog()
-    return CV.metrics_table(catalog).drop("processing_time_ms")
+def rebuild_then_refresh(spark, sf_dir):
+    """PRJ6, SNP1: thresholds given to a rebuild hold for later refreshes too; gold of T3."""
+    root = publish(spark, sf_dir, shared_dir(spark, "rebuilt"), (1, 2))
+    rebuild(spark, root, gust_limit=30.0)
+    publish(spark, sf_dir, root, (3,))
+    return Explorer(spark, root).as_of("gold", "T3")
 
 
 def stream_replay_bronze_t3(spark, sf_dir):
-    """STR1: pulls landed in two rounds, ingested by the file stream; bronze as of T3."""
-    from chronolake.plans.explorer import Explorer
-    from chronolake.session import shared_dir
-    from chronolake.streaming import ingest
-
-    root = shared_dir(spark, "stream-replay")
-    events = _events(spark, sf_dir)
-    src = FX.FIXTURE_SOURCE_NAME
-    for rounds in ((1, 2), (3,)):
-        for pull in rounds:
-            ingest.land_pull(spark, root, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], src)
-        ingest.start_ingest(spark, root, src).awaitTermination()
+    """STR1: pulls of several files, one announcement for each trigger, one pull landed twice; bronze as of T3."""
+    root, events, source = shared_dir(spark, "stream-replay"), _events(spark, sf_dir), FX.FIXTURE_SOURCE_NAME
+    for landed in ((1, 2), (2, 3)):
+        for pull in landed:
+            raw = FX.pull_frame(events, pull).repartition(3, "source_record_id")
+            ingest.land_pull(spark, root, raw, FX.PULL_AS_OF[pull], source, FX.STATION_CODES)
+        ingest.start_ingest(spark, root, source, max_pulls_per_trigger=1).awaitTermination()
     return Explorer(spark, root).as_of("bronze", "T3")
 
 
@@ -349,38 +376,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "obs_required_fields": obs_required_fields,
     "latest_n_per_station": latest_n_per_station,
     "station_dim": station_dim,
+    "station_dim_join": station_dim_join,
     "feed_parse": feed_parse,
-    "bronze_t1": bronze_t1,
-    "bronze_t2": _layer_query("bronze", 2),
-    "bronze_t3": bronze_t3,
-    "incremental_t3": incremental_t3,
+    "feed_lenient": feed_lenient,
+    **{f"{layer}_t{n}": _layer_query(layer, n) for layer in S.LAYERS for n in (1, 2, 3)},
+    "incremental_t3": _incremental(),
+    "incremental_t3_shuffled": _incremental(rows=L.BROADCAST_ID_LIMIT + 1),
+    "incremental_t3_id_index": _incremental(rows=L.BROADCAST_ID_LIMIT + 1, id_buckets=8),
     "no_change_check": no_change_check,
-    "silver_t1": _layer_query("silver", 1),
-    "silver_t2": _layer_query("silver", 2),
-    "silver_t3": silver_t3,
-    "gold_t1": gold_t1,
-    "gold_t2": _layer_query("gold", 2),
-    "gold_t3": gold_t3,
     "gold_all_snapshots": gold_all_snapshots,
-    "new_records_bronze": _new_records("bronze"),
-    "new_records_bronze_except": _new_records("bronze", use_log=False),
-    "new_records_silver": _new_records("silver"),
-    "new_records_gold": _new_records("gold"),
-    "new_records_gold_ignore_updated_at": _new_records("gold", ignore=("updated_at",)),
-    "new_records_bronze_t1_t3": _new_records("bronze", previous=1),
-    "new_records_bronze_t1_t3_except": _new_records("bronze", use_log=False, previous=1),
-    "new_records_silver_t1_t3": _new_records("silver", previous=1),
-    "compare_gold": _compare("gold"),
-    "compare_gold_t1_t3": _compare("gold", previous=1),
-    "compare_silver": _compare("silver"),
-    "compare_bronze": _compare("bronze"),
-    "compare_silver_via_gold": _counts_via_gold(by_station=True),
-    "compare_gold_top200": compare_gold_top200,
-    "aggregate_gold": _aggregate("gold"),
-    "aggregate_silver": _aggregate("silver"),
-    "aggregate_bronze": _aggregate("bronze"),
-    "aggregate_bronze_t1": _aggregate("bronze", current_seq=1),
-    "aggregate_bronze_via_gold": _counts_via_gold(by_station=False),
+    "new_records_bronze": _panel("bronze", 0),
+    "new_records_bronze_except": _except("bronze"),
+    "new_records_silver": _panel("silver", 0),
+    "new_records_gold": _panel("gold", 0),
+    "new_records_gold_ignore_updated_at": _except("gold", ignore=("updated_at",)),
+    "new_records_bronze_t1_t3": _panel("bronze", 0, previous=1),
+    "new_records_bronze_t1_t3_except": _except("bronze", previous=1),
+    "new_records_silver_t1_t3": _panel("silver", 0, previous=1),
+    "compare_gold": _panel("gold", 1),
+    "compare_gold_sql_text": _panel_sql("gold", 1),
+    "compare_gold_t1_t3": _panel("gold", 1, previous=1),
+    "compare_silver": _compare_scan("silver"),
+    "compare_silver_sql_text": _panel_sql("silver", 1),
+    "compare_bronze": _compare_scan("bronze"),
+    "compare_silver_via_gold": _panel("silver", 1),
+    "compare_gold_top200": _panel("gold", 1, limit=S.RESULT_LIMIT),
+    "aggregate_gold": _panel("gold", 2),
+    "aggregate_silver": _aggregate_scan("silver"),
+    "aggregate_bronze": _aggregate_scan("bronze"),
+    "aggregate_bronze_t1": _aggregate_scan("bronze", 1),
+    "aggregate_bronze_via_gold": _panel("bronze", 2),
+    "aggregate_silver_sql_text": _panel_sql("silver", 2),
     "preview": preview,
     "custom_sql": custom_sql,
     "snapshot_metrics": snapshot_metrics,
@@ -389,7 +415,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_list": snapshot_list,
     "default_pair": default_pair,
     "refresh_due": refresh_due,
-    "refresh_replay_gold_t3": refresh_replay_gold_t3,
-    "refresh_replay_metrics": refresh_replay_metrics,
+    "refresh_replay_gold_t3": _layer_query("gold", 3),
+    "refresh_replay_metrics": snapshot_metrics,
+    "refresh_outcomes": refresh_outcomes,
+    "landing_refresh": landing_refresh,
+    "rebuild_then_refresh": rebuild_then_refresh,
     "stream_replay_bronze_t3": stream_replay_bronze_t3,
 }

@@ -1,4 +1,4 @@
-"""Snapshot build (SNP1), its metrics (SNP8) and the closed-form catalog of a log.
+"""Snapshot build (SNP1) and its metrics (SNP8).
 
 A refresh costs O(increment + gold size) plus one id-only scan of history:
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
@@ -31,11 +31,6 @@ from chronolake.sources import catalog as CAT
 from chronolake.sources.store import LayerStore
 
 
-def _time_saved_pct(incremental: Column, full: Column) -> Column:
-    pct = F.greatest(F.lit(0.0), (F.lit(1.0) - incremental / full) * 100)
-    return F.when(full > 0, F.round(pct, 2)).otherwise(F.lit(0.0))
-
-
 def build_snapshot(
     spark: SparkSession,
     raw: DataFrame,
@@ -49,19 +44,22 @@ def build_snapshot(
     previous: dict | None = None,
     previous_known: bool = False,
     id_buckets: int | None = None,
-) -> dict | None:
-    """SNP1: publish the next snapshot from one pull; returns its catalog entry.
+    files: DataFrame | None = None,
+) -> tuple[str, dict | None]:
+    """SNP1: publish the next snapshot from one pull; the outcome and its catalog entry.
 
-    Returns None (nothing committed) when a previous snapshot exists and the pull brings
-    no new id (NO_CHANGE): the anti-join to history runs once and its emptiness is read
-    from the write's own metrics, so history is scanned once per refresh.
+    ``SKIPPED``: the pull has no rows, by the count of landing it. ``NO_CHANGE`` (JOIN4): a
+    previous snapshot exists and the pull brings no new id; the anti-join to history runs
+    once and its emptiness is read from the write's own metrics, so history is scanned once
+    per refresh. Neither commits anything. ``CREATED`` otherwise.
 
     ``landed_path``: the pull is already in the raw landing folder (stream ingestion),
     so it is read from there instead of being landed again. ``stable_dates``: ids never
     change their observation time, so history before the pull's first day is skipped.
     ``previous`` / ``previous_known``: the caller already read the latest catalog entry.
     ``id_buckets``: keep a bucketed id index so large increments anti-join history
-    without shuffling it (kept up once it exists).
+    without shuffling it (kept up once it exists). ``files`` (file): the landing files the
+    pull was read from, recorded so that no later refresh reads them again.
     """
     started = time.perf_counter()
     store = LayerStore(spark, root, id_buckets)
@@ -72,8 +70,14 @@ def build_snapshot(
     if prev_seq and previous["row_counts"]["bronze"] and store.history_ids(prev_seq).isEmpty():
         # Published snapshots exist but their log is gone: refuse to start history afresh.
         raise RuntimeError(f"bronze log of {previous['snapshot_id']} is missing under {root}")
-    raw_path = landed_path or store.write_raw(raw, source_name, as_of)
-    landed = raw if landed_path else spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
+    if landed_path:
+        raw_path, landed = landed_path, raw
+        rows = landed.count()  # from the file footers
+    else:
+        raw_path, rows = store.write_raw(raw, source_name, as_of)
+        landed = spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
+    if rows == 0:
+        return "SKIPPED", None
     batch = L.to_bronze(landed, source_name, as_of)
 
     if prev_seq == 0:
@@ -82,9 +86,11 @@ def build_snapshot(
         from_date = None
         if stable_dates:
             from_date = batch.agg(F.min("partition_date")).first()[0]  # one scalar
-        new = L.unseen(batch, store.history_ids(prev_seq, from_date))
-        log_rows = keep_first(new, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST).select(
-            "*", F.lit(True).alias("is_first"), F.lit(1).alias("copies")
+        # Both depend on the id alone, so their order is free: keep-first goes first, which
+        # leaves one row for each id and hence no hot key in the anti-join.
+        one_each = keep_first(batch, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST)
+        log_rows = L.unseen(one_each, store.history_ids(prev_seq, from_date), rows).select(
+            "*", F.lit(True).alias("is_first"), F.lit(1).cast("long").alias("copies")
         )
     # Row counts ride along with the write (one pass over the increment).
     written = Observation(f"increment-{seq}-{uuid.uuid4().hex[:8]}")  # unique per call
@@ -96,11 +102,11 @@ def build_snapshot(
     paths = {"bronze": store.write_log(seq, log_rows)}
     inc = written.get
     if prev_seq > 0 and inc["rows"] == 0:
-        return None  # NO_CHANGE: the seq folder stays uncatalogued (invisible)
+        return "NO_CHANGE", None  # the seq folder stays uncatalogued (invisible)
     increment = store.log().where(F.col("seq") == seq)
     store.write_id_index(seq, increment.where(F.col("is_first")))
 
-    paths["silver"] = store.write_silver(seq, L.to_silver(increment.where(F.col("is_first"))))
+    paths["silver"] = store.write_silver(seq, L.to_silver(increment.where(F.col("is_first")), **store.thresholds))
     state = L.gold_state(store.silver_log().where(F.col("seq") == seq))
     if prev_seq > 0:
         state = L.merge_gold_state(store.gold_state(prev_seq), state)
@@ -149,73 +155,7 @@ def build_snapshot(
         },
         "batch_id": batch_id,
     }
+    if files is not None:
+        CAT.record_files(spark, root, seq, files)
     CAT.append_entry(spark, root, entry)
-    return entry
-
-
-def catalog_from_log(log: DataFrame, source_name: str, station_ids: list[str]) -> DataFrame:
-    """The catalog a sequence of refreshes would publish, computed from a whole log.
-
-    Used for the closed-form fixture (no disk). Cumulative counts come from per-``seq``
-    aggregates (a handful of rows) with running-sum windows over ``seq``.
-    """
-    # One pass over the log into a small aggregate (seq x day x station x name); the rest
-    # is a single linear pipeline over it: windows find the seq where each day / each gold
-    # group first has a kept row, one aggregate per seq, running sums over seq.
-    base = log.groupBy("seq", "partition_date", "station_id", "station_name").agg(
-        F.sum("copies").cast("long").alias("rows_all"),
-        F.count_if(F.col("is_first")).alias("rows_first"),
-        F.max("ingest_ts").alias("created_at"),
-    )
-    kept_seq = F.when(F.col("rows_first") > 0, F.col("seq"))
-    day_first = F.min(kept_seq).over(Window.partitionBy("partition_date"))
-    group_first = F.min(kept_seq).over(Window.partitionBy("partition_date", "station_id", "station_name"))
-    marked = base.select(
-        "*",
-        ((F.col("seq") == day_first) & (F.col("rows_first") > 0)).alias("_day_new"),
-        ((F.col("seq") == group_first) & (F.col("rows_first") > 0)).alias("_group_new"),
-    )
-    per_seq = marked.groupBy("seq").agg(
-        F.sum("rows_all").alias("rows_all"),
-        F.sum("rows_first").alias("rows_first"),
-        F.count_distinct("partition_date").alias("inc_dates"),
-        F.max("created_at").alias("created_at"),
-        F.count_distinct(F.when(F.col("_day_new"), F.col("partition_date"))).alias("new_dates"),
-        F.count_if(F.col("_group_new")).alias("new_groups"),
-    )
-    running = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = per_seq.select(
-        "*",
-        F.sum("rows_first").over(running).alias("silver_rows"),
-        F.sum("new_dates").over(running).alias("kept_dates"),
-        F.sum("new_groups").over(running).alias("gold_rows"),
-    )
-    first = F.col("seq") == 1
-    full_rows = F.when(first, F.col("rows_all")).otherwise(F.col("silver_rows"))
-    full_dates = F.when(first, F.col("inc_dates")).otherwise(F.col("kept_dates"))
-    inc_rows = F.when(first, full_rows).otherwise(F.col("rows_all"))
-    inc_dates = F.when(first | (F.col("rows_all") == 0), full_dates).otherwise(F.col("inc_dates"))
-    return t.select(
-        F.col("seq").cast("int").alias("seq"),
-        C.snapshot_id_of("seq").alias("snapshot_id"),
-        "created_at",
-        F.lit(source_name).alias("source_name"),
-        F.array(*[F.lit(s) for s in station_ids]).alias("station_ids"),
-        F.lit(None).cast("string").alias("raw_path"),
-        F.struct(*[F.lit(None).cast("string").alias(layer) for layer in S.LAYERS]).alias("paths"),
-        F.struct(
-            full_rows.cast("long").alias("bronze"),
-            F.col("silver_rows").cast("long").alias("silver"),
-            F.col("gold_rows").cast("long").alias("gold"),
-        ).alias("row_counts"),
-        F.struct(
-            inc_rows.cast("long").alias("rows_processed"),
-            inc_dates.cast("long").alias("partitions_scanned_incremental"),
-            full_dates.cast("long").alias("partitions_scanned_full"),
-            full_rows.cast("long").alias("full_scan_rows"),
-            inc_rows.cast("long").alias("incremental_scan_rows"),
-            F.lit(None).cast("double").alias("processing_time_ms"),
-            _time_saved_pct(inc_rows, full_rows).alias("time_saved_pct"),
-        ).alias("metrics"),
-        F.lit(None).cast("long").alias("batch_id"),
-    )
+    return "CREATED", entry

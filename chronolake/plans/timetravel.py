@@ -6,7 +6,7 @@ of identical rows; only the first snapshot keeps in-batch duplicates):
 
 * ``bronze(T1)``  = all rows of ``seq = 1``, each repeated ``copies`` times
 * ``bronze(Tn)``  = rows with ``seq <= n AND is_first``            (n >= 2)
-* ``silver(Tn)``  = silver flags of rows with ``seq <= n AND is_first``
+* ``silver(Tn)``  = silver flags of rows with ``seq <= n AND is_first``, stored in ``silver_log``
 * ``increment(Tn)`` = the rows of ``seq = n`` (with copies)
 
 ``seq`` is a partition column on disk, so each of these is a partition-pruned scan.
@@ -14,12 +14,10 @@ of identical rows; only the first snapshot keeps in-batch duplicates):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
-from chronolake.functions import columns as C
-from chronolake.operators import layers as L
 
 
 COPY_CHUNK = 100_000  # most copies one task expands for one log row
@@ -36,7 +34,7 @@ def expand_copies(log: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
     """
     cols = log.columns
     small = log.where(F.col("copies") <= chunk).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long")))
     )
     parts = log.where(F.col("copies") > chunk).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk).cast("int")))
@@ -57,59 +55,10 @@ def bronze_as_of(log: DataFrame, n: int) -> DataFrame:
     return rows.select(*S.BRONZE_COLUMNS)
 
 
-def kept_rows(log: DataFrame, n: int) -> DataFrame:
-    """Deduplicated bronze of snapshot ``n`` (= the input of its silver)."""
-    return log.where((F.col("seq") <= n) & F.col("is_first")).select(*S.BRONZE_COLUMNS)
-
-
-def silver_from_log(log: DataFrame, n: int, **thresholds: float) -> DataFrame:
-    return L.to_silver(kept_rows(log, n), **thresholds)
-
-
 def increment_of(log: DataFrame, n: int) -> DataFrame:
     return expand_copies(log.where(F.col("seq") == n)).select(*S.BRONZE_COLUMNS)
 
 
-def gold_from_log(log: DataFrame, n: int, updated_at: str) -> DataFrame:
-    """Gold of snapshot ``n`` in one aggregate over the log (no second pass, no join).
-
-    Silver measures come from the kept rows (``is_first``), new-record counts from the
-    rows of ``seq = n`` (with copies); both are conditional aggregates of one
-    ``groupBy(date, station, name)``. The two-key new count is then summed over the
-    names of a (date, station) with a window over that small aggregate.
-    """
-    # No row filter on purpose: gold of two snapshots built from the same log then share
-    # the log's shuffles (identical subtrees are reused); the seq test lives in the aggs.
-    kept = F.col("is_first") & (F.col("seq") <= n)
-    fresh = (F.col("seq") == n) & F.col("station_id").isNotNull()
-
-    def when_kept(c):
-        return F.when(kept, c)
-
-    def measure(name: str) -> list:
-        return [F.sum(when_kept(F.col(name))).alias(f"sum_{name}"), F.count(when_kept(F.col(name))).alias(f"n_{name}")]
-
-    state = log.groupBy(
-        C.date_key("timestamp").alias("partition_date"), "station_id", "station_name"
-    ).agg(
-        F.count(when_kept(F.col(L.KEY))).alias("rows_processed"),
-        F.sum(when_kept(C.anomaly_flag().cast("long"))).alias("anomaly_count"),
-        *measure("temperature_c"),
-        *measure("wind_speed_kmh"),
-        F.max(when_kept(F.col("wind_gust_kmh"))).alias("max_wind_gust_kmh"),
-        *measure("pressure_pa"),
-        F.min(when_kept(F.col("timestamp"))).alias("first_seen"),
-        F.max(when_kept(F.col("timestamp"))).alias("last_seen"),
-        F.sum(F.when(fresh, F.col("copies"))).alias("_fresh"),
-    )
-    per_station_day = Window.partitionBy("partition_date", "station_id")
-    new = F.when(
-        F.col("station_id").isNotNull(), F.coalesce(F.sum("_fresh").over(per_station_day), F.lit(0))
-    ).otherwise(F.lit(0))
-    state = state.withColumn("new_records", new.cast("long")).where(F.col("rows_processed") > 0)
-    return L.finish_gold(state, updated_at)
-
-
 def new_rows_from_log(log: DataFrame, previous: int, current: int, columns: list[str]) -> DataFrame:
     """``layer(T_current) EXCEPT layer(T_previous)`` for bronze/silver, as a log scan.
 

@@ -143,7 +143,7 @@ GOLD_STATE_SCHEMA = T.StructType(
 LOG_EXTRA = T.StructType(
     [
         T.StructField("is_first", T.BooleanType()),
-        T.StructField("copies", T.IntegerType()),
+        T.StructField("copies", T.LongType()),
     ]
 )
 

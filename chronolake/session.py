@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,12 +52,17 @@ def get_session(
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (local tests) a
-    folder is created and registered as the checkpoint dir.
+    The setting is read from the session. Unset, it is an error on a cluster, whose executors
+    see no folder that the driver could choose; with a ``local`` master, where all run in one
+    process, ``chronolake-checkpoints`` under the warehouse folder is used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="chronolake-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/chronolake-checkpoints"
+        sc.setCheckpointDir(base)
+    base = re.sub("^file:/(?!/)", "file:///", base)
     # Nothing is created here: Spark's writers create the folder on the shared file system.
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

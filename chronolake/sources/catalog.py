@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from chronolake import schemas as S
+from chronolake.sources.reading import or_empty
 
 _ENTRY_FIELDS = [f for f in S.CATALOG_SCHEMA.fields if f.name != "seq"]
 _READ_SCHEMA = T.StructType(_ENTRY_FIELDS + [T.StructField("seq", T.IntegerType())])
@@ -23,10 +23,7 @@ def catalog_path(root: str) -> str:
 
 def read_catalog(spark: SparkSession, root: str) -> DataFrame:
     """SRC14: all entries (empty, typed, when nothing is published yet)."""
-    try:
-        df = spark.read.schema(_READ_SCHEMA).json(catalog_path(root))
-    except AnalysisException:
-        df = spark.createDataFrame([], _READ_SCHEMA)
+    df = or_empty(spark, _READ_SCHEMA, lambda: spark.read.schema(_READ_SCHEMA).json(catalog_path(root)))
     return df.select(*S.CATALOG_SCHEMA.fieldNames())
 
 
@@ -53,3 +50,39 @@ def append_entry(spark: SparkSession, root: str, entry: dict) -> None:
     row = {f.name: entry.get(f.name) for f in S.CATALOG_SCHEMA.fields}
     df = spark.createDataFrame([row], S.CATALOG_SCHEMA).coalesce(1)
     df.drop("seq").write.mode("overwrite").json(f"{catalog_path(root)}/seq={entry['seq']}")
+
+
+# Which set of derived layers counts, and the thresholds they were made with: version v has
+# the folders silver_log_v<v> and gold_v<v> (version 0: without suffix). The row of a version
+# is written after its folders, so a rebuild that dies leaves the version before it in force.
+_RULES_SCHEMA = T.StructType(
+    [T.StructField("thresholds", T.MapType(T.StringType(), T.DoubleType())), T.StructField("version", T.IntegerType())]
+)
+
+
+def current_rules(spark: SparkSession, root: str) -> tuple[int, dict[str, float]]:
+    """The version of the derived layers in force and its thresholds (none: the defaults)."""
+    path = f"{root.rstrip('/')}/_rules"
+    rules = or_empty(spark, _RULES_SCHEMA, lambda: spark.read.schema(_RULES_SCHEMA).json(path))
+    rows = rules.orderBy(F.col("version").desc()).limit(1).collect()
+    return (rows[0]["version"], dict(rows[0]["thresholds"] or {})) if rows else (0, {})
+
+
+def publish_rules(spark: SparkSession, root: str, version: int, thresholds: dict[str, float]) -> None:
+    row = spark.createDataFrame([({k: float(v) for k, v in thresholds.items()}, version)], _RULES_SCHEMA)
+    row.coalesce(1).drop("version").write.mode("overwrite").json(f"{root.rstrip('/')}/_rules/version={version}")
+
+
+# Landing files that published snapshots were made from.
+_FILES_SCHEMA = T.StructType([T.StructField("file", T.StringType()), T.StructField("seq", T.IntegerType())])
+
+
+def record_files(spark: SparkSession, root: str, seq: int, files: DataFrame) -> None:
+    """``files`` (file) went into snapshot ``seq``; counts once that is in the catalog."""
+    files.select("file").write.mode("overwrite").parquet(f"{root.rstrip('/')}/_files/seq={seq}")
+
+
+def ingested_files(spark: SparkSession, root: str) -> DataFrame:
+    path = f"{root.rstrip('/')}/_files"
+    files = or_empty(spark, _FILES_SCHEMA, lambda: spark.read.schema(_FILES_SCHEMA).parquet(path))
+    return files.join(read_catalog(spark, root).select("seq"), "seq", "left_semi").select("file")

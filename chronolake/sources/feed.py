@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronolake import schemas as S
 from chronolake.functions import columns as C
 from chronolake.operators.topk import latest_per_station
+from chronolake.sources.reading import or_empty
 
 # Feed property name of each measure column (fixed values of the feed format).
 MEASURE_PROPERTIES = {
@@ -113,7 +115,7 @@ def resolve_station(
         dim = stations.select(
             F.col("station_id").alias("_requested"), F.col("station_name").alias("_dim_name")
         )
-        if dim.limit(broadcast_limit_rows + 1).count() <= broadcast_limit_rows:
+        if dim.count() <= broadcast_limit_rows:
             dim = F.broadcast(dim)
         rows = rows.join(dim, "_requested", "left")
         fallback = F.col("_dim_name")
@@ -127,20 +129,30 @@ def explode_documents(docs: DataFrame, text_col: str = "value") -> DataFrame:
     return docs.select("*", F.explode(F.coalesce(features, F.array().cast("array<string>"))).alias("feature"))
 
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """The documents under ``path``, by name only: their content is not read."""
+    schema = T.StructType([T.StructField("file", T.StringType())])
+    listed = or_empty(spark, schema, lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file")))
+    return listed
+
+
 def read_landing(
     spark: SparkSession,
     path: str,
     fetched_at: str,
-    limit: int | None = S.DEFAULT_LIVE_LIMIT,
+    limit: int | None = None,
     stations: DataFrame | None = None,
     station_ids: list[str] | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """SRC1 + SRC9 + SRC10: read every station document under ``path`` (files in parallel).
 
-    ``station_ids`` prunes ``station=`` folders at planning time; ``limit`` keeps the
-    newest observations per station, as the live service does.
+    ``files`` names the documents to read (one pull's) instead of all; ``station_ids`` prunes
+    ``station=`` folders at planning time; ``limit`` keeps the newest observations per
+    station, as the live service does. By default nothing that landed is left out.
     """
-    docs = spark.read.option("wholetext", "true").text(path)
+    reader = spark.read.option("wholetext", "true").option("basePath", path)
+    docs = reader.text(files if files is not None else path)
     if station_ids:
         docs = docs.where(F.col(STATION_PARTITION).isin(list(station_ids)))
     docs = docs.select(
@@ -199,8 +211,7 @@ def render_documents(
 
 
 def write_landing(docs: DataFrame, path: str) -> str:
-    """SNK1: land documents as text under ``station=<id>/`` (never merged or rewritten)."""
-    docs.select("value", STATION_PARTITION).write.mode("errorifexists").partitionBy(
-        STATION_PARTITION
-    ).text(path)
+    """SNK1: land documents under ``station=<id>/``, one to a file (never merged or rewritten)."""
+    out = docs.select("value", STATION_PARTITION).write.mode("append").option("maxRecordsPerFile", 1)
+    out.partitionBy(STATION_PARTITION).text(path)
     return path

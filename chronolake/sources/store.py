@@ -2,11 +2,12 @@
 
 Layout under ``root`` (any Hadoop file system path)::
 
-    raw/source=<name>/pull_ts=<yyyyMMddTHHmmssZ>/   landed pull, never merged
+    raw/source=<name>/pull_ts=<yyyyMMddTHHmmssZ>-<id>/   landed pull, never merged or replaced
     bronze_log/seq=<n>/                             rows first seen in snapshot n
     silver_log/seq=<n>/                             their silver flags
     gold/seq=<n>/                                   full gold of snapshot n + additive state
     _catalog/seq=<n>/                               catalog entry (written last = commit)
+    _rules/version=<v>/                             thresholds; which silver_log / gold counts
 
 Each writer overwrites only its own ``seq`` folder, so a retried refresh is idempotent;
 readers only trust catalogued ``seq`` values, so a half-written snapshot is invisible.
@@ -17,14 +18,15 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from chronolake import schemas as S
+from chronolake.sources.catalog import current_rules
+from chronolake.sources.reading import or_empty
 
 SEQ = T.StructField("seq", T.IntegerType())
 LOG_SCHEMA = T.StructType(S.BRONZE_SCHEMA.fields + S.LOG_EXTRA.fields + [SEQ])
@@ -34,7 +36,10 @@ GOLD_STORE_SCHEMA = T.StructType(S.GOLD_SCHEMA.fields + _STATE_ONLY + [SEQ])
 
 
 def pull_stamp(as_of: str) -> str:
-    return datetime.fromisoformat(as_of).strftime("%Y%m%dT%H%M%SZ")
+    """The instant in UTC, whatever the offset it is given in (none: UTC)."""
+    at = datetime.fromisoformat(as_of)
+    at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+    return at.strftime("%Y%m%dT%H%M%SZ")
 
 
 class LayerStore:
@@ -45,6 +50,7 @@ class LayerStore:
         """
         self.spark = spark
         self.root = root.rstrip("/")
+        self.version, self.thresholds = current_rules(spark, self.root)
         self.id_table = None
         buckets = id_buckets or self._existing_index_buckets()
         if buckets:
@@ -52,15 +58,20 @@ class LayerStore:
 
     # -- paths ---------------------------------------------------------------------
     def path(self, table: str, seq: int | None = None) -> str:
-        base = f"{self.root}/{table}"
+        suffix = f"_v{self.version}" if self.version and table in ("silver_log", "gold") else ""
+        base = f"{self.root}/{table}{suffix}"
         return base if seq is None else f"{base}/seq={seq}"
 
     # -- writes --------------------------------------------------------------------
-    def write_raw(self, raw: DataFrame, source_name: str, as_of: str) -> str:
-        """SNK1: land the pull as parsed (raw schema), never merged."""
-        path = f"{self.root}/raw/source={source_name}/pull_ts={pull_stamp(as_of)}"
-        raw.select(*S.RAW_COLUMNS).write.mode("overwrite").parquet(path)
-        return path
+    def write_raw(self, raw: DataFrame, source_name: str, as_of: str) -> tuple[str, int]:
+        """SNK1: land the pull as parsed (raw schema), never merged; its folder and row count.
+
+        Every pull has a folder of its own, so pulls of one second never replace each other.
+        """
+        path = f"{self.root}/raw/source={source_name}/pull_ts={pull_stamp(as_of)}-{uuid.uuid4().hex[:8]}"
+        seen = Observation(f"landed-{uuid.uuid4().hex[:8]}")
+        raw.select(*S.RAW_COLUMNS).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return path, seen.get["rows"]
 
     def _write_seq(self, table: str, seq: int, df: DataFrame, schema: T.StructType) -> str:
         cols = [f.name for f in schema.fields if f.name != "seq"]
@@ -83,10 +94,7 @@ class LayerStore:
 
     # -- reads ---------------------------------------------------------------------
     def _read(self, table: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        return or_empty(self.spark, schema, lambda: self.spark.read.schema(schema).parquet(self.path(table)))
 
     def log(self) -> DataFrame:
         return self._read("bronze_log", LOG_SCHEMA)
@@ -106,10 +114,9 @@ class LayerStore:
         return f"{self.root}/id_index"
 
     def _existing_index_buckets(self) -> int | None:
-        try:
-            marker = self.spark.read.text(f"{self._index_path()}/_buckets").first()
-        except AnalysisException:
-            return None
+        path = f"{self._index_path()}/_buckets"
+        schema = T.StructType([T.StructField("value", T.StringType())])
+        marker = or_empty(self.spark, schema, lambda: self.spark.read.text(path)).first()
         return int(marker[0]) if marker else None
 
     def _register_id_index(self, buckets: int) -> None:
@@ -142,8 +149,11 @@ class LayerStore:
             self.spark.catalog.dropTempView(view)
 
     def _index_covers(self, seq: int) -> bool:
-        parts = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.id_table}").collect()}
-        return all(f"seq={n}" in parts for n in range(1, seq + 1))
+        # One row for each published snapshot at most, counted where it is listed.
+        self.spark.sql(f"ALTER TABLE {self.id_table} RECOVER PARTITIONS")
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.id_table}")
+        number = F.regexp_extract("partition", r"seq=(\d+)", 1).cast("int")
+        return listed.where(number.between(1, seq)).count() == seq
 
     def history_ids(self, seq: int, from_date: str | None = None) -> DataFrame:
         """Ids of ``bronze(T_seq)``: partition-pruned, one column read.

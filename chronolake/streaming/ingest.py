@@ -1,20 +1,20 @@
 """STR1: repeated, idempotent ingestion of overlapping pulls with Structured Streaming.
 
-The raw landing folder (``raw/source=<name>/pull_ts=<stamp>/``, written by SNK1 or by an
-upstream lander) is a file stream. Each micro-batch is split by ``pull_ts`` and every pull
-is published, oldest first, as its own snapshot through the same merge as the batch job
-(anti-join to history, keep-first, append to the log). Deduplication lives in the log,
-not in a state store: lateness is unbounded, so a watermark would change results.
-
-Exactly-once: the catalog records each published pull (``raw_path``) and micro-batch
-(``batch_id``); a replayed batch after a failure skips pulls already published, and the
-stream checkpoint sits in the shared store next to the tables.
+Landing a pull writes its rows to a folder of its own and then, when they are complete, one
+line to ``landed/source=<name>/``: the pull's folder, time and stations. That small folder is
+the stream; so a pull is seen whole or not at all, however many files it has, however few
+files a trigger takes, and whenever the trigger fires. Each announced pull is read by its
+path, once, and published oldest first through the same merge as the batch job (keep-first,
+anti-join to history, append to the log). A pull landed again is a folder and an
+announcement of its own: its late or changed rows are the next increment.
+
+Deduplication lives in the log, not in a state store: lateness is unbounded, so a watermark
+would change results. Exactly-once: the catalog records each published pull (``raw_path``)
+and micro-batch (``batch_id``); a replayed batch skips pulls already published.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,45 +22,59 @@ from pyspark.sql import types as T
 from chronolake import schemas as S
 from chronolake.plans.snapshot import build_snapshot
 from chronolake.sources import catalog as CAT
+from chronolake.sources.store import LayerStore
+
+LANDED_SCHEMA = T.StructType(
+    [
+        T.StructField("raw_path", T.StringType()),
+        T.StructField("as_of", T.StringType()),
+        T.StructField("station_ids", T.ArrayType(T.StringType())),
+    ]
+)
+
 
-PULL_COLUMN = "pull_ts"
-LANDING_SCHEMA = T.StructType(S.RAW_SCHEMA.fields + [T.StructField(PULL_COLUMN, T.StringType())])
+def landed_dir(root: str, source_name: str) -> str:
+    return f"{root.rstrip('/')}/landed/source={source_name}"
 
 
-def as_of_from_stamp(stamp: str) -> str:
-    """``20240111T000000Z`` -> ``2024-01-11T00:00:00+00:00``."""
-    return datetime.strptime(stamp, "%Y%m%dT%H%M%SZ").replace(tzinfo=timezone.utc).isoformat()
+def announce_pull(
+    spark: SparkSession, root: str, raw_path: str, as_of: str, source_name: str, station_ids: list[str] | None = None
+) -> None:
+    """Says that the pull under ``raw_path`` is complete. For landers that write the rows themselves."""
+    row = spark.createDataFrame([(raw_path, as_of, list(station_ids or []))], LANDED_SCHEMA)
+    row.coalesce(1).write.mode("append").json(landed_dir(root, source_name))
 
 
-def landing_dir(root: str, source_name: str) -> str:
-    return f"{root.rstrip('/')}/raw/source={source_name}"
+def land_pull(
+    spark: SparkSession, root: str, raw: DataFrame, as_of: str, source_name: str, station_ids: list[str] | None = None
+) -> str:
+    """Upstream side: land one pull (SNK1) and announce it."""
+    path, _ = LayerStore(spark, root).write_raw(raw, source_name, as_of)
+    announce_pull(spark, root, path, as_of, source_name, station_ids)
+    return path
 
 
-def publish_batch(
-    spark: SparkSession, root: str, source_name: str, batch: DataFrame, batch_id: int
-) -> list[dict]:
-    """foreachBatch body: one snapshot per pull in the batch, oldest pull first."""
-    stamps = sorted(r[0] for r in batch.select(PULL_COLUMN).distinct().collect())  # a few pulls
-    published = {
-        r["raw_path"]
-        for r in CAT.read_catalog(spark, root).select("raw_path").collect()  # one row per snapshot
-    }
+def publish_batch(spark: SparkSession, root: str, source_name: str, batch: DataFrame, batch_id: int) -> list[dict]:
+    """foreachBatch body: one snapshot per announced pull, oldest first."""
+    pulls = sorted(batch.collect(), key=lambda r: (r.as_of, r.raw_path))  # announcements, not rows
+    paths = [p.raw_path for p in pulls]
+    known = CAT.read_catalog(spark, root).where(F.col("raw_path").isin(paths)).select("raw_path").collect()
+    published = {r.raw_path for r in known}
     entries = []
-    for stamp in stamps:
-        path = f"{landing_dir(root, source_name)}/{PULL_COLUMN}={stamp}"
-        if path in published:
-            continue  # replayed batch: this pull is already a snapshot
-        rows = batch.where(F.col(PULL_COLUMN) == stamp).drop(PULL_COLUMN)
-        entry = build_snapshot(
+    for pull in pulls:
+        if pull.raw_path in published:
+            continue  # a replayed batch: this pull is a snapshot already
+        _, entry = build_snapshot(
             spark,
-            rows,
+            spark.read.schema(S.RAW_SCHEMA).parquet(pull.raw_path),
             root,
-            as_of_from_stamp(stamp),
+            pull.as_of,
             source_name=source_name,
+            station_ids=pull.station_ids,
             batch_id=batch_id,
-            landed_path=path,
+            landed_path=pull.raw_path,
         )
-        if entry is not None:  # None: the pull brought no new id (NO_CHANGE)
+        if entry is not None:
             entries.append(entry)
     return entries
 
@@ -71,13 +85,13 @@ def start_ingest(
     source_name: str = S.DEFAULT_SOURCE_NAME,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_pulls_per_trigger: int | None = None,
 ):
-    """Start the stream; ``available_now`` drains what has landed and stops."""
-    reader = spark.readStream.schema(LANDING_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(landing_dir(root, source_name))
+    """Start the stream; ``available_now`` drains what has been announced and stops."""
+    reader = spark.readStream.schema(LANDED_SCHEMA)
+    if max_pulls_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_pulls_per_trigger)
+    stream = reader.json(landed_dir(root, source_name))
     writer = stream.writeStream.foreachBatch(
         lambda df, batch_id: publish_batch(spark, root, source_name, df, batch_id)
     ).option("checkpointLocation", f"{root.rstrip('/')}/_checkpoints/ingest-{source_name}")
@@ -88,13 +102,6 @@ def start_ingest(
     return writer.start()
 
 
-def land_pull(spark: SparkSession, root: str, raw: DataFrame, as_of: str, source_name: str) -> str:
-    """Upstream side: land one pull where the stream picks it up (SNK1 layout)."""
-    from chronolake.sources.store import LayerStore
-
-    return LayerStore(spark, root).write_raw(raw, source_name, as_of)
-
-
 def main(argv: list[str] | None = None) -> None:
     """``python -m chronolake.streaming.ingest --root <store> [--every '1 hour']``."""
     import argparse

@@ -33,6 +33,6 @@ def test_keep_first_and_flag_match_brute_force(spark, rows):
     assert got == want
     flagged = flag_first_distinct(df, "k", ["pull", "t", "s"], ("s",)).collect()
     assert sum(r.copies for r in flagged) == len(rows)          # every row kept, as copies
-    firsts = {r.k: (r.pull, r.t, r.s, r.v) for r in flagged if r.is_first}
-    assert firsts == want                                        # exactly one flag per key
+    firsts = {r.k: (r.pull, r.t, r.s) for r in flagged if r.is_first}
+    assert firsts == {k: w[:3] for k, w in want.items()}         # rows that tie may stand for each other
     assert sum(r.is_first for r in flagged) == len(want)

@@ -88,15 +88,20 @@ def test_refresh_if_due_outcomes(spark, workdir):
     landing = FD.write_landing(FD.render_documents(feats, F.col("_page")), f"{workdir}/landing")
     root = f"{workdir}/store"
     first = refresh_if_due(spark, root, landing, now="2024-02-01T00:00:00+00:00")
-    assert first["status"] == "CREATED"
-    assert first["snapshot"]["row_counts"]["bronze"] == 3 * S.DEFAULT_LIVE_LIMIT
+    assert first.status == "CREATED" and first.dropped == 0
+    assert first.entry["row_counts"]["bronze"] == obs.count()  # all that landed
     not_due = refresh_if_due(spark, root, landing, now="2024-02-01T12:00:00+00:00")
-    assert not_due["status"] == "SKIPPED_NOT_DUE"
+    assert not_due.status == "SKIPPED_NOT_DUE"
     same = refresh_if_due(spark, root, landing, now="2024-02-01T12:00:00+00:00", force=True)
-    assert same["status"] == "NO_CHANGE"
-    more = refresh_if_due(spark, root, landing, now="2024-02-02T00:00:00+00:00", limit=100)
-    assert more["status"] == "CREATED" and more["snapshot"]["snapshot_id"] == "T2"
-    assert more["snapshot"]["metrics"]["rows_processed"] == 3 * (100 - S.DEFAULT_LIVE_LIMIT)
+    assert same.status == "SKIPPED"  # no new document: nothing is read again
+    # On request only the newest of some stations are published, and the rest is counted.
+    other = f"{workdir}/other"
+    few = refresh_if_due(spark, other, landing, "2024-02-02T00:00:00+00:00", ["KJFK", "KSEA"], limit=10)
+    assert few.entry["metrics"]["rows_processed"] == 20 and few.dropped == obs.count() - 20
+    # A document that lands later is the next pull; known rows in it change nothing.
+    FD.write_landing(FD.render_documents(feats.where("_page = 1"), F.col("_page")), landing)
+    again = refresh_if_due(spark, root, landing, now="2024-02-03T00:00:00+00:00")
+    assert again.status == "NO_CHANGE"
 
 
 def test_refresh_cli(spark, workdir):
@@ -106,7 +111,7 @@ def test_refresh_cli(spark, workdir):
     obs = obs.withColumn(FD.STATION_PARTITION, F.col("station_id"))
     feats = FD.render_features(obs.withColumn("_page", F.floor(F.col("event_id") / 72)), extra=("_page",))
     landing = FD.write_landing(FD.render_documents(feats, F.col("_page")), f"{workdir}/landing")
-    args = ["--root", f"{workdir}/store", "--landing", landing, "--now", "2024-02-01T00:00:00+00:00"]
-    assert main(args)["status"] == "CREATED"
-    assert main(args)["status"] == "SKIPPED_NOT_DUE"
-    assert main(args + ["--force"])["status"] == "NO_CHANGE"
+    args = [f"{workdir}/store", landing, "--at", "2024-02-01T00:00:00+00:00"]
+    assert main(args).status == "CREATED"
+    assert main(args).status == "SKIPPED_NOT_DUE"
+    assert main(args + ["--older-than", "0"]).status == "SKIPPED"

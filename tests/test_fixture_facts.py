@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from chronolake.plans import registered as R
-from chronolake.plans.fixture_log import fixture_log
 from chronolake.sources import fixture as FX
 
 FACTS = {
@@ -23,17 +22,15 @@ def test_fixture_facts(spark, sf):
     want, sf_dir = FACTS[sf], f"/root/testdata/{sf}"
     events = FX.read_events(spark, sf_dir)
     assert [r[1] for r in FX.pulls(events).groupBy("pull").count().orderBy("pull").collect()] == want["pulls"]
-    log = fixture_log(events).cache()
-    try:
-        assert [r[1] for r in log.groupBy("seq").agg(F.sum("copies")).orderBy("seq").collect()] == want["seq"]
-        assert [R.layer_as_of(log, "bronze", n).count() for n in (1, 2, 3)] == want["bronze"]
-        assert [R.layer_as_of(log, "gold", n).count() for n in (1, 2, 3)] == want["gold"]
-        g3 = R.layer_as_of(log, "gold", 3)
-        assert g3.where("station_id IS NULL").count() == want["null_station"]
-        assert g3.where("new_records > rows_processed").count() == want["fanout"]
-        s3 = R.layer_as_of(log, "silver", 3).groupBy("quality_flag", "anomaly_flag").count()
-        assert [r[2] for r in s3.orderBy("quality_flag", "anomaly_flag").collect()] == want["silver"]
-    finally:
-        log.unpersist()
+    ex = R.published(spark, sf_dir)
+    log = ex.store.log()
+    assert [r[1] for r in log.groupBy("seq").agg(F.sum("copies")).orderBy("seq").collect()] == want["seq"]
+    assert [ex.as_of("bronze", f"T{n}").count() for n in (1, 2, 3)] == want["bronze"]
+    assert [ex.as_of("gold", f"T{n}").count() for n in (1, 2, 3)] == want["gold"]
+    g3 = ex.as_of("gold", "T3")
+    assert g3.where("station_id IS NULL").count() == want["null_station"]
+    assert g3.where("new_records > rows_processed").count() == want["fanout"]
+    s3 = ex.as_of("silver", "T3").groupBy("quality_flag", "anomaly_flag").count()
+    assert [r[2] for r in s3.orderBy("quality_flag", "anomaly_flag").collect()] == want["silver"]
     assert E.queries()["compare_gold"](spark, sf_dir).count() == want["compare"]
     assert E.queries()["new_records_bronze_except"](spark, sf_dir).count() == want["new"]

@@ -8,9 +8,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from chronolake.plans import registered as R
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(R.QUERIES)
 
 
 def _canon(v):
@@ -39,7 +40,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(R.QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
