@@ -19,6 +19,8 @@ from .common import cut, text_of, words
 from .quality_rules import with_counts
 
 FEATURES, RIDGE, SEED = 256, 1e-4, 11
+#: Statistics of a document.
+STATISTICS = 15
 #: Labelled rows that are learned from, at most (chosen by hash); the fit is no better with more.
 TRAIN_ROWS = 400_000
 #: Partitions that the training rows are spread over, and bins of the ridge score that isotonic regression sees.
@@ -154,9 +156,8 @@ def fit(described: DataFrame, labels: DataFrame) -> Model:
     stats = held.agg(
         F.count("*").alias("n"),
         F.avg("y").alias("y"),
-        F.first(F.size("x")).alias("d"),
     ).first()
-    d = stats.d or 1
+    d = STATISTICS
     per = held.agg(*[f(F.col("x")[i]).alias(f"{n}{i}") for i in range(d) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first() if stats.n else None
     model = Model(
         np.array([per[f"m{i}"] for i in range(d)]) if per else np.zeros(d), np.array([per[f"s{i}"] for i in range(d)]) if per else np.ones(d)
