@@ -24,12 +24,13 @@ from .common import cut, text_of
 
 LENGTH = 2048
 END = b"\0\0\0\0"
-#: Pieces to a group, and bins in a row that the search may fail to empty before it stops.
-GROUP_ROWS, FAILURES = 20_000, 8
+#: Pieces to a group; bins in a row that the search may fail to empty before it stops; least filled bins that
+#: give to fuller ones when the bin to be emptied cannot.
+GROUP_ROWS, FAILURES, WIDTH = 20_000, 8, 32
 #: Sequences filled less than this are pooled for another round.
 FULL = 0.99
-#: Words (and parts of words) whose ids a Python worker remembers.
-REMEMBERED = 300_000
+#: Words (and parts of words) whose ids a Python worker remembers: about 250 MB at the most.
+REMEMBERED = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -59,8 +60,6 @@ class Encoder:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn_parts(self, new: list[str]) -> None:
-        if len(self.parts) + len(new) > REMEMBERED:
-            self.parts = {}
         ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(new):
@@ -71,24 +70,35 @@ class Encoder:
             self.parts[part] = data[start:stop]
             start = stop
 
+    def _parts(self, text: str) -> list[str] | None:
+        """The tokenizer's parts of a word, or None if it isn't plain."""
+        if text.isascii():
+            if text.isalpha():
+                return [text.lower()]
+            if not text.isprintable() or "<|" in text or "</w>" in text:
+                return None
+        elif not self.plain(text):
+            return None
+        return self.parts_of(text.lower())
+
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words = {}
-        cut_up: list[tuple[bytes, list[str]]] = []
+        if len(self.parts) > REMEMBERED:
+            self.parts = {}
+        held, words, fresh, cut_up = self.parts, self.words, {}, []
         for word in new:
             text = word.decode()
-            if self.plain(text) and "<|" not in text and "</w>" not in text:
-                cut_up.append((word, self.parts_of(text.lower())))
+            parts = self._parts(text)
+            if parts is None:
+                words[word] = self._ids(text)
             else:
-                self.words[word] = self._ids(text)
-        held = self.parts
-        fresh = list(dict.fromkeys(p for _, parts in cut_up for p in parts if p not in held))
-        known = {p: held[p] for _, parts in cut_up for p in parts if p in held}
+                cut_up.append((word, parts))
+                for p in parts:
+                    if p not in held:
+                        fresh[p] = None
         if fresh:
-            self._learn_parts(fresh)
-        known.update((p, self.parts[p]) for p in fresh)
+            self._learn_parts(list(fresh))
         for word, parts in cut_up:
-            self.words[word] = b"".join([known[p] for p in parts])
+            words[word] = held[parts[0]] if len(parts) == 1 else b"".join([held[p] for p in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -96,10 +106,10 @@ class Encoder:
         held = self.words
         new = list({w for s in split for w in s if w not in held})
         if len(held) + len(new) > REMEMBERED:
+            self.words = held = {}
             new = list({w for s in split for w in s})
         if new:
             self._learn(new)
-        held = self.words
         return [b"".join([held[w] for w in s]) for s in split]
 
 
@@ -170,6 +180,8 @@ def swap_search(lengths: list[int], bins: list[list[int]], size: int, failures:
     gone: set[int] = set()
     failed = 0
     for giver in under:
+        if giver in gone:
+            continue
         if len(bins) - len(gone) <= least or failed >= failures:
             break
         takers = [b for b in under if b != giver and b not in gone and fill[giver] <= fill[b] < size]
@@ -179,26 +191,33 @@ def swap_search(lengths: list[int], bins: list[list[int]], size: int, failures:
         saved = {b: list(bins[b]) for b in (giver, *takers)}
         filled = {b: fill[b] for b in saved}
         while bins[giver]:
-            step = _best_step(lengths, bins, fill, giver, takers, size)
+            step = _best_step(lengths, bins, fill, giver, [b for b in takers if fill[giver] <= fill[b]], size)
+            source = giver
+            if step is None:  # make room for the giver's documents among the others
+                for source in sorted(takers, key=fill.__getitem__)[:WIDTH]:
+                    fuller = [b for b in takers if b != source and fill[source] <= fill[b] < size]
+                    if step := _best_step(lengths, bins, fill, source, fuller, size):
+                        break
             if step is None:
                 break
             taker, out, back = step
             for i in out:
-                bins[giver].remove(i)
+                bins[source].remove(i)
             for i in back:
                 bins[taker].remove(i)
-            bins[giver] += back
+            bins[source] += back
             bins[taker] += out
             moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-            fill[giver] -= moved
+            fill[source] -= moved
             fill[taker] += moved
-        if bins[giver]:
+            takers = [b for b in takers if bins[b]]
+        if bins[giver] and not any(not bins[b] for b in saved):
             failed += 1
             for b in saved:
                 bins[b], fill[b] = saved[b], filled[b]
         else:
             failed = 0
-            gone.add(giver)
+            gone.update(b for b in saved if not bins[b])
     return [b for b in bins if b]
 
 
@@ -257,7 +276,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
     )
     done, left = [whole], pieces.where(F.col("length") < length)
     rows, schema = left.count(), f"{PIECES}, row long, grp long, bin long, offset long, fill long"
-    for level in range(64):
+    opened = None
+    for level in range(63):
         groups = max(1, -(-rows // group_rows))
 
         def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -265,20 +285,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
 
         dealt = left.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(groups)))
         packed = cut(dealt.groupBy("grp").applyInPandas(fit, schema))
-        last = groups == 1
-        shut = packed if last else packed.where(F.col("fill") >= FULL * length)
         number = F.lit(level) * F.lit(2**56) + F.col("grp") * F.lit(2**24) + F.col("bin")
-        done.append(shut.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset"))
-        if last:
-            break
-        left = packed.where(F.col("fill") < FULL * length).select(*pieces.columns)
-        before, rows = rows, left.count()
-        if rows == 0:
-            break
-        if rows > 0.5 * before:  # what cannot be filled better in any group is left as it is
-            number = F.lit(level) * F.lit(2**56) + F.col("grp") * F.lit(2**24) + F.col("bin")
-            done[-1] = packed.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset")
+        placed = packed.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset")
+        under = F.col("fill") < FULL * length
+        found = packed.where(under).agg(F.count("*").alias("rows"), F.count_distinct("grp", "bin").alias("bins")).first()
+        # Another round helps as long as it leaves fewer underfull sequences than the one before.
+        if groups == 1 or not found.rows or (opened is not None and found.bins >= opened):
+            done.append(placed)
             break
+        shut = packed.where(~under)
+        done.append(shut.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset"))
+        left, rows, opened = packed.where(under).select(*pieces.columns), found.rows, found.bins
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
