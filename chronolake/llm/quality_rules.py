@@ -85,6 +85,15 @@ def with_counts(docs: DataFrame, name: str = "_q") -> DataFrame:
     )
 
 
+def settled(counted: DataFrame, name: str = "_q") -> DataFrame:
+    """The same rows, with counts that filters may use: filters are not moved below an explode.
+
+    Below the projections of with_counts they would repeat each expression for each use of it.
+    """
+    others = [F.col(f"`{c}`") for c in counted.columns if c != name]
+    return counted.select(*others, F.explode(F.array(name)).alias(name))
+
+
 def base_failed(q: Column) -> Column:
     return (q["n_words"] < MIN_WORDS) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
@@ -195,6 +204,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns; counts are made anew rather than joined to texts."""
-    measured = with_counts(docs.select("doc_id", "text", "lang")).select("doc_id", "lang", "_q")
+    measured = settled(with_counts(docs.select("doc_id", "text", "lang")).select("doc_id", "lang", "_q"))
     cuts = cutoffs(measured, labels)
-    return judged(with_counts(docs), cuts).where("_kept").select(*docs.columns)
+    return judged(settled(with_counts(docs)), cuts).where("_kept").select(*docs.columns)
