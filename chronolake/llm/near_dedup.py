@@ -147,20 +147,36 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, root: the least node that a chain of links (a, b) leads to, for every linked node.
+    """node, root: a node that stands for all that a chain of links (a, b) connects, for every linked node.
 
-    Each round takes the least root among the neighbours and then the root's own root, until none changes.
+    Each round sends every node to its least neighbour and on to that one's, then joins the links'
+    ends into their roots and drops links whose ends have become one: what is left shrinks each time.
     """
-    ways = cut(links.select("a", "b").union(links.select("b", "a")).distinct())
-    roots = cut(ways.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
-    while True:
-        near = ways.join(roots.select(F.col("node").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
-        reached = cut(roots.join(near, "node").select("node", "root", F.least("root", "r").alias("r")))
-        jump = reached.select(F.col("node").alias("r"), F.col("r").alias("s"))
-        new = cut(reached.join(jump, "r").select("node", F.least("r", "s").alias("root"), (F.least("r", "s") != F.col("root")).alias("moved")))
-        roots = new.select("node", "root")
-        if new.where("moved").isEmpty():
-            return roots
+    edges = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    roots = None
+    while roots is None or not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        near = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select("node", F.least("node", "n").alias("up")))
+        step = near.join(near.select(F.col("node").alias("up"), F.col("up").alias("over")), "up")
+        step = cut(step.select("node", F.least("up", "over").alias("root")))
+        if roots is None:
+            roots = step
+        else:
+            onwards = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            roots = cut(roots.join(onwards, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+        ends = edges.join(step.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
+        ends = ends.join(step.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
+        edges = cut(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+    return roots
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots after more links: only the classes that these connect are looked at again."""
+    across = cut(_apart(links, roots).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    onwards = components(across).select(F.col("node").alias("root"), F.col("root").alias("next"))
+    alone = onwards.join(roots.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("next").alias("root"))
+    moved = roots.join(onwards, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return cut(moved.union(alone))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -201,12 +217,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
         .where(F.unhex(F.md5("t")) == F.col("node"))
     )
     first = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-    links = cut(verified(first, texts))
-    roots = components(links)
+    roots = components(verified(first, texts))
     apart = cut(_apart(met.select("a", "b").join(first, ["a", "b"], "left_anti"), roots))
     if not apart.isEmpty():
-        links = cut(links.union(verified(apart.select("a", "b"), texts)))
-        roots = components(links)
+        roots = _merged(roots, cut(verified(apart.select("a", "b"), texts)))
     # Buckets of several classes: nodes still apart from their leader meet again where they share two bands.
     still = cut(_apart(met.select("a", "b"), roots).select(F.col("b").alias("node")).distinct())
     if not still.isEmpty():
@@ -218,8 +232,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
         pairs = _stars(twice, F.xxhash64("node", "key")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         more = cut(_apart(pairs.join(met.select("a", "b"), ["a", "b"], "left_anti"), roots))
         if not more.isEmpty():
-            links = cut(links.union(verified(more.select("a", "b"), texts)))
-            roots = components(links)
+            roots = _merged(roots, cut(verified(more.select("a", "b"), texts)))
     class_of = cut(nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")))
     sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
     classes = cut(class_of.join(sizes, "node").groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")))
