@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
-
 ROUNDS = 8
 #: Formats, in the order in which they are tried at a place.
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
@@ -22,7 +20,7 @@ DATE_SLASH = r"(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])"
 SSN = r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
 CARD = r"(?<![\w.\-])\d(?:[ \-]?\d){12,18}(?![\w\-])"
-PHONE = r"(?<![\w+\-])(?:\+?1[ .\-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])\d{3}[ .\-]\d{4}(?![\w\-])"
+PHONE = r"(?<![\w+\-])(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?|[2-9]\d{2}[ .\-])\d{3}[ .\-]\d{4}(?![\w\-])"
 PHONE_PLUS = r"(?<![\w+])\+[1-9](?:[ .\-]?\d){8,14}(?!\w)"
 PATTERN = "|".join((EMAIL, DATE_ISO, DATE_DOT, DATE_SLASH, SSN, IPV4, PHONE, CARD, PHONE_PLUS))
 #: The Gregorian calendar repeats after 146,097 days, 27 times 5,411: dates are permuted within these years.
@@ -221,13 +219,18 @@ def _card(value: Column, key: str, back: bool) -> Column:
 
 
 def _phone(value: Column, key: str, back: bool) -> Column:
-    """The last ten digits, with an area code that never begins with 0 or 1; other digits stay."""
+    """The last ten digits; other digits stay.
+
+    Area codes from 200 on are permuted among themselves, and so are those below, which no exchange
+    gives out but which are written as numbers all the same where the area stands in brackets.
+    """
 
     def moved(d: Column) -> Column:
         head, ten = F.substr(d, F.lit(1), F.length(d) - 10), F.substr(d, F.length(d) - 9)
-        a = F.substr(ten, F.lit(1), F.lit(5)).cast("long") - 20_000
-        pair = feistel(a, F.substr(ten, F.lit(6)).cast("long"), F.lit(80_000), F.lit(100_000), F.lit("phone"), key, back)
-        return let(pair, lambda p: _refill(value, F.concat(head, (p["a"] + 20_000).cast("string"), _pad(p["b"], 5))))
+        first = F.substr(ten, F.lit(1), F.lit(5)).cast("long")
+        low, size = F.when(first < 20_000, 0).otherwise(20_000), F.when(first < 20_000, 20_000).otherwise(80_000)
+        pair = feistel(first - low, F.substr(ten, F.lit(6)).cast("long"), size.cast("long"), F.lit(100_000), F.concat(F.lit("phone"), low.cast("string")), key, back)
+        return let(pair, lambda p: _refill(value, F.concat(head, _pad(p["a"] + low, 5), _pad(p["b"], 5))))
 
     return let(_digits(value), moved)
 

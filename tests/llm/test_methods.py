@@ -4,7 +4,7 @@ import json
 import math
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -197,7 +197,7 @@ def test_chat_round_trip(spark):
 
 def test_pseudonyms_keep_format_and_link(spark):
     texts = [
-        "call +1 (456) 555-2186 or 456-555-2186, write bosbt.42@mail8.example.com",
+        "call +1 (456) 555-2186 or 456-555-2186 or +1 (017) 555-7713, write bosbt.42@mail8.example.com",
         "card 4944339490429605, 4944 3394 9042 9605, not 4944339490429606",
         "born 1987-02-28, 28.02.1987, 02/28/1987, not 1987-02-30; 123-45-6789, not 000-12-1234",
         "at 89.189.210.185, not 999.1.1.1 or 1.2.3.4.5; +49 151 12345678; long.local.part.of.thirty.two.x@a.bc",
@@ -206,9 +206,10 @@ def test_pseudonyms_keep_format_and_link(spark):
     done = pii.pseudonymise(df, "k").orderBy("doc_id")
     rows = done.collect()
     given = {p.found: p.given for r in rows for p in r.pii}
-    assert len(given) == 12 and all(a != b for a, b in given.items())
+    assert len(given) == 13 and all(a != b for a, b in given.items())
     assert re.fullmatch(r"\+1 \([2-9]\d\d\) \d{3}-\d{4}", given["+1 (456) 555-2186"])
     assert re.sub(r"\D", "", given["+1 (456) 555-2186"])[1:] == re.sub(r"\D", "", given["456-555-2186"])
+    assert re.fullmatch(r"\+1 \([01]\d\d\) \d{3}-\d{4}", given["+1 (017) 555-7713"])
     assert given["4944 3394 9042 9605"].replace(" ", "") == given["4944339490429605"]
     assert given["1987-02-28"] == "-".join(given["28.02.1987"].split(".")[::-1])
     for kept in ("4944339490429606", "1987-02-30", "000-12-1234", "999.1.1.1", "1.2.3.4.5"):
