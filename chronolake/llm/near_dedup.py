@@ -188,9 +188,9 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _stars(keys: DataFrame, least: Column) -> DataFrame:
-    """Every node of a key with the key's leader: as many pairs as rows, however large the bucket."""
+    """key, leader and node for every node of a key that has others: as many rows as nodes, however large the bucket."""
     leaders = cut(keys.groupBy("key").agg(F.min_by("node", least).alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    return keys.join(leaders, "key").where("a <> node").select("key", "a", F.col("node").alias("b"))
+    return keys.join(leaders, "key").select("key", "a", F.col("node").alias("b"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -207,7 +207,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     rows = cut(sketched(docs))
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")
-    met = cut(_stars(keys, F.col("node")).groupBy("a", "b").agg(F.count("*").alias("n")))
+    shared = cut(_stars(keys, F.col("node")))
+    met = cut(shared.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n")))
     wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct().join(nodes.select("node", "rep"), "node")
     wanted = wanted.select(F.col("node").alias("_node"), F.col("rep").alias("_rep"))
     texts = cut(
@@ -224,12 +225,13 @@ def near_classes(docs: DataFrame) -> DataFrame:
     # Buckets of several classes: nodes still apart from their leader meet again where they share two bands.
     still = cut(_apart(met.select("a", "b"), roots).select(F.col("b").alias("node")).distinct())
     if not still.isEmpty():
-        again = nodes.join(still, "node").select("node", "bands")
-        twice = again.select("node", F.posexplode("bands").alias("i", "v"), "bands").select(
-            "node", "i", "v", F.posexplode("bands").alias("j", "u")
-        )
-        twice = twice.where("i < j").select(F.xxhash64("i", "v", "j", "u").alias("key"), "node")
-        pairs = _stars(twice, F.xxhash64("node", "key")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        # Only bands that a node shares with others count, so there are few pairs of them.
+        bands = shared.withColumnRenamed("b", "node").join(still, "node").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("k"))
+        twice = bands.select("node", "k", F.posexplode("k").alias("i", "one"))
+        twice = twice.select("node", "one", F.explode(F.slice("k", F.col("i") + 2, F.size("k"))).alias("two"))
+        twice = cut(twice.select(F.xxhash64("one", "two").alias("key"), "node"))
+        pairs = _stars(twice, F.xxhash64("node", "key")).where("a <> b")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         more = cut(_apart(pairs.join(met.select("a", "b"), ["a", "b"], "left_anti"), roots))
         if not more.isEmpty():
             roots = _merged(roots, cut(verified(more.select("a", "b"), texts)))
