@@ -26,7 +26,6 @@ from chronolake.plans.refresh import refresh_if_due, refresh_snapshot
 from chronolake.session import shared_dir
 from chronolake.sources import feed as FD
 from chronolake.sources import fixture as FX
-from chronolake.sources.store import LayerStore
 from chronolake.streaming import ingest
 
 PREVIOUS, CURRENT = 2, 3

@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from chronolake.plans import registered as R  # noqa: E402
 from chronolake.session import get_session  # noqa: E402
 
 PATTERNS = {
@@ -33,23 +33,16 @@ PATTERNS = {
 }
 
 
-NOTES = """Where the shuffles come from (registered queries derive everything from `events`):
+NOTES = """Where the shuffles come from (queries on snapshots read a store that the refresh job
+published, so they are scans of its tables plus what the query itself needs):
 
-* **Fixture log** (every snapshot query): 3 shuffles -- distinct rows with their copy
-  count (grouped by all columns, partial aggregation first, so a group of identical rows
-  collapses map-side), the first row per id (partial `min` over an order struct), and the
-  join of the distinct rows back to their id's first row (AQE splits a hot id). Keeping
-  partial aggregation in front of every exchange is why this is 3 and not 1 shuffle:
-  `repartition(id)` first would save two exchanges but send a hot id to one task.
-* **Gold**: +1 aggregate (partial + final) and +1 small window (new counts summed over
-  names). Pair queries (T2 vs T3) reuse the log's exchanges (`reused` column).
-* **Catalog views**: +1 aggregate of the log into a (seq x day x station x name) table,
-  then windows and running sums over a few rows (`single-partition` exchanges of a
-  handful of rows).
+* **Layers** (`bronze_*`, `silver_*`, `gold_*`): partition-pruned scans, no shuffle.
 * **Log rewrites** (`new_records_bronze`, `new_records_silver`): the log alone, no
   anti-join; compare with the `*_except` variants, which anti-join two snapshots.
-* **On-disk paths** (`refresh_replay_*`, `stream_replay_*`): the query itself is a
-  partition-pruned scan of the written store (the refreshes ran as separate jobs).
+* **Gold comparisons**: one shuffle for each of the two small gold tables.
+* **`incremental_t3`**: keep-first (partial `min` before the exchange), then the anti-join to
+  history by broadcast, by one shuffle, or against the bucketed id index.
+* **`gold_all_snapshots`**: one aggregate of the log and two windows over its small result.
 """
 
 
@@ -72,7 +65,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     cols = list(PATTERNS)
     print("# Plan report\n")
-    print(f"Executed (AQE final) plans of every registered query at `{sf_dir}` with broadcast")
+    print(f"Executed (AQE final) plans of every registered query of the reference's operators at `{sf_dir}` with broadcast")
     print("joins disabled, i.e. the shape each plan takes when no input is small. Counts are")
     print("operator occurrences. `partial-agg` counts map-side partial aggregate functions")
     print("(combine before the shuffle); `python` must stay 0 (no Python in any plan).")
@@ -80,7 +73,7 @@ def main() -> None:
     print(NOTES)
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
-    for name, fn in E.queries().items():
+    for name, fn in R.QUERIES.items():
         df = fn(spark, sf_dir)
         plan = final_plan(df)
         counts = [str(len(re.findall(PATTERNS[c], plan))) for c in cols]
@@ -105,12 +98,11 @@ def refresh_section(spark, sf_dir: str, cols: list[str]) -> None:
         refresh_snapshot(spark, indexed, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], id_buckets=8)
     batch = L.to_bronze(FX.pull_frame(events, 3), "plans", FX.PULL_AS_OF[3])
     store, istore = LayerStore(spark, plain), LayerStore(spark, indexed)
+    one_each = keep_first(batch, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST)
     steps = {
-        "refresh: new ids, increment counted small (broadcast)": L.unseen(batch, store.history_ids(2)),
-        "refresh: new ids, large increment": L.unseen(batch, store.history_ids(2), broadcast_limit_rows=0),
-        "refresh: new ids, large increment, id index": L.unseen(batch, istore.history_ids(2), broadcast_limit_rows=0),
-        "refresh: keep-first of the new rows": keep_first(
-            L.unseen(batch, store.history_ids(2)), L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST),
+        "refresh: new ids, increment counted small (broadcast)": L.unseen(one_each, store.history_ids(2)),
+        "refresh: new ids, large increment": L.unseen(one_each, store.history_ids(2), broadcast_limit_rows=0),
+        "refresh: new ids, large increment, id index": L.unseen(one_each, istore.history_ids(2), broadcast_limit_rows=0),
         "refresh: gold state merge": L.merge_gold_state(
             store.gold_state(2), L.gold_state(store.silver_log().where("seq = 2"))),
     }
