@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import array
 import functools
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +26,8 @@ from .common import cut, text_of
 LENGTH = 2048
 END = b"\0\0\0\0"
 #: Pieces to a group; bins in a row that the search may fail to empty before it stops; least filled bins that
-#: give to fuller ones when the bin to be emptied cannot.
-GROUP_ROWS, FAILURES, WIDTH = 20_000, 8, 32
+#: give to fuller ones when the bin to be emptied cannot; roomiest bins that a step may fill.
+GROUP_ROWS, FAILURES, WIDTH, NEAR = 20_000, 8, 4, 64
 #: Sequences filled less than this are pooled for another round.
 FULL = 0.99
 #: Words (and parts of words) whose ids a Python worker remembers: about 250 MB at the most.
@@ -226,10 +227,10 @@ def _best_step(lengths, bins, fill, giver, takers, size) -> tuple[int, list[int]
     singles = [([i], lengths[i]) for i in own]
     pairs = [([i, j], lengths[i] + lengths[j]) for a, i in enumerate(own[:40]) for j in own[a + 1 : 40]]
     best, gain = None, 0
-    for taker in takers:
+    for taker in heapq.nsmallest(NEAR, takers, key=fill.__getitem__):
         room = size - fill[taker]
         if room <= gain:
-            continue
+            break
         theirs = bins[taker]
         backs = [([], 0), *(([i], lengths[i]) for i in theirs)]
         doubles = [([i, j], lengths[i] + lengths[j]) for a, i in enumerate(theirs[:40]) for j in theirs[a + 1 : 40]]
