@@ -3,24 +3,28 @@
 A text's k-mers are its five-word shingles, each labelled with its occurrence number, so that repeats count. For
 every band the few labelled k-mers of least hash are taken and kept in the order of the text: two texts meet in a
 band when they share these k-mers in the same order, which follows their edit similarity rather than their set
-overlap. Texts that meet are compared with the leader of their bucket, never with each other pairwise: their
+overlap. Texts that meet are compared with the leader of their bucket first, the text that meets most others: their
 labelled k-mers are aligned within a band around the diagonal, and a link needs aligned k-mers of at least 0.8 of
-all. Connected texts form a class.
+all. Connected texts form a class. Buckets that then still hold several classes name more leaders, round by
+round, until each is one class or all its pairs across classes were compared.
 """
 
 from __future__ import annotations
 
 import bisect
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, text_of
 
 WORDS, SIMILARITY = 5, 0.8
+#: Leaders that a bucket of several classes names in the second round, and by how many times more in each later one.
+MORE = 4
 #: Bands, and k-mers sampled for each. At similarity 0.8 two texts meet in a band with a chance of about
 #: 0.8**3, and miss each other in all 16 once in about 100,000 pairs.
 BANDS, SAMPLED = 16, 3
@@ -121,14 +125,15 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = pa.ListArray.from_arrays(
             np.arange(0, BANDS * len(made) + 1, BANDS, dtype=np.int32), pa.array(np.concatenate(made) if made else np.empty(0, dtype=np.int64))
         )
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], ["doc_id", "node", "bands"])
+        sizes = pa.array([max(len(w) - WORDS + 1, 1) for w in _arrays(batch.column(2))], pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands, sizes], ["doc_id", "node", "bands", "size"])
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (digest of the plain text) and bands of every row."""
+    """doc_id, node (digest of the plain text), bands and size (k-mers) of every row."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(text_of()).alias("t"))
     return read.select("doc_id", F.unhex(F.md5("t")).alias("node"), word_hashes(F.col("t")).alias("w")).mapInArrow(
-        _sketches, "doc_id long, node binary, bands array<long>"
+        _sketches, "doc_id long, node binary, bands array<long>, size int"
     )
 
 
@@ -187,10 +192,59 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return tied.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
 
 
-def _stars(keys: DataFrame, least: Column) -> DataFrame:
-    """key, leader and node for every node of a key that has others: as many rows as nodes, however large the bucket."""
-    leaders = cut(keys.groupBy("key").agg(F.min_by("node", least).alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    return keys.join(leaders, "key").select("key", "a", F.col("node").alias("b"))
+def _shared(keys: DataFrame) -> DataFrame:
+    """key, node and score of the nodes of every key that has others.
+
+    The score is the size of all buckets of a node: a text that many others are copies of meets more of
+    them than they meet of each other.
+    """
+    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sized = cut(keys.join(sizes, "key"))
+    return cut(sized.join(sized.groupBy("node").agg(F.sum("n").alias("score")), "node").select("key", "node", "score"))
+
+
+@contextlib.contextmanager
+def _no_constraints(spark: SparkSession) -> Iterator[None]:
+    """Plans without inferred filters: checkpoints hand them on, and over many rounds they outgrow the driver."""
+    name = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The roots after all pairs of nodes that share a bucket were compared, unless one class holds both.
+
+    ``members`` (key, node, score) are the nodes that were held against no more than their first leaders,
+    ``met`` the pairs (a, b) that were compared. In each round a bucket of several classes names leaders, its
+    nodes of highest score in slots dealt by a hash; they are held against the bucket's nodes of other
+    classes and are then done there. Nodes of resolved classes stay until they have led.
+    """
+    tried, slots = [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], MORE
+    while True:
+        rooted = cut(members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root")))
+        several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        members = cut(rooted.join(several, "key"))
+        if members.isEmpty():
+            return roots
+        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
+        best = members.groupBy("key", slot.alias("slot")).agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
+        led = cut(best.select("key", F.col("a.node").alias("a"), F.col("a.root").alias("ra")))
+        pairs = led.join(members, "key").where("ra <> root").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("na")), "a")
+        pairs = pairs.join(sizes.select(F.col("node").alias("b"), F.col("size").alias("nb")), "b")
+        pairs = pairs.where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")).select("a", "b")
+        for earlier in tried:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        if not pairs.isEmpty():
+            roots = _merged(roots, cut(verified(pairs, texts)))
+            tried.append(pairs)
+        members = members.drop("root").join(led.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
+        slots *= MORE
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -198,17 +252,19 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
     Texts that differ in case, punctuation and white space only are copies and stand for one node. In each
     bucket every node is held against the leader; first against the leader it meets most often, then against
-    the others that are still in another class. Where a bucket then still holds several classes (a passage
-    that many documents share), its nodes meet again in pairs of bands, with new leaders. class_id is the
+    the others that are still in another class. Where a bucket then still holds several classes, more of its
+    nodes lead, until all pairs of nodes that share a bucket are in one class or were compared. class_id is the
     least doc_id of the class, which stays; null where all are null. Repeated rows share their fate. Null,
     empty and blank texts are copies of each other; texts under five words are one k-mer. An empty table
     gives no rows.
     """
     rows = cut(sketched(docs))
-    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
+    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size")))
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")
-    shared = cut(_stars(keys, F.col("node")))
-    met = cut(shared.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n")))
+    shared = _shared(keys)
+    leaders = shared.groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("a"))
+    members = cut(shared.join(leaders, "key").where("a <> node"))
+    met = cut(members.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")))
     wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct().join(nodes.select("node", "rep"), "node")
     wanted = wanted.select(F.col("node").alias("_node"), F.col("rep").alias("_rep"))
     texts = cut(
@@ -222,19 +278,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     apart = cut(_apart(met.select("a", "b").join(first, ["a", "b"], "left_anti"), roots))
     if not apart.isEmpty():
         roots = _merged(roots, cut(verified(apart.select("a", "b"), texts)))
-    # Buckets of several classes: nodes still apart from their leader meet again where they share two bands.
-    still = cut(_apart(met.select("a", "b"), roots).select(F.col("b").alias("node")).distinct())
-    if not still.isEmpty():
-        # Only bands that a node shares with others count, so there are few pairs of them.
-        bands = shared.withColumnRenamed("b", "node").join(still, "node").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("k"))
-        twice = bands.select("node", "k", F.posexplode("k").alias("i", "one"))
-        twice = twice.select("node", "one", F.explode(F.slice("k", F.col("i") + 2, F.size("k"))).alias("two"))
-        twice = cut(twice.select(F.xxhash64("one", "two").alias("key"), "node"))
-        pairs = _stars(twice, F.xxhash64("node", "key")).where("a <> b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = cut(_apart(pairs.join(met.select("a", "b"), ["a", "b"], "left_anti"), roots))
-        if not more.isEmpty():
-            roots = _merged(roots, cut(verified(more.select("a", "b"), texts)))
+    with _no_constraints(docs.sparkSession):
+        roots = _later_rounds(roots, members.select("key", "node", "score"), met, nodes.select("node", "size"), texts)
     class_of = cut(nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")))
     sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
     classes = cut(class_of.join(sizes, "node").groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")))

@@ -91,6 +91,32 @@ def test_near_classes_equal_brute_force(spark):
     assert got == near_truth(texts)
 
 
+def hub_groups(sizes, seed=11):
+    """Base texts of 500 words, each with copies that have 10 words changed: 0.817 to the base, about 0.66 to each other."""
+    rng = random.Random(seed)
+    texts, group = {}, {}
+    for g, size in enumerate(sizes):
+        base = [f"{rng.randrange(10**6)}x" for _ in range(500)]
+        for copy in range(size + 1):
+            made = list(base)
+            for at in rng.sample(range(1, 98), 10) if copy else ():
+                made[5 * at] = f"{rng.randrange(10**6)}y"
+            i = rng.randrange(10**9)
+            texts[i], group[i] = " ".join(made), g
+    return texts, group
+
+
+def test_near_classes_of_hub_groups(spark):
+    """Copies that are near their base text only are one class with it, however many they are."""
+    texts, group = hub_groups([20] * 10 + [1000])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    least = {g: min(i for i in group if group[i] == g) for g in set(group.values())}
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()}
+    assert got == {i: least[g] for i, g in group.items()}
+    some = {i: texts[i] for i in texts if group[i] < 2}
+    assert near_truth(some) == {i: least[group[i]] for i in some}
+
+
 def test_alignment_needs_order():
     a = np.arange(1, 400, dtype=np.int64)
     assert near_dedup.similarity(a, a) == 1.0
