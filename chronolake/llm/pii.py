@@ -190,14 +190,22 @@ def _ssn(value: Column, key: str, back: bool) -> Column:
 
 
 def _ipv4(value: Column, key: str, back: bool) -> Column:
+    """First octets from 1 to 223 are permuted among themselves, and so are the others, 0 and from 224 on."""
+
     def moved(parts: Column) -> Column:
         o = [F.get(parts, F.lit(i)).cast("long") for i in range(4)]
         plain = F.concat_ws(".", *[x.cast("string") for x in o]) == value
-        valid = plain & o[0].between(1, 223) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256)
-        pair = feistel((o[0] - 1) * 256 + o[1], o[2] * 256 + o[3], F.lit(223 * 256), F.lit(65536), F.lit("ipv4"), key, back)
+        valid = plain & (o[0] < 256) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256)
+        unicast = o[0].between(1, 223)
+        first = F.when(unicast, o[0] - 1).when(o[0] == 0, 0).otherwise(o[0] - 223)
+        size = F.when(unicast, 223 * 256).otherwise(33 * 256).cast("long")
+        tweak = F.when(unicast, "ipv4").otherwise("ipv4 other")
+        pair = feistel(first * 256 + o[1], o[2] * 256 + o[3], size, F.lit(65536), tweak, key, back)
 
         def shown(p: Column) -> Column:
-            found = (F.floor(p["a"] / 256) + 1, F.pmod(p["a"], F.lit(256)), F.floor(p["b"] / 256), F.pmod(p["b"], F.lit(256)))
+            place = F.floor(p["a"] / 256)
+            place = F.when(unicast, place + 1).when(place == 0, 0).otherwise(place + 223)
+            found = (place, F.pmod(p["a"], F.lit(256)), F.floor(p["b"] / 256), F.pmod(p["b"], F.lit(256)))
             return F.concat_ws(".", *[x.cast("string") for x in found])
 
         return F.when(valid, let(pair, shown))

@@ -246,6 +246,21 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert all(a.text != b.text for a, b in zip(rows, other, strict=True))
 
 
+def test_every_first_octet_is_replaced(spark):
+    texts = [f"from {o}.{o2}.104.120 to" for o in range(256) for o2 in (0, 254, 255)] + ["at 256.1.1.1", "at 233.254.104.256"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = pii.pseudonymise(df, "k").orderBy("doc_id")
+    rows = done.collect()
+    found = [p for r in rows for p in r.pii]
+    assert len(found) == 3 * 256 == len({p.given for p in found}) and {p.kind for p in found} == {"ipv4"}
+    for p in found:
+        given = [int(x) for x in p.given.split(".")]
+        assert p.given != p.found and max(given) < 256
+        assert (1 <= given[0] <= 223) == (1 <= int(p.found.split(".")[0]) <= 223)
+    assert [r.text for r in rows[-2:]] == texts[-2:]
+    assert [r.text for r in pii.pseudonymise(done.select("doc_id", "text"), "k", back=True).orderBy("doc_id").collect()] == texts
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(27 * 31).select((F.col("id") / 31).cast("long").alias("a"), (F.col("id") % 31).alias("b"))
     mixed = pairs.select("a", "b", pii.feistel(F.col("a"), F.col("b"), F.lit(27), F.lit(31), F.lit("t"), "k").alias("m")).collect()
