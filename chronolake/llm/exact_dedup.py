@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import buckets_for, cut, text_of
@@ -133,11 +133,15 @@ class Bucket:
         )
 
 
+def digest_of() -> Column:
+    return F.unhex(F.sha2(F.translate(text_of(), UPPER, LOWER), 256))
+
+
 def digests(docs: DataFrame, n_buckets: int) -> DataFrame:
     """doc_id, digest (32 bytes) and bucket of every row; a null text counts as empty."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.unhex(F.sha2(F.translate(text_of(), UPPER, LOWER), 256)).alias("digest"),
+        digest_of().alias("digest"),
     ).withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n_buckets)).cast("int"))
 
 
@@ -253,5 +257,5 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact_dedup keeps, with all their columns."""
-    gone = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    gone = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_digest")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")) & (digest_of() == F.col("_digest")), "left_anti")

@@ -39,6 +39,10 @@ def plain(text: Column) -> Column:
     return F.when(bare == "", F.btrim(text)).otherwise(bare)
 
 
+def _node_of(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
 def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), ""), lambda w: F.xxhash64(w))
 
@@ -132,7 +136,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, node (digest of the plain text), bands and size (k-mers) of every row."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(text_of()).alias("t"))
-    return read.select("doc_id", F.unhex(F.md5("t")).alias("node"), word_hashes(F.col("t")).alias("w")).mapInArrow(
+    return read.select("doc_id", _node_of(F.col("t")).alias("node"), word_hashes(F.col("t")).alias("w")).mapInArrow(
         _sketches, "doc_id long, node binary, bands array<long>, size int"
     )
 
@@ -258,6 +262,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
     empty and blank texts are copies of each other; texts under five words are one k-mer. An empty table
     gives no rows.
     """
+    return _classed(docs).drop("node")
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """The rows of near_classes with their node."""
     rows = cut(sketched(docs))
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size")))
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")
@@ -271,7 +280,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("_rep")))
         .select(F.col("_node").alias("node"), plain(text_of()).alias("t"))
-        .where(F.unhex(F.md5("t")) == F.col("node"))
+        .where(_node_of(F.col("t")) == F.col("node"))
     )
     first = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
     roots = components(verified(first, texts))
@@ -287,11 +296,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
     return (
         rows.select("doc_id", "node")
         .join(by_node, "node")
-        .select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        .select("doc_id", "node", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that near_classes keeps, with all their columns."""
-    gone = near_classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    gone = _classed(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("node").alias("_node")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")) & (_node_of(plain(text_of())) == F.col("_node")), "left_anti")

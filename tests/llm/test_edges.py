@@ -61,6 +61,17 @@ def test_near_classes(odd_docs, no_docs):
     assert near_dedup.near_classes(no_docs).count() == 0
 
 
+def test_only_the_copies_of_an_id_go(spark):
+    """Rows that share a null or repeated doc_id with a copy stay if their own text is no copy."""
+    words = [" ".join(f"w{i}{j}" for j in range(40)) for i in range(5)]
+    rows = [(None, words[0]), (None, words[1]), (1, words[1]), (2, words[1]), (2, words[2]), (3, words[3]), (3, words[4]), (4, words[4]), (None, None), (0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    exact = {(None, words[0]), (2, words[1]), (2, words[2]), (3, words[3]), (4, words[4]), (0, "")}
+    assert Counter(tuple(r) for r in exact_dedup.drop_copies(docs).collect()) == Counter(exact)
+    near = {(None, words[0]), (1, words[1]), (2, words[2]), (3, words[3]), (3, words[4]), (0, "")}
+    assert Counter(tuple(r) for r in near_dedup.drop_near_copies(docs).collect()) == Counter(near)
+
+
 def test_packing(odd_docs, no_docs):
     from tokenizers import Tokenizer
 
