@@ -267,6 +267,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def _classed(docs: DataFrame) -> DataFrame:
     """The rows of near_classes with their node."""
+    with _no_constraints(docs.sparkSession):
+        return _rows_with_classes(docs)
+
+
+def _rows_with_classes(docs: DataFrame) -> DataFrame:
     rows = cut(sketched(docs))
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size")))
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")
@@ -287,8 +292,7 @@ def _classed(docs: DataFrame) -> DataFrame:
     apart = cut(_apart(met.select("a", "b").join(first, ["a", "b"], "left_anti"), roots))
     if not apart.isEmpty():
         roots = _merged(roots, cut(verified(apart.select("a", "b"), texts)))
-    with _no_constraints(docs.sparkSession):
-        roots = _later_rounds(roots, members.select("key", "node", "score"), met, nodes.select("node", "size"), texts)
+    roots = _later_rounds(roots, members.select("key", "node", "score"), met, nodes.select("node", "size"), texts)
     class_of = cut(nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")))
     sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
     classes = cut(class_of.join(sizes, "node").groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")))
