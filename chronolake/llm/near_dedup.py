@@ -12,12 +12,11 @@ round, until each is one class or all its pairs across classes were compared.
 from __future__ import annotations
 
 import bisect
-import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, text_of
@@ -155,37 +154,44 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a binary, b binary").distinct()
 
 
+def _fresh(df: DataFrame) -> DataFrame:
+    """The rows cut, without the size that Spark estimates: joins multiply it, and over many rounds of joins of
+    cut frames, which hand it on, the number itself outgrows the driver."""
+    made, session = cut(df)._jdf, df.sparkSession
+    return DataFrame(session._jsparkSession.createDataFrame(made.toJavaRDD(), made.schema()), session)
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root: a node that stands for all that a chain of links (a, b) connects, for every linked node.
 
     Each round sends every node to its least neighbour and on to that one's, then joins the links'
     ends into their roots and drops links whose ends have become one: what is left shrinks each time.
     """
-    edges = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    edges = _fresh(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     roots = None
     while roots is None or not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        near = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select("node", F.least("node", "n").alias("up")))
+        near = _fresh(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select("node", F.least("node", "n").alias("up")))
         step = near.join(near.select(F.col("node").alias("up"), F.col("up").alias("over")), "up")
-        step = cut(step.select("node", F.least("up", "over").alias("root")))
+        step = _fresh(step.select("node", F.least("up", "over").alias("root")))
         if roots is None:
             roots = step
         else:
             onwards = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            roots = cut(roots.join(onwards, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+            roots = _fresh(roots.join(onwards, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
         ends = edges.join(step.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
         ends = ends.join(step.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
-        edges = cut(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        edges = _fresh(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
     return roots
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The roots after more links: only the classes that these connect are looked at again."""
-    across = cut(_apart(links, roots).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    across = _fresh(_apart(links, roots).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
     onwards = components(across).select(F.col("node").alias("root"), F.col("root").alias("next"))
     alone = onwards.join(roots.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("next").alias("root"))
     moved = roots.join(onwards, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return cut(moved.union(alone))
+    return _fresh(moved.union(alone))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -207,18 +213,6 @@ def _shared(keys: DataFrame) -> DataFrame:
     return cut(sized.join(sized.groupBy("node").agg(F.sum("n").alias("score")), "node").select("key", "node", "score"))
 
 
-@contextlib.contextmanager
-def _no_constraints(spark: SparkSession) -> Iterator[None]:
-    """Plans without inferred filters: checkpoints hand them on, and over many rounds they outgrow the driver."""
-    name = "spark.sql.constraintPropagation.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
     """The roots after all pairs of nodes that share a bucket were compared, unless one class holds both.
 
@@ -229,23 +223,23 @@ def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, sizes: D
     """
     tried, slots = [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], MORE
     while True:
-        rooted = cut(members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root")))
+        rooted = _fresh(members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root")))
         several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        members = cut(rooted.join(several, "key"))
+        members = _fresh(rooted.join(several, "key"))
         if members.isEmpty():
             return roots
         slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
         best = members.groupBy("key", slot.alias("slot")).agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
-        led = cut(best.select("key", F.col("a.node").alias("a"), F.col("a.root").alias("ra")))
+        led = _fresh(best.select("key", F.col("a.node").alias("a"), F.col("a.root").alias("ra")))
         pairs = led.join(members, "key").where("ra <> root").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("na")), "a")
         pairs = pairs.join(sizes.select(F.col("node").alias("b"), F.col("size").alias("nb")), "b")
         pairs = pairs.where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")).select("a", "b")
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs = _fresh(pairs)
         if not pairs.isEmpty():
-            roots = _merged(roots, cut(verified(pairs, texts)))
+            roots = _merged(roots, _fresh(verified(pairs, texts)))
             tried.append(pairs)
         members = members.drop("root").join(led.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
         slots *= MORE
@@ -267,11 +261,6 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def _classed(docs: DataFrame) -> DataFrame:
     """The rows of near_classes with their node."""
-    with _no_constraints(docs.sparkSession):
-        return _rows_with_classes(docs)
-
-
-def _rows_with_classes(docs: DataFrame) -> DataFrame:
     rows = cut(sketched(docs))
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size")))
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")
