@@ -271,10 +271,11 @@ def _classed(docs: DataFrame) -> DataFrame:
     wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct().join(nodes.select("node", "rep"), "node")
     wanted = wanted.select(F.col("node").alias("_node"), F.col("rep").alias("_rep"))
     texts = cut(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-        .join(wanted, F.col("doc_id").eqNullSafe(F.col("_rep")))
-        .select(F.col("_node").alias("node"), plain(text_of()).alias("t"))
-        .where(_node_of(F.col("t")) == F.col("node"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(text_of()).alias("t"))
+        .withColumn("node", _node_of(F.col("t")))
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("_rep")) & (F.col("node") == F.col("_node")))
+        .select("node", "t")
+        .dropDuplicates(["node"])
     )
     first = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
     roots = components(verified(first, texts))
