@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from chronolake.session import shared_dir
 
-from . import chat, classifier, exact_dedup, mixing, near_dedup, packing, pii, quality_rules, sharding, warc
+from . import chat, classifier, exact_dedup, merkle, mixing, near_dedup, packing, pii, quality_rules, sharding, warc
 from .common import table
+from .merkle_sql import MERKLE_SQL
 
 
 #: The registered query's key; in use, the caller passes a secret one.
@@ -81,6 +82,11 @@ def op10_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_path_copying_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and the root that its version folds to, of every document."""
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 OP1_SQL = r"""
@@ -224,6 +230,7 @@ QUERIES = {
     "op8_efraimidis_spirakis_mix": op8_efraimidis_spirakis_mix,
     "op9_two_level_warc_index": op9_two_level_warc_index,
     "op10_cuckoo_exact_dedup": op10_cuckoo_exact_dedup,
+    "op12_path_copying_merkle": op12_path_copying_merkle,
 }
 
 ORACLE_SQL = {
@@ -232,4 +239,5 @@ ORACLE_SQL = {
     "op8_efraimidis_spirakis_mix": OP8_SQL,
     "op9_two_level_warc_index": OP9_SQL,
     "op10_cuckoo_exact_dedup": OP10_SQL,
+    "op12_path_copying_merkle": MERKLE_SQL,
 }
