@@ -2,7 +2,7 @@
 
 A row's leaf is the hash of its fields. The rows of a source, in order of doc_id, are the leaves of a tree with
 16 children to a node; the roots of the sources, in order, are the leaves of the dataset's tree. Trees are built
-by aligned blocks of SPAN nodes (three levels), a task each; the roots of the blocks are the nodes of the next
+by aligned blocks of 16**3 nodes (three levels), a task each; the roots of the blocks are the nodes of the next
 round, until a tree has one. A changed leaf makes a version of the dataset: it copies its ancestors, in its block
 first and then through the upper levels, whose siblings reach the block as one short path, and shares every other
 node with the tree it was made from.
@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Children of a node, levels that one block rises, and leaves of a block.
+#: Children of a node, and levels that one block rises: it has WIDTH**RISE leaves.
 WIDTH, RISE = 16, 3
-SPAN = WIDTH**RISE
 #: The fields of a leaf, in order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,10 +90,10 @@ def positioned(rows: DataFrame, order: list[str]) -> DataFrame:
     return numbered.join(starts, ["tree", "_part"]).withColumn("idx", F.col("_at") - F.col("_first") + F.col("_start")).drop("_at", "_part", "_first", "_start")
 
 
-def _levels(digests: list[str], size: int) -> list[list[str]]:
+def _levels(digests: list[str], size: int, rise: int) -> list[list[str]]:
     """The block's nodes, level by level, in a tree of ``size`` nodes."""
     levels = [digests]
-    for _ in range(min(RISE, height(size))):
+    for _ in range(min(rise, height(size))):
         low = levels[-1]
         levels.append([digest_of("".join(low[i : i + WIDTH])) for i in range(0, len(low), WIDTH)])
     return levels
@@ -124,8 +123,8 @@ def fold(start: str, before: list[str], after: list[str]) -> list[str]:
     return copies
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("idx") / SPAN).cast("long"))
+def _blocks(nodes: DataFrame, rise: int) -> DataFrame:
+    return nodes.withColumn("block", F.expr(f"idx div {WIDTH**rise}"))
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
@@ -136,26 +135,26 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def _rise(group: pa.Table) -> pa.Table:
+def _rise(rise: int, group: pa.Table) -> pa.Table:
     """The nodes above those of a block (tree, idx, digest, size, level, block); ``top``: those it ends with."""
     own = group.sort_by("idx").to_pydict()
     tree, size, block, level = (own[c][0] for c in ("tree", "size", "block", "level"))
-    levels, rows = _levels(own["digest"], size), []
+    levels, rows = _levels(own["digest"], size, rise), []
     for up, digests in enumerate(levels[1:], start=1):
-        first = block * SPAN // WIDTH**up
+        first = block * WIDTH ** (rise - up)
         rows += [(tree, level + up, first + i, d, -(-size // WIDTH**up), up == len(levels) - 1) for i, d in enumerate(digests)]
     return _table(rows, NODES)
 
 
-def upper_nodes(bottom: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+def upper_nodes(bottom: DataFrame, rise: int) -> tuple[DataFrame, list[DataFrame]]:
     """All nodes above ``bottom`` (tree, level, idx, digest, size), and the nodes that each round began with.
 
-    A round lifts every block of SPAN nodes by RISE levels, so there is one for each factor of SPAN in the largest
+    A round lifts every block by ``rise`` levels, so there is one for each factor of 16**rise in the largest
     tree. Trees that have come down to one node take no further part.
     """
     rounds, above = [bottom], []
     while not rounds[-1].where("size > 1").isEmpty():
-        made = cut(_blocks(rounds[-1].where("size > 1")).groupBy("tree", "block").applyInArrow(_rise, NODES))
+        made = cut(_blocks(rounds[-1].where("size > 1"), rise).groupBy("tree", "block").applyInArrow(lambda group: _rise(rise, group), NODES))
         above.append(made)
         rounds.append(made.where("top").select("tree", "level", "idx", "digest", "size"))
     nodes = bottom.where("level > 0")
@@ -164,39 +163,39 @@ def upper_nodes(bottom: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return nodes, rounds
 
 
-def _paths_of_block(group: pa.Table, upper: pa.Table) -> pa.Table:
+def _paths_of_block(rise: int, group: pa.Table, upper: pa.Table) -> pa.Table:
     """The paths of the nodes of a block, which go on with the one of the block's root."""
     own, rows = group.sort_by("idx").to_pydict(), []
     if own["idx"]:
-        levels = _levels(own["digest"], own["size"][0])
+        levels = _levels(own["digest"], own["size"][0], rise)
         above = upper.to_pylist()[0]
         for tree, idx, (before, after) in zip(own["tree"], own["idx"], _siblings(levels), strict=True):
             rows.append((tree, idx, above["root"], before + above["before"], after + above["after"]))
     return _table(rows, PATHS)
 
 
-def _with_upper(nodes: DataFrame, upper: DataFrame, work, schema: str) -> DataFrame:
+def _with_upper(nodes: DataFrame, upper: DataFrame, rise: int, work, schema: str) -> DataFrame:
     """``work`` on every block of ``nodes`` and the path of its root (``upper``, by tree and idx of the block)."""
     own = upper.withColumnRenamed("idx", "block")
-    return _blocks(nodes).groupBy("tree", "block").cogroup(own.groupBy("tree", "block")).applyInArrow(work, schema)
+    return _blocks(nodes, rise).groupBy("tree", "block").cogroup(own.groupBy("tree", "block")).applyInArrow(lambda group, upper: work(rise, group, upper), schema)
 
 
-def paths(rounds: list[DataFrame]) -> DataFrame:
+def paths(rounds: list[DataFrame], rise: int) -> DataFrame:
     """The path of every node of the first round: root of its tree, and siblings up to it, level by level."""
     last = rounds[-1].where("size = 1")
     none = F.array().cast("array<string>")
     found = cut(last.select("tree", "idx", F.col("digest").alias("root"), none.alias("before"), none.alias("after")))
     for nodes in reversed(rounds[:-1]):
         single = nodes.where("size = 1").select("tree", "idx", F.col("digest").alias("root"), none.alias("before"), none.alias("after"))
-        found = cut(_with_upper(nodes.where("size > 1"), found, _paths_of_block, PATHS).union(single))
+        found = cut(_with_upper(nodes.where("size > 1"), found, rise, _paths_of_block, PATHS).union(single))
     return found
 
 
-def _proofs_of_block(group: pa.Table, upper: pa.Table) -> pa.Table:
+def _proofs_of_block(rise: int, group: pa.Table, upper: pa.Table) -> pa.Table:
     """Proof, fold and version of the leaves of a block, all the way to the dataset's root."""
     own, rows = group.sort_by("idx").to_pydict(), []
     if own["idx"]:
-        siblings = _siblings(_levels(own["digest"], own["size"][0]))
+        siblings = _siblings(_levels(own["digest"], own["size"][0], rise))
         above = upper.to_pylist()[0]
         rest = "".join(b + a for b, a in zip(above["before"], above["after"], strict=True))
         for tree, idx, doc_id, digest, changed, (before, after) in zip(*(own[c] for c in ("tree", "idx", "doc_id", "digest", "changed")), siblings, strict=True):
@@ -219,18 +218,18 @@ class Manifest:
     has no rows and no nodes.
     """
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, rise: int = RISE):
         self.bottom = cut(positioned(cut(leaves(docs)), ["doc_id", "leaf"]).withColumnRenamed("leaf", "digest").withColumn("level", F.lit(0)))
-        upper, rounds = upper_nodes(self.bottom.select("tree", "level", "idx", "digest", "size"))
-        # From here on all is by block of leaves: one row for SPAN of them.
+        upper, rounds = upper_nodes(self.bottom.select("tree", "level", "idx", "digest", "size"), rise)
+        # From here on all is by block of leaves: one row for 16**rise of them.
         blocks = rounds[1] if len(rounds) > 1 else rounds[0].limit(0)
         single = rounds[0].where("size = 1").select("tree", "level", "idx", "digest", "size")
-        own = paths([blocks.union(single), *rounds[2:]])
+        own = paths([blocks.union(single), *rounds[2:]], rise)
         subroots = own.groupBy("tree").agg(F.first("root").alias("digest"))
         ordered = subroots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("source_tree"), "digest")
         top = cut(positioned(cut(ordered), ["source_tree"]).withColumn("level", F.lit(0)))
-        top_upper, top_rounds = upper_nodes(top.select("tree", "level", "idx", "digest", "size"))
-        of_source = top.select("idx", "source_tree").join(paths(top_rounds).withColumnsRenamed({"before": "b", "after": "a", "root": "top"}), "idx")
+        top_upper, top_rounds = upper_nodes(top.select("tree", "level", "idx", "digest", "size"), rise)
+        of_source = top.select("idx", "source_tree").join(paths(top_rounds, rise).withColumnsRenamed({"before": "b", "after": "a", "root": "top"}), "idx")
         of_source = of_source.select(F.col("source_tree").alias("tree"), "idx", "b", "a", "top")
         self.upper = cut(
             own.join(of_source.drop("idx"), "tree").select(
@@ -242,7 +241,7 @@ class Manifest:
         tops = top.select("tree", "level", "idx", "digest", "size").union(top_upper.select("tree", "level", "idx", "digest", "size"))
         self.nodes = base.union(tops).select("tree", "level", "idx", "digest")
         self.sources = of_source.select("tree", F.col("idx").alias("place"))
-        self.rows = _with_upper(self.bottom, self.upper, _proofs_of_block, ROWS)
+        self.rows = _with_upper(self.bottom, self.upper, rise, _proofs_of_block, ROWS)
 
     def versions(self) -> DataFrame:
         """The nodes that versions hold of their own: version (doc_id), tree, level, idx, digest.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronolake.session import shared_dir
 
-from . import chat, classifier, exact_dedup, merkle, mixing, near_dedup, packing, pii, quality_rules, sharding, warc
+from . import chat, classifier, exact_dedup, hard_negatives, merkle, mixing, near_dedup, packing, pii, projected_search, quality_rules, sharding, warc
 from .common import table
 from .merkle_sql import MERKLE_SQL
 
@@ -82,11 +82,21 @@ def op10_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_projected_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    return projected_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op12_path_copying_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and the root that its version folds to, of every document."""
     return merkle.proofs(table(spark, sf_dir, "documents"))
 
 
+def op13_multi_index_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of the positives of every fiftieth vector."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 OP1_SQL = r"""
@@ -219,6 +229,27 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM n WINDOW same AS (PARTITION BY t)
 """
 
+OP13_SQL = """
+WITH d AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM d
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 QUERIES = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
     "op2_balanced_label_propagation": op2_balanced_label_propagation,
@@ -230,7 +261,9 @@ QUERIES = {
     "op8_efraimidis_spirakis_mix": op8_efraimidis_spirakis_mix,
     "op9_two_level_warc_index": op9_two_level_warc_index,
     "op10_cuckoo_exact_dedup": op10_cuckoo_exact_dedup,
+    "op11_projected_kd_search": op11_projected_kd_search,
     "op12_path_copying_merkle": op12_path_copying_merkle,
+    "op13_multi_index_hard_negatives": op13_multi_index_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -240,4 +273,5 @@ ORACLE_SQL = {
     "op9_two_level_warc_index": OP9_SQL,
     "op10_cuckoo_exact_dedup": OP10_SQL,
     "op12_path_copying_merkle": MERKLE_SQL,
+    "op13_multi_index_hard_negatives": OP13_SQL,
 }
