@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A block holds so many classes at most; below PARALLEL times that, blocks are smaller, but of LEAST_ROWS.
-MOST_ROWS, LEAST_ROWS, PARALLEL = 50_000, 1_000, 64
+MOST_ROWS, LEAST_ROWS, PARALLEL = 50_000, 1_000, 24
 #: Partitions that blocks are dealt to at most.
 MOST_PARTITIONS = 10_000
 STORED = "block int, part int, key binary, vec binary, more array<double>, ids array<long>, label long"
@@ -88,11 +88,34 @@ def lists(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def inner(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, components added left to right: the same for a pair wherever it is met."""
-    total = np.zeros(len(many))
-    for j in np.flatnonzero(one):
-        total += one[j] * many[:, j]
-    return total
+    """Inner products of rows, in double precision, components added left to right: the same wherever a pair is met."""
+    out = np.zeros(len(one))
+    for a in range(0, len(one), 4096):
+        if one.shape[1]:
+            out[a : a + 4096] = np.cumsum(one[a : a + 4096] * many[a : a + 4096], axis=1)[:, -1]
+    return out
+
+
+class Ids:
+    """The ids of a block's classes, side by side."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray, order: np.ndarray):
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        column = column.take(pa.array(order))
+        self.flat, ends = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        self.starts, self.counts = ends[:-1] - ends[0], np.diff(ends)
+
+    def first(self, asker: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k first of each asker among the ids of ``rows``: larger scores, then smaller ids. Asker, id, score."""
+        n = self.counts[rows]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ids = self.flat[np.repeat(self.starts[rows], n) + at]
+        asker, scores = np.repeat(asker, n), np.repeat(scores, n)
+        order = np.lexsort((ids, -scores, asker))
+        asker, ids, scores = asker[order], ids[order], scores[order]
+        began = np.flatnonzero(np.concatenate([[True], asker[1:] != asker[:-1]])) if len(asker) else np.empty(0, dtype=int)
+        place = np.arange(len(asker)) - np.repeat(began, np.diff([*began, len(asker)]))
+        return asker[place < k], ids[place < k], scores[place < k]
 
 
 def visit(stored: DataFrame, asking: DataFrame, blocks: int, load: Callable, schema: str) -> DataFrame:

@@ -25,6 +25,8 @@ from .common import cut
 DIMENSIONS, CONFIDENCE, SEED = 12, 0.98, 23
 #: Classes that the upper tree is fitted on, its leaves at most, vectors of a cell of a block's tree.
 SAMPLE, LEAVES, CELL = 50_000, 4_096, 32
+#: Numbers of a matrix of queries and a block's vectors that is worked on at once.
+TOGETHER = 2_000_000
 #: Projections and scores are taken as equal within this, in units of the largest product.
 SLACK = 1e-9
 
@@ -48,10 +50,14 @@ def quantile(chance: float, degrees: int) -> float:
     return high
 
 
-def box_distances(place: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared projected distance from a place to each box."""
-    off = np.maximum(np.maximum(low - place, place - high), 0.0)
-    return np.einsum("ij,ij->i", off, off)
+def box_distances(places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared projected distance from every place to each box."""
+    out = np.zeros((len(places), len(low)))
+    for j in range(places.shape[1]):
+        at = places[:, j, None]
+        off = np.maximum(np.maximum(low[:, j] - at, at - high[:, j]), 0.0)
+        out += off * off
+    return out
 
 
 class Space:
@@ -126,80 +132,84 @@ def _cells(places: np.ndarray) -> list[np.ndarray]:
 
 
 class Block:
-    """A block's vectors in the cells of a kd-tree over their places."""
+    """A block's vectors in the cells of a kd-tree over their places.
+
+    Queries go through it together: in each step every query opens its next cells by projected distance, the
+    places inside are put in order by their own, and those that no closed cell can come before are verified.
+    """
 
     def __init__(self, rows: pa.Table, space: Space, k: int):
         places = B.lists(rows["more"], DIMENSIONS)
         cells = _cells(places)
         order = np.concatenate(cells)
         self.places, self.x = places[order], B.matrix(rows["vec"], space.width)[order]
-        ids = rows["ids"].to_pylist()
-        self.ids = [ids[i] for i in order]
-        self.copies = np.array([len(i) for i in self.ids])
-        self.ends = np.cumsum([len(c) for c in cells])
-        self.starts = self.ends - [len(c) for c in cells]
-        self.low = np.array([self.places[a:b].min(axis=0) for a, b in zip(self.starts, self.ends, strict=True)])
-        self.high = np.array([self.places[a:b].max(axis=0) for a, b in zip(self.starts, self.ends, strict=True)])
+        self.lengths = np.einsum("ij,ij->i", self.places, self.places)
+        self.ids = B.Ids(rows["ids"], order)
+        ends = np.cumsum([len(c) for c in cells])
+        self.spans = list(zip((ends - [len(c) for c in cells]).tolist(), ends.tolist(), strict=True))
+        self.low = np.array([self.places[a:b].min(axis=0) for a, b in self.spans])
+        self.high = np.array([self.places[a:b].max(axis=0) for a, b in self.spans])
+        self.starts = np.array([a for a, _ in self.spans])
         self.space, self.k, self.factor = space, k, quantile(CONFIDENCE, DIMENSIONS)
 
-    def reach(self, score: float, unit: float) -> float:
-        """Squared projected distance at which the test holds once the k-th score is ``score``."""
-        return reach(score, unit, self.factor)
-
-    def kth(self, scores: np.ndarray, rows: np.ndarray) -> float:
-        """The k-th best score, copies counted; -inf where there are fewer."""
-        if self.copies[rows].sum() < self.k:
-            return -math.inf
-        best = np.argsort(-scores, kind="stable")
-        return float(scores[best][np.searchsorted(np.cumsum(self.copies[rows][best]), self.k)])
-
-    def search(self, q: np.ndarray, place: np.ndarray, bound: float) -> tuple[list[int], list[float]]:
-        """Ids and scores of the block's k best at most, of those no worse than ``bound``."""
-        unit = float(norms(q[None, :])[0]) * self.space.largest
-        away = box_distances(place, self.low, self.high)
-        order = np.argsort(away, kind="stable")
-        away = away[order]
-        limit, at, step = self.reach(bound, unit), 0, 4
-        waiting, apart = np.empty(0, dtype=int), np.empty(0)
-        found, scores = np.empty(0, dtype=int), np.empty(0)
-        while True:
-            to = min(at + step, int(np.searchsorted(away, limit, side="right")))
-            if to > at:
-                rows = np.concatenate([np.arange(self.starts[c], self.ends[c]) for c in order[at:to]])
-                off = self.places[rows] - place
-                waiting, apart = np.concatenate([waiting, rows]), np.concatenate([apart, np.einsum("ij,ij->i", off, off)])
-                at, step = to, 2 * step
-            # No cell that is still closed holds a place nearer than this: what waits within it comes next in order.
-            closed = away[at] if at < len(away) else math.inf
-            out = apart <= min(closed, limit)
-            if out.any():
-                found, scores = np.concatenate([found, waiting[out]]), np.concatenate([scores, self.x[waiting[out]] @ q])
-                waiting, apart = waiting[~out], apart[~out]
-                bound = max(bound, self.kth(scores, found))
-                limit = min(limit, self.reach(bound, unit))
-            if closed > limit or at == len(away):
-                break
-        good = found[scores >= bound - SLACK * unit]
-        exact = B.inner(q, self.x[good])
-        pairs = sorted((-s, i) for s, row in zip(exact.tolist(), good.tolist(), strict=True) for i in self.ids[row])[: self.k]
-        return [i for _, i in pairs], [-s for s, _ in pairs]
+    def kth(self, scores: np.ndarray) -> np.ndarray:
+        """Each query's k-th best score (a matrix, -inf where not verified), copies counted; -inf where there are fewer."""
+        k = min(self.k, scores.shape[1])
+        if self.ids.counts.max() == 1:
+            return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k] if k == self.k else np.full(len(scores), -math.inf)
+        best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        best = np.take_along_axis(best, np.argsort(-np.take_along_axis(scores, best, axis=1), axis=1), axis=1)
+        ranked = np.take_along_axis(scores, best, axis=1)
+        enough = np.cumsum(self.ids.counts[best], axis=1) >= self.k
+        at = np.argmax(enough, axis=1)
+        return np.where(enough.any(axis=1), ranked[np.arange(len(at)), at], -math.inf)
+
+    def search(self, q: np.ndarray, places: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query (its row), id and score of the k best of each query, of those no worse than its ``bound``."""
+        unit = norms(q) * self.space.largest
+        away = box_distances(places, self.low, self.high)
+        rank = np.argsort(np.argsort(away, axis=1, kind="stable"), axis=1)
+        nearest = np.hstack([np.sort(away, axis=1), np.full((len(q), 1), math.inf)])
+        own, cells = np.einsum("ij,ij->i", places, places), len(self.spans)
+        limit, opened, step = reach(bound, unit, self.factor), np.zeros(len(q), dtype=int), 4
+        apart, scores = np.full((len(q), len(self.x)), math.inf), np.full((len(q), len(self.x)), -math.inf)
+        going = np.ones(len(q), dtype=bool)
+        while going.any():
+            within = (away <= limit[:, None]).sum(axis=1)
+            to = np.where(going, np.maximum(opened, np.minimum(opened + step, within)), opened)
+            fresh = (rank >= opened[:, None]) & (rank < to[:, None])
+            for c in np.flatnonzero(fresh.any(axis=0)):
+                (a, b), who = self.spans[c], np.flatnonzero(fresh[:, c])
+                apart[who, a:b] = np.maximum(0.0, self.lengths[a:b] + own[who, None] - 2 * places[who] @ self.places[a:b].T)
+            opened, step = to, 2 * step
+            # No cell that is still closed holds a place nearer than this: what is open within it comes next in order.
+            closed = nearest[np.arange(len(q)), to]
+            due = apart <= np.minimum(closed, limit)[:, None]
+            for c in np.flatnonzero(np.logical_or.reduceat(due, self.starts, axis=1).any(axis=0)):
+                (a, b) = self.spans[c]
+                who = np.flatnonzero(due[:, a:b].any(axis=1))
+                scores[who, a:b] = np.where(due[who, a:b], q[who] @ self.x[a:b].T, scores[who, a:b])
+            apart[due] = math.inf  # verified
+            bound = np.maximum(bound, self.kth(scores))
+            limit = np.minimum(limit, reach(bound, unit, self.factor))
+            going &= (closed <= limit) & (to < cells)
+        asker, rows = np.nonzero(scores >= (bound - SLACK * unit)[:, None])
+        rows, asker = rows[scores[asker, rows] > -math.inf], asker[scores[asker, rows] > -math.inf]
+        return self.ids.first(asker, rows, B.inner(q[asker], self.x[rows]), self.k)
 
     def __call__(self, asked: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        q, more = B.matrix(asked["vec"], self.space.width), B.lists(asked["more"], DIMENSIONS + 1)
-        keys, ids, scores = [], [], []
-        for n, key in enumerate(asked["key"].to_pylist()):
-            i, s = self.search(q[n], more[n, :-1], more[n, -1])
-            keys += [key] * len(i)
-            ids += i
-            scores += s
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], ["key", "id", "score"])
+        many = max(8, TOGETHER // len(self.x))
+        for a in range(0, asked.num_rows, many):
+            part = asked.slice(a, many)
+            q, more = B.matrix(part["vec"], self.space.width), B.lists(part["more"], DIMENSIONS + 1)
+            asker, ids, scores = self.search(q, more[:, :-1], more[:, -1])
+            keys = part["key"].take(pa.array(asker, pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], ["key", "id", "score"])
 
 
-def reach(score: float, unit: float, factor: float) -> float:
-    """Squared projected distance beyond which nothing is looked for once the k-th score is ``score``."""
-    if score == -math.inf:
-        return math.inf
-    return factor * max(0.0, 2 - 2 * score / unit) + SLACK
+def reach(score: np.ndarray, unit: np.ndarray, factor: float) -> np.ndarray:
+    """Squared projected distance at which the test holds once the k-th score is ``score``."""
+    return np.where(score == -math.inf, math.inf, factor * np.maximum(0.0, 2 - 2 * np.where(score == -math.inf, 0.0, score) / unit) + SLACK)
 
 
 def _space(groups: DataFrame) -> Space | None:
@@ -251,22 +261,23 @@ class Index:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                q = B.matrix(batch.column(1), space.width)
-                at, unit = space.of_query(q), norms(q) * space.largest
-                blocks, rows = [], []
-                for n, (key, bound) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                    away = box_distances(at[n], low, high)
+                if not batch.num_rows:
+                    continue
+                q, bounds = B.matrix(batch.column(1), space.width), np.array(batch.column(3).to_pylist(), dtype=float)
+                at, limit = space.of_query(q), reach(bounds, norms(q) * space.largest, factor)
+                keys, blocks, rows = batch.column(0).to_pylist(), [], []
+                many = max(8, TOGETHER // len(low))
+                for n, away in ((n, row) for a in range(0, len(q), many) for n, row in enumerate(box_distances(at[a : a + many], low, high), a)):
                     near = int(np.argmin(away))
-                    own = int(first[near] + int.from_bytes(key[:4], "little") % parts[near])
-                    if home:
-                        asked = [own]
-                    else:
-                        within = np.flatnonzero(away <= reach(bound, float(unit[n]), factor))
+                    own = int(first[near] + int.from_bytes(keys[n][:4], "little") % parts[near])
+                    asked = {own: None}
+                    if not home:
+                        within = np.flatnonzero(away <= limit[n])
                         asked = dict.fromkeys(b for i in within for b in range(first[i], first[i] + parts[i]))  # leaves share blocks
                         asked.pop(own, None)
                     blocks += asked
                     rows += [n] * len(asked)
-                more = np.hstack([at, np.array(batch.column(3).to_pylist(), dtype=float)[:, None]])[rows]
+                more = np.hstack([at, bounds[:, None]])[rows]
                 ends = np.arange(0, (DIMENSIONS + 1) * len(rows) + 1, DIMENSIONS + 1, dtype=np.int32)
                 sent = batch.select([0, 1, 2]).take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
