@@ -3,47 +3,76 @@
 A text's k-mers are its five-word shingles, each labelled with its occurrence number, so that repeats count. For
 every band the few labelled k-mers of least hash are taken and kept in the order of the text: two texts meet in a
 band when they share these k-mers in the same order, which follows their edit similarity rather than their set
-overlap. Texts that meet are compared with the leader of their bucket first, the text that meets most others: their
-labelled k-mers are aligned within a band around the diagonal, and a link needs aligned k-mers of at least 0.8 of
-all. Connected texts form a class. Buckets that then still hold several classes name more leaders, round by
-round, until each is one class or all its pairs across classes were compared.
+overlap. Texts that meet are compared with the leader of their bucket first, the text that meets most others, if
+they share enough bands with it: their labelled k-mers are aligned within a band around the diagonal, and a link
+needs aligned k-mers of at least 0.8 of all. Connected texts form a class. What then still shares a bucket but no
+class is compared pair by pair where the bucket is small; the texts of larger ones are sampled anew, with more
+k-mers to a band and more bands, so that unlike texts part and like ones meet again, round by round, until every
+bucket is small or one class. The work grows with the number of texts in such buckets, not with its square.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
+import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, text_of
 
 WORDS, SIMILARITY = 5, 0.8
-#: Leaders that a bucket of several classes names in the second round, and by how many times more in each later one.
-MORE = 4
-#: Bands, and k-mers sampled for each. At similarity 0.8 two texts meet in a band with a chance of about
-#: 0.8**3, and miss each other in all 16 once in about 100,000 pairs.
-BANDS, SAMPLED = 16, 3
+#: Bands, and k-mers sampled for each. At similarity 0.8 two texts meet in a band with a chance of about 0.8**3:
+#: they share fewer than SHARED of the 16 once in about 5,000 pairs.
+BANDS, SAMPLED, SHARED = 16, 3, 2
+#: A bucket of so many texts is compared pair by pair. Each later round samples DEEPER k-mers more for a band, and
+#: takes so many bands that texts of similarity 0.8 miss each other in all of them with a chance of exp(-MEET).
+SMALL, DEEPER, MEET = 8, 2, 4.0
+#: Texts that one chunk holds against a leader; words that a task keeps the hash of.
+CHUNK, CACHE = 64, 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
-_SEEDS = np.random.default_rng(5).integers(1, 2**63, size=(BANDS, 1), dtype=np.uint64)
+_WORD = re.compile(r"[^\W_]+")
+_SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def plain(text: Column) -> Column:
-    """Lower case, with everything but letters and digits as one space; a text without any stays as it is."""
-    bare = F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.when(bare == "", F.btrim(text)).otherwise(bare)
+def seeds(bands: int, turn: int = 0) -> np.ndarray:
+    return np.random.default_rng([5, turn]).integers(1, 2**63, size=(bands, 1), dtype=np.uint64)
 
 
-def _node_of(text: Column) -> Column:
-    return F.unhex(F.md5(text))
+class Words(dict):
+    """64-bit hashes of the words of texts: runs of letters and digits in lower case, or where a text has none, what
+    white space separates."""
 
+    def __missing__(self, word: bytes) -> int | tuple[int, ...]:
+        if len(self) >= CACHE:
+            self.clear()
+        parts = [word] if word.isascii() else [w.encode() for w in _WORD.findall(word.decode())]
+        found = tuple(xxhash.xxh64_intdigest(w) for w in parts)
+        self[word] = found[0] if len(found) == 1 else found
+        return self[word]
 
-def word_hashes(text: Column) -> Column:
-    return F.transform(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), ""), lambda w: F.xxhash64(w))
+    def of(self, text: str | None) -> np.ndarray:
+        low = (text or "").lower()
+        found = list(map(self.__getitem__, low.encode().translate(_SPACED).split()))
+        try:
+            hashes = np.array(found, dtype=np.uint64)
+        except (TypeError, ValueError):  # parts of some word: flat, in order
+            hashes = np.array([h for x in found for h in (x if isinstance(x, tuple) else (x,))], dtype=np.uint64)
+        if not len(hashes):
+            hashes = np.array([xxhash.xxh64_intdigest(b"\0" + w.encode()) for w in low.split()], dtype=np.uint64)
+        return hashes
+
+
+def node_of(words: np.ndarray) -> bytes:
+    """Texts of the same words are one node."""
+    return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,15 +102,14 @@ def labelled_kmers(words: np.ndarray) -> np.ndarray:
     return kmers
 
 
-def sketch(words: np.ndarray) -> np.ndarray:
-    """One hash for each band: its least labelled k-mers, in text order."""
-    kmers = labelled_kmers(words)
-    take = min(SAMPLED, len(kmers))
-    out = np.empty(BANDS, dtype=np.uint64)
-    step = BANDS if len(kmers) <= 20_000 else 1
-    for at in range(0, BANDS, step):
-        ranks = _mixed(kmers[None, :] ^ _SEEDS[at : at + step])
-        least = np.argpartition(ranks, take - 1, axis=1)[:, :take] if take < len(kmers) else np.tile(np.arange(take), (step, 1))
+def samples(kmers: np.ndarray, bands: np.ndarray, sampled: int) -> np.ndarray:
+    """One hash for each band (a seed): its ``sampled`` least labelled k-mers, in text order."""
+    take = min(sampled, len(kmers))
+    out = np.empty(len(bands), dtype=np.uint64)
+    step = max(1, 320_000 // len(kmers))
+    for at in range(0, len(bands), step):
+        ranks = _mixed(kmers[None, :] ^ bands[at : at + step])
+        least = np.argpartition(ranks, take - 1, axis=1)[:, :take] if take < len(kmers) else np.tile(np.arange(take), (len(ranks), 1))
         least.sort(axis=1)
         mixed = np.arange(at, at + len(least), dtype=np.uint64) * _MIX2
         for j in range(take):
@@ -90,68 +118,123 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+class Leader:
+    """A text's labelled k-mers, ready to be aligned with others."""
+
+    def __init__(self, kmers: np.ndarray):
+        self.order = np.argsort(kmers)
+        self.ranked = kmers[self.order]
+
+    def similarity(self, other: np.ndarray) -> float:
+        """Aligned k-mers by all k-mers of both texts; 0 where it must be under SIMILARITY.
+
+        Labelled k-mers are distinct, so the longest common subsequence is the longest rising run of their
+        matched positions. An aligned pair cannot be further off the diagonal than the k-mers that stay
+        unmatched, a ninth of both texts at similarity 0.8: what is outside that band is left out.
+        """
+        n, m = len(self.ranked), len(other)
+        if min(n, m) < SIMILARITY * max(n, m):
+            return 0.0
+        found = np.minimum(np.searchsorted(self.ranked, other), n - 1)
+        theirs = np.flatnonzero(self.ranked[found] == other)
+        if len(theirs) < SIMILARITY * (n + m - len(theirs)):
+            return 0.0
+        own = self.order[found[theirs]]
+        own = own[np.abs(own - theirs) <= (n + m) * (1 - SIMILARITY) / (1 + SIMILARITY)]
+        matched = len(own)
+        if matched > 1 and not (np.diff(own) > 0).all():
+            tails: list[int] = []
+            for x in own.tolist():
+                i = bisect.bisect_left(tails, x)
+                tails[i : i + 1] = [x]
+            matched = len(tails)
+        return matched / (n + m - matched)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Aligned k-mers by all k-mers of two texts (word hashes); 0 where it must be under SIMILARITY.
+    """The same for two texts given by the hashes of their words."""
+    return Leader(labelled_kmers(a)).similarity(labelled_kmers(b))
 
-    Labelled k-mers are distinct, so the longest common subsequence is the longest rising run of their
-    matched positions. An aligned pair cannot be further off the diagonal than the k-mers that stay
-    unmatched, a ninth of both texts at similarity 0.8: what is outside that band is left out.
-    """
-    a, b = labelled_kmers(a), labelled_kmers(b)
-    total = len(a) + len(b)
-    if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
-        return 0.0
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if len(at_a) < SIMILARITY * (total - len(at_a)):
-        return 0.0
-    near = np.abs(at_a - at_b) <= total * (1 - SIMILARITY) / (1 + SIMILARITY)
-    at_b = at_b[near][np.argsort(at_a[near])]
-    if len(at_b) > 1 and not (np.diff(at_b) > 0).all():
-        tails: list[int] = []
-        for x in at_b.tolist():
-            i = bisect.bisect_left(tails, x)
-            tails[i : i + 1] = [x]
-        matched = len(tails)
-    else:
-        matched = len(at_b)
-    return matched / (total - matched)
-
-
-def _arrays(column: pa.Array) -> list[np.ndarray]:
-    flat, ends = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy() - column.offsets[0].as_py()
-    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-
-
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = [sketch(w) for w in _arrays(batch.column(2))]
-        bands = pa.ListArray.from_arrays(
-            np.arange(0, BANDS * len(made) + 1, BANDS, dtype=np.int32), pa.array(np.concatenate(made) if made else np.empty(0, dtype=np.int64))
-        )
-        sizes = pa.array([max(len(w) - WORDS + 1, 1) for w in _arrays(batch.column(2))], pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands, sizes], ["doc_id", "node", "bands", "size"])
+
+def _int_lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *[len(r) for r in rows]]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)))
+
+
+def row_key(docs: DataFrame) -> Column:
+    """Digest of doc_id and text: what tells rows apart."""
+    return F.unhex(F.md5(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("-")), F.lit(":"), F.coalesce(docs["text"].cast("string"), F.lit("")))))
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (digest of the plain text), bands and size (k-mers) of every row."""
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(text_of()).alias("t"))
-    return read.select("doc_id", _node_of(F.col("t")).alias("node"), word_hashes(F.col("t")).alias("w")).mapInArrow(
-        _sketches, "doc_id long, node binary, bands array<long>, size int"
-    )
+    """doc_id, own (digest of the row), node (digest of the words), bands and size (k-mers) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, bands = Words(), seeds(BANDS)
+        for batch in batches:
+            nodes, found, sizes = [], [], []
+            for text in batch.column(2).to_pylist():
+                hashes = words.of(text)
+                kmers = labelled_kmers(hashes)
+                nodes.append(node_of(hashes))
+                found.append(samples(kmers, bands, SAMPLED))
+                sizes.append(len(kmers))
+            made = [pa.array(nodes, pa.binary()), _int_lists(found), pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "own", "node", "bands", "size"])
+
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("own"), text_of().alias("t"))
+    return read.mapInArrow(run, "doc_id long, own binary, node binary, bands array<long>, size int")
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        linked = [similarity(a, b) >= SIMILARITY for a, b in zip(_arrays(batch.column(2)), _arrays(batch.column(3)), strict=True)]
-        yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+def kmers_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and kmers (labelled k-mers in text order, as bytes) of the rows named by ``wanted`` (own, node)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            for part in (batch.slice(a, 500) for a in range(0, batch.num_rows, 500)):
+                made = [labelled_kmers(words.of(t)).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.large_binary()).cast(pa.binary())], ["node", "kmers"])
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts are similar; a leader's text is sent once to each part of its pairs."""
-    left = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", word_hashes(F.col("ta")).alias("wa"), word_hashes(F.col("tb")).alias("wb"))
-    return both.mapInArrow(_verify, "a binary, b binary").distinct()
+    texts = docs.select(row_key(docs).alias("own"), text_of().alias("t")).groupBy("own").agg(F.any_value("t").alias("t"))
+    return texts.join(wanted, "own").select("node", "t").mapInArrow(run, "node binary, kmers binary")
+
+
+def verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts are similar.
+
+    The pairs of a are dealt to chunks; a's k-mers come first in each and are sent once for all its pairs there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, leader = None, None
+        for batch in batches:
+            a, b = [], []
+            for node, other, data in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "kmers")), strict=True):
+                kmers = np.frombuffer(data, dtype=np.uint64)
+                if other is None:
+                    if node != at:
+                        at, leader = node, Leader(kmers)
+                elif leader.similarity(kmers) >= SIMILARITY:
+                    a.append(node)
+                    b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    dealt = cut(pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk")))
+    heads = dealt.select("a", "chunk").distinct().join(grams.withColumnRenamed("node", "a"), "a").select("a", "chunk", F.lit(None).cast("binary").alias("b"), "kmers")
+    tails = dealt.join(grams.withColumnRenamed("node", "b"), "b").select("a", "chunk", "b", "kmers")
+    both = heads.union(tails).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def near_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes allow a link and that share SHARED bands: no text is read for the others."""
+    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("bands").alias("ba"))
+    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
+    both = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb"))
+    same = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+    return both.select("a", "b", same.alias("n")).where(F.col("n") >= SHARED)
 
 
 def _fresh(df: DataFrame) -> DataFrame:
@@ -213,88 +296,95 @@ def _shared(keys: DataFrame) -> DataFrame:
     return cut(sized.join(sized.groupBy("node").agg(F.sum("n").alias("score")), "node").select("key", "node", "score"))
 
 
-def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The roots after all pairs of nodes that share a bucket were compared, unless one class holds both.
+def _finer(grams: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
+    """key, node and score in the buckets of a later round."""
+    sampled = SAMPLED + DEEPER * turn
+    bands = seeds(math.ceil(MEET / SIMILARITY**sampled), turn)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(a, 500) for a in range(0, batch.num_rows, 500)):
+                made = [samples(np.frombuffer(k, dtype=np.uint64), bands, sampled) for k in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), _int_lists(made)], ["node", "bands"])
 
-    ``members`` (key, node, score) are the nodes that were held against no more than their first leaders,
-    ``met`` the pairs (a, b) that were compared. In each round a bucket of several classes names leaders, its
-    nodes of highest score in slots dealt by a hash; they are held against the bucket's nodes of other
-    classes and are then done there. Nodes of resolved classes stay until they have led.
+    found = grams.join(nodes, "node").select("node", "kmers").mapInArrow(run, "node binary, bands array<long>")
+    return _shared(found.select(F.posexplode("bands").alias("band", "v"), "node").select(F.xxhash64("band", "v").alias("key"), "node"))
+
+
+def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: DataFrame, grams: DataFrame) -> DataFrame:
+    """The roots after the buckets of several classes were looked at again.
+
+    ``members`` (key, node, score) are the nodes of all buckets, ``met`` the pairs (a, b) that were compared. All
+    pairs of classes of a small bucket are compared; a larger one is held against its leader, and its nodes go on
+    to the buckets of the next round.
     """
-    tried, slots = [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], MORE
+    tried, turn = [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], 0
     while True:
         rooted = _fresh(members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root")))
-        several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        members = _fresh(rooted.join(several, "key"))
+        several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
+        members = _fresh(rooted.join(several.select("key", "n"), "key"))
         if members.isEmpty():
             return roots
-        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
-        best = members.groupBy("key", slot.alias("slot")).agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
-        led = _fresh(best.select("key", F.col("a.node").alias("a"), F.col("a.root").alias("ra")))
-        pairs = led.join(members, "key").where("ra <> root").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("na")), "a")
-        pairs = pairs.join(sizes.select(F.col("node").alias("b"), F.col("size").alias("nb")), "b")
-        pairs = pairs.where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")).select("a", "b")
+        small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
+        others = small.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
+        pairs = small.join(others, "key").where("node < b and root <> rb").select(F.col("node").alias("a"), "b")
+        led = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
+        led = large.join(led, "key").where(F.col("a.root") != F.col("root"))
+        led = led.select(F.least(F.col("a.node"), F.col("node")).alias("a"), F.greatest(F.col("a.node"), F.col("node")).alias("b"))
+        pairs = near_pairs(pairs.union(led).distinct(), nodes).select("a", "b")
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = _fresh(pairs)
         if not pairs.isEmpty():
-            roots = _merged(roots, _fresh(verified(pairs, texts)))
+            roots = _merged(roots, _fresh(verified(pairs, grams)))
             tried.append(pairs)
-        members = members.drop("root").join(led.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
-        slots *= MORE
+        turn += 1
+        members = _finer(grams, large.select("node").distinct(), turn)
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size and kept of every row of ``docs`` (doc_id, text, any others).
 
     Texts that differ in case, punctuation and white space only are copies and stand for one node. In each
-    bucket every node is held against the leader; first against the leader it meets most often, then against
-    the others that are still in another class. Where a bucket then still holds several classes, more of its
-    nodes lead, until all pairs of nodes that share a bucket are in one class or were compared. class_id is the
+    bucket every node is held against the leader; first against the leader that it shares most bands with, then
+    against the others that are still in another class, and at last in the later rounds. class_id is the
     least doc_id of the class, which stays; null where all are null. Repeated rows share their fate. Null,
-    empty and blank texts are copies of each other; texts under five words are one k-mer. An empty table
-    gives no rows.
+    empty and blank texts are copies of each other; texts under five words are one k-mer; texts are read whole,
+    however long. Other columns do not matter, whatever their names. An empty table gives no rows.
     """
-    return _classed(docs).drop("node")
+    return _classed(docs).drop("own")
 
 
 def _classed(docs: DataFrame) -> DataFrame:
-    """The rows of near_classes with their node."""
+    """The rows of near_classes with the digest of the row."""
     rows = cut(sketched(docs))
-    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size")))
+    nodes = rows.groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min("own").alias("own"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size"), F.count("*").alias("n")
+    )
+    nodes = cut(nodes)
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")
     shared = _shared(keys)
     leaders = shared.groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("a"))
-    members = cut(shared.join(leaders, "key").where("a <> node"))
-    met = cut(members.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")))
-    wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct().join(nodes.select("node", "rep"), "node")
-    wanted = wanted.select(F.col("node").alias("_node"), F.col("rep").alias("_rep"))
-    texts = cut(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(text_of()).alias("t"))
-        .withColumn("node", _node_of(F.col("t")))
-        .join(wanted, F.col("doc_id").eqNullSafe(F.col("_rep")) & (F.col("node") == F.col("_node")))
-        .select("node", "t")
-        .dropDuplicates(["node"])
-    )
-    first = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-    roots = components(verified(first, texts))
-    apart = cut(_apart(met.select("a", "b").join(first, ["a", "b"], "left_anti"), roots))
+    met = shared.join(leaders, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    close = cut(near_pairs(met, nodes))
+    grams = cut(kmers_of(docs, nodes.select("own", "node").join(shared.select("node").distinct(), "node")))
+    first = close.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+    roots = components(verified(first, grams))
+    apart = cut(_apart(close.select("a", "b").join(first, ["a", "b"], "left_anti"), roots))
     if not apart.isEmpty():
-        roots = _merged(roots, cut(verified(apart.select("a", "b"), texts)))
-    roots = _later_rounds(roots, members.select("key", "node", "score"), met, nodes.select("node", "size"), texts)
-    class_of = cut(nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")))
-    sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
-    classes = cut(class_of.join(sizes, "node").groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")))
+        roots = _merged(roots, cut(verified(apart.select("a", "b"), grams)))
+    roots = _later_rounds(roots, shared, close, nodes, grams)
+    class_of = cut(nodes.join(roots, "node", "left").select("node", "rep", "n", F.coalesce("root", "node").alias("root")))
+    classes = cut(class_of.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")))
     by_node = cut(class_of.join(classes, "root").select("node", "class_id", "class_size"))
     return (
-        rows.select("doc_id", "node")
+        rows.select("doc_id", "own", "node")
         .join(by_node, "node")
-        .select("doc_id", "node", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        .select("doc_id", "own", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that near_classes keeps, with all their columns."""
-    gone = _classed(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("node").alias("_node")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")) & (_node_of(plain(text_of())) == F.col("_node")), "left_anti")
+    """The rows of ``docs`` that near_classes keeps, with all their columns; nulls, ties and repeats as there."""
+    gone = _classed(docs).where(~F.col("kept")).select(F.col("own").alias("_own")).distinct()
+    return docs.join(gone, row_key(docs) == F.col("_own"), "left_anti")
