@@ -8,6 +8,7 @@ that the fit has not seen turns ridge scores into chances.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_of, words
+from .common import cut, text_of
 from .quality_rules import with_counts
 
 FEATURES, RIDGE, SEED = 256, 1e-4, 11
@@ -26,6 +27,24 @@ TRAIN_ROWS = 400_000
 #: Partitions that the training rows are spread over, and bins of the ridge score that isotonic regression sees.
 PARTS, BINS = 16, 2_000
 LIMIT = 0.3
+NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
+class Characters:
+    """Counts over a text in one pass of its bytes: digits, sentence marks, commas, bars, vowels, letters, distinct words."""
+
+    def __init__(self):
+        groups = ["0123456789", ".?", ",;:", "|", "aeiouAEIOU"]
+        self.groups = [np.frombuffer(g.encode(), np.uint8) for g in groups]
+        self.letters = np.array([i for i in range(128) if chr(i).isalpha()])
+
+    def count(self, text: str) -> list[int]:
+        data = text.encode()
+        seen = np.bincount(np.frombuffer(data, np.uint8), minlength=256) if data else np.zeros(256, dtype=int)
+        letters = int(seen[self.letters].sum())
+        if seen[128:].any():
+            letters += sum(map(str.isalpha, NOT_ASCII.findall(text)))
+        return [*(int(seen[g].sum()) for g in self.groups), letters, len(set(data.split()))]
 
 
 def statistics(docs: DataFrame, name: str = "x") -> DataFrame:
@@ -33,37 +52,42 @@ def statistics(docs: DataFrame, name: str = "x") -> DataFrame:
 
     Neither language nor source nor doc_id goes in.
     """
-    text, q = text_of(), F.col("_q")
-
-    def share(part: Column, whole: Column, most: float = 1.0) -> Column:
-        return F.when(whole > 0, F.least(part / whole, F.lit(most))).otherwise(0.0)
-
-    def count(chars: str) -> Column:
-        return F.length(text) - F.length(F.translate(text, chars, ""))
-
-    digits, marks, commas, bars = count("0123456789"), count(".?"), count(",;:"), count("|")
-    distinct = F.size(F.array_distinct(words(text)))
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    vowels = F.length(text) - F.length(F.translate(text, "aeiouAEIOU", ""))
-    columns = [
-        F.log1p(q["n_words"]) / 10,
-        share(q["word_chars"], 10 * q["n_words"], 5.0),
-        share(q["n_symbols"], q["word_chars"]),
-        share(q["n_dup_lines"], q["n_lines"]),
-        share(q["n_repeat_words"], q["n_words"]),
-        share(q["n_capitals"], q["word_chars"]),
-        share(q["n_shouts"], q["n_words"], 3.0),
-        share(bars, q["n_words"], 3.0),
-        share(digits, q["word_chars"]),
-        share(marks, q["n_words"], 3.0),
-        share(commas, q["n_words"], 3.0),
-        share(distinct, q["n_words"]),
-        share(letters, q["word_chars"]),
-        share(vowels, q["word_chars"]),
-        F.log1p(share(q["n_words"], q["n_lines"], 1e9)) / 10,
-    ]
+    counts = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_shouts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        characters = Characters()
+        for batch in batches:
+            n = {c: batch.column(i + 2).to_numpy().astype(float) for i, c in enumerate(counts)}
+            own = np.array([characters.count(t) for t in batch.column(1).to_pylist()], dtype=float).reshape(-1, 7)
+            digits, marks, commas, bars, vowels, letters, distinct = own.T
+
+            def share(part: np.ndarray, whole: np.ndarray, most: float = 1.0) -> np.ndarray:
+                return np.minimum(np.divide(part, whole, out=np.zeros_like(part), where=whole > 0), most)
+
+            columns = [
+                np.log1p(n["n_words"]) / 10,
+                share(n["word_chars"], 10 * n["n_words"], 5.0),
+                share(n["n_symbols"], n["word_chars"]),
+                share(n["n_dup_lines"], n["n_lines"]),
+                share(n["n_repeat_words"], n["n_words"]),
+                share(n["n_capitals"], n["word_chars"]),
+                share(n["n_shouts"], n["n_words"], 3.0),
+                share(bars, n["n_words"], 3.0),
+                share(digits, n["word_chars"]),
+                share(marks, n["n_words"], 3.0),
+                share(commas, n["n_words"], 3.0),
+                share(distinct, n["n_words"]),
+                share(letters, n["word_chars"]),
+                share(vowels, n["word_chars"]),
+                np.log1p(share(n["n_words"], n["n_lines"], 1e9)) / 10,
+            ]
+            x = np.stack(columns, axis=1)
+            ends = np.arange(0, STATISTICS * len(x) + 1, STATISTICS, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["doc_id", name])
+
     counted = with_counts(docs.select("doc_id", "text"))
-    return counted.select(F.col("doc_id").cast("long").alias("doc_id"), F.array(*[c.cast("double") for c in columns]).alias(name))
+    read = counted.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t"), *[F.col("_q")[c].alias(c) for c in counts])
+    return read.mapInArrow(run, f"doc_id long, {name} array<double>")
 
 
 def fold(doc_id: Column) -> Column:
@@ -122,7 +146,10 @@ def _normal_sums(model: Model, rows: DataFrame) -> tuple[np.ndarray, np.ndarray]
                 total += np.frombuffer(data).reshape(size + 1, size)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
 
-    sums = rows.select("x", "y").mapInArrow(partial, "sums binary").repartition(1).mapInArrow(add, "sums binary").first()
+    sums = rows.select("x", "y").mapInArrow(partial, "sums binary")
+    for tasks in (PARTS // 4, 1):  # a tree: no task adds up all partitions' sums
+        sums = sums.repartition(tasks).mapInArrow(add, "sums binary")
+    sums = sums.first()
     total = np.frombuffer(sums.sums).reshape(size + 1, size)
     return total[:-1], total[-1]
 
