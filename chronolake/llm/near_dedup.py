@@ -33,7 +33,7 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, SAMPLED, SHARED = 16, 3, 2
 #: A bucket of so many texts is compared pair by pair. Each later round samples DEEPER k-mers more for a band, and
 #: takes so many bands that texts of similarity 0.8 miss each other in all of them with a chance of exp(-MEET).
-SMALL, DEEPER, MEET = 8, 2, 4.0
+SMALL, DEEPER, MEET = 64, 4, 4.0
 #: Texts that one chunk holds against a leader; words that a task keeps the hash of.
 CHUNK, CACHE = 64, 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
