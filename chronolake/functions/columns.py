@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronolake import schemas as S
 
@@ -92,3 +93,36 @@ def order_key(order: list[str], nulls_last: tuple[str, ...] = ()) -> Column:
             fields.append(F.col(name).isNull().alias(f"k{i}_null"))
         fields.append(F.col(name).alias(f"k{i}"))
     return F.struct(*fields)
+
+
+def exact_part(c: str | Column) -> Column:
+    """A reading as a fixed-point number of 12 decimals: sums of these do not depend on their order.
+
+    Null where it has 17 digits or more before the point, or is infinite: see :func:`far_part`.
+    """
+    return col(c).try_cast("decimal(28, 12)")
+
+
+def far_part(c: str | Column) -> Column:
+    """What :func:`exact_part` cannot hold, null otherwise."""
+    return F.when(exact_part(c).isNull(), col(c))
+
+
+def row_encoding(df: DataFrame) -> Column:
+    """The whole row as one string that no other row of these columns has.
+
+    Every value is ``-`` if null, else the length of its text, ``:`` and the text; the text holds the value in
+    full: microseconds of a timestamp, all digits and the sign of zero of a double, the bytes of a binary.
+    """
+    def text(field: T.StructField) -> Column:
+        value, kind = F.col(field.name), field.dataType
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            raise TypeError(f"column {field.name}: rows are encoded over plain columns only, not {kind.simpleString()}")
+        if isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, T.BinaryType):
+            value = F.hex(value)
+        value = value.cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    return F.concat(*[text(f) for f in df.schema.fields])

@@ -5,6 +5,8 @@ All functions are ``DataFrame -> DataFrame``; the clock (``as_of``) is always a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +67,15 @@ def gold_state(silver: DataFrame) -> DataFrame:
     """GRP1 as additive state: per (date, station, name) sums, counts, min and max.
 
     Null keys form their own groups. Partial aggregation runs map-side, so the shuffle
-    carries at most one row per group and map task.
+    carries at most one row per group and map task. Sums are exact (:func:`C.exact_part`),
+    so neither the order of rows nor the refresh that brought them changes an average.
     """
     def measure(name: str) -> list:
-        return [F.sum(name).alias(f"sum_{name}"), F.count(name).alias(f"n_{name}")]
+        return [
+            F.sum(C.exact_part(name)).alias(f"sum_{name}"),
+            F.sum(C.far_part(name)).alias(f"far_{name}"),
+            F.count(name).alias(f"n_{name}"),
+        ]
 
     return (
         silver.groupBy(F.col("observation_date").alias("partition_date"), "station_id", "station_name")
@@ -88,7 +95,7 @@ def gold_state(silver: DataFrame) -> DataFrame:
 
 def merge_gold_state(previous: DataFrame, increment: DataFrame) -> DataFrame:
     """Combine two additive states (previous snapshot + new rows) group by group."""
-    sums = [c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(("sum_", "n_"))]
+    sums = [c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(S.ADDED)]
     return (
         previous.select(*S.GOLD_STATE_SCHEMA.fieldNames())
         .unionByName(increment.select(*S.GOLD_STATE_SCHEMA.fieldNames()))
@@ -96,7 +103,7 @@ def merge_gold_state(previous: DataFrame, increment: DataFrame) -> DataFrame:
         .agg(
             F.sum("rows_processed").alias("rows_processed"),
             F.sum("anomaly_count").alias("anomaly_count"),
-            *[F.sum(c).alias(c) for c in sums],
+            *[F.sum(c).cast(S.GOLD_STATE_SCHEMA[c].dataType).alias(c) for c in sums],
             F.max("max_wind_gust_kmh").alias("max_wind_gust_kmh"),
             F.min("first_seen").alias("first_seen"),
             F.max("last_seen").alias("last_seen"),
@@ -129,9 +136,11 @@ def finish_gold(
     ``keep`` passes further columns through, in front.
     """
     def avg(name: str):
-        return F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}")).alias(f"avg_{name}")
+        near, far = F.col(f"sum_{name}").cast("double"), F.col(f"far_{name}")
+        total = F.when(far.isNull(), near).otherwise(far + F.coalesce(near, F.lit(0.0)))
+        return F.try_divide(total, F.col(f"n_{name}")).alias(f"avg_{name}")
 
-    state_cols = [c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(("sum_", "n_"))]
+    state_cols = [c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(S.ADDED)]
     return state.select(
         *keep,
         "partition_date",
@@ -156,22 +165,26 @@ BROADCAST_ID_LIMIT = 2_000_000  # incoming ids broadcast only up to this many ro
 
 def unseen(
     incoming: DataFrame,
-    history_ids: DataFrame,
+    history: list[DataFrame],
     rows: int | None = None,
     broadcast_limit_rows: int = BROADCAST_ID_LIMIT,
 ) -> DataFrame:
-    """JOIN3: incoming rows whose id is not in history.
+    """JOIN3: incoming rows whose id is in none of the frames of ``history``.
 
     History is the big side and only its id column is read. ``rows`` bounds the incoming
     rows (the refresh knows it from landing them; else they are counted, an aggregate of
     every task). When that proves their ids small they are broadcast, so history is
     streamed once through a hash probe and never shuffled (``history SEMI incoming``), and
     the known ids -- at most as many -- are broadcast to the final anti-join. Otherwise it
-    is a single shuffle anti-join; callers pass one row for each id (keep-first runs
+    is an anti-join for each frame (a generation of the id index: bucketed, so only what is
+    left of the increment is shuffled); callers pass one row for each id (keep-first runs
     before), so neither side has a hot key.
     """
     incoming_ids = incoming.select(KEY)
     if (incoming_ids.count() if rows is None else rows) <= broadcast_limit_rows:
-        known = history_ids.select(KEY).join(F.broadcast(incoming_ids), KEY, "left_semi")
+        every = reduce(DataFrame.union, [h.select(KEY) for h in history])
+        known = every.join(F.broadcast(incoming_ids), KEY, "left_semi")
         return incoming.join(F.broadcast(known), KEY, "left_anti")
-    return incoming.join(history_ids.select(KEY), KEY, "left_anti")
+    for ids in history:
+        incoming = incoming.join(ids.select(KEY), KEY, "left_anti")
+    return incoming

@@ -232,6 +232,39 @@ SELECT source_record_id, coalesce(station_id, {_STATION_CASE}) AS station_id, st
 FROM obs"""
 
 
+def partial_runs() -> str:
+    """Every observation is published once: its station's run, or the newest of its station, or the rest."""
+    t = FX.PULL_AS_OF
+    # The document's station, not the row's: a null station id is filled from the folder, so both agree.
+    return f"""WITH {OBS}, d AS (
+  SELECT source_record_id, user_id % 5 AS station, row_number() OVER (PARTITION BY user_id % 5 ORDER BY "timestamp" DESC, source_record_id) AS n FROM obs
+), r AS (
+  SELECT CASE WHEN station = 0 THEN '{t[1]}' WHEN n <= {S.DEFAULT_LIVE_LIMIT} THEN '{t[2]}' ELSE '{t[3]}' END AS ingest_ts, source_record_id FROM d
+), c AS (
+  SELECT ingest_ts, count(*) AS rows, count(DISTINCT source_record_id) AS ids FROM r GROUP BY ingest_ts
+)
+SELECT '{t[1]}' AS ingest_ts, 'CREATED' AS status, 0::BIGINT AS left_out, true AS documents_left, rows, ids FROM c WHERE ingest_ts = '{t[1]}'
+UNION ALL SELECT '{t[2]}', 'CREATED', (SELECT rows FROM c WHERE ingest_ts = '{t[3]}'), false, rows, ids FROM c WHERE ingest_ts = '{t[2]}'
+UNION ALL SELECT '{t[3]}', 'CREATED', 0, false, rows, ids FROM c WHERE ingest_ts = '{t[3]}'
+UNION ALL SELECT '2024-03-01T00:00:00+00:00', 'SKIPPED', 0, false, 0, 0"""
+
+
+def first_snapshot_rows() -> str:
+    return f"""WITH {OBS}
+SELECT source_record_id, "timestamp" + CASE WHEN n = 2 THEN INTERVAL 1 MICROSECOND ELSE INTERVAL 0 MICROSECOND END AS "timestamp",
+  CASE WHEN n = 3 THEN '' END AS icon, CASE WHEN n = 4 THEN '-0.0' ELSE '0.0' END AS dewpoint,
+  CAST(CASE WHEN n = 1 THEN 2 ELSE 1 END AS BIGINT) AS copies
+FROM obs, (SELECT unnest([1, 2, 3, 4]) AS n)"""
+
+
+def gold_exact_averages() -> str:
+    def avg(name: str) -> str:
+        return f"CAST(sum(CAST({name} / 3 AS DECIMAL(38, 12))) AS DOUBLE) / count({name}) AS avg_{name}"
+
+    averages = ", ".join(avg(c) for c in ("temperature_c", "wind_speed_kmh", "pressure_pa"))
+    return with_base(f"SELECT observation_date AS partition_date, station_id, station_name, {averages} FROM ({silver(3)}) s GROUP BY ALL")
+
+
 def refresh_outcomes() -> str:
     one, two = (f"(SELECT count(*) FROM ({bronze(n)}) b)" for n in (1, 2))
     steps = (
@@ -378,6 +411,11 @@ def all_sql(custom_sql_text: str) -> dict[str, str]:
         "feed_lenient": feed_lenient(),
         "station_dim_join": station_dim_join(),
         "landing_refresh": landing_refresh(),
+        "landing_stream": landing_refresh(),
+        "compact_then_refresh": with_base(silver(3)),
+        "partial_runs": partial_runs(),
+        "first_snapshot_rows": first_snapshot_rows(),
+        "gold_exact_averages": gold_exact_averages(),
         "refresh_outcomes": refresh_outcomes(),
         "rebuild_then_refresh": with_base(gold(3, 30)),
         "incremental_t3": with_base(increment(3)),

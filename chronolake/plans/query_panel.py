@@ -46,12 +46,13 @@ def sql_text(layer: str, chosen_query: str, limit: int | None = None) -> str:
     if chosen_query == S.QUERY_OPTIONS[0]:
         rows, lead = "SELECT * FROM current_data EXCEPT SELECT * FROM previous_data", [columns[0]]
     elif chosen_query == S.QUERY_OPTIONS[1] and layer == "gold":
-        rows = (
-            "SELECT nvl(c.partition_date, p.partition_date) AS partition_date, nvl(c.station_id, p.station_id) AS station_id, "
-            "nvl(c.rows_processed, 0) AS current_rows, nvl(p.rows_processed, 0) AS previous_rows, "
-            "nvl(c.rows_processed, 0) - nvl(p.rows_processed, 0) AS delta_rows FROM current_data AS c "
-            "FULL JOIN previous_data AS p ON (c.partition_date, c.station_id) = (p.partition_date, p.station_id)"
-        )
+        # USING is plain equality, key by key: a null station meets nothing and stays a row of its own side.
+        def side(table: str, rows: str) -> str:
+            return f"(SELECT partition_date, station_id, rows_processed AS {rows} FROM {table})"
+
+        both = f"{side('current_data', 'now_rows')} FULL OUTER JOIN {side('previous_data', 'old_rows')} USING (partition_date, station_id)"
+        counts = "partition_date, station_id, ifnull(now_rows, 0) AS current_rows, ifnull(old_rows, 0) AS previous_rows"
+        rows = f"SELECT *, current_rows - previous_rows AS delta_rows FROM (SELECT {counts} FROM {both})"
         columns, lead = ["partition_date", "station_id", "current_rows", "previous_rows", "delta_rows"], ["partition_date desc", "station_id"]
     elif chosen_query == S.QUERY_OPTIONS[1]:
         rows = f"SELECT station_id, {day} AS partition_key, count(*) AS current_rows FROM current_data GROUP BY station_id, {day}"

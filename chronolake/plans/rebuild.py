@@ -21,12 +21,10 @@ from chronolake import schemas as S
 from chronolake.functions import columns as C
 from chronolake.operators import layers as L
 from chronolake.sources import catalog as CAT
+from chronolake.sources import store as ST
 from chronolake.sources.store import LayerStore
 
-_ADDITIVE = [
-    "rows_processed", "anomaly_count", "sum_temperature_c", "n_temperature_c",
-    "sum_wind_speed_kmh", "n_wind_speed_kmh", "sum_pressure_pa", "n_pressure_pa",
-]
+_ADDITIVE = ["rows_processed", "anomaly_count", *[c for c in S.GOLD_STATE_SCHEMA.fieldNames() if c.startswith(S.ADDED)]]
 #: Snapshots up to which their times are broadcast.
 BROADCAST_SNAPSHOTS = 100_000
 _COUNTS = ("rows_processed", "anomaly_count", "n_temperature_c", "n_wind_speed_kmh", "n_pressure_pa")
@@ -37,10 +35,14 @@ def gold_history(
     last_seq: int,
     stamps: DataFrame | None = None,
     keep_state: bool = False,
+    changes_only: bool = False,
     **thresholds: float,
 ) -> DataFrame:
     """Gold rows of every snapshot ``1..last_seq``, with a ``seq`` column.
 
+    ``changes_only``: as a refresh writes them, the groups of the days and stations that a snapshot
+    added to, and all groups of the snapshots that hold all (``store.gold_base``).
+
     ``stamps`` holds (seq, updated_at) per snapshot -- the catalog's creation times;
     without it, each snapshot's ingest time in the log is used.
     """
@@ -50,7 +52,8 @@ def gold_history(
         return F.when(kept, c)
 
     def measure(name: str) -> list:
-        return [F.sum(when_kept(F.col(name))).alias(f"sum_{name}"),
+        return [F.sum(when_kept(C.exact_part(name))).alias(f"sum_{name}"),
+                F.sum(when_kept(C.far_part(name))).alias(f"far_{name}"),
                 F.count(when_kept(F.col(name))).alias(f"n_{name}")]
 
     per_seq = log.where(F.col("seq") <= last_seq).groupBy(
@@ -76,7 +79,7 @@ def gold_history(
     running = per_seq.select(
         F.col("seq").alias("_own"),
         *group,
-        *[(F.coalesce(F.sum(c).over(upto), F.lit(0)) if c in _COUNTS else F.sum(c).over(upto)).alias(c)
+        *[(F.coalesce(F.sum(c).over(upto), F.lit(0)) if c in _COUNTS else F.sum(c).over(upto).cast(S.GOLD_STATE_SCHEMA[c].dataType)).alias(c)
           for c in _ADDITIVE],
         F.max("max_wind_gust_kmh").over(upto).alias("max_wind_gust_kmh"),
         F.min("first_seen").over(upto).alias("first_seen"),
@@ -92,6 +95,9 @@ def gold_history(
     state = every.withColumn("new_records", F.sum(fresh).over(of_day).cast("long")).where(
         F.col("rows_processed") > 0  # before its first kept row a group is not in gold
     )
+    if changes_only:
+        touched = F.max((F.col("seq") == F.col("_own")).cast("int")).over(of_day) == 1
+        state = state.withColumn("_touched", touched).where(F.col("_touched") | ((F.col("seq") - 1) % ST.FULL_EVERY == 0))
     if stamps is None:
         by_seq = per_seq.groupBy("seq").agg(F.max("_stamp").alias("updated_at"))
     else:
@@ -119,11 +125,12 @@ def rebuild(spark: SparkSession, root: str, **thresholds: float) -> int:
     log = store.log().where(F.col("seq") <= last)
     silver = L.to_silver(log.where(F.col("is_first")), keep=("seq",), **thresholds)
     stamps = catalog.select("seq", F.col("created_at").alias("updated_at"))
-    gold = gold_history(log, last, stamps, keep_state=True, **thresholds)
+    gold = gold_history(log, last, stamps, keep_state=True, changes_only=True, **thresholds)
     store.version += 1
     for table, df in (("silver_log", silver), ("gold", gold)):
-        # A snapshot's rows of one day meet in one task, so files stay few and days clustered.
-        spread = df.repartition("seq", "partition_date")
+        # A snapshot's rows of one day meet, so files stay few and days clustered; what is more than
+        # the advisory size is spread over tasks by its measured size once it is shuffled.
+        spread = df.hint("rebalance", "seq", "partition_date")
         spread.sortWithinPartitions("seq", "partition_date").write.mode("overwrite").partitionBy("seq").parquet(store.path(table))
     CAT.publish_rules(spark, root, store.version, thresholds)
     return last

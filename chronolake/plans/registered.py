@@ -10,16 +10,18 @@ Results are whole; the 200-row cap is registered once, as the top-k report it is
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake import schemas as S
 from chronolake.operators import layers as L
-from chronolake.operators.dedupe import keep_first
+from chronolake.operators.dedupe import flag_first_distinct, keep_first
 from chronolake.operators.topk import latest_per_station
 from chronolake.plans import catalog_views as CV
 from chronolake.plans import query_panel as QP
+from chronolake.plans.compact import compact
 from chronolake.plans.explorer import Explorer
 from chronolake.plans.rebuild import gold_history, rebuild
 from chronolake.plans.refresh import refresh_if_due, refresh_snapshot
@@ -48,24 +50,25 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.read_events(spark, sf_dir)
 
 
-def publish(spark: SparkSession, sf_dir: str, root: str, pulls=tuple(FX.PULL_AS_OF), **how) -> str:
+def publish(spark: SparkSession, sf_dir: str, root: str, pulls=tuple(FX.PULL_AS_OF), id_buckets: dict[int, int] | None = None) -> str:
     """Runs the refresh job once for each of ``pulls`` into ``root``."""
     events = _events(spark, sf_dir)
     for pull in pulls:
         refresh_snapshot(
-            spark, root, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], FX.FIXTURE_SOURCE_NAME, FX.STATION_CODES, **how
-        )
+            spark, root, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], FX.FIXTURE_SOURCE_NAME, FX.STATION_CODES,
+            id_buckets=(id_buckets or {}).get(pull),
+        )
     return root
 
 
 _STORES: dict[tuple, str] = {}
 
 
-def published(spark: SparkSession, sf_dir: str, id_buckets: int | None = None) -> Explorer:
+def published(spark: SparkSession, sf_dir: str) -> Explorer:
     """The store of all three pulls, published at its first use in a session and shared by the queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, id_buckets)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
-        _STORES[key] = publish(spark, sf_dir, shared_dir(spark, "published"), id_buckets=id_buckets)
+        _STORES[key] = publish(spark, sf_dir, shared_dir(spark, "published"))
     return Explorer(spark, _STORES[key])
 
 
@@ -190,45 +193,64 @@ def gold_all_snapshots(spark, sf_dir):
     return gold_history(published(spark, sf_dir).store.log(), len(FX.PULL_AS_OF))
 
 
-def _incremental(rows: int | None = None, id_buckets: int | None = None):
-    """DED1 + JOIN3 the way a refresh does it: pull 3 anti-joined to the ids of T2."""
+def _unseen(spark: SparkSession, sf_dir: str, store, pull: int, seq: int, rows: int | None = None) -> DataFrame:
+    """DED1 + JOIN3 the way a refresh does it: a pull anti-joined to the ids published up to ``seq``."""
+    bronze = FX.bronze_pulls(_events(spark, sf_dir)).where(F.col("pull") == pull).drop("pull")
+    return L.unseen(keep_first(bronze, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST), store.history_ids(seq), rows)
+
+
+def _incremental(rows: int | None = None):
     def run(spark, sf_dir):
-        store = published(spark, sf_dir, id_buckets).store
-        pull3 = FX.bronze_pulls(_events(spark, sf_dir)).where(F.col("pull") == 3).drop("pull")
-        return L.unseen(keep_first(pull3, L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST), store.history_ids(2), rows)
+        return _unseen(spark, sf_dir, published(spark, sf_dir).store, 3, 2, rows)
 
+    run.__doc__ = "DED1, JOIN3: what pull 3 adds to T2, " + ("history shuffled" if rows else "ids broadcast")
     return run
 
 
-def no_change_check(spark, sf_dir):
-    """JOIN4: each pull checked against each published snapshot from the one before it.
+def incremental_t3_id_index(spark, sf_dir):
+    """JOIN3: what pull 3 adds to T2 whose ids lie in two generations, of 4 and of 8 buckets."""
+    root = publish(spark, sf_dir, shared_dir(spark, "generations"), (1, 2), id_buckets={1: 4, 2: 8})
+    return _unseen(spark, sf_dir, Explorer(spark, root).store, 3, 2, L.BROADCAST_ID_LIMIT + 1)
 
-    A pull's id is unknown to snapshot ``s`` iff the id was first published after ``s``.
-    Ids are counted per (pull, first snapshot) -- an aggregate of a few rows -- and each
-    count is spread over the snapshots it is checked against with ``explode``, so no
-    join pairs rows with snapshots.
-    """
-    events = _events(spark, sf_dir)
-    log = published(spark, sf_dir).store.log()
-    first_seq = log.where("is_first").select("source_record_id", F.col("seq").alias("first_seq"))
-    pull_ids = FX.pulls(events).select("pull", "source_record_id").distinct()
-    per_first = (
-        pull_ids.join(first_seq, "source_record_id", "left")
-        .groupBy("pull", "first_seq")
-        .agg(F.count(F.lit(1)).alias("ids"))
+
+def no_change_check(spark, sf_dir):
+    """JOIN4: each pull anti-joined to every published snapshot from the one before it, as a refresh would."""
+    store, last, out = published(spark, sf_dir).store, len(FX.PULL_AS_OF), []
+    for pull in FX.PULL_AS_OF:
+        for seq in range(max(pull - 1, 1), last + 1):
+            new = _unseen(spark, sf_dir, store, pull, seq).agg(F.count("*").alias("unknown_ids"))
+            out.append(new.select(F.lit(pull).alias("pull"), F.lit(seq).alias("against_seq"), "unknown_ids"))
+    counts = reduce(DataFrame.union, out)
+    return counts.withColumn("status", F.when(F.col("unknown_ids") == 0, "NO_CHANGE").otherwise("CREATED"))
+
+
+def first_snapshot_rows(spark, sf_dir):
+    """DED1: the rows of a first pull that holds each observation twice, and once more each a microsecond later,
+    with an empty text for a null one, and with the other zero; what the log then has of them."""
+    obs = L.to_bronze(FX.observations(_events(spark, sf_dir)), "identity", FX.PULL_AS_OF[1])
+    obs = obs.withColumns({"dewpoint_c": F.hour("timestamp") * F.lit(0.0), "icon": F.lit(None).cast("string")})
+    zero = F.when(F.col("_n") == 4, -F.col("dewpoint_c")).otherwise(F.col("dewpoint_c"))
+    later = F.when(F.col("_n") == 2, F.col("timestamp") + F.expr("INTERVAL 0.000001 SECOND")).otherwise(F.col("timestamp"))
+    pull = obs.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in range(5)]))).withColumns(
+        {"dewpoint_c": zero, "timestamp": later, "icon": F.when(F.col("_n") == 3, F.lit("")).otherwise(F.col("icon"))}
     )
-    last = len(FX.PULL_AS_OF)
-    against = F.explode(F.sequence(F.greatest(F.col("pull") - 1, F.lit(1)), F.lit(last)))
-    spread = per_first.select("pull", "first_seq", "ids", against.alias("against_seq"))
-    unknown = F.when(
-        F.col("first_seq").isNull() | (F.col("first_seq") > F.col("against_seq")), F.col("ids")
-    ).otherwise(F.lit(0))
-    out = spread.groupBy("pull", "against_seq").agg(F.sum(unknown).cast("long").alias("unknown_ids"))
-    return out.withColumn(
-        "status", F.when(F.col("unknown_ids") == 0, F.lit("NO_CHANGE")).otherwise(F.lit("CREATED"))
+    log = flag_first_distinct(pull.drop("_n"), L.KEY, L.PULL_ORDER, L.PULL_NULLS_LAST)
+    return log.select(
+        "source_record_id", "timestamp", "icon", F.col("dewpoint_c").cast("string").alias("dewpoint"), "copies"
     )
 
 
+def gold_exact_averages(spark, sf_dir):
+    """GRP1: averages of fractional readings, merged over three refreshes."""
+    root, events = shared_dir(spark, "fractions"), _events(spark, sf_dir)
+    for pull, as_of in FX.PULL_AS_OF.items():
+        raw = FX.pull_frame(events, pull)
+        third = {c: F.col(c) / 3 for c in ("temperature_c", "wind_speed_kmh", "pressure_pa")}
+        refresh_snapshot(spark, root, raw.withColumns(third), as_of, FX.FIXTURE_SOURCE_NAME, FX.STATION_CODES)
+    gold = Explorer(spark, root).as_of("gold", f"T{CURRENT}")
+    return gold.select(*S.GOLD_KEYS, *[c for c in gold.columns if c.startswith("avg_")])
+
+
 # --- comparison panel ----------------------------------------------------------------------
 
 def _pair(spark: SparkSession, sf_dir: str, layer: str, previous: int = PREVIOUS) -> tuple[DataFrame, DataFrame]:
@@ -332,6 +354,43 @@ def landing_refresh(spark, sf_dir):
     return rows.select("source_record_id", "station_id", "station_name", "timestamp", "temperature_c", "ingest_ts")
 
 
+def landing_stream(spark, sf_dir):
+    """SRC1, STR1: the same landings as a stream of documents, drained after each."""
+    root = shared_dir(spark, "landing-stream")
+    early = F.col("event_id") % 2 == 0
+    for at, where in ((FX.PULL_AS_OF[1], early), (FX.PULL_AS_OF[2], ~early)):
+        _land(spark, sf_dir, f"{root}/landing", where)
+        ingest.stream_documents(spark, root, f"{root}/landing", lambda at=at: at).awaitTermination()
+    rows = Explorer(spark, root).as_of("bronze", "T2")
+    return rows.select("source_record_id", "station_id", "station_name", "timestamp", "temperature_c", "ingest_ts")
+
+
+def partial_runs(spark, sf_dir):
+    """SRC9, SRC10, SNP7: one landing, taken by a run for one station, one for the newest 72 of each other, one for
+    all that is left, and one that finds nothing open; the rows by the run that published them, and their outcomes."""
+    root = shared_dir(spark, "partial-runs")
+    _land(spark, sf_dir, f"{root}/landing", F.lit(True))
+    one = [FX.STATION_CODES[0]]
+    runs = ((FX.PULL_AS_OF[1], one, None), (FX.PULL_AS_OF[2], None, S.DEFAULT_LIVE_LIMIT), (FX.PULL_AS_OF[3], None, None), ("2024-03-01T00:00:00+00:00", None, None))
+    outcomes = [refresh_if_due(spark, root, f"{root}/landing", at, stations, limit, force=True) for at, stations, limit in runs]
+    said = spark.createDataFrame(
+        [(at, d.status, d.dropped, d.unread > 0) for (at, _, _), d in zip(runs, outcomes, strict=True)],
+        "ingest_ts string, status string, left_out long, documents_left boolean",
+    )
+    rows = Explorer(spark, root).as_of("bronze", "T3").groupBy("ingest_ts").agg(F.count("*").alias("rows"), F.count_distinct(L.KEY).alias("ids"))
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "ids")]
+    return said.join(rows, "ingest_ts", "left").select("ingest_ts", "status", "left_out", "documents_left", *counts)
+
+
+def _replayed(read: Callable[[Explorer], DataFrame]):
+    """All three refreshes run anew, into a store of their own."""
+    def run(spark, sf_dir):
+        return read(Explorer(spark, publish(spark, sf_dir, shared_dir(spark, "replay"))))
+
+    run.__doc__ = "SNP1, SNP7: read after three refreshes that this query runs"
+    return run
+
+
 def refresh_outcomes(spark, sf_dir):
     """SNP6-7: every outcome of the job, and the rows published after each."""
     root, events = shared_dir(spark, "outcomes"), _events(spark, sf_dir)
@@ -360,6 +419,15 @@ def rebuild_then_refresh(spark, sf_dir):
     return Explorer(spark, root).as_of("gold", "T3")
 
 
+def compact_then_refresh(spark, sf_dir):
+    """SNK2: two snapshots compacted into one span, a third published after it; silver as of T2 and new rows of T3."""
+    root = publish(spark, sf_dir, shared_dir(spark, "compacted"), (1, 2))
+    compact(spark, root)
+    publish(spark, sf_dir, root, (3,))
+    ex = Explorer(spark, root)
+    return ex.as_of("silver", "T2").unionByName(ex.new_records("silver", "T2", "T3"))
+
+
 def stream_replay_bronze_t3(spark, sf_dir):
     """STR1: pulls of several files, one announcement for each trigger, one pull landed twice; bronze as of T3."""
     root, events, source = shared_dir(spark, "stream-replay"), _events(spark, sf_dir), FX.FIXTURE_SOURCE_NAME
@@ -381,7 +449,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"{layer}_t{n}": _layer_query(layer, n) for layer in S.LAYERS for n in (1, 2, 3)},
     "incremental_t3": _incremental(),
     "incremental_t3_shuffled": _incremental(rows=L.BROADCAST_ID_LIMIT + 1),
-    "incremental_t3_id_index": _incremental(rows=L.BROADCAST_ID_LIMIT + 1, id_buckets=8),
+    "incremental_t3_id_index": incremental_t3_id_index,
+    "first_snapshot_rows": first_snapshot_rows,
+    "gold_exact_averages": gold_exact_averages,
     "no_change_check": no_change_check,
     "gold_all_snapshots": gold_all_snapshots,
     "new_records_bronze": _panel("bronze", 0),
@@ -414,10 +484,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_list": snapshot_list,
     "default_pair": default_pair,
     "refresh_due": refresh_due,
-    "refresh_replay_gold_t3": _layer_query("gold", 3),
-    "refresh_replay_metrics": snapshot_metrics,
+    "refresh_replay_gold_t3": _replayed(lambda ex: ex.as_of("gold", f"T{CURRENT}")),
+    "refresh_replay_metrics": _replayed(lambda ex: ex.metrics().drop("processing_time_ms")),
     "refresh_outcomes": refresh_outcomes,
     "landing_refresh": landing_refresh,
+    "landing_stream": landing_stream,
+    "partial_runs": partial_runs,
     "rebuild_then_refresh": rebuild_then_refresh,
+    "compact_then_refresh": compact_then_refresh,
     "stream_replay_bronze_t3": stream_replay_bronze_t3,
 }

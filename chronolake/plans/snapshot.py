@@ -1,13 +1,14 @@
 """Snapshot build (SNP1) and its metrics (SNP8).
 
-A refresh costs O(increment + gold size) plus one id-only scan of history:
+A refresh costs O(increment + gold read) plus one id-only scan of history:
 
 1. land the pull (SNK1) and read it back (lineage cut at a shared, durable table)
 2. bronze-enrich; drop ids already in history (JOIN3); keep-first per id (DED1)
 3. append ``bronze_log/seq=n`` (row counts observed on that write; nothing new ->
    NO_CHANGE, nothing committed), then ``silver_log/seq=n`` (flags of the new rows only)
-4. gold state of the new silver rows merged with the previous snapshot's state (GRP1),
-   new-record counts joined on (date, station) (GRP2 + JOIN1) -> ``gold/seq=n``
+4. gold state of the new silver rows merged with the previous snapshot's state (GRP1) of the
+   days and stations it touches, new-record counts joined on (date, station) (GRP2 + JOIN1)
+   -> ``gold/seq=n``: the changed groups, and all of them every FULL_EVERY snapshots
 5. metrics from the increment and the small gold table, then the catalog row (commit)
 
 The reference recomputes silver and gold over all history on every refresh; here only
@@ -28,7 +29,7 @@ from chronolake.functions import columns as C
 from chronolake.operators import layers as L
 from chronolake.operators.dedupe import flag_first_distinct, keep_first
 from chronolake.sources import catalog as CAT
-from chronolake.sources.store import LayerStore
+from chronolake.sources.store import LayerStore, gold_base
 
 
 def build_snapshot(
@@ -45,6 +46,7 @@ def build_snapshot(
     previous_known: bool = False,
     id_buckets: int | None = None,
     files: DataFrame | None = None,
+    run: str | None = None,
 ) -> tuple[str, dict | None]:
     """SNP1: publish the next snapshot from one pull; the outcome and its catalog entry.
 
@@ -57,9 +59,10 @@ def build_snapshot(
     so it is read from there instead of being landed again. ``stable_dates``: ids never
     change their observation time, so history before the pull's first day is skipped.
     ``previous`` / ``previous_known``: the caller already read the latest catalog entry.
-    ``id_buckets``: keep a bucketed id index so large increments anti-join history
-    without shuffling it (kept up once it exists). ``files`` (file): the landing files the
-    pull was read from, recorded so that no later refresh reads them again.
+    ``id_buckets``: buckets of the id index, which lets large increments anti-join history
+    without shuffling it, from this snapshot on (default: by the number of ids). ``files``
+    (file, rows): the landed documents of the pull and the rows that they hold (null: those
+    of ``raw``); the ledger then says, whatever the outcome, what ``run`` took from each.
     """
     started = time.perf_counter()
     store = LayerStore(spark, root, id_buckets)
@@ -67,7 +70,7 @@ def build_snapshot(
         previous = CAT.latest_entry(CAT.read_catalog(spark, root))
     prev_seq = previous["seq"] if previous else 0
     seq = prev_seq + 1
-    if prev_seq and previous["row_counts"]["bronze"] and store.history_ids(prev_seq).isEmpty():
+    if prev_seq and previous["row_counts"]["bronze"] and store.log().where(F.col("seq") <= prev_seq).isEmpty():
         # Published snapshots exist but their log is gone: refuse to start history afresh.
         raise RuntimeError(f"bronze log of {previous['snapshot_id']} is missing under {root}")
     if landed_path:
@@ -76,7 +79,14 @@ def build_snapshot(
     else:
         raw_path, rows = store.write_raw(raw, source_name, as_of)
         landed = spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
+
+    def settle(outcome: str, at: int | None = None) -> None:
+        if files is not None:
+            taken = landed.groupBy(F.col("source_url").alias("file")).agg(F.count("*").alias("taken"))
+            CAT.record_run(spark, root, run or uuid.uuid4().hex, files.join(taken, "file", "left"), outcome, at)
+
     if rows == 0:
+        settle("SKIPPED")
         return "SKIPPED", None
     batch = L.to_bronze(landed, source_name, as_of)
 
@@ -102,14 +112,14 @@ def build_snapshot(
     paths = {"bronze": store.write_log(seq, log_rows)}
     inc = written.get
     if prev_seq > 0 and inc["rows"] == 0:
+        settle("NO_CHANGE")
         return "NO_CHANGE", None  # the seq folder stays uncatalogued (invisible)
     increment = store.log().where(F.col("seq") == seq)
-    store.write_id_index(seq, increment.where(F.col("is_first")))
+    known = previous["row_counts"]["silver"] if previous else 0
+    store.ids.write(seq, increment.where(F.col("is_first")), inc["kept"], known)
 
     paths["silver"] = store.write_silver(seq, L.to_silver(increment.where(F.col("is_first")), **store.thresholds))
     state = L.gold_state(store.silver_log().where(F.col("seq") == seq))
-    if prev_seq > 0:
-        state = L.merge_gold_state(store.gold_state(prev_seq), state)
     # Per (day, station) counts of the increment, null stations included: small, and
     # it also gives the increment's distinct days without another pass.
     fresh = (
@@ -117,11 +127,18 @@ def build_snapshot(
         .agg(F.sum("copies").cast("long").alias("new_records"))
         .cache()
     )
+    if prev_seq > 0:
+        before = store.gold_state(prev_seq)
+        if gold_base(seq) != seq:  # only the days and stations that the increment touches are written
+            touched = fresh.select(F.col("partition_date").alias("_date"), F.col("station_id").alias("_station"))
+            same = F.col("partition_date").eqNullSafe(F.col("_date")) & F.col("station_id").eqNullSafe(F.col("_station"))
+            before = before.join(touched, same, "left_semi")
+        state = L.merge_gold_state(before, state)
     new_counts = fresh.where(F.col("station_id").isNotNull())
     paths["gold"] = store.write_gold(seq, L.gold_from_state(state, new_counts, as_of, keep_state=True))
     inc_dates = fresh.select("partition_date").distinct().count()
     fresh.unpersist()
-    gold_row = store.gold(seq).agg(
+    gold_row = store.gold(seq, as_of).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("partition_date").alias("dates")
     ).first()
 
@@ -155,7 +172,6 @@ def build_snapshot(
         },
         "batch_id": batch_id,
     }
-    if files is not None:
-        CAT.record_files(spark, root, seq, files)
+    settle("CREATED", seq)
     CAT.append_entry(spark, root, entry)
     return "CREATED", entry

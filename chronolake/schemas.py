@@ -119,7 +119,9 @@ GOLD_SCHEMA = T.StructType(
 )
 GOLD_COLUMNS = GOLD_SCHEMA.fieldNames()
 
-# Additive per-group state kept next to gold so a refresh merges only the increment.
+# Additive per-group state kept next to gold so a refresh merges only the increment: exact sums of
+# readings in fixed point, and apart from them (``far_``, null as a rule) those it cannot hold.
+ADDED = ("sum_", "far_", "n_")
 GOLD_STATE_SCHEMA = T.StructType(
     [
         T.StructField("partition_date", T.StringType()),
@@ -127,12 +129,15 @@ GOLD_STATE_SCHEMA = T.StructType(
         T.StructField("station_name", T.StringType()),
         T.StructField("rows_processed", T.LongType()),
         T.StructField("anomaly_count", T.LongType()),
-        T.StructField("sum_temperature_c", T.DoubleType()),
+        T.StructField("sum_temperature_c", T.DecimalType(38, 12)),
+        T.StructField("far_temperature_c", T.DoubleType()),
         T.StructField("n_temperature_c", T.LongType()),
-        T.StructField("sum_wind_speed_kmh", T.DoubleType()),
+        T.StructField("sum_wind_speed_kmh", T.DecimalType(38, 12)),
+        T.StructField("far_wind_speed_kmh", T.DoubleType()),
         T.StructField("n_wind_speed_kmh", T.LongType()),
         T.StructField("max_wind_gust_kmh", T.DoubleType()),
-        T.StructField("sum_pressure_pa", T.DoubleType()),
+        T.StructField("sum_pressure_pa", T.DecimalType(38, 12)),
+        T.StructField("far_pressure_pa", T.DoubleType()),
         T.StructField("n_pressure_pa", T.LongType()),
         T.StructField("first_seen", T.TimestampNTZType()),
         T.StructField("last_seen", T.TimestampNTZType()),

@@ -38,6 +38,11 @@ def find_entry(catalog: DataFrame, snapshot_id: str) -> dict | None:
     return rows[0].asDict(recursive=True) if rows else None
 
 
+def find_seq(catalog: DataFrame, seq: int) -> dict | None:
+    rows = catalog.where(F.col("seq") == seq).limit(1).collect()
+    return rows[0].asDict(recursive=True) if rows else None
+
+
 def append_entry(spark: SparkSession, root: str, entry: dict) -> None:
     """SNK3: publish one entry. Written after every layer, so it is the commit marker.
 
@@ -73,16 +78,69 @@ def publish_rules(spark: SparkSession, root: str, version: int, thresholds: dict
     row.coalesce(1).drop("version").write.mode("overwrite").json(f"{root.rstrip('/')}/_rules/version={version}")
 
 
-# Landing files that published snapshots were made from.
-_FILES_SCHEMA = T.StructType([T.StructField("file", T.StringType()), T.StructField("seq", T.IntegerType())])
+# Which spans of a log compaction has rewritten: the newest version names all of them, and is written after them.
+_LAYOUT_SCHEMA = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("first", T.IntegerType()),
+        T.StructField("last", T.IntegerType()),
+        T.StructField("version", T.IntegerType()),
+    ]
+)
+
+
+def current_spans(spark: SparkSession, root: str) -> list[dict]:
+    """name of the log's folder, folder, first and last snapshot of every span in force: a few rows."""
+    path = f"{root.rstrip('/')}/_layout"
+    rows = or_empty(spark, _LAYOUT_SCHEMA, lambda: spark.read.schema(_LAYOUT_SCHEMA).json(path))
+    found = [r.asDict() for r in rows.collect()]
+    newest = max((r["version"] for r in found), default=0)
+    return sorted((r for r in found if r["version"] == newest), key=lambda r: (r["name"], r["first"]))
+
+
+def publish_spans(spark: SparkSession, root: str, version: int, spans: list[dict]) -> None:
+    rows = [(s["name"], s["folder"], s["first"], s["last"], version) for s in spans]
+    made = spark.createDataFrame(rows, _LAYOUT_SCHEMA).coalesce(1).drop("version")
+    made.write.mode("overwrite").json(f"{root.rstrip('/')}/_layout/version={version}")
+
+
+# What came of the documents of each run: rows that a document holds, how many of them the run took, and the
+# snapshot, if there is one. A row about a snapshot counts once that is in the catalog.
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("station", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("taken", T.LongType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("seq", T.IntegerType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
+
+
+def record_run(spark: SparkSession, root: str, run: str, files: DataFrame, outcome: str, seq: int | None) -> None:
+    """``files``: file, rows (null: as many as taken) and taken (null: none) of every document of the run."""
+    taken = F.coalesce(F.col("taken"), F.lit(0)).cast("long")
+    rows = files.select(
+        "file",
+        F.regexp_extract("file", r"/station=([^/]+)/", 1).alias("station"),
+        F.coalesce(F.col("rows"), taken).alias("rows"),
+        taken.alias("taken"),
+        F.lit(outcome).alias("outcome"),
+        F.lit(seq).cast("int").alias("seq"),
+    )
+    rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/_ledger/run={run}")
 
 
-def record_files(spark: SparkSession, root: str, seq: int, files: DataFrame) -> None:
-    """``files`` (file) went into snapshot ``seq``; counts once that is in the catalog."""
-    files.select("file").write.mode("overwrite").parquet(f"{root.rstrip('/')}/_files/seq={seq}")
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    path = f"{root.rstrip('/')}/_ledger"
+    rows = or_empty(spark, LEDGER_SCHEMA, lambda: spark.read.schema(LEDGER_SCHEMA).parquet(path))
+    published = read_catalog(spark, root).select("seq")
+    return rows.where("seq is null").unionByName(rows.where("seq is not null").join(published, "seq", "left_semi").select(*rows.columns))
 
 
-def ingested_files(spark: SparkSession, root: str) -> DataFrame:
-    path = f"{root.rstrip('/')}/_files"
-    files = or_empty(spark, _FILES_SCHEMA, lambda: spark.read.schema(_FILES_SCHEMA).parquet(path))
-    return files.join(read_catalog(spark, root).select("seq"), "seq", "left_semi").select("file")
+def settled_files(spark: SparkSession, root: str) -> DataFrame:
+    """The documents (file) of which some run took all rows: they need not be read again."""
+    return ledger(spark, root).where("taken >= rows").select("file").distinct()

@@ -10,6 +10,9 @@ expressions; no Python touches a row.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,8 +135,14 @@ def explode_documents(docs: DataFrame, text_col: str = "value") -> DataFrame:
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
     """The documents under ``path``, by name only: their content is not read."""
     schema = T.StructType([T.StructField("file", T.StringType())])
-    listed = or_empty(spark, schema, lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file")))
-    return listed
+    name = F.col("_metadata.file_path").alias("file")
+    return or_empty(spark, schema, lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(name))
+
+
+def station_of(file: str) -> str | None:
+    """The station whose folder a landed document lies in."""
+    found = re.search(rf"/{STATION_PARTITION}=([^/]+)/", file)
+    return unquote(found[1]) if found else None
 
 
 def read_landing(
@@ -152,23 +161,25 @@ def read_landing(
     station, as the live service does. By default nothing that landed is left out.
     """
     reader = spark.read.option("wholetext", "true").option("basePath", path)
-    docs = reader.text(files if files is not None else path)
+    docs = reader.text([unquote(f) for f in files] if files is not None else path)  # names are URIs
     if station_ids:
         docs = docs.where(F.col(STATION_PARTITION).isin(list(station_ids)))
-    docs = docs.select(
-        "value", F.col(STATION_PARTITION).cast("string"), F.col("_metadata.file_path").alias("_file")
-    )
-    raw = parse_features(
-        explode_documents(docs),
-        fetched_at=fetched_at,
-        source_url=F.col("_file"),
-        stations=stations,
-    )
+    raw = observations_of(named(docs), fetched_at, stations)
     if limit is not None:
         raw = latest_per_station(raw, limit).drop("recency_rank")
     return raw
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """Documents (batch or stream) with the station of their folder and the file they came from."""
+    return docs.select("value", F.col(STATION_PARTITION).cast("string"), F.col("_metadata.file_path").alias("_file"))
+
+
+def observations_of(docs: DataFrame, fetched_at: str, stations: DataFrame | None = None) -> DataFrame:
+    """Raw rows of documents as :func:`named` gives them; the file is their ``source_url``."""
+    return parse_features(explode_documents(docs), fetched_at=fetched_at, source_url=F.col("_file"), stations=stations)
+
+
 def render_features(
     obs: DataFrame, requested_col: str = STATION_PARTITION, extra: tuple[str, ...] = ()
 ) -> DataFrame:

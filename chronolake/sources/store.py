@@ -5,9 +5,14 @@ Layout under ``root`` (any Hadoop file system path)::
     raw/source=<name>/pull_ts=<yyyyMMddTHHmmssZ>-<id>/   landed pull, never merged or replaced
     bronze_log/seq=<n>/                             rows first seen in snapshot n
     silver_log/seq=<n>/                             their silver flags
-    gold/seq=<n>/                                   full gold of snapshot n + additive state
+    gold/seq=<n>/                                   gold groups that snapshot n changed, with additive
+                                                    state; every FULL_EVERY snapshots all groups
     _catalog/seq=<n>/                               catalog entry (written last = commit)
     _rules/version=<v>/                             thresholds; which silver_log / gold counts
+    id_index/gen=<g>/seq=<n>/                       ids first published in snapshot n, bucketed
+    <log>_c<k>/                                     a span of a log's snapshots in few files
+    _layout/version=<v>/                            the spans in force (plans/compact.py)
+    _ledger/run=<r>/                                what came of each landed document
 
 Each writer overwrites only its own ``seq`` folder, so a retried refresh is idempotent;
 readers only trust catalogued ``seq`` values, so a half-written snapshot is invisible.
@@ -16,7 +21,6 @@ Single writer assumed: plain Parquet has no compare-and-swap.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from datetime import datetime, timezone
 
@@ -25,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronolake import schemas as S
-from chronolake.sources.catalog import current_rules
+from chronolake.sources.catalog import current_rules, current_spans, find_seq, read_catalog
+from chronolake.sources.id_index import IdIndex
 from chronolake.sources.reading import or_empty
 
 SEQ = T.StructField("seq", T.IntegerType())
@@ -34,6 +39,14 @@ SILVER_LOG_SCHEMA = T.StructType(S.SILVER_SCHEMA.fields + [SEQ])
 _STATE_ONLY = [f for f in S.GOLD_STATE_SCHEMA.fields if f.name not in S.GOLD_COLUMNS]
 GOLD_STORE_SCHEMA = T.StructType(S.GOLD_SCHEMA.fields + _STATE_ONLY + [SEQ])
 
+#: Fixed by the layout: snapshots 1, 1 + FULL_EVERY, ... hold all gold groups, the others those they changed.
+FULL_EVERY = 16
+
+
+def gold_base(seq: int) -> int:
+    """The latest snapshot up to ``seq`` that holds all gold groups."""
+    return seq - (seq - 1) % FULL_EVERY
+
 
 def pull_stamp(as_of: str) -> str:
     """The instant in UTC, whatever the offset it is given in (none: UTC)."""
@@ -44,17 +57,12 @@ def pull_stamp(as_of: str) -> str:
 
 class LayerStore:
     def __init__(self, spark: SparkSession, root: str, id_buckets: int | None = None):
-        """``id_buckets``: also keep a bucketed id index (see :meth:`write_id_index`).
-
-        An index already present under ``root`` is always maintained, whatever is passed.
-        """
+        """``id_buckets``: buckets of the id index from the next snapshot on (default: by the number of ids)."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.version, self.thresholds = current_rules(spark, self.root)
-        self.id_table = None
-        buckets = id_buckets or self._existing_index_buckets()
-        if buckets:
-            self._register_id_index(buckets)
+        self.ids = IdIndex(spark, self.root, id_buckets)
+        self.spans = current_spans(spark, self.root)
 
     # -- paths ---------------------------------------------------------------------
     def path(self, table: str, seq: int | None = None) -> str:
@@ -93,83 +101,42 @@ class LayerStore:
         return self._write_seq("gold", seq, rows, GOLD_STORE_SCHEMA)
 
     # -- reads ---------------------------------------------------------------------
-    def _read(self, table: str, schema: T.StructType) -> DataFrame:
-        return or_empty(self.spark, schema, lambda: self.spark.read.schema(schema).parquet(self.path(table)))
+    def table(self, table: str, schema: T.StructType) -> DataFrame:
+        """The table's spans that compaction made, and the folders of the snapshots after them."""
+        base = self.path(table)
+        spans = [s for s in self.spans if s["name"] == base.rsplit("/", 1)[1]]
+        own = or_empty(self.spark, schema, lambda: self.spark.read.schema(schema).parquet(base))
+        for span in spans:
+            own = own.where(F.col("seq") > span["last"])
+        for span in spans:
+            own = own.unionByName(self.spark.read.schema(schema).parquet(f"{self.root}/{span['folder']}"))
+        return own
 
     def log(self) -> DataFrame:
-        return self._read("bronze_log", LOG_SCHEMA)
+        return self.table("bronze_log", LOG_SCHEMA)
 
     def silver_log(self) -> DataFrame:
-        return self._read("silver_log", SILVER_LOG_SCHEMA)
+        return self.table("silver_log", SILVER_LOG_SCHEMA)
 
     def gold_store(self) -> DataFrame:
-        return self._read("gold", GOLD_STORE_SCHEMA)
-
-    # -- bucketed id index -----------------------------------------------------------
-    # ``id_index/seq=n`` holds the ids first published in snapshot n, bucketed by id
-    # (Spark's own bucketing, declared through a session catalog table over the folder).
-    # A join of history ids with an increment then shuffles only the increment: the
-    # bucketed scan already has history partitioned by id.
-    def _index_path(self) -> str:
-        return f"{self.root}/id_index"
-
-    def _existing_index_buckets(self) -> int | None:
-        path = f"{self._index_path()}/_buckets"
-        schema = T.StructType([T.StructField("value", T.StringType())])
-        marker = or_empty(self.spark, schema, lambda: self.spark.read.text(path)).first()
-        return int(marker[0]) if marker else None
-
-    def _register_id_index(self, buckets: int) -> None:
-        name = "chronolake_ids_" + hashlib.sha1(self.root.encode()).hexdigest()[:16]
-        if self._existing_index_buckets() is None:  # first use: the marker creates the folder
-            self.spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode(
-                "overwrite"
-            ).text(f"{self._index_path()}/_buckets")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} (source_record_id STRING, seq INT) USING parquet "
-            f"PARTITIONED BY (seq) CLUSTERED BY (source_record_id) INTO {buckets} BUCKETS "
-            f"LOCATION '{self._index_path()}'"
-        )
-        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        self.id_table, self.id_buckets = name, buckets
-
-    def write_id_index(self, seq: int, ids: DataFrame) -> None:
-        """Replace ``seq``'s partition of the id index (idempotent on retry): one file per
-        bucket, since the ids are hash-partitioned into exactly the bucket count first."""
-        if self.id_table is None:
-            return
-        view = f"chronolake_ids_in_{uuid.uuid4().hex[:12]}"
-        ids.select("source_record_id").repartition(self.id_buckets, "source_record_id").createOrReplaceTempView(view)
-        try:
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.id_table} PARTITION (seq={int(seq)}) "
-                f"SELECT source_record_id FROM {view}"
-            )
-        finally:
-            self.spark.catalog.dropTempView(view)
-
-    def _index_covers(self, seq: int) -> bool:
-        # One row for each published snapshot at most, counted where it is listed.
-        self.spark.sql(f"ALTER TABLE {self.id_table} RECOVER PARTITIONS")
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.id_table}")
-        number = F.regexp_extract("partition", r"seq=(\d+)", 1).cast("int")
-        return listed.where(number.between(1, seq)).count() == seq
-
-    def history_ids(self, seq: int, from_date: str | None = None) -> DataFrame:
-        """Ids of ``bronze(T_seq)``: partition-pruned, one column read.
-
-        ``from_date`` also skips history days before it (row groups are clustered by
+        return self.table("gold", GOLD_STORE_SCHEMA)
+
+    def history_ids(self, seq: int, from_date: str | None = None) -> list[DataFrame]:
+        """Ids of ``bronze(T_seq)``, one column read: a frame for each generation of the id index, else the log's.
+
+        ``from_date`` reads the log without the history days before it (row groups are clustered by
         ``partition_date``, so Parquet min/max statistics drop them unread). Only valid
         when an id always carries the same observation time.
         """
-        if self.id_table is not None and from_date is None and self._index_covers(seq):
-            return self.spark.table(self.id_table).where(F.col("seq") <= seq).select("source_record_id")
+        indexed = self.ids.history(seq) if from_date is None else None
+        if indexed:
+            return indexed
         # Every id has exactly one ``is_first`` row, so this reads each id once (first-
         # snapshot copies of a hot id do not reach the join).
         log = self.log().where((F.col("seq") <= seq) & F.col("is_first"))
         if from_date is not None:
             log = log.where(F.col("partition_date") >= F.lit(from_date))
-        return log.select("source_record_id")
+        return [log.select("source_record_id")]
 
     def bronze(self, seq: int) -> DataFrame:
         from chronolake.plans.timetravel import bronze_as_of
@@ -179,11 +146,32 @@ class LayerStore:
     def silver(self, seq: int) -> DataFrame:
         return self.silver_log().where(F.col("seq") <= seq).select(*S.SILVER_COLUMNS)
 
-    def gold(self, seq: int) -> DataFrame:
-        return self.gold_store().where(F.col("seq") == seq).select(*S.GOLD_COLUMNS)
+    def _latest_gold(self, seq: int) -> DataFrame:
+        """Each group's row as snapshot ``seq`` has it: the latest since the last snapshot that holds all groups."""
+        base = gold_base(seq)
+        rows = self.gold_store().where(F.col("seq").between(base, seq))
+        if base == seq:
+            return rows
+        others = [c for c in rows.columns if c not in S.GOLD_KEYS]
+        latest = rows.groupBy(*S.GOLD_KEYS).agg(F.max_by(F.struct(*others), "seq").alias("g"))
+        return latest.select(*S.GOLD_KEYS, "g.*").select(*rows.columns)
+
+    def gold(self, seq: int, updated_at: str | None = None) -> DataFrame:
+        """Gold of snapshot ``seq``; a group that it did not change has no new records in it.
+
+        ``updated_at``: the snapshot's time (default: read from its catalog row).
+        """
+        rows = self._latest_gold(seq)
+        if gold_base(seq) != seq:
+            if updated_at is None:
+                entry = find_seq(read_catalog(self.spark, self.root), seq)
+                updated_at = entry["created_at"] if entry else None
+            fresh = F.when(F.col("seq") == seq, F.col("new_records")).otherwise(0)
+            rows = rows.withColumns({"new_records": fresh.cast("long"), "updated_at": F.lit(updated_at).cast("string")})
+        return rows.select(*S.GOLD_COLUMNS)
 
     def gold_state(self, seq: int) -> DataFrame:
-        return self.gold_store().where(F.col("seq") == seq).select(*S.GOLD_STATE_SCHEMA.fieldNames())
+        return self._latest_gold(seq).select(*S.GOLD_STATE_SCHEMA.fieldNames())
 
     def layer(self, layer: str, seq: int) -> DataFrame:
         if layer == "gold":

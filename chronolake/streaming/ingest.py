@@ -15,13 +15,18 @@ and micro-batch (``batch_id``); a replayed batch skips pulls already published.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronolake import schemas as S
+from chronolake.plans.refresh import Refresh, refresh_snapshot
 from chronolake.plans.snapshot import build_snapshot
 from chronolake.sources import catalog as CAT
+from chronolake.sources import feed as FD
 from chronolake.sources.store import LayerStore
 
 LANDED_SCHEMA = T.StructType(
@@ -102,6 +107,46 @@ def start_ingest(
     return writer.start()
 
 
+def publish_documents(spark: SparkSession, root: str, source_name: str, batch: DataFrame, batch_id: int, now: str) -> Refresh:
+    """foreachBatch body: the documents of one trigger become one snapshot.
+
+    Documents that the ledger calls settled (a replayed batch, or one that the scheduled job took)
+    are left out before anything is parsed.
+    """
+    settled = CAT.settled_files(spark, root).select(F.col("file").alias("_file"))
+    fresh = batch.join(settled, "_file", "left_anti")
+    files = fresh.select(F.col("_file").alias("file"), F.lit(None).cast("long").alias("rows"))
+    raw = FD.observations_of(fresh, now)
+    return refresh_snapshot(spark, root, raw, now, source_name, files=files, run=f"{source_name}-{batch_id}-{uuid.uuid4().hex[:8]}", batch_id=batch_id)
+
+
+def stream_documents(
+    spark: SparkSession,
+    root: str,
+    landing_path: str,
+    now: Callable[[], str],
+    source_name: str = S.DEFAULT_SOURCE_NAME,
+    processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
+):
+    """SRC1 as a stream: documents under ``station=<id>/`` are read as they land, whole, and parsed in tasks.
+
+    Which files are new is the file source's own log, kept in the stream's checkpoint: no list of paths is made
+    in the job, and a document is read once. A trigger takes all that has landed, or ``max_files_per_trigger``;
+    ``now`` gives the time of a trigger's snapshot. Without ``processing_time`` the stream drains what has landed
+    and stops. Documents must be moved into place whole, since a file is taken once.
+    """
+    schema = f"value string, {FD.STATION_PARTITION} string"
+    reader = spark.readStream.schema(schema).option("wholetext", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    docs = FD.named(reader.text(landing_path))
+    writer = docs.writeStream.foreachBatch(
+        lambda df, batch_id: publish_documents(spark, root, source_name, df, batch_id, now())
+    ).option("checkpointLocation", f"{root.rstrip('/')}/_checkpoints/documents-{source_name}")
+    return (writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)).start()
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m chronolake.streaming.ingest --root <store> [--every '1 hour']``."""
     import argparse

@@ -94,7 +94,7 @@ def test_stable_dates_pruning_gives_same_log(spark, workdir):
     for n in (2, 3):
         _same(ex.as_of("bronze", f"T{n}"), layer(spark, "bronze", n).drop("source_name"
               ).withColumn("source_name", F.lit(S.DEFAULT_SOURCE_NAME)))
-    plan = LayerStore(spark, workdir).history_ids(3, "2024-01-18")._jdf.queryExecution().executedPlan().toString()
+    plan = LayerStore(spark, workdir).history_ids(3, "2024-01-18")[0]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(seq" in plan and "partition_date" in plan
 
 
@@ -182,15 +182,15 @@ def test_bucketed_id_index(spark, workdir):
 
     events = FX.read_events(spark, SF)
     for pull, as_of in FX.PULL_AS_OF.items():
-        refresh_snapshot(spark, workdir, FX.pull_frame(events, pull), as_of, FX.FIXTURE_SOURCE_NAME, id_buckets=8)
+        refresh_snapshot(spark, workdir, FX.pull_frame(events, pull), as_of, FX.FIXTURE_SOURCE_NAME, id_buckets=8 if pull == 1 else None)
     ex = Explorer(spark, workdir)
     for n in (1, 2, 3):
         for name in S.LAYERS:
             _same(ex.as_of(name, f"T{n}"), layer(spark, name, n))
     store = LayerStore(spark, workdir)  # an existing index is picked up without asking
-    assert store.id_table is not None
-    hist = store.history_ids(3)
-    assert store.id_table in hist._jdf.queryExecution().executedPlan().toString()
+    assert [(g.buckets, g.from_seq) for g in store.ids.generations()] == [(8, 1)]
+    [hist] = store.history_ids(3)
+    assert "chronolake_ids_" in hist._jdf.queryExecution().executedPlan().toString()
     _same(hist, layer(spark, "silver", 3).select("source_record_id"))
     # an increment too large to broadcast: only the increment is shuffled
     inc = L.to_bronze(FX.pull_frame(events, 3), "x", "t")
@@ -201,10 +201,43 @@ def test_bucketed_id_index(spark, workdir):
     assert new.count() == expected.count()
 
 
+def test_index_generations(spark, workdir):
+    """A changed bucket count opens a generation: none is ever read with another's count."""
+    from chronolake.operators import layers as L
+
+    events = FX.read_events(spark, SF)
+    for pull, buckets in ((1, 4), (2, 8)):
+        refresh_snapshot(spark, workdir, FX.pull_frame(events, pull), FX.PULL_AS_OF[pull], FX.FIXTURE_SOURCE_NAME, id_buckets=buckets)
+    store = LayerStore(spark, workdir, id_buckets=2)
+    assert [(g.buckets, g.from_seq) for g in store.ids.generations()] == [(4, 1), (8, 2)]
+    inc = L.to_bronze(FX.pull_frame(events, 3), "x", "t")
+    expected = inc.join(layer(spark, "bronze", 2).select("source_record_id"), "source_record_id", "left_anti")
+    for limit in (0, 10**9):
+        _same(L.unseen(inc, store.history_ids(2), broadcast_limit_rows=limit), expected)
+    # a retry finds the generation that the attempt before it opened
+    store.ids.write(3, expected, 1, 1)
+    store.ids.write(3, expected, 1, 1)
+    assert [(g.buckets, g.from_seq) for g in store.ids.generations()] == [(4, 1), (8, 2), (2, 3)]
+    assert sum(h.count() for h in store.history_ids(3)) == layer(spark, "silver", 2).count() + expected.count()
+
+
+def test_index_grows_with_history(spark, workdir, monkeypatch):
+    from chronolake.sources import id_index
+
+    monkeypatch.setattr(id_index, "BUCKET_IDS", 150)
+    _run_pulls(spark, workdir)
+    counts = [g.buckets for g in LayerStore(spark, workdir).ids.generations()]
+    assert len(counts) > 1 and counts == sorted(set(counts))
+    ids = LayerStore(spark, workdir).history_ids(3)
+    assert len(ids) == len(counts)
+    assert sum(h.count() for h in ids) == layer(spark, "silver", 3).count()
+
+
 def test_index_not_covering_history_falls_back_to_log(spark, workdir):
     events = FX.read_events(spark, SF)
-    refresh_snapshot(spark, workdir, FX.pull_frame(events, 1), FX.PULL_AS_OF[1])  # no index
-    store = LayerStore(spark, workdir, id_buckets=4)  # index created now, covers nothing
-    hist = store.history_ids(1)
-    assert store.id_table not in hist._jdf.queryExecution().executedPlan().toString()
+    refresh_snapshot(spark, workdir, FX.pull_frame(events, 1), FX.PULL_AS_OF[1])
+    store = LayerStore(spark, workdir)
+    store.ids.root = f"{workdir}/elsewhere"  # an index that holds nothing
+    [hist] = store.history_ids(1)
+    assert "chronolake_ids_" not in hist._jdf.queryExecution().executedPlan().toString()
     assert hist.count() == LayerStore(spark, workdir).log().where("is_first").count()
