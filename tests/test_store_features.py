@@ -195,13 +195,13 @@ def test_a_rebuilt_day_is_spread_by_its_size(spark, workdir):
     import pyarrow.parquet as pq
 
     refresh_snapshot(spark, workdir, many(spark, 30_000), at(1))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
     try:
         RB.rebuild(spark, workdir)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in files_of(f"{workdir}/silver_log_v1")]
-    assert sum(sizes) == 30_000 and max(sizes) <= 10_000 / 2  # a day is a third of the rows
+    assert sum(sizes) == 30_000 and max(sizes) <= 6_000  # a day is a third of the rows
     assert Explorer(spark, workdir).as_of("silver", "T1").count() == 30_000
 
 
@@ -234,7 +234,7 @@ def test_compaction_changes_files_only(spark, workdir, monkeypatch):
 def test_days_outside_a_range_are_not_read(spark, workdir):
     """SRT1: rows lie by day, so a day's predicate skips the row groups of other days."""
     refresh_snapshot(spark, workdir, many(spark, 30_000, days=10), at(1))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
     try:
         compact(spark, workdir)
     finally:
