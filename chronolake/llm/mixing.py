@@ -32,8 +32,8 @@ def unit_hash(*parts: Column) -> Column:
     return (digits + F.lit(0.5)) / F.lit(float(2**52))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source_key, size, key: the text is read here once and not carried on.
+def measured(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source_key, size, key and ``extra`` columns: the text is read here once and not carried on.
 
     source_key is the source behind a letter (``a``), or ``b`` for null, so that nulls come last.
     """
@@ -44,6 +44,7 @@ def measured(docs: DataFrame) -> DataFrame:
         F.coalesce(F.concat(F.lit("a"), F.col("source").cast("string")), F.lit("b")).alias("source_key"),
         size.alias("size"),
         quality_weight(text, size).alias("weight"),
+        *extra,
     )
     u = unit_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return sized.withColumn("key", -F.log(u) / F.col("weight")).drop("weight")
@@ -81,20 +82,22 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, extra: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, epochs and taken (words) of every row of ``docs``.
 
+    ``extra`` names columns to carry through, which also break ties of the key, the doc_id and the size.
+
     Documents are taken whole. After the complete epochs, documents are taken once more in key order; the
     one at which the target is crossed is taken if that leaves the source nearer to its target. Ties of
     the key go by doc_id and size; repeated rows are documents of their own. A null text has no words, a
     null source is a source of its own, and an empty table gives no rows.
     """
-    sized = cut(measured(docs))
+    sized = cut(measured(docs, extra))
     n_buckets = buckets_for(sized.count())
     goals = cut(targets(sized, weights))
     # Falls with no key: 1 - exp(-key) grows with it, and is spread evenly where the weights are 1.
     sized = sized.withColumn("bucket", F.floor(n_buckets * (1 - F.exp(-F.col("key")))).cast("int"))
-    order = [F.col("key"), F.col("doc_id"), F.col("size")]
+    order = [F.col("key"), F.col("doc_id"), F.col("size"), *[F.col(c) for c in extra]]
     epochs = F.least(F.lit(MOST_EPOCHS), F.floor(F.col("target") / F.col("source_size")))
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     return (
@@ -110,6 +113,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
             "target",
             (F.col("epochs") + F.col("more").cast("long")).alias("epochs"),
             ((F.col("epochs") + F.col("more").cast("long")) * F.col("size")).alias("taken"),
+            *extra,
         )
     )
 
@@ -117,18 +121,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
-    Rows that repeat a doc_id within a source would be counted for one another; their epochs are read by
-    doc_id, source and size, one row of the mix for each.
+    Rows are known by doc_id, source and text. Of rows that share all three the mix may take some once more than
+    the others; so many of them, by their place in ``docs``, are. Nulls are values like any other, rows without
+    words are not taken, and an empty table gives no rows.
     """
-    times = mix(docs, weights).groupBy("doc_id", "source", "size").agg(F.max("epochs").alias("_epochs"))
-    times = times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_epochs")
-    same = (
-        docs["doc_id"].eqNullSafe(F.col("_id"))
-        & docs["source"].eqNullSafe(F.col("_source"))
-        & (F.size(words(text_of())).cast("long") == F.col("_size"))
-    )
-    return (
-        docs.join(times.where("_epochs > 0"), same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int"))))
-        .select(*docs.columns)
-    )
+    known = docs.withColumn("_digest", F.md5(text_of()))
+    own = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("doc_id", "source")], F.col("source").isNull().cast("string"), F.col("doc_id").isNull().cast("string"), F.col("_digest")))
+    known = known.withColumn("_own", own)
+    mixed = mix(known, weights, ("_own",)).groupBy("_own").agg(F.min("epochs").alias("_epochs"), (F.sum("epochs") - F.count("*") * F.min("epochs")).alias("_more"))
+    taken = known.join(mixed.where("_epochs > 0 or _more > 0"), "_own")
+    # At most the one group of a source at which its target is crossed is taken in part.
+    parted = cut(taken.where("_more > 0").withColumn("_at", F.monotonically_increasing_id()).withColumn("_bucket", F.shiftright("_at", 33)))
+    parted = before(parted, ["_own"], "_bucket", [F.col("_at")], F.lit(1), "_place")
+    parted = parted.withColumn("_epochs", F.col("_epochs") + (F.col("_place") < F.col("_more")).cast("long"))
+    every = taken.where("_more = 0").select(*docs.columns, "_epochs").union(parted.select(*docs.columns, "_epochs"))
+    copies = F.when(F.col("_epochs") > 0, F.sequence(F.lit(1), F.col("_epochs").cast("int"))).otherwise(F.array().cast("array<int>"))
+    return every.withColumn("_copy", F.explode(copies)).select(*docs.columns)

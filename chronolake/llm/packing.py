@@ -277,8 +277,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
     )
     done, left = [whole], pieces.where(F.col("length") < length)
     rows, schema = left.count(), f"{PIECES}, row long, grp long, bin long, offset long, fill long"
-    opened = None
-    for level in range(63):
+    opened, level = None, -1
+    while True:  # ends: every further round leaves fewer underfull sequences than the one before
+        level += 1
         groups = max(1, -(-rows // group_rows))
 
         def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -286,7 +287,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
 
         dealt = left.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(groups)))
         packed = cut(dealt.groupBy("grp").applyInPandas(fit, schema))
-        number = F.lit(level) * F.lit(2**56) + F.col("grp") * F.lit(2**24) + F.col("bin")
+        number = F.lit(level) * F.lit(2**48) + F.col("grp") * F.lit(2**24) + F.col("bin")
         placed = packed.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset")
         under = F.col("fill") < FULL * length
         found = packed.where(under).agg(F.count("*").alias("rows"), F.count_distinct("grp", "bin").alias("bins")).first()

@@ -134,7 +134,20 @@ def test_mixing(odd_docs, no_docs):
     assert Counter(r.doc_id for r in rows.collect() if r.doc_id != 7) == Counter(
         {r.doc_id: r.epochs for r in got if r.doc_id != 7 and r.epochs}
     )
-    assert mixing.mix(no_docs).count() == 0
+    assert mixing.mix(no_docs).count() == 0 and mixing.take(no_docs).count() == 0
+
+
+def test_rows_that_share_an_id_are_taken_for_themselves(spark):
+    """Null and repeated ids, equal sizes and equal rows: what is taken is what the mix counts."""
+    rows = [(None, f"{'w ' * 35}{i}", "a") for i in range(200)] + [(7, "x " * 36, "a")] * 60 + [(i, "y " * 50, "b") for i in range(20)] + [(None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mixed = Counter()
+    for r in mixing.mix(docs).collect():
+        mixed[r.source] += r.taken
+    got = Counter()
+    for r in mixing.take(docs).collect():
+        got[r.source] += len(WORD.findall(r.text or ""))
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in mixed.items() if v}
 
 
 def test_sharding(odd_docs, no_docs):
