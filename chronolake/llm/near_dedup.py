@@ -29,13 +29,16 @@ from .common import cut, text_of
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands, and k-mers sampled for each. At similarity 0.8 two texts meet in a band with a chance of about 0.8**3:
-#: they share fewer than SHARED of the 16 once in about 5,000 pairs.
-BANDS, SAMPLED, SHARED = 16, 3, 2
+#: they share fewer than SHARED of the 16 once in about 5,000 pairs,
+#: and fewer than SHARED_LATER, which pairs without the leader of their bucket need, once in 160.
+BANDS, SAMPLED, SHARED, SHARED_LATER = 16, 3, 2, 4
 #: A bucket of so many texts is compared pair by pair. Each later round samples DEEPER k-mers more for a band, and
 #: takes so many bands that texts of similarity 0.8 miss each other in all of them with a chance of exp(-MEET).
-SMALL, DEEPER, MEET = 64, 4, 4.0
+SMALL, DEEPER, MEET = 48, 4, 4.0
 #: Texts that one chunk holds against a leader; words that a task keeps the hash of.
 CHUNK, CACHE = 64, 1_000_000
+#: Wanted rows whose digests are broadcast at most (counted first); beyond, the texts are shuffled to them.
+BROADCAST_ROWS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _WORD = re.compile(r"[^\W_]+")
@@ -187,7 +190,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def kmers_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and kmers (labelled k-mers in text order, as bytes) of the rows named by ``wanted`` (own, node)."""
+    """node and kmers (labelled k-mers in text order, as bytes) of the rows named by ``wanted`` (own, node; cut)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -196,8 +199,9 @@ def kmers_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 made = [labelled_kmers(words.of(t)).tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.large_binary()).cast(pa.binary())], ["node", "kmers"])
 
-    texts = docs.select(row_key(docs).alias("own"), text_of().alias("t")).groupBy("own").agg(F.any_value("t").alias("t"))
-    return texts.join(wanted, "own").select("node", "t").mapInArrow(run, "node binary, kmers binary")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = docs.select(row_key(docs).alias("own"), text_of().alias("t")).join(wanted, "own").groupBy("node").agg(F.any_value("t").alias("t"))
+    return texts.mapInArrow(run, "node binary, kmers binary")
 
 
 def verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
@@ -228,13 +232,13 @@ def verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def near_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes allow a link and that share SHARED bands: no text is read for the others."""
+def near_pairs(pairs: DataFrame, nodes: DataFrame, shared: int = SHARED) -> DataFrame:
+    """The pairs (a, b) whose sizes allow a link and that share so many bands: no text is read for the others."""
     left = nodes.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("bands").alias("ba"))
     right = nodes.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
     both = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb"))
     same = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
-    return both.select("a", "b", same.alias("n")).where(F.col("n") >= SHARED)
+    return both.select("a", "b", same.alias("n")).where(F.col("n") >= shared)
 
 
 def _fresh(df: DataFrame) -> DataFrame:
@@ -311,14 +315,19 @@ def _finer(grams: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
     return _shared(found.select(F.posexplode("bands").alias("band", "v"), "node").select(F.xxhash64("band", "v").alias("key"), "node"))
 
 
-def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: DataFrame, grams: DataFrame) -> DataFrame:
+def _named(nodes: DataFrame, some: DataFrame) -> DataFrame:
+    """own and node of the nodes in ``some``."""
+    return cut(nodes.select("own", "node").join(some.select("node").distinct(), "node"))
+
+
+def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The roots after the buckets of several classes were looked at again.
 
     ``members`` (key, node, score) are the nodes of all buckets, ``met`` the pairs (a, b) that were compared. All
     pairs of classes of a small bucket are compared; a larger one is held against its leader, and its nodes go on
     to the buckets of the next round.
     """
-    tried, turn = [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], 0
+    grams, tried, turn = None, [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], 0
     while True:
         rooted = _fresh(members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root")))
         several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
@@ -331,10 +340,12 @@ def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: D
         led = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
         led = large.join(led, "key").where(F.col("a.root") != F.col("root"))
         led = led.select(F.least(F.col("a.node"), F.col("node")).alias("a"), F.greatest(F.col("a.node"), F.col("node")).alias("b"))
-        pairs = near_pairs(pairs.union(led).distinct(), nodes).select("a", "b")
+        pairs = near_pairs(pairs.union(led).distinct(), nodes, SHARED_LATER).select("a", "b")
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = _fresh(pairs)
+        if grams is None:  # of all texts that this round and the later ones look at
+            grams = cut(kmers_of(docs, _named(nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")))))
         if not pairs.isEmpty():
             roots = _merged(roots, _fresh(verified(pairs, grams)))
             tried.append(pairs)
@@ -367,13 +378,13 @@ def _classed(docs: DataFrame) -> DataFrame:
     leaders = shared.groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("a"))
     met = shared.join(leaders, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
     close = cut(near_pairs(met, nodes))
-    grams = cut(kmers_of(docs, nodes.select("own", "node").join(shared.select("node").distinct(), "node")))
+    grams = cut(kmers_of(docs, _named(nodes, close.select(F.col("a").alias("node")).union(close.select("b")))))
     first = close.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
     roots = components(verified(first, grams))
     apart = cut(_apart(close.select("a", "b").join(first, ["a", "b"], "left_anti"), roots))
     if not apart.isEmpty():
         roots = _merged(roots, cut(verified(apart.select("a", "b"), grams)))
-    roots = _later_rounds(roots, shared, close, nodes, grams)
+    roots = _later_rounds(roots, shared, close, nodes, docs)
     class_of = cut(nodes.join(roots, "node", "left").select("node", "rep", "n", F.coalesce("root", "node").alias("root")))
     classes = cut(class_of.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")))
     by_node = cut(class_of.join(classes, "root").select("node", "class_id", "class_size"))
