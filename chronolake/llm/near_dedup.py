@@ -39,6 +39,8 @@ SMALL, DEEPER, MEET = 48, 4, 4.0
 CHUNK, CACHE = 64, 1_000_000
 #: Wanted rows whose digests are broadcast at most (counted first); beyond, the texts are shuffled to them.
 BROADCAST_ROWS = 500_000
+#: Rows of links, roots and buckets that a task reads, about.
+TASK_ROWS = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _WORD = re.compile(r"[^\W_]+")
@@ -232,20 +234,31 @@ def verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def _may_link(na: Column, nb: Column) -> Column:
+    """Whether texts of so many k-mers can be similar."""
+    return F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)
+
+
+def _shared_bands(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+
+
 def near_pairs(pairs: DataFrame, nodes: DataFrame, shared: int = SHARED) -> DataFrame:
     """The pairs (a, b) whose sizes allow a link and that share so many bands: no text is read for the others."""
     left = nodes.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("bands").alias("ba"))
     right = nodes.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
-    both = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb"))
-    same = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
-    return both.select("a", "b", same.alias("n")).where(F.col("n") >= shared)
+    both = pairs.join(left, "a").join(right, "b").where(_may_link(F.col("na"), F.col("nb")))
+    return both.select("a", "b", _shared_bands(F.col("ba"), F.col("bb")).alias("n")).where(F.col("n") >= shared)
 
 
 def _fresh(df: DataFrame) -> DataFrame:
     """The rows cut, without the size that Spark estimates: joins multiply it, and over many rounds of joins of
-    cut frames, which hand it on, the number itself outgrows the driver."""
-    made, session = cut(df)._jdf, df.sparkSession
-    return DataFrame(session._jsparkSession.createDataFrame(made.toJavaRDD(), made.schema()), session)
+    cut frames, which hand it on, the number itself outgrows the driver. Few rows are read by few tasks, however
+    many partitions shuffles have: the rounds end on small frames, and each task of a shuffle leaves files."""
+    held, session = cut(df), df.sparkSession
+    tasks = 1 + held.count() // TASK_ROWS
+    made = DataFrame(session._jsparkSession.createDataFrame(held._jdf.toJavaRDD(), held._jdf.schema()), session)
+    return made.coalesce(tasks)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -335,12 +348,16 @@ def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: D
         if members.isEmpty():
             return roots
         small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
-        others = small.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-        pairs = small.join(others, "key").where("node < b and root <> rb").select(F.col("node").alias("a"), "b")
+        # What rules a pair out without its texts is part of the join, so that only the rest leaves it.
+        small = small.join(nodes.select("node", "size", "bands"), "node")
+        others = small.select(F.col("key").alias("kb"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
+        apart = (F.col("node") < F.col("b")) & (F.col("root") != F.col("rb")) & _may_link(F.col("size"), F.col("nb"))
+        alike = (F.col("key") == F.col("kb")) & apart & (_shared_bands(F.col("bands"), F.col("bb")) >= SHARED_LATER)
+        pairs = small.join(others, alike).select(F.col("node").alias("a"), "b").distinct()
         led = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
         led = large.join(led, "key").where(F.col("a.root") != F.col("root"))
         led = led.select(F.least(F.col("a.node"), F.col("node")).alias("a"), F.greatest(F.col("a.node"), F.col("node")).alias("b"))
-        pairs = near_pairs(pairs.union(led).distinct(), nodes, SHARED_LATER).select("a", "b")
+        pairs = pairs.union(near_pairs(led.distinct(), nodes, SHARED_LATER).select("a", "b")).distinct()
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = _fresh(pairs)
