@@ -25,9 +25,8 @@ from .common import cut, text_of
 
 LENGTH = 2048
 END = b"\0\0\0\0"
-#: Pieces to a group; bins in a row that the search may fail to empty before it stops; least filled bins that
-#: give to fuller ones when the bin to be emptied cannot; roomiest bins that a step may fill.
-GROUP_ROWS, FAILURES, WIDTH, NEAR = 20_000, 8, 4, 64
+#: Pieces to a group.
+GROUP_ROWS = 20_000
 #: Sequences filled less than this are pooled for another round.
 FULL = 0.99
 #: Words (and parts of words) whose ids a Python worker remembers: about 250 MB at the most.
@@ -167,92 +166,196 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
-def swap_search(lengths: list[int], bins: list[list[int]], size: int, failures: int = FAILURES) -> list[list[int]]:
-    """Empties underfull bins: every step moves length from a bin into a fuller one, so squared fills grow.
+def least_bins(lengths: list[int], size: int) -> int:
+    """A number of bins that no packing goes below.
 
-    The least filled bin gives: a document moves whole, or goes for a shorter one, or for two that are
-    shorter together, or two go for a shorter one. The step that fills the other bin most is taken. A bin
-    that cannot be emptied is left as it was; after ``failures`` such bins in a row the search stops, as it
-    does when the number of bins is the least possible.
+    For every limit up to half a bin: pieces over half a bin need one each, and of the pieces from the limit to half a
+    bin, what the rest of those bins cannot hold needs more; a bin whose large piece leaves less than the limit holds none.
     """
-    least = -(-sum(lengths) // size)
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    under = sorted((b for b in range(len(bins)) if fill[b] < size), key=fill.__getitem__)
-    gone: set[int] = set()
-    failed = 0
-    for giver in under:
-        if giver in gone:
-            continue
-        if len(bins) - len(gone) <= least or failed >= failures:
+    number = np.bincount(np.asarray(lengths, dtype=np.int64), minlength=size + 1)
+    tokens = number * np.arange(size + 1)
+    half = size // 2
+    most = -(-int(tokens.sum()) // size)
+    large = int(number[half + 1 :].sum())
+    for limit in range(half + 1):
+        beside = slice(half + 1, size - limit + 1)
+        rest = int(number[beside].sum()) * size - int(tokens[beside].sum())
+        most = max(most, large + max(0, -(-(int(tokens[limit : half + 1].sum()) - rest) // size)))
+    return most
+
+
+def _most(outs: int, backs: int, room: int, gain: int) -> int:
+    """The largest n - m over ``gain`` and up to ``room``, n of ``outs``, m of ``backs`` (sets as bits), or ``gain``."""
+    if not outs or not backs:
+        return gain
+    if room - gain <= 2 * outs.bit_count():
+        for d in range(room, gain, -1):
+            if (outs >> d) & backs:
+                return d
+        return gain
+    while outs:
+        n = outs.bit_length() - 1
+        outs ^= 1 << n
+        if n <= gain:
             break
-        takers = [b for b in under if b != giver and b not in gone and fill[giver] <= fill[b] < size]
-        if sum(size - fill[b] for b in takers) < fill[giver]:
-            failed += 1
-            continue
-        saved = {b: list(bins[b]) for b in (giver, *takers)}
-        filled = {b: fill[b] for b in saved}
-        while bins[giver]:
-            step = _best_step(lengths, bins, fill, giver, [b for b in takers if fill[giver] <= fill[b]], size)
-            source = giver
-            if step is None:  # make room for the giver's documents among the others
-                for source in sorted(takers, key=fill.__getitem__)[:WIDTH]:
-                    fuller = [b for b in takers if b != source and fill[source] <= fill[b] < size]
-                    if step := _best_step(lengths, bins, fill, source, fuller, size):
-                        break
-            if step is None:
+        least = max(0, n - room)
+        fits = backs >> least
+        if fits:
+            gain = max(gain, n - least - (fits & -fits).bit_length() + 1)
+    return gain
+
+
+class SwapSearch:
+    """Local search between underfull bins: every step moves length into a bin as full or fuller, so squared fills grow.
+
+    A document moves whole, or goes for a shorter one, or for two that are shorter together, or two go for a
+    shorter one. The least filled bin that may have a step comes first: it gives by the step that fills another
+    bin most, or else takes so. Steps are kept. A bin without a step is looked at again only once it has
+    changed itself: a changed bin is held against all others, both ways. The search ends when no step is
+    left between any two bins, or when there are no more bins than ``least_bins``.
+
+    The bins of one room are looked at together: the lengths they hold and the sums of two of them are sets, kept
+    as the bits of a number, so whether any of them has a step is a few shifts, however many they are.
+    """
+
+    def __init__(self, lengths: list[int], bins: list[list[int]], size: int):
+        self.lengths, self.size = lengths, size
+        self.bins = [list(b) for b in bins]
+        self.fill = [sum(lengths[i] for i in b) for b in bins]
+        self.steps = 0
+        self.sets: dict[int, tuple[int, int]] = {}
+        self.rooms: dict[int, dict[int, None]] = {}
+        self.held: dict[int, tuple[int, int]] = {}
+        for b in range(len(bins)):
+            self._open(b)
+
+    def _open(self, b: int) -> None:
+        room = self.size - self.fill[b]
+        if not room or not self.bins[b]:
+            return
+        ones = twos = 0
+        for i in self.bins[b]:
+            twos |= ones << self.lengths[i]
+            ones |= 1 << self.lengths[i]
+        self.sets[b] = ones, twos
+        self.rooms.setdefault(room, {})[b] = None
+        if room in self.held:
+            self.held[room] = self.held[room][0] | ones, self.held[room][1] | twos
+
+    def _shut(self, b: int) -> None:
+        del self.sets[b]
+        room = self.size - self.fill[b]
+        del self.rooms[room][b]
+        self.held.pop(room, None)
+        if not self.rooms[room]:
+            del self.rooms[room]
+
+    def _of_room(self, room: int, without: int) -> tuple[int, int]:
+        """Lengths and sums of two in the bins of a room."""
+        if room in self.held and without not in self.rooms[room]:
+            return self.held[room]
+        ones = twos = 0
+        for b in self.rooms[room]:
+            if b != without:
+                ones |= self.sets[b][0]
+                twos |= self.sets[b][1]
+        if without not in self.rooms[room]:
+            self.held[room] = ones, twos
+        return ones, twos
+
+    @staticmethod
+    def _gain(giver: tuple[int, int], taker: tuple[int, int], room: int, gain: int) -> int:
+        gain = _most(giver[0], 1 | taker[0] | taker[1], room, gain)
+        return _most(giver[1], taker[0], room, gain)
+
+    def _step(self, b: int) -> tuple[int, int, int] | None:
+        """giver, taker and the length that goes over: the best step that ``b`` gives, or else takes."""
+        own, room = self.sets[b], self.size - self.fill[b]
+        best, at = 0, None
+        rooms = sorted(r for r in self.rooms if r != room or len(self.rooms[r]) > 1)
+        for r in reversed(rooms):
+            if r <= best:
                 break
-            taker, out, back = step
-            for i in out:
-                bins[source].remove(i)
-            for i in back:
-                bins[taker].remove(i)
-            bins[source] += back
-            bins[taker] += out
-            moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-            fill[source] -= moved
-            fill[taker] += moved
-            takers = [b for b in takers if bins[b]]
-        if bins[giver] and not any(not bins[b] for b in saved):
-            failed += 1
-            for b in saved:
-                bins[b], fill[b] = saved[b], filled[b]
-        else:
-            failed = 0
-            gone.update(b for b in saved if not bins[b])
-    return [b for b in bins if b]
-
-
-def _best_step(lengths, bins, fill, giver, takers, size) -> tuple[int, list[int], list[int]] | None:
-    own = bins[giver]
-    singles = [([i], lengths[i]) for i in own]
-    pairs = [([i, j], lengths[i] + lengths[j]) for a, i in enumerate(own[:40]) for j in own[a + 1 : 40]]
-    best, gain = None, 0
-    for taker in heapq.nsmallest(NEAR, takers, key=fill.__getitem__):
-        room = size - fill[taker]
-        if room <= gain:
-            break
-        theirs = bins[taker]
-        backs = [([], 0), *(([i], lengths[i]) for i in theirs)]
-        doubles = [([i, j], lengths[i] + lengths[j]) for a, i in enumerate(theirs[:40]) for j in theirs[a + 1 : 40]]
-        for outs, ins in ((singles, backs), (pairs, backs[1:]), (singles, doubles)):
-            for out, n in outs:
-                for back, m in ins:
-                    if gain < n - m <= room:
-                        best, gain = (taker, out, back), n - m
-                        if gain == room:
-                            break
-                if gain == room:
-                    break
-            if gain == room:
+            if r <= room and (gain := self._gain(own, self._of_room(r, b), r, best)) > best:
+                best, at = gain, r
+        if at is not None:
+            taker = next(t for t in self.rooms[at] if t != b and self._gain(own, self.sets[t], at, best - 1) == best)
+            return b, taker, best
+        for r in rooms:
+            if best == room:
                 break
-    return best
+            if r >= room and (gain := self._gain(self._of_room(r, b), own, room, best)) > best:
+                best, at = gain, r
+        if at is None:
+            return None
+        giver = next(g for g in self.rooms[at] if g != b and self._gain(self.sets[g], own, room, best - 1) == best)
+        return giver, b, best
+
+    def _members(self, b: int, n: int, two: bool) -> list[int]:
+        """One document of the bin, or two, of this length together."""
+        if not n:
+            return []
+        if not two:
+            return [next(i for i in self.bins[b] if self.lengths[i] == n)]
+        seen: dict[int, int] = {}
+        for i in self.bins[b]:
+            if n - self.lengths[i] in seen:
+                return [seen[n - self.lengths[i]], i]
+            seen[self.lengths[i]] = i
+        raise AssertionError("no two documents of this length")
+
+    def _go(self, giver: int, taker: int, moved: int) -> None:
+        (ones, twos), (their_ones, their_twos) = self.sets[giver], self.sets[taker]
+        backs = (ones >> moved) & (1 | their_ones | their_twos)
+        two = not backs
+        backs = backs or (twos >> moved) & their_ones
+        m = (backs & -backs).bit_length() - 1
+        out = self._members(giver, m + moved, two)
+        back = self._members(taker, m, not two and not their_ones >> m & 1)
+        self._shut(giver)
+        self._shut(taker)
+        self.bins[giver] = [i for i in self.bins[giver] if i not in out] + back
+        self.bins[taker] = [i for i in self.bins[taker] if i not in back] + out
+        self.fill[giver] -= moved
+        self.fill[taker] += moved
+        self._open(giver)
+        self._open(taker)
+        self.steps += 1
+
+    def run(self) -> list[list[int]]:
+        least, used = least_bins(self.lengths, self.size), sum(map(bool, self.bins))
+        waiting = dict.fromkeys(self.sets)
+        queue = [(self.fill[b], b) for b in waiting]
+        heapq.heapify(queue)
+        while queue and used > least:
+            fill, b = heapq.heappop(queue)
+            if b not in waiting or b not in self.sets or fill != self.fill[b]:
+                continue
+            step = self._step(b)
+            if step is None:
+                del waiting[b]
+                continue
+            self._go(*step)
+            used -= not self.bins[step[0]]
+            for changed in step[:2]:
+                waiting[changed] = None
+                heapq.heappush(queue, (self.fill[changed], changed))
+        return [b for b in self.bins if b]
+
+
+def swap_search(lengths: list[int], bins: list[list[int]], size: int) -> list[list[int]]:
+    """The bins after the search."""
+    return SwapSearch(lengths, bins, size).run()
 
 
 def pack_group(rows: pd.DataFrame, size: int) -> pd.DataFrame:
-    """Adds bin, offset and fill to the pieces of one group."""
+    """Adds bin, offset and fill to the pieces of one group, and of the group the bins after best fit, the least number
+    of bins there can be and the steps of the search."""
     rows = rows.sort_values(["length", "doc_id", "piece"], ascending=False, kind="stable", ignore_index=True)
     lengths = rows["length"].tolist()
-    bins = swap_search(lengths, best_fit(lengths, size), size)
+    fitted = best_fit(lengths, size)
+    search = SwapSearch(lengths, fitted, size)
+    bins = search.run()
     bin_of, offset, fill = (np.zeros(len(lengths), dtype="int64") for _ in range(3))
     for b, members in enumerate(bins):
         at = 0
@@ -260,15 +363,26 @@ def pack_group(rows: pd.DataFrame, size: int) -> pd.DataFrame:
             bin_of[i], offset[i] = b, at
             at += lengths[i]
         fill[members] = at
-    return rows.assign(bin=bin_of, offset=offset, fill=fill)
+    return rows.assign(bin=bin_of, offset=offset, fill=fill, fitted=len(fitted), least=least_bins(lengths, size), steps=search.steps)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every row of ``docs``.
 
     A null or empty text is the closing id alone. Repeated rows and doc_ids are packed each for itself; a
-    null doc_id is carried. An empty table gives no rows.
+    null doc_id is carried. A very long text is cut into as many pieces as it fills. Other columns do not
+    matter, whatever their names. An empty table gives no rows.
     """
+    return _packed(docs, tokenizer, length, group_rows)[0]
+
+
+def search_report(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """For every round and group of ``pack``: pieces, sequences after best fit (fitted) and after the search
+    (searched), the least number there can be and the steps of the search."""
+    return _packed(docs, tokenizer, length, group_rows)[1]
+
+
+def _packed(docs: DataFrame, tokenizer: str | None, length: int, group_rows: int) -> tuple[DataFrame, DataFrame]:
     pieces = cut(pieces_of(docs, tokenizer, length).withColumn("row", F.monotonically_increasing_id()))
     whole = pieces.where(F.col("length") == length).select(
         *[c.split()[0] for c in PIECES.split(", ")],
@@ -276,8 +390,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
         F.lit(0).cast("long").alias("offset"),
     )
     done, left = [whole], pieces.where(F.col("length") < length)
-    rows, schema = left.count(), f"{PIECES}, row long, grp long, bin long, offset long, fill long"
-    opened, level = None, -1
+    rows, schema = left.count(), f"{PIECES}, row long, grp long, bin long, offset long, fill long, fitted long, least long, steps long"
+    opened, level, reports = None, -1, []
     while True:  # ends: every further round leaves fewer underfull sequences than the one before
         level += 1
         groups = max(1, -(-rows // group_rows))
@@ -287,6 +401,12 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
 
         dealt = left.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(groups)))
         packed = cut(dealt.groupBy("grp").applyInPandas(fit, schema))
+        reports.append(
+            packed.groupBy(F.lit(level).alias("round"), "grp").agg(
+                F.count("*").alias("pieces"), F.any_value("fitted").alias("fitted"), F.count_distinct("bin").alias("searched"),
+                F.any_value("least").alias("least"), F.any_value("steps").alias("steps"),
+            )
+        )
         number = F.lit(level) * F.lit(2**48) + F.col("grp") * F.lit(2**24) + F.col("bin")
         placed = packed.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset")
         under = F.col("fill") < FULL * length
@@ -298,10 +418,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
         shut = packed.where(~under)
         done.append(shut.select(*whole.columns[:5], number.cast("long").alias("sequence_id"), "offset"))
         left, rows, opened = packed.where(under).select(*pieces.columns), found.rows, found.bins
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+    return functools.reduce(DataFrame.unionByName, done), functools.reduce(DataFrame.unionByName, reports)
 
 
 def fill_report(packed: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -1,5 +1,6 @@
 """The methods by themselves: against brute force, exact round trips and held-out labels."""
 
+import itertools
 import json
 import math
 import random
@@ -175,6 +176,79 @@ def test_swap_search_empties_bins():
     assert len(out) == -(-sum(lengths) // 2048)
 
 
+def _steps_left(lengths, bins, size):
+    """Steps between any two bins that move length into the fuller one, found by trying all."""
+    found = 0
+    for giver, taker in itertools.permutations([b for b in bins if sum(lengths[i] for i in b) < size], 2):
+        room = size - sum(lengths[i] for i in taker)
+        if size - sum(lengths[i] for i in giver) < room:
+            continue
+        ones = [lengths[i] for i in giver]
+        theirs = [lengths[i] for i in taker]
+        twos, their_twos = ([a + b for a, b in itertools.combinations(x, 2)] for x in (ones, theirs))
+        moves = [n - m for n in ones for m in [0, *theirs, *their_twos]] + [n - m for n in twos for m in theirs]
+        found += any(0 < d <= room for d in moves)
+    return found
+
+
+def test_swap_search_ends_where_no_step_is_left():
+    rng = random.Random(4)
+    for low, high, n in ((500, 900, 120), (300, 1300, 90), (40, 1500, 150), (1000, 1000, 30), (100, 800, 200)):
+        lengths = [rng.randint(low, high) for _ in range(n)]
+        bins = packing.best_fit(lengths, 2048)
+        search = packing.SwapSearch(lengths, bins, 2048)
+        out = search.run()
+        assert sorted(i for b in out for i in b) == list(range(n))
+        assert all(sum(lengths[i] for i in b) <= 2048 for b in out)
+        assert packing.least_bins(lengths, 2048) <= len(out) <= len(bins)
+        assert len(out) == packing.least_bins(lengths, 2048) or not _steps_left(lengths, out, 2048)
+        squares = [sum(sum(lengths[i] for i in b) ** 2 for b in x) for x in (bins, out)]
+        assert squares[1] >= squares[0] + search.steps
+
+
+def test_swap_search_beats_best_fit():
+    rng = random.Random(1)
+    lengths = [rng.randint(500, 900) for _ in range(2000)]
+    bins = packing.best_fit(lengths, 2048)
+    out = packing.swap_search(lengths, bins, 2048)
+    assert len(out) <= 0.96 * len(bins)
+
+
+def test_no_packing_goes_below_the_least_bins():
+    def optimum(lengths, size):
+        best = [len(lengths)]
+
+        def place(at, rooms):
+            if len(rooms) >= best[0]:
+                return
+            if at == len(lengths):
+                best[0] = len(rooms)
+                return
+            for b in range(len(rooms)):
+                if rooms[b] >= lengths[at]:
+                    place(at + 1, [r - lengths[at] * (i == b) for i, r in enumerate(rooms)])
+            place(at + 1, [*rooms, size - lengths[at]])
+
+        place(0, [])
+        return best[0]
+
+    rng = random.Random(3)
+    for _ in range(150):
+        lengths = [rng.randint(1, 10) for _ in range(rng.randint(1, 7))]
+        assert packing.least_bins(lengths, 10) <= optimum(lengths, 10)
+    assert packing.least_bins([6, 6, 6, 4], 10) == 3 and packing.least_bins([7, 7, 5, 5, 5], 10) == 4
+
+
+def test_search_report(spark):
+    text = "word " * 700
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.substring(F.lit(text), 1, (F.col("id") * 37 % 23 + 90) * 30).alias("text"))
+    report = packing.search_report(docs, length=1024).collect()
+    assert sum(r.pieces for r in report if r["round"] == 0) == 60
+    assert all(r.least <= r.searched <= r.fitted for r in report)
+    placed = packing.pack(docs, length=1024)
+    assert placed.select("sequence_id").distinct().count() == report[-1].searched
+
+
 def test_packing_over_several_groups(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     report = packing.fill_report(packing.pack(docs, group_rows=40)).first()
