@@ -6,9 +6,10 @@ band when they share these k-mers in the same order, which follows their edit si
 overlap. Texts that meet are compared with the leader of their bucket first, the text that meets most others, if
 they share enough bands with it: their labelled k-mers are aligned within a band around the diagonal, and a link
 needs aligned k-mers of at least 0.8 of all. Connected texts form a class. What then still shares a bucket but no
-class is compared pair by pair where the bucket is small; the texts of larger ones are sampled anew, with more
-k-mers to a band and more bands, so that unlike texts part and like ones meet again, round by round, until every
-bucket is small or one class. The work grows with the number of texts in such buckets, not with its square.
+class is compared pair by pair where few texts are outside the bucket's largest class; the texts of other buckets
+are sampled anew, with more k-mers to a band and more bands, so that unlike texts part and like ones meet again,
+round by round, until every bucket has few such texts or is one class. The work grows with the number of texts in
+such buckets, not with its square.
 """
 
 from __future__ import annotations
@@ -32,9 +33,10 @@ WORDS, SIMILARITY = 5, 0.8
 #: they share fewer than SHARED of the 16 once in about 5,000 pairs,
 #: and fewer than SHARED_LATER, which pairs without the leader of their bucket need, once in 160.
 BANDS, SAMPLED, SHARED, SHARED_LATER = 16, 3, 2, 4
-#: A bucket of so many texts is compared pair by pair. Each later round samples DEEPER k-mers more for a band, and
-#: takes so many bands that texts of similarity 0.8 miss each other in all of them with a chance of exp(-MEET).
-SMALL, DEEPER, MEET = 48, 4, 4.0
+#: A bucket with so many texts outside its largest class is compared class by class. Each later round samples DEEPER
+#: k-mers more for a band, and takes so many bands that texts of similarity 0.8 miss each other in all of them with
+#: a chance of exp(-MEET).
+SMALL, DEEPER, MEET = 48, 8, 4.0
 #: Texts that one chunk holds against a leader; words that a task keeps the hash of.
 CHUNK, CACHE = 64, 1_000_000
 #: Wanted rows whose digests are broadcast at most (counted first); beyond, the texts are shuffled to them.
@@ -336,24 +338,27 @@ def _named(nodes: DataFrame, some: DataFrame) -> DataFrame:
 def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The roots after the buckets of several classes were looked at again.
 
-    ``members`` (key, node, score) are the nodes of all buckets, ``met`` the pairs (a, b) that were compared. All
-    pairs of classes of a small bucket are compared; a larger one is held against its leader, and its nodes go on
-    to the buckets of the next round.
+    ``members`` (key, node, score) are the nodes of all buckets, ``met`` the pairs (a, b) that were compared. Where
+    up to SMALL nodes of a bucket are outside its largest class, they are held against all nodes of other classes
+    there, so the work is at most SMALL times the bucket, however large that class is. Any other bucket is held
+    against its leader, and its nodes go on to the buckets of the next round.
     """
     grams, tried, turn = None, [met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))], 0
     while True:
         rooted = _fresh(members.join(roots, "node", "left").select("key", "node", "score", F.coalesce("root", "node").alias("root")))
-        several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
-        members = _fresh(rooted.join(several.select("key", "n"), "key"))
+        sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key")
+        several = sizes.agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.max_by("root", F.struct("c", "root")).alias("main")).where("n > most")
+        members = _fresh(rooted.join(several.select("key", "main", (F.col("n") - F.col("most")).alias("minor")), "key"))
         if members.isEmpty():
             return roots
-        small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
+        small, large = members.where(F.col("minor") <= SMALL), members.where(F.col("minor") > SMALL)
         # What rules a pair out without its texts is part of the join, so that only the rest leaves it.
         small = small.join(nodes.select("node", "size", "bands"), "node")
         others = small.select(F.col("key").alias("kb"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
-        apart = (F.col("node") < F.col("b")) & (F.col("root") != F.col("rb")) & _may_link(F.col("size"), F.col("nb"))
+        once = (F.col("rb") == F.col("main")) | (F.col("node") < F.col("b"))
+        apart = (F.col("root") != F.col("rb")) & once & _may_link(F.col("size"), F.col("nb"))
         alike = (F.col("key") == F.col("kb")) & apart & (_shared_bands(F.col("bands"), F.col("bb")) >= SHARED_LATER)
-        pairs = small.join(others, alike).select(F.col("node").alias("a"), "b").distinct()
+        pairs = small.where("root <> main").join(others, alike).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         led = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
         led = large.join(led, "key").where(F.col("a.root") != F.col("root"))
         led = led.select(F.least(F.col("a.node"), F.col("node")).alias("a"), F.greatest(F.col("a.node"), F.col("node")).alias("b"))
@@ -366,6 +371,8 @@ def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: D
         if not pairs.isEmpty():
             roots = _merged(roots, _fresh(verified(pairs, grams)))
             tried.append(pairs)
+        if large.isEmpty():
+            return roots
         turn += 1
         members = _finer(grams, large.select("node").distinct(), turn)
 
