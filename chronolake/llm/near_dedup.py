@@ -3,9 +3,11 @@
 A text's k-mers are its five-word shingles, each labelled with its occurrence number, so that repeats count. For
 every band the few labelled k-mers of least hash are taken and kept in the order of the text: two texts meet in a
 band when they share these k-mers in the same order, which follows their edit similarity rather than their set
-overlap. Texts that meet are compared with the leader of their bucket first, the text that meets most others, if
-they share enough bands with it: their labelled k-mers are aligned within a band around the diagonal, and a link
-needs aligned k-mers of at least 0.8 of all. Connected texts form a class. What then still shares a bucket but no
+overlap. Texts that meet are compared with the leader of their bucket first, the text that meets most others: their
+labelled k-mers are aligned within a band around the diagonal, and a link needs aligned k-mers of at least 0.8 of
+all. An odd sketch of each text, the parity of its k-mers in each of 2,048 cells, rules pairs out before: two
+sketches never differ in more cells than the texts differ in k-mers, so no link is lost by it. Connected texts form
+a class. What then still shares a bucket but no
 class is compared pair by pair where few texts are outside the bucket's largest class; the texts of other buckets
 are sampled anew, with more k-mers to a band and more bands, so that unlike texts part and like ones meet again,
 round by round, until every bucket has few such texts or is one class. The work grows with the number of texts in
@@ -30,13 +32,16 @@ from .common import cut, text_of
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands, and k-mers sampled for each. At similarity 0.8 two texts meet in a band with a chance of about 0.8**3:
-#: they share fewer than SHARED of the 16 once in about 5,000 pairs,
-#: and fewer than SHARED_LATER, which pairs without the leader of their bucket need, once in 160.
+#: they share fewer than SHARED of the 16 once in about 5,000 pairs, and fewer than SHARED_LATER once in 160. Only
+#: pairs of more than BLUNT k-mers in all need them (SHARED_LATER without the leader of their bucket): for them the
+#: odd sketch rules out less and less.
 BANDS, SAMPLED, SHARED, SHARED_LATER = 16, 3, 2, 4
 #: A bucket with so many texts outside its largest class is compared class by class. Each later round samples DEEPER
 #: k-mers more for a band, and takes so many bands that texts of similarity 0.8 miss each other in all of them with
 #: a chance of exp(-MEET).
 SMALL, DEEPER, MEET = 48, 8, 4.0
+#: Cells of an odd sketch; k-mers of a pair beyond which it no longer tells a similarity of 0.7 from one of 0.8.
+CELLS, BLUNT = 2048, 3072
 #: Texts that one chunk holds against a leader; words that a task keeps the hash of.
 CHUNK, CACHE = 64, 1_000_000
 #: Wanted rows whose digests are broadcast at most (counted first); beyond, the texts are shuffled to them.
@@ -125,6 +130,13 @@ def samples(kmers: np.ndarray, bands: np.ndarray, sampled: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def odd_sketch(kmers: np.ndarray) -> np.ndarray:
+    """The parity of the labelled k-mers in each of CELLS cells, 64 to a number."""
+    cells = _mixed(kmers ^ _MIX2) % np.uint64(CELLS)
+    odd = np.bincount(cells.astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 class Leader:
     """A text's labelled k-mers, ready to be aligned with others."""
 
@@ -174,23 +186,24 @@ def row_key(docs: DataFrame) -> Column:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, own (digest of the row), node (digest of the words), bands and size (k-mers) of every row."""
+    """doc_id, own (digest of the row), node (digest of the words), bands, odd sketch and size (k-mers) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bands = Words(), seeds(BANDS)
         for batch in batches:
-            nodes, found, sizes = [], [], []
+            nodes, found, odd, sizes = [], [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = words.of(text)
                 kmers = labelled_kmers(hashes)
                 nodes.append(node_of(hashes))
                 found.append(samples(kmers, bands, SAMPLED))
+                odd.append(odd_sketch(kmers))
                 sizes.append(len(kmers))
-            made = [pa.array(nodes, pa.binary()), _int_lists(found), pa.array(sizes, pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "own", "node", "bands", "size"])
+            made = [pa.array(nodes, pa.binary()), _int_lists(found), _int_lists(odd), pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "own", "node", "bands", "odd", "size"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("own"), text_of().alias("t"))
-    return read.mapInArrow(run, "doc_id long, own binary, node binary, bands array<long>, size int")
+    return read.mapInArrow(run, "doc_id long, own binary, node binary, bands array<long>, odd array<long>, size int")
 
 
 def kmers_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -236,21 +249,38 @@ def verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _may_link(na: Column, nb: Column) -> Column:
-    """Whether texts of so many k-mers can be similar."""
-    return F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)
-
-
 def _shared_bands(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
 
 
+def _odd_cells(a: Column, b: Column) -> Column:
+    """Cells in which two odd sketches differ: at most the k-mers that only one of the texts has."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
+def _may_link(shared: int) -> Column:
+    """Whether the texts of size na and nb, bands ba and bb, odd sketches oa and ob can be similar.
+
+    At similarity 0.8 a ninth of the k-mers of both is in one text only, at most. Those of more than BLUNT k-mers
+    must share so many bands too.
+    """
+    na, nb = F.col("na"), F.col("nb")
+    sizes = F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)
+    cells = _odd_cells(F.col("oa"), F.col("ob")) <= (na + nb) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
+    return sizes & cells & ((na + nb <= BLUNT) | (_shared_bands(F.col("ba"), F.col("bb")) >= shared))
+
+
+def _side(nodes: DataFrame, name: str) -> DataFrame:
+    """The nodes as one side of pairs: their name, size, bands and odd sketch."""
+    named = {"node": name, "size": f"n{name}", "bands": f"b{name}", "odd": f"o{name}"}
+    return nodes.select(*[F.col(c).alias(named.get(c, c)) for c in nodes.columns])
+
+
 def near_pairs(pairs: DataFrame, nodes: DataFrame, shared: int = SHARED) -> DataFrame:
-    """The pairs (a, b) whose sizes allow a link and that share so many bands: no text is read for the others."""
-    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("bands").alias("ba"))
-    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
-    both = pairs.join(left, "a").join(right, "b").where(_may_link(F.col("na"), F.col("nb")))
-    return both.select("a", "b", _shared_bands(F.col("ba"), F.col("bb")).alias("n")).where(F.col("n") >= shared)
+    """The pairs (a, b) that can be similar, and the bands they share: no text is read for the others."""
+    nodes = nodes.select("node", "size", "bands", "odd")
+    both = pairs.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").where(_may_link(shared))
+    return both.select("a", "b", _shared_bands(F.col("ba"), F.col("bb")).alias("n"))
 
 
 def _fresh(df: DataFrame) -> DataFrame:
@@ -353,12 +383,12 @@ def _later_rounds(roots: DataFrame, members: DataFrame, met: DataFrame, nodes: D
             return roots
         small, large = members.where(F.col("minor") <= SMALL), members.where(F.col("minor") > SMALL)
         # What rules a pair out without its texts is part of the join, so that only the rest leaves it.
-        small = small.join(nodes.select("node", "size", "bands"), "node")
-        others = small.select(F.col("key").alias("kb"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("bands").alias("bb"))
-        once = (F.col("rb") == F.col("main")) | (F.col("node") < F.col("b"))
-        apart = (F.col("root") != F.col("rb")) & once & _may_link(F.col("size"), F.col("nb"))
-        alike = (F.col("key") == F.col("kb")) & apart & (_shared_bands(F.col("bands"), F.col("bb")) >= SHARED_LATER)
-        pairs = small.where("root <> main").join(others, alike).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        small = small.select("key", "node", "root", "main").join(nodes.select("node", "size", "bands", "odd"), "node")
+        minor = _side(small.where("root <> main"), "a")
+        others = _side(small.select(F.col("key").alias("kb"), F.col("root").alias("rb"), "node", "size", "bands", "odd"), "b")
+        once = (F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))
+        alike = (F.col("key") == F.col("kb")) & (F.col("root") != F.col("rb")) & once & _may_link(SHARED_LATER)
+        pairs = minor.join(others, alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         led = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("score", "node")).alias("a"))
         led = large.join(led, "key").where(F.col("a.root") != F.col("root"))
         led = led.select(F.least(F.col("a.node"), F.col("node")).alias("a"), F.greatest(F.col("a.node"), F.col("node")).alias("b"))
@@ -394,7 +424,7 @@ def _classed(docs: DataFrame) -> DataFrame:
     """The rows of near_classes with the digest of the row."""
     rows = cut(sketched(docs))
     nodes = rows.groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min("own").alias("own"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size"), F.count("*").alias("n")
+        F.min("doc_id").alias("rep"), F.min("own").alias("own"), F.any_value("bands").alias("bands"), F.any_value("odd").alias("odd"), F.any_value("size").alias("size"), F.count("*").alias("n")
     )
     nodes = cut(nodes)
     keys = nodes.select("node", F.posexplode("bands").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "node")

@@ -118,6 +118,33 @@ def test_near_classes_of_hub_groups(spark):
     assert near_truth(some) == {i: least[group[i]] for i in some}
 
 
+def test_unlike_copies_are_ruled_out_without_their_texts(spark, monkeypatch):
+    """Copies about 0.67 to each other share many bands; only pairs near 0.8 are aligned, and no link is lost."""
+    rng = random.Random(5)
+    base = [f"{rng.randrange(10**6)}x" for _ in range(150)]
+    texts = {}
+    for i in range(300):
+        made = list(base)
+        for at in rng.sample(range(1, 29), 1 if i % 50 == 0 else 3):
+            made[5 * at] = f"{rng.randrange(10**6)}y"
+        texts[i] = " ".join(made)
+    aligned, verified = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, grams: aligned.append(pairs.count()) or verified(pairs, grams))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()} == near_truth(texts)
+    assert sum(aligned) <= 2 * len(texts)
+
+
+def test_odd_sketches_never_differ_in_more_cells_than_texts_in_kmers():
+    rng = np.random.default_rng(2)
+    for n, gone in ((1, 0), (1, 1), (150, 10), (150, 40), (4000, 300), (40_000, 9000)):
+        kmers = rng.integers(1, 2**63, n).astype(np.uint64)
+        other = np.concatenate([kmers[gone:], rng.integers(1, 2**63, gone).astype(np.uint64)])
+        cells = sum(int(x).bit_count() for x in (near_dedup.odd_sketch(kmers) ^ near_dedup.odd_sketch(other)).view(np.uint64))
+        assert cells <= 2 * gone and cells % 2 == 0
+        assert n > 1000 or cells >= 1.8 * gone
+
+
 def test_alignment_needs_order():
     a = np.arange(1, 400, dtype=np.int64)
     assert near_dedup.similarity(a, a) == 1.0
