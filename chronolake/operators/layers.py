@@ -165,11 +165,11 @@ BROADCAST_ID_LIMIT = 2_000_000  # incoming ids broadcast only up to this many ro
 
 def unseen(
     incoming: DataFrame,
-    history: list[DataFrame],
+    history: DataFrame | list[DataFrame],
     rows: int | None = None,
     broadcast_limit_rows: int = BROADCAST_ID_LIMIT,
 ) -> DataFrame:
-    """JOIN3: incoming rows whose id is in none of the frames of ``history``.
+    """JOIN3: incoming rows whose id is in none of the frames of ``history`` (or in that one frame).
 
     History is the big side and only its id column is read. ``rows`` bounds the incoming
     rows (the refresh knows it from landing them; else they are counted, an aggregate of
@@ -180,6 +180,7 @@ def unseen(
     left of the increment is shuffled); callers pass one row for each id (keep-first runs
     before), so neither side has a hot key.
     """
+    history = [history] if isinstance(history, DataFrame) else history
     incoming_ids = incoming.select(KEY)
     if (incoming_ids.count() if rows is None else rows) <= broadcast_limit_rows:
         every = reduce(DataFrame.union, [h.select(KEY) for h in history])
