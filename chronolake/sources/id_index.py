@@ -91,6 +91,8 @@ class IdIndex:
     def history(self, seq: int) -> list[DataFrame] | None:
         """The ids of snapshots 1 to ``seq``, a frame for each generation; None unless all of them are indexed."""
         generations = [g for g in self.generations() if g.from_seq <= seq]
+        if not generations:
+            return None
         frames, listed = [], 0
         for gen, after in zip(generations, [*generations[1:], None], strict=True):
             last = min(seq, after.from_seq - 1) if after else seq
